@@ -76,3 +76,211 @@ def q_check_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return _union([check_content(_comparison(spark, sf_dir, v)).select(F.lit(v).alias("variant"), "*")
                    for v in FX.DAMAGE_VARIANTS])
+
+
+# ---------------------------------------------------------------------------------------------
+# scans and the shipped SQL shapes
+# ---------------------------------------------------------------------------------------------
+
+from ferry.functions import normalise as N  # noqa: E402
+from ferry.functions import text as X  # noqa: E402
+from ferry.functions.names import rename_for_target  # noqa: E402
+from ferry.sources import readers as R  # noqa: E402
+
+# The shipped custom query shape, restated over ``orders`` (o_orderstatus plays STATUS,
+# o_orderdate CREATED_DATE); ``{schema}``/``{table_name}`` are filled in as the reference does.
+CASES_TEMPLATE = """
+SELECT CASE_ID, CUSTOMER_ID, CASE_TITLE, CASE_DESCRIPTION, STATUS, PRIORITY, CREATED_DATE,
+       MODIFIED_DATE, ASSIGNED_TO
+FROM {schema}.{table_name}
+WHERE STATUS IN ('OPEN', 'IN_PROGRESS', 'PENDING')
+ORDER BY CREATED_DATE DESC
+"""
+
+
+def cases_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` in the column shape of the shipped cases query."""
+    o = FX.read(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "O", "OPEN").when(F.col("o_orderstatus") == "P", "PENDING") \
+        .otherwise("CLOSED")
+    return o.select(F.col("o_orderkey").alias("CASE_ID"), F.col("o_custkey").alias("CUSTOMER_ID"),
+                    F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("CASE_TITLE"),
+                    F.col("o_orderpriority").alias("CASE_DESCRIPTION"), status.alias("STATUS"),
+                    F.substring("o_orderpriority", 1, 1).alias("PRIORITY"),
+                    F.col("o_orderdate").alias("CREATED_DATE"), F.col("o_orderdate").alias("MODIFIED_DATE"),
+                    F.col("o_custkey").alias("ASSIGNED_TO"))
+
+
+@query("scan_full")
+def q_scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole table, every value as the read stage renders it."""
+    prepare(spark)
+    cfg = {"source_table": "lineitem", "target_table": "LINEITEM",
+           "source": {"format": "parquet", "path": f"{sf_dir}/lineitem.parquet"}}
+    return N.read_stage(R.read_source(spark, cfg))
+
+
+@query("scan_custom_query")
+def q_scan_custom_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S3: the custom query template run over a registered view, result registered again."""
+    prepare(spark)
+    df = R.run_custom_query(spark, CASES_TEMPLATE, {"CASES": cases_view(spark, sf_dir)}, "dbo", "CASES")
+    df.createOrReplaceTempView("temp_cases")
+    return N.read_stage(spark.table("temp_cases"))
+
+
+@query("filter_project_sort")
+def q_filter_project_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C4 with the DataFrame API: projection, IN filter, newest first, plus the id/name shape."""
+    prepare(spark)
+    cases = cases_view(spark, sf_dir).where(F.col("STATUS").isin("OPEN", "IN_PROGRESS", "PENDING")) \
+        .orderBy(F.col("CREATED_DATE").desc()) \
+        .select(F.col("CASE_ID").alias("id"), F.col("CASE_TITLE").alias("name"), "STATUS",
+                N.datetime_ms(F.col("CREATED_DATE")).alias("CREATED_DATE"))
+    return cases
+
+
+@query("row_count")
+def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 for every driver table."""
+    prepare(spark)
+    return _union([R.row_count(FX.read(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "row_count")
+                   for t in FX.TABLES])
+
+
+# ---------------------------------------------------------------------------------------------
+# value rules N1-N15
+# ---------------------------------------------------------------------------------------------
+
+@query("norm_stringify")
+def q_norm_stringify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 on every non-temporal column of lineitem (ints, doubles including -0.0, text)."""
+    prepare(spark)
+    li = FX.read(spark, sf_dir, "lineitem").drop("l_shipdate")
+    return li.select([N.stringify(F.col(c)).alias(c) for c in li.columns])
+
+
+@query("norm_binary_hex")
+def q_norm_binary_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2 on bytes made from page URLs (every 7th page gets zero bytes)."""
+    prepare(spark)
+    p = FX.read(spark, sf_dir, "pages")
+    b = F.when(F.col("page_id") % 7 == 0, F.unhex(F.lit(""))).otherwise(F.encode("url", "UTF-8"))
+    return p.select("page_id", N.binary_hex(b).alias("hex"))
+
+
+@query("norm_bytes_decode")
+def q_norm_bytes_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UTF-8 bytes decode as UTF-8; with a stray 0xFF byte the whole value reads as Latin-1."""
+    prepare(spark)
+    p = FX.read(spark, sf_dir, "pages")
+    b = F.when(F.col("page_id") % 2 == 0, F.encode("url", "UTF-8")) \
+        .otherwise(F.concat(F.encode("url", "UTF-8"), F.unhex(F.lit("FF"))))
+    return p.select("page_id", N.bytes_decode(b).alias("text"))
+
+
+@query("norm_datetime_ms")
+def q_norm_datetime_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N3 / N4 on event timestamps (microseconds) and order dates, and as pure dates."""
+    prepare(spark)
+    e = FX.read(spark, sf_dir, "events")
+    return e.select("event_id", N.datetime_ms(F.col("ts")).alias("ts_ms"),
+                    N.datetime_ms(F.col("ts").cast("date")).alias("day_ms"),
+                    N.date_only(F.col("ts").cast("date")).alias("day"))
+
+
+@query("norm_datetime_text")
+def q_norm_datetime_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N5 on timestamp text with six fraction digits, and on the dirty column."""
+    prepare(spark)
+    d = FX.dirty_events(spark, sf_dir)
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return d.select("event_id", N.datetime_text(text).alias("ts_text"),
+                    N.datetime_text(F.concat(text, F.lit("Z\n"))).alias("ts_suffixed"),
+                    N.datetime_text(F.col("dirty")).alias("dirty"))
+
+
+def _padded(spark, sf_dir):
+    d = FX.dirty_events(spark, sf_dir)
+    return d.select("event_id", "dirty",
+                    F.concat("event_type", F.repeat(F.lit(" "), (F.col("event_id") % 3).cast("int"))).alias("padded"),
+                    F.concat(F.lit("\t"), F.col("event_type"), F.lit(" ")).alias("tabbed"),
+                    F.concat(F.lit("ID-"), F.col("user_id").cast("string"), F.lit("/x_1 ")).alias("code"),
+                    F.concat(F.col("event_type"), F.lit(" x  ")).alias("two_words"))
+
+
+@query("norm_pad_trim")
+def q_norm_pad_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N6 on padded identifiers, tab-led text, codes with / - _ and text with inner spaces."""
+    prepare(spark)
+    p = _padded(spark, sf_dir)
+    return p.select("event_id", *[N.pad_trim(F.col(c)).alias(c) for c in p.columns if c != "event_id"])
+
+
+@query("norm_nfc")
+def q_norm_nfc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A combining accent after every event type (composes where a precomposed letter exists)."""
+    prepare(spark)
+    d = FX.dirty_events(spark, sf_dir)
+    return d.select("event_id", N.nfc(F.concat("event_type", F.lit(FX.COMBINING_ACUTE))).alias("composed"),
+                    N.nfc(F.col("dirty")).alias("dirty"))
+
+
+def _dirty_read(spark, sf_dir):
+    """event_id plus the dirty column after the read rules (padding trim, NFC)."""
+    d = FX.dirty_events(spark, sf_dir)
+    return d.select("event_id", N.read_value(F.col("dirty"), d.schema["dirty"].dataType).alias("dirty"))
+
+
+@query("norm_null_tokens")
+def q_norm_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N8 at load time: 'NULL' / '<null>' become NULL, 'none' and padded tokens stay."""
+    prepare(spark)
+    d = _dirty_read(spark, sf_dir)
+    return d.select("event_id", N.null_token(F.col("dirty")).alias("is_null_token"),
+                    N.load_value(F.col("dirty")).alias("loaded"))
+
+
+@query("norm_bool_load")
+def q_norm_bool_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N9: 'true'/'false' in any case to 1/0 at load; 'yes' stays; booleans from labels too."""
+    prepare(spark)
+    d = _dirty_read(spark, sf_dir)
+    return d.select("event_id", N.load_value(F.col("dirty")).alias("loaded"),
+                    N.load_value(N.stringify(F.col("event_id") % 2 == 0)).alias("flag"))
+
+
+@query("norm_blank_keep")
+def q_norm_blank_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N10: '' and whitespace-only text pass the load stage unchanged (and uncut)."""
+    prepare(spark)
+    d = _dirty_read(spark, sf_dir)
+    wide = F.repeat(F.lit(" "), (2000 + F.col("event_id") % 3).cast("int"))
+    return d.select("event_id", N.is_blank(F.col("dirty")).alias("is_blank"),
+                    N.load_value(F.col("dirty")).alias("loaded"),
+                    F.length(N.load_value(wide)).alias("wide_blank_len"))
+
+
+@query("norm_truncate")
+def q_norm_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N12 / N14 on whole documents and pages: cut to 2000 characters, line breaks kept."""
+    prepare(spark)
+    d = N.read_stage(FX.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    p = N.read_stage(FX.read(spark, sf_dir, "pages").select("page_id", "html"))
+    return d.select(F.concat(F.lit("doc:"), "doc_id").alias("id"), N.load_value(F.col("text")).alias("loaded")) \
+        .unionByName(p.select(F.concat(F.lit("page:"), "page_id").alias("id"), N.load_value(F.col("html")).alias("loaded")))
+
+
+@query("truncation_report")
+def q_truncation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N13 per column of documents and pages."""
+    prepare(spark)
+    return _union([N.truncation_report(N.read_stage(FX.read(spark, sf_dir, t))).select(F.lit(t).alias("table_name"), "*")
+                   for t in ("documents", "pages")])
+
+
+@query("norm_check_rules")
+def q_norm_check_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check-time rule set over the dirty events."""
+    prepare(spark)
+    return normalise(FX.dirty_events(spark, sf_dir), "check")

@@ -76,3 +76,75 @@ def damaged_orders(spark: SparkSession, sf_dir: str, variant: int) -> DataFrame:
 
 
 DAMAGE_VARIANTS = (0, 1, 2, 3, 4, 5)
+
+
+# ---------------------------------------------------------------------------------------------
+# edge tables for the dependency jobs
+# ---------------------------------------------------------------------------------------------
+
+def _node(prefix: str, *cols) -> "F.Column":
+    return F.concat_ws(":", F.lit(prefix), *[F.col(c).cast("string") for c in cols])
+
+
+def fk_row_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-level foreign keys of the star schema: each row points at the rows it references."""
+    r = lambda n: read(spark, sf_dir, n)
+    parts = [
+        r("nation").select(_node("nation", "n_nationkey").alias("child"), _node("region", "n_regionkey").alias("parent")),
+        r("customer").select(_node("customer", "c_custkey").alias("child"), _node("nation", "c_nationkey").alias("parent")),
+        r("supplier").select(_node("supplier", "s_suppkey").alias("child"), _node("nation", "s_nationkey").alias("parent")),
+        r("orders").select(_node("orders", "o_orderkey").alias("child"), _node("customer", "o_custkey").alias("parent")),
+    ]
+    li = r("lineitem")
+    child = _node("lineitem", "l_orderkey", "l_linenumber")
+    for prefix, col in (("orders", "l_orderkey"), ("part", "l_partkey"), ("supplier", "l_suppkey")):
+        parts.append(li.select(child.alias("child"), _node(prefix, col).alias("parent")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def reply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turn n points at turn n-1 of the same conversation."""
+    c = read(spark, sf_dir, "conversations").where(F.col("turn") > 0)
+    return c.select(_node("conv", "conv_id", "turn").alias("child"),
+                    F.concat_ws(":", F.lit("conv"), F.col("conv_id").cast("string"),
+                                (F.col("turn") - 1).cast("string")).alias("parent"))
+
+
+def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user points at the user of the event right after the user's first event (one edge
+    per user, so the graph has real cycles and self-loops)."""
+    e = read(spark, sf_dir, "events")
+    first = e.groupBy("user_id").agg(F.min("event_id").alias("eid"))
+    nxt = e.select((F.col("event_id") - 1).alias("eid"), F.col("user_id").alias("next_user"))
+    return first.join(nxt, "eid").select(_node("user", "user_id").alias("child"),
+                                         _node("user", "next_user").alias("parent"))
+
+
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fk_row_edges(spark, sf_dir).unionByName(reply_edges(spark, sf_dir)) \
+        .unionByName(handoff_edges(spark, sf_dir))
+
+
+def graph_nodes(spark: SparkSession, sf_dir: str, drop_orders_mod: int | None = None) -> DataFrame:
+    """Every row of the graph tables as a node. ``drop_orders_mod`` leaves out orders whose key
+    is a multiple of it, so references to them become missing parents (D2)."""
+    r = lambda n: read(spark, sf_dir, n)
+    orders = r("orders")
+    if drop_orders_mod:
+        orders = orders.where(F.col("o_orderkey") % drop_orders_mod != 0)
+    parts = [r("region").select(_node("region", "r_regionkey").alias("node")),
+             r("nation").select(_node("nation", "n_nationkey").alias("node")),
+             r("customer").select(_node("customer", "c_custkey").alias("node")),
+             r("supplier").select(_node("supplier", "s_suppkey").alias("node")),
+             r("part").select(_node("part", "p_partkey").alias("node")),
+             orders.select(_node("orders", "o_orderkey").alias("node")),
+             r("lineitem").select(_node("lineitem", "l_orderkey", "l_linenumber").alias("node")),
+             r("conversations").select(_node("conv", "conv_id", "turn").alias("node")),
+             r("events").select(_node("user", "user_id").alias("node"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()

@@ -148,3 +148,85 @@ ORACLE["compare_stats"] = _union([
 ORACLE["check_content"] = _union([
     f"SELECT {v} AS variant, * FROM {content_sql(compare_sql(ORDERS_SOURCE, ORDERS_COLS, *damaged_orders(v)))}"
     for v in VARIANTS])
+
+
+# --- scans and shipped SQL shapes ----------------------------------------------------------------
+
+ORACLE["scan_full"] = f"SELECT * FROM {S.read_select('lineitem', 'lineitem')}"
+
+CASES_SQL = """(SELECT o_orderkey AS CASE_ID, o_custkey AS CUSTOMER_ID, 'Order ' || o_orderkey AS CASE_TITLE,
+  o_orderpriority AS CASE_DESCRIPTION,
+  CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'P' THEN 'PENDING' ELSE 'CLOSED' END AS STATUS,
+  substr(o_orderpriority, 1, 1) AS PRIORITY, o_orderdate AS CREATED_DATE, o_orderdate AS MODIFIED_DATE,
+  o_custkey AS ASSIGNED_TO FROM orders)"""
+S.SCHEMAS["cases"] = [("CASE_ID", "other"), ("CUSTOMER_ID", "other"), ("CASE_TITLE", "string"),
+                      ("CASE_DESCRIPTION", "string"), ("STATUS", "string"), ("PRIORITY", "string"),
+                      ("CREATED_DATE", "timestamp"), ("MODIFIED_DATE", "timestamp"), ("ASSIGNED_TO", "other")]
+ORACLE["scan_custom_query"] = (f"SELECT * FROM {S.read_select(CASES_SQL, 'cases')} "
+                               f"WHERE STATUS IN ('OPEN', 'IN_PROGRESS', 'PENDING')")
+ORACLE["filter_project_sort"] = (f"SELECT CASE_ID AS id, CASE_TITLE AS name, STATUS, {S.datetime_ms('CREATED_DATE')} "
+                                 f"AS CREATED_DATE FROM {CASES_SQL} WHERE STATUS IN ('OPEN', 'IN_PROGRESS', 'PENDING') "
+                                 f"ORDER BY CREATED_DATE DESC")
+ORACLE["row_count"] = _union([f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}"
+                              for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                                        "events", "documents", "embeddings", "pages", "benchmark", "labels",
+                                        "conversations")])
+
+# --- value rules --------------------------------------------------------------------------------
+
+ORACLE["norm_stringify"] = "SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c, _ in S.SCHEMAS["lineitem"] if c != "l_shipdate") + " FROM lineitem"
+ORACLE["norm_binary_hex"] = ("SELECT page_id, lower(hex(CASE WHEN page_id % 7 = 0 THEN ''::BLOB "
+                             "ELSE encode(url) END)) AS hex FROM pages")
+ORACLE["norm_bytes_decode"] = ("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url ELSE url || chr(255) END AS text "
+                               "FROM pages")
+ORACLE["norm_datetime_ms"] = (f"SELECT event_id, {S.datetime_ms('ts')} AS ts_ms, "
+                              f"{S.datetime_ms('CAST(ts AS DATE)::TIMESTAMP')} AS day_ms, "
+                              f"strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day FROM events")
+_TS6 = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+ORACLE["norm_datetime_text"] = (f"SELECT event_id, {S.datetime_text(_TS6)} AS ts_text, "
+                                f"{S.datetime_text(_TS6 + ' || ' + chr(39) + 'Z' + chr(39) + ' || chr(10)')} AS ts_suffixed, "
+                                f"{S.datetime_text('dirty')} AS dirty FROM {S.DIRTY_EVENTS}")
+_PADDED = f"""(SELECT event_id, dirty, event_type || repeat(' ', CAST(event_id % 3 AS INTEGER)) AS padded,
+  chr(9) || event_type || ' ' AS tabbed, 'ID-' || user_id || '/x_1 ' AS code, event_type || ' x  ' AS two_words
+  FROM {S.DIRTY_EVENTS})"""
+ORACLE["norm_pad_trim"] = "SELECT event_id, " + ", ".join(
+    f"{S.pad_trim(c)} AS {c}" for c in ("dirty", "padded", "tabbed", "code", "two_words")) + f" FROM {_PADDED}"
+ORACLE["norm_nfc"] = (f"SELECT event_id, nfc_normalize(event_type || chr(769)) AS composed, nfc_normalize(dirty) AS dirty "
+                      f"FROM {S.DIRTY_EVENTS}")
+_DREAD = f"(SELECT event_id, {S.read_value('dirty', 'string')} AS d FROM {S.DIRTY_EVENTS})"
+ORACLE["norm_null_tokens"] = (f"SELECT event_id, lower(d) IN {S.in_list(X.NULL_TOKENS)} AS is_null_token, "
+                              f"{S.load_value('d')} AS loaded FROM {_DREAD}")
+ORACLE["norm_bool_load"] = (f"SELECT event_id, {S.load_value('d')} AS loaded, "
+                            f"{S.load_value('CAST((event_id % 2 = 0) AS VARCHAR)')} AS flag FROM {_DREAD}")
+ORACLE["norm_blank_keep"] = (f"SELECT event_id, {S.blank('d')} AS is_blank, {S.load_value('d')} AS loaded, "
+                             f"CAST(length({S.load_value('w')}) AS INTEGER) AS wide_blank_len "
+                             f"FROM (SELECT *, repeat(' ', CAST(2000 + event_id % 3 AS INTEGER)) AS w FROM {_DREAD})")
+ORACLE["norm_truncate"] = (
+    f"SELECT 'doc:' || doc_id AS id, {S.load_value(S.read_value('text', 'string'))} AS loaded FROM documents "
+    f"UNION ALL SELECT 'page:' || page_id AS id, {S.load_value(S.read_value('html', 'string'))} AS loaded FROM pages")
+
+
+def truncation_sql(table: str, max_chars: int = X.TARGET_TEXT_CHARS) -> str:
+    parts = []
+    for i, (c, k) in enumerate(S.SCHEMAS[table]):
+        v = S.read_value(c, k)
+        t = S.datetime_text("v")
+        elig = (f"(v IS NOT NULL AND NOT {S.blank('v')} AND lower(v) NOT IN {S.in_list(X.NULL_TOKENS)} "
+                f"AND lower(v) NOT IN ('true', 'false'))")
+        long = f"({elig} AND length({t}) > {max_chars})"
+        multi = f"(contains({t}, chr(10)) OR contains({t}, chr(13)))"
+        lines = (f"((length({t}) - length(replace({t}, chr(10), ''))) + "
+                 f"(length({t}) - length(replace({t}, chr(13) || chr(10), ''))) / 2 + 1)")
+        parts.append(f"""SELECT '{table}' AS table_name, '{c}' AS column_name,
+  CAST(count(*) FILTER (WHERE {long}) AS BIGINT) AS truncated_rows,
+  CAST(count(*) FILTER (WHERE {long} AND {multi}) AS BIGINT) AS multiline_truncated_rows,
+  CAST(max(CASE WHEN {long} THEN length({t}) END) AS BIGINT) AS max_original_chars,
+  CAST(max(CASE WHEN {long} AND {multi} THEN {lines} END) AS BIGINT) AS max_line_count,
+  {max_chars} AS limit_chars
+FROM (SELECT {v} AS v FROM {table})""")
+    return _union(parts)
+
+
+ORACLE["truncation_report"] = _union([truncation_sql("documents"), truncation_sql("pages")])
+ORACLE["norm_check_rules"] = f"SELECT * FROM {S.check_select(S.DIRTY_EVENTS, 'dirty_events')}"
