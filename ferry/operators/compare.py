@@ -193,7 +193,11 @@ def count_pair(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def check_row_count(source: DataFrame, target: DataFrame) -> DataFrame:
     """Q1: PASSED iff the counts are equal; message names both counts otherwise."""
-    c = count_pair(source, target)
+    return row_count_verdict(count_pair(source, target))
+
+
+def row_count_verdict(c: DataFrame) -> DataFrame:
+    """Q1 verdict over a one-row frame of (source_count, target_count)."""
     match = F.col("source_count") == F.col("target_count")
     return c.select(
         "source_count", "target_count", match.alias("row_count_match"),

@@ -284,3 +284,290 @@ def q_norm_check_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The check-time rule set over the dirty events."""
     prepare(spark)
     return normalise(FX.dirty_events(spark, sf_dir), "check")
+
+
+# ---------------------------------------------------------------------------------------------
+# names and target schema
+# ---------------------------------------------------------------------------------------------
+
+from ferry.functions.names import column_mapping  # noqa: E402
+from ferry.operators import compare as CMP  # noqa: E402
+from ferry.operators import graph as G  # noqa: E402
+from ferry.operators import keys as K  # noqa: E402
+from ferry.operators.profile import bool_like_columns, profile_columns  # noqa: E402
+from ferry.operators.sampling import sample_rows, sample_size  # noqa: E402
+from ferry.operators.schema import target_columns  # noqa: E402
+from ferry.plans import migrate as M  # noqa: E402
+from ferry.plans import quality as Q  # noqa: E402
+from ferry.session import run_dir  # noqa: E402
+from ferry.sources import writers as W  # noqa: E402
+
+
+def awkward_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` under source names that need every sanitising rule."""
+    o = FX.read(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("Order No"), F.col("o_orderstatus").alias("date"),
+                    F.col("o_totalprice").alias("1st"), F.col("o_orderpriority").alias("Straße"),
+                    F.col("o_custkey").alias(" cust-key "))
+
+
+@query("sanitize_columns")
+def q_sanitize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return rename_for_target(awkward_orders(spark, sf_dir))
+
+
+@query("profile_columns")
+def q_profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    o = FX.read(spark, sf_dir, "orders")
+    return profile_columns(o, N.read_stage(o))
+
+
+@query("target_ddl")
+def q_target_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    o = awkward_orders(spark, sf_dir)
+    prof = profile_columns(o, N.read_stage(o))
+    return _union([target_columns(prof, m).select(F.lit(m).alias("mode"), "*") for m in ("strings", "typed")])
+
+
+@query("column_set_diff")
+def q_column_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    src = _orders_source(spark, sf_dir).columns
+    out = [CMP.column_set_diff(spark, src, FX.damaged_orders(spark, sf_dir, v).columns)
+           .select(F.lit(f"variant{v}").alias("case"), "*") for v in (0, 4, 5)]
+    awk = awkward_orders(spark, sf_dir)
+    tgt = W.add_row_id(rename_for_target(awk)).columns
+    for pairing in ("sanitized", "upper"):
+        out.append(CMP.column_set_diff(spark, awk.columns, tgt, pairing).select(F.lit(pairing).alias("case"), "*"))
+    return _union(out)
+
+
+# ---------------------------------------------------------------------------------------------
+# sinks and key rules (K1-K9)
+# ---------------------------------------------------------------------------------------------
+
+@query("row_id")
+def q_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: every row gets a distinct 32-hex-digit id."""
+    prepare(spark)
+    t = W.add_row_id(FX.orders_target(spark, sf_dir))
+    return t.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"),
+                 F.count_distinct(W.ROW_ID).cast("bigint").alias("distinct_ids"),
+                 F.count_if(~F.col(W.ROW_ID).rlike("^[0-9A-F]{32}$")).cast("bigint").alias("malformed_ids"))
+
+
+@query("write_roundtrip")
+def q_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, K2, K9: staged write, publish by rename, read back (row id left out)."""
+    prepare(spark)
+    root = run_dir(spark, "roundtrip")
+    W.write_staged(W.add_row_id(FX.orders_target(spark, sf_dir)), f"{root}/_staging/ORDERS")
+    W.publish(spark, f"{root}/_staging/ORDERS", f"{root}/ORDERS")
+    return spark.read.parquet(f"{root}/ORDERS").drop(W.ROW_ID)
+
+
+@query("verify_counts")
+def q_verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: rows written (observed during the write) against rows in the written table."""
+    prepare(spark)
+    root = run_dir(spark, "verify")
+    rows = W.write_staged(W.add_row_id(FX.orders_target(spark, sf_dir)), f"{root}/ORDERS")
+    return W.verify_counts(rows, spark.read.parquet(f"{root}/ORDERS"))
+
+
+@query("pk_violations")
+def q_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return K.pk_violations(FX.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("unique_violations")
+def q_unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    li = K.unique_violations(FX.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    cv = K.unique_violations(FX.read(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+    return li.select(F.lit("lineitem").alias("table_name"),
+                     F.concat_ws("|", "l_orderkey", "l_linenumber").alias("key_value"), "row_count") \
+        .unionByName(cv.select(F.lit("conversations").alias("table_name"),
+                               F.concat_ws("|", "conv_id", "turn").alias("key_value"), "row_count"))
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: lineitems whose order is not in a parent copy holding only part of ``orders``,
+    and events whose user is not a customer."""
+    prepare(spark)
+    orders_part = FX.read(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 != 0)
+    a = K.fk_orphans(FX.read(spark, sf_dir, "lineitem"), "l_orderkey", orders_part, "o_orderkey")
+    b = K.fk_orphans(FX.read(spark, sf_dir, "events"), "user_id", FX.read(spark, sf_dir, "customer"), "c_custkey")
+    return a.select(F.lit("lineitem.l_orderkey").alias("reference"), F.col("l_orderkey").alias("value"), "orphan_rows") \
+        .unionByName(b.select(F.lit("events.user_id").alias("reference"), F.col("user_id").alias("value"), "orphan_rows"))
+
+
+# ---------------------------------------------------------------------------------------------
+# the rest of the quality checks (Q2, Q3, Q12-Q16)
+# ---------------------------------------------------------------------------------------------
+
+@query("sample_rows")
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: the default-sized repeatable sample of the orders copy (10 %, at least 100)."""
+    prepare(spark)
+    t = FX.orders_target(spark, sf_dir)
+    total = t.count()
+    return sample_rows(t, ["O_ORDERKEY"], sample_size(total), total)
+
+
+@query("bool_like_columns")
+def q_bool_like_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 over labels (0/1 columns), a yes/no column with padding and case, and the dirty text."""
+    prepare(spark)
+    lab = FX.read(spark, sf_dir, "labels")
+    yn = F.when(F.col("quality") == 1, F.lit("Yes")).when(F.col("toxic") == 1, F.lit(" n ")).otherwise(F.lit("T"))
+    frame = N.read_stage(lab.select("doc_id", "quality", "toxic", yn.alias("answer")))
+    return bool_like_columns(frame)
+
+
+def _keyed_pair(spark, sf_dir, v):
+    return rename_for_target(_orders_source(spark, sf_dir)), FX.damaged_orders(spark, sf_dir, v)
+
+
+@query("compare_rows_by_key")
+def q_compare_rows_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12 by key for damaged order copies, and lineitem against itself (duplicate keys)."""
+    prepare(spark)
+    out = []
+    for v in (0, 1, 2, 3):
+        s, t = _keyed_pair(spark, sf_dir, v)
+        out.append(CMP.compare_rows_by_key(s, t, ["O_ORDERKEY"]).select(F.lit(f"orders{v}").alias("case"), "*"))
+    li = N.normalise(FX.read(spark, sf_dir, "lineitem"), "load")
+    out.append(CMP.compare_rows_by_key(li, li, ["l_orderkey", "l_linenumber"])
+               .select(F.lit("lineitem").alias("case"), "*"))
+    return _union(out)
+
+
+@query("mismatch_examples")
+def q_mismatch_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13: the first ten differing keys per column for the copy with NULLed priorities."""
+    prepare(spark)
+    s, t = _keyed_pair(spark, sf_dir, 2)
+    return CMP.mismatch_examples(s, t, ["O_ORDERKEY"])
+
+
+def _checks(spark, sf_dir):
+    return _union([Q.table_check(spark, _orders_source(spark, sf_dir), FX.damaged_orders(spark, sf_dir, v),
+                                 f"ORDERS_V{v}") for v in FX.DAMAGE_VARIANTS])
+
+
+@query("quality_overall")
+def q_quality_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _checks(spark, sf_dir)
+
+
+@query("quality_results")
+def q_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15: result-table rows of the six checks, appended under the shared folder (time-stamped,
+    so only row counts are compared)."""
+    prepare(spark)
+    res = Q.quality_results(_checks(spark, sf_dir), {f"ORDERS_V{v}": "orders" for v in FX.DAMAGE_VARIANTS},
+                            Q.session_id())
+    path = run_dir(spark, "quality-results")
+    Q.append_results(res, path)
+    return spark.read.parquet(path)
+
+
+@query("quality_summary")
+def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return Q.quality_summary(_checks(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# relations
+# ---------------------------------------------------------------------------------------------
+
+@query("dep_edges")
+def q_dep_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return FX.graph_edges(spark, sf_dir).distinct()
+
+
+@query("dep_missing")
+def q_dep_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return G.missing_parents(FX.graph_edges(spark, sf_dir), FX.graph_nodes(spark, sf_dir, drop_orders_mod=7))
+
+
+@query("dep_cycles")
+def q_dep_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return G.cycle_members(G.strongly_connected(FX.graph_edges(spark, sf_dir), FX.graph_nodes(spark, sf_dir)))
+
+
+@query("dep_break_cycles")
+def q_dep_break_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    e = FX.graph_edges(spark, sf_dir)
+    _, dropped = G.break_cycles(e, G.strongly_connected(e, FX.graph_nodes(spark, sf_dir)))
+    return dropped
+
+
+@query("dep_levels")
+def q_dep_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return G.dependency_levels(FX.graph_edges(spark, sf_dir), FX.graph_nodes(spark, sf_dir))
+
+
+@query("dep_order")
+def q_dep_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return G.dependency_order(FX.graph_edges(spark, sf_dir), FX.graph_nodes(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# whole jobs
+# ---------------------------------------------------------------------------------------------
+
+STAR_TABLES = {  # target -> (source, foreign keys)
+    "REGION": ("region", []), "NATION": ("nation", [("n_regionkey", "REGION", "r_regionkey")]),
+    "CUSTOMER": ("customer", [("c_nationkey", "NATION", "n_nationkey")]),
+    "SUPPLIER": ("supplier", [("s_nationkey", "NATION", "n_nationkey")]), "PART": ("part", []),
+    "ORDERS": ("orders", [("o_custkey", "CUSTOMER", "c_custkey")]),
+    "LINEITEM": ("lineitem", [("l_orderkey", "ORDERS", "o_orderkey"), ("l_partkey", "PART", "p_partkey"),
+                              ("l_suppkey", "SUPPLIER", "s_suppkey")]),
+}
+
+
+def star_configs(sf_dir: str) -> list[dict]:
+    return [{"source_table": src, "target_table": tgt, "source_schema": "dbo", "custom_query": "",
+             "batch_size": 5000, "primary_key": None, "indexes": [],
+             "foreign_keys": [{"column": c, "referenced_table": rt, "referenced_column": rc} for c, rt, rc in fks],
+             "source": {"format": "parquet", "path": f"{sf_dir}/{src}.parquet"}}
+            for tgt, (src, fks) in STAR_TABLES.items()]
+
+
+_JOB_COLS = ["table_name", "source_table", "rows_read", "rows_written", "verified", "overall_status", "published"]
+
+
+@query("migrate_table")
+def q_migrate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    cfg = [c for c in star_configs(sf_dir) if c["target_table"] == "ORDERS"][0]
+    r = M.migrate_table(spark, cfg, run_dir(spark, "migrate"))
+    if r["error"]:
+        raise RuntimeError(r["error"])
+    return spark.createDataFrame([tuple(r[k] for k in _JOB_COLS)], ", ".join(
+        f"{k} {t}" for k, t in zip(_JOB_COLS, ["string", "string", "bigint", "bigint", "boolean", "string", "boolean"])))
+
+
+@query("migrate_all")
+def q_migrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    res = M.migrate_all(spark, star_configs(sf_dir), run_dir(spark, "migrate-all"))
+    bad = res.where(F.col("error").isNotNull()).collect()
+    if bad:
+        raise RuntimeError(bad[0]["error"])
+    return res.select(*_JOB_COLS)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions.names import EXPECTED_EXTRA_COLUMNS
-from ferry.operators.compare import check_content, check_row_count, column_set_diff, compare_stats
+from ferry.operators.compare import (check_content, check_row_count, column_set_diff, compare_stats,
+                                    row_count_verdict as _row_count_verdict)
 from ferry.operators.profile import column_stats
 
 STATUS_ORDER = {"PASSED": 0, "WARNING": 1, "FAILED": 2}
@@ -78,19 +79,27 @@ def table_check(spark: SparkSession, source_text: DataFrame, target_text: DataFr
     content_status, content_message, missing_columns, unexpected_columns, overall_status.
     A switched-off check leaves its columns NULL and does not count in the overall status.
     """
-    rc = check_row_count(source_text, target_text) if row_count else spark.range(1).select(
-        *[F.lit(None).cast(t).alias(n) for n, t in [("source_count", "bigint"), ("target_count", "bigint"),
-                                                    ("row_count_match", "boolean"), ("status", "string"),
-                                                    ("error_message", "string")]])
-    rc = rc.select("source_count", "target_count", F.col("status").alias("row_count_status"),
-                   F.col("error_message").alias("row_count_message"))
     if content:
-        cc = check_content(content_comparison(spark, source_text, target_text, pairing, empty_as_null))
+        cmp = content_comparison(spark, source_text, target_text, pairing, empty_as_null)
+        cc = check_content(cmp)
     else:
         cc = spark.range(1).select(*[F.lit(None).cast(t).alias(n) for n, t in [
             ("sample_size", "bigint"), ("total_source_columns", "bigint"), ("columns_checked", "bigint"),
             ("columns_matched", "bigint"), ("match_percentage", "double"), ("status", "string"),
             ("error_message", "string"), ("missing_columns", "string"), ("unexpected_columns", "string")]])
+    if row_count and content:
+        # the statistics already hold both row counts: no extra pass over either side
+        rc = _row_count_verdict(cmp.agg(F.max("src_row_count").cast("bigint").alias("source_count"),
+                                        F.max("tgt_row_count").cast("bigint").alias("target_count")))
+    elif row_count:
+        rc = check_row_count(source_text, target_text)
+    else:
+        rc = spark.range(1).select(
+            *[F.lit(None).cast(t).alias(n) for n, t in [("source_count", "bigint"), ("target_count", "bigint"),
+                                                        ("row_count_match", "boolean"), ("status", "string"),
+                                                        ("error_message", "string")]])
+    rc = rc.select("source_count", "target_count", F.col("status").alias("row_count_status"),
+                   F.col("error_message").alias("row_count_message"))
     cc = cc.withColumnRenamed("status", "content_status").withColumnRenamed("error_message", "content_message")
     # Both sides are single-row aggregates: stack them and fold back into one row.
     both = rc.select(*rc.columns, *[F.lit(None).cast(cc.schema[c].dataType).alias(c) for c in cc.columns]) \
