@@ -11,8 +11,8 @@ whole-stage code generation:
 * ``check`` - the alternative rule set used when comparing: blank to NULL, a wider boolean
   vocabulary, no truncation.
 
-Only NFC needs Python (there is no JVM built-in); it runs as an Arrow UDF that is handed the
-non-ASCII values only, so ASCII text never leaves the JVM as data.
+NFC has no Spark built-in; it calls ICU (shipped with Spark 4) inside the JVM, and only for
+text that is not pure ASCII. An Arrow UDF over the non-ASCII values is the fallback.
 """
 
 from __future__ import annotations
@@ -37,8 +37,15 @@ def py_strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """Empty or whitespace-only (Python ``v.strip() == ''``)."""
-    return py_strip(c) == F.lit("")
+    """Empty or whitespace-only (Python ``v.strip() == ''``); the strip only runs for values whose
+    first character is whitespace."""
+    first_space = F.ascii(c).isin(*[ord(ch) for ch in X.PY_WHITESPACE])
+    return (F.length(c) == 0) | (first_space & (py_strip(c) == F.lit("")))
+
+
+def _short_lower(c: Column, longest: int) -> Column:
+    """lower(c) for values of at most ``longest`` characters, NULL otherwise (cheap token tests)."""
+    return F.when(F.length(c) <= longest, F.lower(c))
 
 
 def stringify(c: Column) -> Column:
@@ -90,11 +97,20 @@ def _nfc_values(values: pa.Array) -> pa.Array:
 
 _nfc_udf = F.arrow_udf(_nfc_values, T.StringType())
 
+# ICU4J ships with Spark 4 (collation support); its static compose(text, false) is NFC.
+ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
 
-def nfc(c: Column) -> Column:
-    """Unicode NFC. Pure-ASCII text (length == byte length) is passed as NULL to the UDF."""
-    non_ascii = F.when(F.length(c) != F.octet_length(c), c)
-    return F.coalesce(_nfc_udf(non_ascii), c)
+
+def nfc(c: Column, engine: str = "jvm") -> Column:
+    """Unicode NFC, only evaluated for text that is not pure ASCII (length != byte length).
+
+    ``engine='jvm'`` calls ICU inside the executor JVM; ``'python'`` uses an Arrow UDF that is
+    handed the non-ASCII values only (for a Spark build without ICU).
+    """
+    non_ascii = F.length(c) != F.octet_length(c)
+    if engine == "python":
+        return F.coalesce(_nfc_udf(F.when(non_ascii, c)), c)
+    return F.when(non_ascii, F.java_method(F.lit(ICU_NORMALIZER), F.lit("compose"), c, F.lit(False))).otherwise(c)
 
 
 def datetime_text(c: Column) -> Column:
@@ -122,7 +138,7 @@ def null_token(c: Column) -> Column:
 # ---------------------------------------------------------------------------------------------
 
 def read_value(c: Column, dtype: T.DataType, *, binary: str = "hex", date_style: str = "timestamp",
-               trim_padding: bool = True, unicode_nfc: bool = True) -> Column:
+               trim_padding: bool = True, unicode_nfc: bool = True, nfc_engine: str = "jvm") -> Column:
     """Read-stage rules for one column of the given Spark type."""
     if isinstance(dtype, T.BinaryType):
         return binary_hex(c) if binary == "hex" else bytes_decode(c)
@@ -132,13 +148,13 @@ def read_value(c: Column, dtype: T.DataType, *, binary: str = "hex", date_style:
         return date_only(c) if date_style == "date" else datetime_ms(c)
     if isinstance(dtype, T.StringType):
         out = pad_trim(c) if trim_padding else c
-        return nfc(out) if unicode_nfc else out
+        return nfc(out, nfc_engine) if unicode_nfc else out
     return stringify(c)
 
 
 def load_value(c: Column, max_chars: int | None = X.TARGET_TEXT_CHARS) -> Column:
     """Load-stage rules (N10, N8, N9, N5, N12) for one text column; first match wins."""
-    low = F.lower(c)
+    low = _short_lower(c, max(len(t) for t in X.NULL_TOKENS + (X.LOAD_TRUE, X.LOAD_FALSE)))
     rest = datetime_text(c)
     if max_chars is not None:
         rest = truncate(rest, max_chars)
@@ -152,7 +168,7 @@ def load_value(c: Column, max_chars: int | None = X.TARGET_TEXT_CHARS) -> Column
 
 def check_value(c: Column) -> Column:
     """Check-stage rules (N15) for one text column."""
-    low = F.lower(c)
+    low = _short_lower(c, max(len(t) for t in X.NULL_TOKENS + X.CHECK_BOOL_WORDS))
     return (F.when(c.isNull(), F.lit(None).cast("string"))
             .when(is_blank(c), F.lit(None).cast("string"))
             .when(low.isin(*X.NULL_TOKENS), F.lit(None).cast("string"))
@@ -161,6 +177,21 @@ def check_value(c: Column) -> Column:
             .otherwise(datetime_text(c)))
 
 
+def load_rules_can_apply(dtype: T.DataType, binary: str = "hex") -> str:
+    """Which load rules can change the read-stage text of a column of this source type.
+
+    ``none``: numbers, dates and timestamps render as short text that is never blank, a null
+    token, boolean text, timestamp text with six fraction digits, or longer than the limit.
+    ``truncate``: hex of bytes only needs the length limit. ``all`` otherwise.
+    """
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                          T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "none"
+    if isinstance(dtype, T.BinaryType) and binary == "hex":
+        return "truncate"
+    return "all"
+
+
 def bool_normalise(c: Column) -> Column:
     """Q4: value of a boolean-like column; lower-cased but *not* stripped before the match."""
     low = F.lower(c)
@@ -196,15 +227,26 @@ def check_stage(df: DataFrame) -> DataFrame:
 
 def normalise(df: DataFrame, stage: str = "load", max_chars: int | None = X.TARGET_TEXT_CHARS,
               **read_options) -> DataFrame:
-    """Source frame to the text the target receives (``load``) or to the check form (``check``)."""
-    text = read_stage(df, **read_options)
-    if stage == "read":
-        return text
-    if stage == "load":
-        return load_stage(text, max_chars)
-    if stage == "check":
-        return check_stage(text)
-    raise ValueError(f"unknown stage {stage!r}")
+    """Source frame to the text the target receives (``load``) or to the check form (``check``).
+
+    One projection over all columns. Load rules are only attached where the source type lets
+    them change anything (see ``load_rules_can_apply``); the result is the same, the work less.
+    """
+    if stage not in ("read", "load", "check"):
+        raise ValueError(f"unknown stage {stage!r}")
+    cols = []
+    for f in df.schema.fields:
+        v = read_value(F.col(f"`{f.name}`"), f.dataType, **read_options)
+        if stage == "load":
+            scope = load_rules_can_apply(f.dataType, read_options.get("binary", "hex"))
+            if scope == "all":
+                v = load_value(v, max_chars)
+            elif scope == "truncate" and max_chars is not None:
+                v = truncate(v, max_chars)
+        elif stage == "check":
+            v = check_value(v)
+        cols.append(v.alias(f.name))
+    return df.select(cols)
 
 
 def truncation_report(df: DataFrame, max_chars: int = X.TARGET_TEXT_CHARS) -> DataFrame:

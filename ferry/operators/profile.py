@@ -52,29 +52,36 @@ def _wide_stats(df: DataFrame) -> DataFrame:
     return wide.select(F.col("__n").alias("row_count"), rows.alias("r")).select("row_count", "r.*")
 
 
+def _boolish(v):
+    """Blank, or a boolean word once stripped and lower-cased (the Q3 value test)."""
+    return F.lower(py_strip(v)).isin(*X.BOOL_LIKE) | is_blank(v)
+
+
 def frequency_table(df: DataFrame, hash_over: int = HASH_OVER_CHARS) -> DataFrame:
-    """(column_name, value_key, boolish, cnt): one row per distinct value of every column.
+    """(column_name, value_key, cnt): one row per distinct value of every column.
 
-    ``value_key`` is the value itself, or for long non-boolean values a tagged SHA-256; a NULL
-    key row carries the null count. ``boolish`` says whether the stripped, lower-cased value is
-    blank or a boolean word.
+    ``value_key`` is the value itself, or for a long value that is not boolean-like a tagged
+    SHA-256 (tag + 64 hex digits is longer than ``hash_over``, so it never equals a kept value);
+    the NULL key row carries the null count. Per input value only ``length`` is computed, plus
+    the boolean test and the hash for the few long values.
     """
     long = df.unpivot([], df.columns, "column_name", "v")
     v = F.col("v")
-    boolish = F.lower(py_strip(v)).isin(*X.BOOL_LIKE) | is_blank(v)
-    key = F.when((F.length(v) <= hash_over) | boolish, v) \
+    key = F.when(F.length(v) <= hash_over, v).when(_boolish(v), v) \
         .otherwise(F.concat(F.lit("#sha256:"), F.sha2(v, 256)))
-    return (long.select("column_name", key.alias("value_key"), boolish.alias("boolish"))
-            .groupBy("column_name", "value_key", "boolish")
+    return (long.select("column_name", key.alias("value_key"))
+            .groupBy("column_name", "value_key")
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def _per_column(freq: DataFrame) -> DataFrame:
     k = F.col("value_key")
+    # hashed keys are never boolean-like; every other key is the value itself
+    boolish = ~k.startswith("#sha256:") & _boolish(k)
     return freq.groupBy("column_name").agg(
         F.count(k).alias("distinct_non_null"),
         F.coalesce(F.sum(F.when(k.isNull(), F.col("cnt"))), F.lit(0)).alias("null_rows"),
-        F.bool_and(F.when(k.isNotNull(), F.col("boolish"))).alias("all_boolish"),
+        F.bool_and(F.when(k.isNotNull(), boolish)).alias("all_boolish"),
     ).withColumn(
         "is_boolean_like",
         (F.col("distinct_non_null") > 0) & (F.col("distinct_non_null") <= X.BOOL_LIKE_MAX_DISTINCT)

@@ -16,8 +16,8 @@ from ferry.functions.normalise import normalise
 from ferry.operators.compare import check_content, check_row_count
 from ferry.operators.profile import column_stats
 from ferry.plans import fixtures as FX
-from ferry.plans.quality import content_comparison
-from ferry.session import prepare
+from ferry.plans.quality import content_comparison, source_statistics
+from ferry.session import prepare, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,21 +60,24 @@ def q_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
-def _comparison(spark, sf_dir, v):
-    return content_comparison(spark, _orders_source(spark, sf_dir), FX.damaged_orders(spark, sf_dir, v))
+def _comparison(spark, sf_dir, v, source_stats=None):
+    return content_comparison(spark, _orders_source(spark, sf_dir), FX.damaged_orders(spark, sf_dir, v),
+                              source_stats=source_stats)
 
 
 @query("compare_stats")
 def q_compare_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _union([_comparison(spark, sf_dir, v).select(F.lit(v).alias("variant"), "*")
+    s_stats = source_statistics(_orders_source(spark, sf_dir))
+    return _union([_comparison(spark, sf_dir, v, s_stats).select(F.lit(v).alias("variant"), "*")
                    for v in FX.DAMAGE_VARIANTS])
 
 
 @query("check_content")
 def q_check_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _union([check_content(_comparison(spark, sf_dir, v)).select(F.lit(v).alias("variant"), "*")
+    s_stats = source_statistics(_orders_source(spark, sf_dir))
+    return _union([check_content(_comparison(spark, sf_dir, v, s_stats)).select(F.lit(v).alias("variant"), "*")
                    for v in FX.DAMAGE_VARIANTS])
 
 
@@ -457,8 +460,14 @@ def q_mismatch_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checks(spark, sf_dir):
-    return _union([Q.table_check(spark, _orders_source(spark, sf_dir), FX.damaged_orders(spark, sf_dir, v),
-                                 f"ORDERS_V{v}") for v in FX.DAMAGE_VARIANTS])
+    """Q14 rows of the six order copies; the source is profiled once and the six one-row checks
+    are materialised, so the results and the summary never recompute them."""
+    src = _orders_source(spark, sf_dir)
+    s_stats = Q.source_statistics(src)
+    rows = _union([Q.table_check(spark, src, FX.damaged_orders(spark, sf_dir, v), f"ORDERS_V{v}",
+                                 source_stats=s_stats) for v in FX.DAMAGE_VARIANTS])
+    shared_dir(spark)
+    return rows.checkpoint(eager=True)
 
 
 @query("quality_overall")

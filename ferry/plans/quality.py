@@ -19,6 +19,7 @@ from ferry.functions.names import EXPECTED_EXTRA_COLUMNS
 from ferry.operators.compare import (check_content, check_row_count, column_set_diff, compare_stats,
                                     row_count_verdict as _row_count_verdict)
 from ferry.operators.profile import column_stats
+from ferry.session import shared_dir
 
 STATUS_ORDER = {"PASSED": 0, "WARNING": 1, "FAILED": 2}
 
@@ -53,8 +54,18 @@ def blank_as_null(df: DataFrame) -> DataFrame:
     return df.select([F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+def source_statistics(source_text: DataFrame, empty_as_null: bool = False) -> DataFrame:
+    """Q7 with boolean normalisation for the source side, checkpointed: one row per column, so
+    several targets of one source (or a retry) reuse it instead of re-reading the source."""
+    if empty_as_null:
+        source_text = blank_as_null(source_text)
+    shared_dir(source_text.sparkSession)
+    return column_stats(source_text, normalise_booleans=True).checkpoint(eager=True)
+
+
 def content_comparison(spark: SparkSession, source_text: DataFrame, target_text: DataFrame,
-                       pairing: str = "sanitized", empty_as_null: bool = False) -> DataFrame:
+                       pairing: str = "sanitized", empty_as_null: bool = False,
+                       source_stats: DataFrame | None = None) -> DataFrame:
     """Q6 + Q7 + Q8 for one table: one row per source column and per extra target column.
 
     Source statistics use boolean normalisation (Q4); target statistics skip the expected extra
@@ -64,14 +75,15 @@ def content_comparison(spark: SparkSession, source_text: DataFrame, target_text:
         source_text, target_text = blank_as_null(source_text), blank_as_null(target_text)
     pairs = column_set_diff(spark, source_text.columns, target_text.columns, pairing)
     target_cols = [c for c in target_text.columns if c not in EXPECTED_EXTRA_COLUMNS]
-    s_stats = column_stats(source_text, normalise_booleans=True)
+    s_stats = source_stats if source_stats is not None else column_stats(source_text, normalise_booleans=True)
     t_stats = column_stats(target_text.select([F.col(f"`{c}`") for c in target_cols]))
     return compare_stats(pairs, s_stats, t_stats)
 
 
 def table_check(spark: SparkSession, source_text: DataFrame, target_text: DataFrame,
                 table_name: str, pairing: str = "sanitized", empty_as_null: bool = False,
-                row_count: bool = True, content: bool = True) -> DataFrame:
+                row_count: bool = True, content: bool = True,
+                source_stats: DataFrame | None = None) -> DataFrame:
     """Q14 for one table: one row with both checks and the overall status.
 
     Columns: table_name, source_count, target_count, row_count_status, row_count_message,
@@ -80,7 +92,7 @@ def table_check(spark: SparkSession, source_text: DataFrame, target_text: DataFr
     A switched-off check leaves its columns NULL and does not count in the overall status.
     """
     if content:
-        cmp = content_comparison(spark, source_text, target_text, pairing, empty_as_null)
+        cmp = content_comparison(spark, source_text, target_text, pairing, empty_as_null, source_stats)
         cc = check_content(cmp)
     else:
         cc = spark.range(1).select(*[F.lit(None).cast(t).alias(n) for n, t in [

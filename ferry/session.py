@@ -20,9 +20,13 @@ RUNTIME_CONF = {
 
 def build_session(master: str = "local[*]", app: str = "ferry",
                   shuffle_partitions: int | None = None,
-                  conf: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the package defaults; the UI stays off."""
-    builder = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false")
+                  conf: dict | None = None, driver_memory: str = "8g") -> SparkSession:
+    """Create (or reuse) a session with the package defaults; the UI stays off.
+
+    ``driver_memory`` only matters in local mode, where the driver JVM runs the executors too.
+    """
+    builder = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false") \
+        .config("spark.driver.memory", driver_memory)
     for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
