@@ -101,7 +101,7 @@ def strongly_connected(edges: DataFrame, nodes: DataFrame | None = None) -> Data
     e0 = _edges(edges).distinct()
     loops = e0.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node")).distinct()
     e = _ckpt(e0.where(F.col("child") != F.col("parent")))
-    v = _ckpt(all_nodes(edges, nodes))
+    v = _ckpt(all_nodes(e0, nodes))
     up = _peel(e, v, upward=True).select("node")
     down = _peel(e, v, upward=False).select("node")
     trivial = _ckpt(up.union(down).distinct())
@@ -173,7 +173,7 @@ def dependency_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataF
     """(node, level). Level 0 = no parents; otherwise one more than the deepest parent.
     Nodes on a cycle, or depending on one, keep a NULL level."""
     e = _ckpt(_edges(edges).distinct())
-    v = all_nodes(edges, nodes)
+    v = _ckpt(all_nodes(e, nodes))
     found = _peel(e, v, upward=True)
     return v.join(found, "node", "left").select("node", F.col("round").cast("int").alias("level"))
 

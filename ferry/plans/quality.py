@@ -92,7 +92,10 @@ def table_check(spark: SparkSession, source_text: DataFrame, target_text: DataFr
     A switched-off check leaves its columns NULL and does not count in the overall status.
     """
     if content:
-        cmp = content_comparison(spark, source_text, target_text, pairing, empty_as_null, source_stats)
+        # one row per column: materialised once, both verdicts below read it
+        shared_dir(spark)
+        cmp = content_comparison(spark, source_text, target_text, pairing, empty_as_null,
+                                 source_stats).checkpoint(eager=True)
         cc = check_content(cmp)
     else:
         cc = spark.range(1).select(*[F.lit(None).cast(t).alias(n) for n, t in [
