@@ -26,3 +26,13 @@ def test_pk_unique_fk(spark):
     parent = spark.createDataFrame([(1,), (2,)], "id int")
     orphans = {(r["p"], r["orphan_rows"]) for r in K.fk_orphans(child, "p", parent, "id").collect()}
     assert orphans == {(5, 2)}
+
+
+def test_jdbc_options_partitioned_read():
+    from ferry.sources.readers import jdbc_options, qualified_name
+    cfg = {"source_table": "Orders", "source_schema": None}
+    src = {"url": "jdbc:x://h/db", "properties": {"user": "u"}, "partition_column": "ID",
+           "lower_bound": 1, "upper_bound": 1000, "num_partitions": 8}
+    o = jdbc_options(src, qualified_name(cfg))
+    assert o["dbtable"] == "dbo.Orders" and o["partitionColumn"] == "ID" and o["numPartitions"] == "8"
+    assert o["user"] == "u" and o["lowerBound"] == "1"

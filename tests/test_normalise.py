@@ -93,3 +93,15 @@ def test_truncation_report(spark):
     r = N.truncation_report(df).first()
     assert (r["truncated_rows"], r["multiline_truncated_rows"], r["max_original_chars"], r["max_line_count"]) == \
         (1, 1, 2105, 4)
+
+
+def test_nfc_engines_agree(spark):
+    for engine in ("jvm", "python"):
+        assert one(spark, "e\u0301x", lambda c: N.nfc(c, engine)) == "\u00e9x"
+        assert one(spark, "plain", lambda c: N.nfc(c, engine)) == "plain"
+
+
+def test_load_rules_skip_types_they_cannot_change(spark):
+    df = spark.createDataFrame([(1, 2.5, True, None)], "i int, d double, b boolean, s string")
+    r = N.normalise(df, "load").first()
+    assert (r["i"], r["d"], r["b"], r["s"]) == ("1", "2.5", "1", None)
