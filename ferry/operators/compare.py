@@ -91,7 +91,8 @@ def compare_stats(pairs: DataFrame, source_stats: DataFrame, target_stats: DataF
                             *[F.col(n).alias(f"src_{n}") for n in names])
     t = target_stats.select(F.col("column_name").alias("target_column"),
                             *[F.col(n).alias(f"tgt_{n}") for n in names])
-    j = pairs.join(s, "source_column", "left").join(t, "target_column", "left")
+    # statistics frames hold one row per column: broadcasting them is bounded by the schema
+    j = pairs.join(F.broadcast(s), "source_column", "left").join(F.broadcast(t), "target_column", "left")
     common = F.col("status") == "COMMON"
     is_bool = F.coalesce(F.col("src_is_boolean_like"), F.lit(False)) | \
         F.coalesce(F.col("tgt_is_boolean_like"), F.lit(False))

@@ -112,12 +112,13 @@ def column_stats(df: DataFrame, normalise_booleans: bool = False,
     wide = _wide_stats(df)
     freq = frequency_table(df, hash_over)
     per_col = _per_column(freq)
-    out = wide.join(per_col, "column_name", "left")
+    # per_col and the boolean statistics hold one row per column (bounded by the schema)
+    out = wide.join(F.broadcast(per_col), "column_name", "left")
     nn = F.col("non_null_count")
     distinct = F.col("distinct_non_null")
     mn, mx, sl = F.col("min_value"), F.col("max_value"), F.col("sum_len")
     if normalise_booleans:
-        out = out.join(_bool_normalised(freq, per_col), "column_name", "left")
+        out = out.join(F.broadcast(_bool_normalised(freq, per_col)), "column_name", "left")
         use_b = F.col("is_boolean_like")
         distinct = F.when(use_b, F.col("b_distinct")).otherwise(distinct)
         mn = F.when(use_b, F.col("b_min")).otherwise(mn)
