@@ -240,15 +240,28 @@ def _row_equal(s, t, is_bool):
     return F.when(F.lit(is_bool), boolean).otherwise((s.isNull() & t.isNull()) | plain)
 
 
+def boolean_like_names(source: DataFrame, target: DataFrame, columns: list[str]) -> set[str]:
+    """Columns that are boolean-like (Q3) on either side; the per-column flags are one row per
+    column, so collecting them is bounded by the schema."""
+    from ferry.operators.profile import bool_like_columns
+    def flags(df):
+        text = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+        return {r["column_name"] for r in bool_like_columns(text).where("is_boolean_like").collect()}
+    return flags(source) | flags(target)
+
+
 def compare_rows_by_key(source: DataFrame, target: DataFrame, keys: list[str],
                         columns: list[str] | None = None,
-                        boolean_columns: set[str] | frozenset = frozenset()) -> DataFrame:
+                        boolean_columns: set[str] | frozenset | None = None) -> DataFrame:
     """Q12 by key: per column, rows compared, rows equal, rate and verdict (>= 95 %).
 
     A key counts as one row. Keys present on one side only, or more than once on either side,
-    are never paired and count as differing rows.
+    are never paired and count as differing rows. ``boolean_columns=None`` detects the
+    boolean-like columns of both sides first (one frequency pass each).
     """
     columns = columns or [c for c in source.columns if c not in keys and c in target.columns]
+    if boolean_columns is None:
+        boolean_columns = boolean_like_names(source, target, columns)
     paired = pair_rows(source, target, keys, columns)
     single = (F.col("n_source") == 1) & (F.col("n_target") == 1)
     aggs = [F.count(F.lit(1)).alias("total_keys"),
@@ -272,7 +285,7 @@ def compare_rows_by_key(source: DataFrame, target: DataFrame, keys: list[str],
 
 def mismatch_examples(source: DataFrame, target: DataFrame, keys: list[str],
                       columns: list[str] | None = None,
-                      boolean_columns: set[str] | frozenset = frozenset(),
+                      boolean_columns: set[str] | frozenset | None = None,
                       keep: int = EXAMPLES_KEPT) -> DataFrame:
     """Q13: per column, the first ``keep`` differing keys (key order) with both values.
 
@@ -280,6 +293,8 @@ def mismatch_examples(source: DataFrame, target: DataFrame, keys: list[str],
     WindowGroupLimit before the shuffle, so each map task sends at most ``keep`` rows per column.
     """
     columns = columns or [c for c in source.columns if c not in keys and c in target.columns]
+    if boolean_columns is None:
+        boolean_columns = boolean_like_names(source, target, columns)
     paired = pair_rows(source, target, keys, columns)
     single = (F.col("n_source") == 1) & (F.col("n_target") == 1)
     key_text = F.concat_ws(", ", *[F.col(f"k_{i}").cast("string") for i in range(len(keys))])

@@ -102,3 +102,12 @@ def test_keyed_compare_duplicates_never_pair(spark):
     assert [e["row_key"] for e in ex] == ["2", "4"]
     text = C.mismatch_summary(C.compare_rows_by_key(s, t, ["k"]), C.mismatch_examples(s, t, ["k"])).first()["detail"]
     assert text.startswith("Column 'v': 2/4 values differ (50.0% match) | Examples: Row 2:")
+
+
+def test_keyed_compare_detects_boolean_columns(spark):
+    s = spark.createDataFrame([(1, "Yes"), (2, "no"), (3, "TRUE")], "k int, v string")
+    t = spark.createDataFrame([(1, "1"), (2, "0"), (3, "1")], "k int, v string")
+    r = C.compare_rows_by_key(s, t, ["k"]).first()
+    assert (r["matched_rows"], r["is_match"]) == (3, True)
+    r = C.compare_rows_by_key(s, t, ["k"], boolean_columns=set()).first()
+    assert r["matched_rows"] == 0
