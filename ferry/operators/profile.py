@@ -9,8 +9,9 @@ average length and the boolean-like flag for every column of an all-text frame:
   map-side partial aggregation (a hot value collapses before the shuffle), then
   ``groupBy(column)``. Values longer than ``hash_over`` characters are grouped by their SHA-256
   so long text is not shuffled; distinct counts stay exact.
-* boolean-like columns have at most ten distinct values, so their normalised statistics come
-  from the few frequency rows of those columns (a broadcast of at most one row per column).
+* the per-column flags are materialised (one row per column), so the frequency table is built
+  once; boolean-like columns (source side) are profiled after normalisation with a narrow scan
+  of just those columns, and their normalised distinct count comes from numeric aggregates.
 
 ``profile_columns`` (S5, P5) is the source-type / max-length / nullable profile the target
 schema is built from.
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from ferry.functions import text as X
 from ferry.functions.names import column_mapping, quote_identifier
 from ferry.functions.normalise import bool_normalise, is_blank, py_strip
+from ferry.session import shared_dir
 
 STATS_COLUMNS = ["column_name", "position", "row_count", "non_null_count", "null_count",
                  "distinct_count", "min_value", "max_value", "avg_length", "is_boolean_like"]
@@ -75,29 +77,34 @@ def frequency_table(df: DataFrame, hash_over: int = HASH_OVER_CHARS) -> DataFram
 
 
 def _per_column(freq: DataFrame) -> DataFrame:
+    """Second level, one row per column: distinct count, boolean-like flag, and the distinct count
+    after Q4 normalisation (values '1', '0', plus every other key, which stays distinct)."""
     k = F.col("value_key")
     # hashed keys are never boolean-like; every other key is the value itself
     boolish = ~k.startswith("#sha256:") & _boolish(k)
+    nv = bool_normalise(k)
     return freq.groupBy("column_name").agg(
         F.count(k).alias("distinct_non_null"),
-        F.coalesce(F.sum(F.when(k.isNull(), F.col("cnt"))), F.lit(0)).alias("null_rows"),
         F.bool_and(F.when(k.isNotNull(), boolish)).alias("all_boolish"),
+        (F.max(F.when(nv == "1", 1).otherwise(0)) + F.max(F.when(nv == "0", 1).otherwise(0))
+         + F.count_if(k.isNotNull() & ~nv.isin("0", "1"))).alias("b_distinct"),
     ).withColumn(
         "is_boolean_like",
         (F.col("distinct_non_null") > 0) & (F.col("distinct_non_null") <= X.BOOL_LIKE_MAX_DISTINCT)
         & F.coalesce(F.col("all_boolish"), F.lit(False)))
 
 
-def _bool_normalised(freq: DataFrame, per_col: DataFrame) -> DataFrame:
-    """Q4: statistics of boolean-like columns after 'true'/'yes'/... -> '1' and 'false'/... -> '0'."""
-    flagged = per_col.where("is_boolean_like").select("column_name")
-    nv = bool_normalise(F.col("value_key"))
-    return (freq.where(F.col("value_key").isNotNull())
-            .join(F.broadcast(flagged), "column_name")      # at most one row per column
-            .groupBy("column_name")
-            .agg(F.count_distinct(nv).alias("b_distinct"), F.min(nv).alias("b_min"),
-                 F.max(nv).alias("b_max"),
-                 F.sum(F.length(nv) * F.col("cnt")).alias("b_sum_len")))
+def _bool_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Q4 statistics of the boolean-like columns only: min, max, total length after normalisation.
+    A scan of just those columns (usually few or none)."""
+    aggs = []
+    for i, c in enumerate(columns):
+        b = bool_normalise(_col(c))
+        aggs += [F.min(b).alias(f"a{i}"), F.max(b).alias(f"z{i}"), F.sum(F.length(b)).alias(f"l{i}")]
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("b_min"),
+                                        F.col(f"z{i}").alias("b_max"), F.col(f"l{i}").alias("b_sum_len"))
+                               for i, c in enumerate(columns)]))
+    return df.select([_col(c) for c in columns]).agg(*aggs).select(rows.alias("r")).select("r.*")
 
 
 def column_stats(df: DataFrame, normalise_booleans: bool = False,
@@ -108,18 +115,24 @@ def column_stats(df: DataFrame, normalise_booleans: bool = False,
     string min/max over non-null values, ``avg_length`` the mean length in characters of
     non-null values. With ``normalise_booleans`` (source side), boolean-like columns are
     profiled after Q4 normalisation.
+
+    The per-column flags (frequency table, then one row per column) are computed first and
+    checkpointed, so the frequency table is built once; the global aggregate is the second pass,
+    and only boolean-like columns get a third, narrow pass.
     """
+    shared_dir(df.sparkSession)
+    per_col = _per_column(frequency_table(df, hash_over)).checkpoint(eager=True)
     wide = _wide_stats(df)
-    freq = frequency_table(df, hash_over)
-    per_col = _per_column(freq)
-    # per_col and the boolean statistics hold one row per column (bounded by the schema)
+    # per_col holds one row per column (bounded by the schema)
     out = wide.join(F.broadcast(per_col), "column_name", "left")
     nn = F.col("non_null_count")
     distinct = F.col("distinct_non_null")
     mn, mx, sl = F.col("min_value"), F.col("max_value"), F.col("sum_len")
-    if normalise_booleans:
-        out = out.join(F.broadcast(_bool_normalised(freq, per_col)), "column_name", "left")
-        use_b = F.col("is_boolean_like")
+    flagged = [r["column_name"] for r in per_col.where("is_boolean_like").select("column_name").collect()] \
+        if normalise_booleans else []
+    if flagged:
+        out = out.join(F.broadcast(_bool_stats(df, flagged)), "column_name", "left")
+        use_b = F.coalesce(F.col("is_boolean_like"), F.lit(False))
         distinct = F.when(use_b, F.col("b_distinct")).otherwise(distinct)
         mn = F.when(use_b, F.col("b_min")).otherwise(mn)
         mx = F.when(use_b, F.col("b_max")).otherwise(mx)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ferry.functions.names import rename_for_target
 from ferry.functions.normalise import normalise
+from ferry.sources.readers import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -24,7 +25,7 @@ TIMESTAMP_TEXT = "2024-01-01 10:11:12.1234567 +00:00"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_SCHEMA = "dbo"
 
@@ -22,6 +23,22 @@ def qualified_name(cfg: dict) -> str:
     return f"{cfg.get('source_schema') or DEFAULT_SCHEMA}.{cfg['source_table']}"
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over at least ``min_partitions`` tasks (default: the cluster's task slots).
+
+    A file with one row group is read by one task, and all per-row work fused into that stage
+    (value rules, unpivot, partial aggregation) would run single-threaded. Large inputs already
+    arrive in many splits and are returned unchanged, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    # hash of every hashable column: deterministic on retry without the sort that a
+    # round-robin split needs (map columns cannot be hashed)
+    keys = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def jdbc_options(source: dict, table_sql: str) -> dict:
     """Options for ``spark.read.format('jdbc')``: a partitioned read when a numeric or date
     partition column and bounds are given, so each executor fetches one slice in parallel."""
@@ -67,6 +84,7 @@ def read_source(spark: SparkSession, cfg: dict, sql_dir: str | None = None,
         if custom:
             df.createOrReplaceTempView(cfg["source_table"])
             df = spark.sql(custom.replace(f"{cfg.get('source_schema') or DEFAULT_SCHEMA}.", ""))
+    df = spread(df)
     if register_view:
         df.createOrReplaceTempView(f"temp_{cfg['target_table'].lower()}")
     return df
