@@ -1,17 +1,17 @@
 """Column profiles: per-column statistics in one pass per question, never one scan per column.
 
 ``column_stats`` (Q3, Q4, Q7) answers count, null count, exact distinct count, string min/max,
-average length and the boolean-like flag for every column of an all-text frame:
-
-* job A, one global aggregate over the wide frame: ``count``, ``min``, ``max``, ``sum(length)``
-  per column. No grouping key, so each partition ships one row.
-* job B, a frequency table: ``unpivot`` to (column, value) and ``groupBy(column, value)`` with
-  map-side partial aggregation (a hot value collapses before the shuffle), then
-  ``groupBy(column)``. Values longer than ``hash_over`` characters are grouped by their SHA-256
-  so long text is not shuffled; distinct counts stay exact.
-* the per-column flags are materialised (one row per column), so the frequency table is built
-  once; boolean-like columns (source side) are profiled after normalisation with a narrow scan
-  of just those columns, and their normalised distinct count comes from numeric aggregates.
+average length and the boolean-like flag for every column of an all-text frame, reading the
+data once:
+
+* a frequency table: ``unpivot`` to (column, value) and ``groupBy(column, value)`` with map-side
+  partial aggregation (a hot value collapses before the shuffle), carrying the row count and
+  total length of each key. Values longer than ``hash_over`` characters are grouped by their
+  SHA-256, so long text is not shuffled; distinct counts stay exact.
+* ``groupBy(column)`` over that table gives one row per column: counts, total length, distinct
+  count, min/max of the kept keys, the boolean-like flag. It is materialised (tens of rows).
+* only columns with hashed (long) values, and on the source side boolean-like columns, get a
+  second scan of just those columns for their exact min/max after normalisation.
 
 ``profile_columns`` (S5, P5) is the source-type / max-length / nullable profile the target
 schema is built from.
@@ -38,53 +38,75 @@ def _col(name: str):
     return F.col(f"`{name}`")
 
 
-def _wide_stats(df: DataFrame) -> DataFrame:
-    """Job A: (column_name, position, row_count, non_null_count, min, max, sum_len)."""
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(df.columns):
-        v = _col(c)
-        aggs += [F.count(v).alias(f"nn{i}"), F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"),
-                 F.sum(F.length(v)).alias(f"sl{i}")]
-    wide = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"),
-                 F.col(f"nn{i}").alias("non_null_count"), F.col(f"mn{i}").alias("min_value"),
-                 F.col(f"mx{i}").alias("max_value"), F.col(f"sl{i}").alias("sum_len"))
-        for i, c in enumerate(df.columns)]))
-    return wide.select(F.col("__n").alias("row_count"), rows.alias("r")).select("row_count", "r.*")
+def _columns_frame(df: DataFrame) -> DataFrame:
+    """(column_name, position): one row per column of ``df``, built inside the plan."""
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"))
+            for i, c in enumerate(df.columns)]
+    return df.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _edge_space(c):
+    """First or last character is Python whitespace (only then can a strip change the value)."""
+    spaces = [ord(ch) for ch in X.PY_WHITESPACE]
+    return F.ascii(c).isin(*spaces) | F.ascii(F.substring(c, -1, 1)).isin(*spaces)
 
 
 def _boolish(v):
-    """Blank, or a boolean word once stripped and lower-cased (the Q3 value test)."""
-    return F.lower(py_strip(v)).isin(*X.BOOL_LIKE) | is_blank(v)
+    """Blank, or a boolean word once stripped and lower-cased (the Q3 value test). The strip and
+    ``lower`` only run for values short enough to be a word or with whitespace at an end."""
+    longest = max(len(w) for w in X.BOOL_LIKE)
+    return F.when(_edge_space(v), F.lower(py_strip(v)).isin(*X.BOOL_LIKE) | is_blank(v)) \
+        .when(F.length(v) <= longest, (F.length(v) == 0) | F.lower(v).isin(*X.BOOL_LIKE)) \
+        .otherwise(F.lit(False))
+
+
+def _bool_normalised(k):
+    """``bool_normalise`` for keys; ``lower`` only runs on keys short enough to be a word."""
+    longest = max(len(w) for w in X.BOOL_TRUE + X.BOOL_FALSE)
+    low = F.when(F.length(k) <= longest, F.lower(k))
+    return F.when(low.isin(*X.BOOL_TRUE), F.lit("1")).when(low.isin(*X.BOOL_FALSE), F.lit("0")) \
+        .otherwise(k)
+
+
+HASH_TAG = "#sha256:"
 
 
 def frequency_table(df: DataFrame, hash_over: int = HASH_OVER_CHARS) -> DataFrame:
-    """(column_name, value_key, cnt): one row per distinct value of every column.
+    """(column_name, value_key, cnt, sum_len): one row per distinct value of every column.
 
     ``value_key`` is the value itself, or for a long value that is not boolean-like a tagged
     SHA-256 (tag + 64 hex digits is longer than ``hash_over``, so it never equals a kept value);
-    the NULL key row carries the null count. Per input value only ``length`` is computed, plus
-    the boolean test and the hash for the few long values.
+    the NULL key row carries the null count, ``sum_len`` the total length of the rows of the key.
+    Per input value only ``length`` is computed, plus the boolean test and the hash for the few
+    long values. A hot value collapses to one row per map task before the shuffle.
     """
     long = df.unpivot([], df.columns, "column_name", "v")
     v = F.col("v")
     key = F.when(F.length(v) <= hash_over, v).when(_boolish(v), v) \
-        .otherwise(F.concat(F.lit("#sha256:"), F.sha2(v, 256)))
-    return (long.select("column_name", key.alias("value_key"))
+        .otherwise(F.concat(F.lit(HASH_TAG), F.sha2(v, 256)))
+    return (long.select("column_name", key.alias("value_key"), F.length(v).alias("len"))
             .groupBy("column_name", "value_key")
-            .agg(F.count(F.lit(1)).alias("cnt")))
+            .agg(F.count(F.lit(1)).alias("cnt"), F.sum("len").alias("sum_len")))
 
 
-def _per_column(freq: DataFrame) -> DataFrame:
-    """Second level, one row per column: distinct count, boolean-like flag, and the distinct count
-    after Q4 normalisation (values '1', '0', plus every other key, which stays distinct)."""
+def _per_column(freq: DataFrame, hash_over: int = HASH_OVER_CHARS) -> DataFrame:
+    """Second level, one row per column with at least one row: row and non-null counts, total
+    length, distinct count, min/max over the kept (short) keys and whether hashed keys exist,
+    the boolean-like flag, and the distinct count after Q4 normalisation (values '1', '0', plus
+    every other key, which stays distinct)."""
     k = F.col("value_key")
+    hashed = k.startswith(HASH_TAG) & (F.length(k) == len(HASH_TAG) + 64)
+    kept = F.when(~hashed, k)
     # hashed keys are never boolean-like; every other key is the value itself
-    boolish = ~k.startswith("#sha256:") & _boolish(k)
-    nv = bool_normalise(k)
+    boolish = ~hashed & _boolish(k)
+    nv = _bool_normalised(k)
     return freq.groupBy("column_name").agg(
+        F.sum("cnt").alias("row_count"),
+        F.sum(F.when(k.isNotNull(), F.col("cnt"))).alias("non_null_count"),
+        F.sum("sum_len").alias("sum_len"),
         F.count(k).alias("distinct_non_null"),
+        F.min(kept).alias("min_kept"), F.max(kept).alias("max_kept"),
+        F.max(hashed).alias("has_hashed"),
         F.bool_and(F.when(k.isNotNull(), boolish)).alias("all_boolish"),
         (F.max(F.when(nv == "1", 1).otherwise(0)) + F.max(F.when(nv == "0", 1).otherwise(0))
          + F.count_if(k.isNotNull() & ~nv.isin("0", "1"))).alias("b_distinct"),
@@ -94,17 +116,27 @@ def _per_column(freq: DataFrame) -> DataFrame:
         & F.coalesce(F.col("all_boolish"), F.lit(False)))
 
 
-def _bool_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Q4 statistics of the boolean-like columns only: min, max, total length after normalisation.
-    A scan of just those columns (usually few or none)."""
-    aggs = []
-    for i, c in enumerate(columns):
+def _narrow_stats(df: DataFrame, bool_cols: list[str], long_cols: list[str]) -> DataFrame:
+    """One scan of just the named columns (usually few or none): min, max and total length after
+    Q4 normalisation for boolean-like columns, exact min and max for columns with long values."""
+    aggs, rows = [], []
+    for i, c in enumerate(dict.fromkeys(bool_cols + long_cols)):
         b = bool_normalise(_col(c))
-        aggs += [F.min(b).alias(f"a{i}"), F.max(b).alias(f"z{i}"), F.sum(F.length(b)).alias(f"l{i}")]
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("b_min"),
-                                        F.col(f"z{i}").alias("b_max"), F.col(f"l{i}").alias("b_sum_len"))
-                               for i, c in enumerate(columns)]))
-    return df.select([_col(c) for c in columns]).agg(*aggs).select(rows.alias("r")).select("r.*")
+        if c in bool_cols:
+            aggs += [F.min(b).alias(f"a{i}"), F.max(b).alias(f"z{i}"), F.sum(F.length(b)).alias(f"l{i}")]
+        else:
+            aggs += [F.lit(None).cast("string").alias(f"a{i}"), F.lit(None).cast("string").alias(f"z{i}"),
+                     F.lit(None).cast("bigint").alias(f"l{i}")]
+        if c in long_cols:
+            aggs += [F.min(_col(c)).alias(f"m{i}"), F.max(_col(c)).alias(f"x{i}")]
+        else:
+            aggs += [F.lit(None).cast("string").alias(f"m{i}"), F.lit(None).cast("string").alias(f"x{i}")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("b_min"),
+                             F.col(f"z{i}").alias("b_max"), F.col(f"l{i}").alias("b_sum_len"),
+                             F.col(f"m{i}").alias("l_min"), F.col(f"x{i}").alias("l_max")))
+    cols = list(dict.fromkeys(bool_cols + long_cols))
+    return df.select([_col(c) for c in cols]).agg(*aggs).select(F.explode(F.array(*rows)).alias("r")) \
+        .select("r.*")
 
 
 def column_stats(df: DataFrame, normalise_booleans: bool = False,
@@ -116,31 +148,37 @@ def column_stats(df: DataFrame, normalise_booleans: bool = False,
     non-null values. With ``normalise_booleans`` (source side), boolean-like columns are
     profiled after Q4 normalisation.
 
-    The per-column flags (frequency table, then one row per column) are computed first and
-    checkpointed, so the frequency table is built once; the global aggregate is the second pass,
-    and only boolean-like columns get a third, narrow pass.
+    One pass over the data builds the frequency table and reduces it to one row per column
+    (checkpointed: it is tiny and decides the rest). Only columns that have long (hashed) values
+    or are boolean-like get a second, narrow scan of just those columns for their exact min/max.
     """
     shared_dir(df.sparkSession)
-    per_col = _per_column(frequency_table(df, hash_over)).checkpoint(eager=True)
-    wide = _wide_stats(df)
-    # per_col holds one row per column (bounded by the schema)
-    out = wide.join(F.broadcast(per_col), "column_name", "left")
-    nn = F.col("non_null_count")
+    per_col = _per_column(frequency_table(df, hash_over), hash_over).checkpoint(eager=True)
+    # per_col holds one row per column (bounded by the schema); the flags come to the driver
+    flags = per_col.select("column_name", "is_boolean_like", "has_hashed").collect()
+    bool_cols = [r["column_name"] for r in flags if r["is_boolean_like"]] if normalise_booleans else []
+    long_cols = [r["column_name"] for r in flags if r["has_hashed"]]
+    # left join from the column list: an empty frame still gives one row per column
+    out = _columns_frame(df).join(F.broadcast(per_col), "column_name", "left")
+    rc = F.coalesce(F.col("row_count"), F.lit(0))
+    nn = F.coalesce(F.col("non_null_count"), F.lit(0))
     distinct = F.col("distinct_non_null")
-    mn, mx, sl = F.col("min_value"), F.col("max_value"), F.col("sum_len")
-    flagged = [r["column_name"] for r in per_col.where("is_boolean_like").select("column_name").collect()] \
-        if normalise_booleans else []
-    if flagged:
-        out = out.join(F.broadcast(_bool_stats(df, flagged)), "column_name", "left")
+    mn, mx, sl = F.col("min_kept"), F.col("max_kept"), F.col("sum_len")
+    if bool_cols or long_cols:
+        out = out.join(F.broadcast(_narrow_stats(df, bool_cols, long_cols)), "column_name", "left")
+        use_l = F.coalesce(F.col("has_hashed"), F.lit(False))
+        mn = F.when(use_l, F.col("l_min")).otherwise(mn)
+        mx = F.when(use_l, F.col("l_max")).otherwise(mx)
+    if bool_cols:
         use_b = F.coalesce(F.col("is_boolean_like"), F.lit(False))
         distinct = F.when(use_b, F.col("b_distinct")).otherwise(distinct)
         mn = F.when(use_b, F.col("b_min")).otherwise(mn)
         mx = F.when(use_b, F.col("b_max")).otherwise(mx)
         sl = F.when(use_b, F.col("b_sum_len")).otherwise(sl)
-    null_count = F.col("row_count") - nn
+    null_count = rc - nn
     return out.select(
         "column_name", F.col("position").cast("int").alias("position"),
-        F.col("row_count").cast("bigint").alias("row_count"),
+        rc.cast("bigint").alias("row_count"),
         nn.cast("bigint").alias("non_null_count"),
         null_count.cast("bigint").alias("null_count"),
         (F.coalesce(distinct, F.lit(0)) + F.when(null_count > 0, 1).otherwise(0))

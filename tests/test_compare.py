@@ -31,6 +31,33 @@ def test_long_values_are_distinct_by_hash(spark):
     assert r["distinct_count"] == 2 and r["max_value"] == base + "2"
 
 
+def test_long_value_min_max_are_exact_beyond_the_hashed_prefix(spark):
+    # two long values sharing their first 100 characters, plus short ones on either side
+    base = "m" * 100
+    df = spark.createDataFrame([(base + "b",), (base + "a",), ("a",), ("z",), (None,)], "t string")
+    r = column_stats(df).first()
+    assert (r["min_value"], r["max_value"], r["distinct_count"]) == ("a", "z", 5)
+    only_long = spark.createDataFrame([(base + "b",), (base + "a",), (base + "b",)], "t string")
+    r = column_stats(only_long).first()
+    assert (r["min_value"], r["max_value"], r["distinct_count"]) == (base + "a", base + "b", 2)
+    assert r["avg_length"] == pytest.approx(101.0)
+
+
+def test_empty_frame_gives_one_row_per_column(spark):
+    df = spark.createDataFrame([], "a string, b string")
+    rows = sorted(column_stats(df, normalise_booleans=True).collect(), key=lambda r: r["position"])
+    assert [(r["column_name"], r["row_count"], r["null_count"], r["distinct_count"], r["min_value"],
+             r["avg_length"], r["is_boolean_like"]) for r in rows] == \
+        [("a", 0, 0, 0, None, None, False), ("b", 0, 0, 0, None, None, False)]
+
+
+def test_padded_boolean_words_are_boolean_like(spark):
+    # Q3 strips before the word test: ' TRUE' and 'no  ' count, 'truth' does not
+    df = spark.createDataFrame([(" TRUE", "truth"), ("no  ", "no"), ("", "yes")], "a string, b string")
+    s = {r["column_name"]: r["is_boolean_like"] for r in column_stats(df).collect()}
+    assert s == {"a": True, "b": False}
+
+
 @pytest.mark.parametrize("sd,td,ok", [(100, 101, True), (100, 102, False), (1000, 1010, True), (1000, 1011, False)])
 def test_distinct_tolerance(spark, sd, td, ok):
     s = spark.createDataFrame([("c", 5000, 0, 5000, sd, "a", "z", 1.0, False)], STATS)
