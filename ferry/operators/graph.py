@@ -69,10 +69,12 @@ def _peel(e: DataFrame, v: DataFrame, upward: bool = True) -> DataFrame:
     frontier; nodes on, or behind, a cycle never become free.
     """
     src, dst = ("child", "parent") if upward else ("parent", "child")
-    # edges hash-partitioned by the join key once; each round then only shuffles the frontier
-    e = _ckpt(e.select(src, dst).repartition(dst))
+    # edges and pending counts are hash-partitioned and sorted by their join key once; the
+    # checkpoints keep partitioning and order, so each round's sort-merge joins neither shuffle
+    # nor re-sort them, and only the freed counts (one row per touched node) are shuffled
+    e = _ckpt(e.select(src, dst).repartition(dst).sortWithinPartitions(dst))
     pending = _ckpt(e.groupBy(src).agg(F.count(F.lit(1)).alias("remaining")).withColumnRenamed(src, "node")
-                    .repartition("node"))
+                    .repartition("node").sortWithinPartitions("node"))
     frontier = _ckpt(v.join(pending, "node", "left_anti").select("node", F.lit(0).alias("round")))
     found = [frontier]
     r = 0
