@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from ferry.functions import text as X
 from ferry.functions.names import EXPECTED_EXTRA_COLUMNS, sanitize_column_name, ColumnNameError
 from ferry.functions.normalise import bool_normalise, bool_normalise_single
+from ferry.session import shared_dir
 
 # Thresholds of the content check.
 DISTINCT_TOLERANCE = 0.01      # relative, with an absolute floor of 1
@@ -218,6 +219,7 @@ def pair_rows(source: DataFrame, target: DataFrame, keys: list[str], columns: li
 
     A tagged union and one ``groupBy(keys)``: partial aggregation collapses a hot key before the
     shuffle, and no pair of rows is ever formed, so duplicate keys cannot multiply rows.
+    Used where the values themselves are needed (examples); counts use ``pair_hashes``.
     """
     def side(df, flag):
         return df.select(*[F.col(f"`{k}`").alias(f"k_{i}") for i, k in enumerate(keys)],
@@ -227,11 +229,56 @@ def pair_rows(source: DataFrame, target: DataFrame, keys: list[str], columns: li
     is_s = F.col("__s")
     aggs = [F.count_if(is_s).alias("n_source"), F.count_if(~is_s).alias("n_target")]
     for i in range(len(columns)):
-        aggs += [F.min(F.when(is_s, F.col(f"v_{i}"))).alias(f"s_{i}"),
-                 F.min(F.when(~is_s, F.col(f"v_{i}"))).alias(f"t_{i}")]
+        v = F.col(f"v_{i}")
+        aggs += [F.min(F.when(is_s, v)).alias(f"s_{i}"), F.min(F.when(~is_s, v)).alias(f"t_{i}")]
     return u.groupBy(*[f"k_{i}" for i in range(len(keys))]).agg(*aggs)
 
 
+def _hash128(form):
+    """Two independent 64-bit hashes of a text (128 bits): equal forms give equal pairs, and
+    different forms collide with probability about 2^-128."""
+    return F.xxhash64(form), F.xxhash64(form, F.lit("second"))
+
+
+def pair_hashes(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``pair_rows`` for the match counts: per key the row count of each side and, per column
+    and side, 128-bit hashes of the two comparison forms of the value (``p`` = lower-cased with
+    NULL read as '', ``b`` = boolean-normalised, NULL kept), plus the boolean-word flags.
+
+    Every aggregate is numeric or boolean, so this is a hash aggregate with map-side partial
+    aggregation, and the shuffle carries 32 bytes per value instead of the text.
+    """
+    from ferry.operators.profile import _boolish
+
+    def side(df, flag):
+        out = [*[F.col(f"`{k}`").alias(f"k_{i}") for i, k in enumerate(keys)], F.lit(flag).alias("__s")]
+        for i, c in enumerate(columns):
+            v = F.col(f"`{c}`").cast("string")
+            p1, p2 = _hash128(F.lower(F.coalesce(v, F.lit(""))))
+            b1, b2 = _hash128(bool_normalise(v))
+            out += [p1.alias(f"p1_{i}"), p2.alias(f"p2_{i}"),
+                    F.when(v.isNotNull(), b1).alias(f"b1_{i}"), F.when(v.isNotNull(), b2).alias(f"b2_{i}"),
+                    F.when(v.isNotNull(), _boolish(v)).alias(f"w_{i}")]
+        return df.select(*out)
+    u = side(source, True).unionByName(side(target, False))
+    is_s = F.col("__s")
+    aggs = [F.count_if(is_s).alias("n_source"), F.count_if(~is_s).alias("n_target")]
+    for i in range(len(columns)):
+        for tag, cond in (("s", is_s), ("t", ~is_s)):
+            aggs += [F.min(F.when(cond, F.col(f"{h}_{i}"))).alias(f"{tag}{h}_{i}") for h in ("p1", "p2", "b1", "b2")]
+            aggs.append(F.bool_and(F.when(cond, F.col(f"w_{i}"))).alias(f"{tag}b_{i}"))
+    return u.groupBy(*[f"k_{i}" for i in range(len(keys))]).agg(*aggs)
+
+
+def _hashed_equal(i: int, is_bool: bool):
+    """Q12 value rule on the hashes of ``pair_hashes`` (only meaningful for single keys)."""
+    col = lambda n: F.col(f"{n}_{i}")
+    if not is_bool:
+        return (col("sp1") == col("tp1")) & (col("sp2") == col("tp2"))
+    return (col("sb1").isNull() & col("tb1").isNull()) | \
+        F.coalesce((col("sb1") == col("tb1")) & (col("sb2") == col("tb2")), F.lit(False))
+
+
 def _row_equal(s, t, is_bool):
     """Q12 value rule: both NULL, or equal ignoring case with NULL read as ''; for a boolean-like
     column, equal after boolean normalisation of both sides."""
@@ -240,14 +287,31 @@ def _row_equal(s, t, is_bool):
     return F.when(F.lit(is_bool), boolean).otherwise((s.isNull() & t.isNull()) | plain)
 
 
-def boolean_like_names(source: DataFrame, target: DataFrame, columns: list[str]) -> set[str]:
-    """Columns that are boolean-like (Q3) on either side; the per-column flags are one row per
-    column, so collecting them is bounded by the schema."""
+def _exact_bool_like(df: DataFrame, columns: list[str]) -> set[str]:
+    """The full Q3 test (at most 10 distinct values) on just the named columns of one side; the
+    per-column flags are one row per column, so collecting them is bounded by the schema."""
     from ferry.operators.profile import bool_like_columns
-    def flags(df):
-        text = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in columns])
-        return {r["column_name"] for r in bool_like_columns(text).where("is_boolean_like").collect()}
-    return flags(source) | flags(target)
+    if not columns:
+        return set()
+    text = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+    return {r["column_name"] for r in bool_like_columns(text).where("is_boolean_like").collect()}
+
+
+def boolean_like_names(source: DataFrame, target: DataFrame, columns: list[str]) -> set[str]:
+    """Columns that are boolean-like (Q3) on either side.
+
+    One global aggregate per side (no shuffle, one row per partition) finds the candidates:
+    columns with a non-null value whose every non-null value is a boolean word. Only those get
+    the exact distinct-value test, a narrow scan of just the candidate columns.
+    """
+    from ferry.operators.profile import _boolish
+
+    def candidates(df):
+        aggs = [F.bool_and(F.when(F.col(f"`{c}`").isNotNull(), _boolish(F.col(f"`{c}`").cast("string"))))
+                .alias(f"b{i}") for i, c in enumerate(columns)]
+        row = df.agg(*aggs).first()
+        return [c for i, c in enumerate(columns) if row[f"b{i}"]]
+    return _exact_bool_like(source, candidates(source)) | _exact_bool_like(target, candidates(target))
 
 
 def compare_rows_by_key(source: DataFrame, target: DataFrame, keys: list[str],
@@ -257,19 +321,34 @@ def compare_rows_by_key(source: DataFrame, target: DataFrame, keys: list[str],
 
     A key counts as one row. Keys present on one side only, or more than once on either side,
     are never paired and count as differing rows. ``boolean_columns=None`` detects the
-    boolean-like columns of both sides first (one frequency pass each).
+    boolean-like columns of both sides inside the pairing pass (every value a boolean word);
+    only candidate columns get a narrow second scan for the exact distinct-value test.
     """
     columns = columns or [c for c in source.columns if c not in keys and c in target.columns]
-    if boolean_columns is None:
-        boolean_columns = boolean_like_names(source, target, columns)
-    paired = pair_rows(source, target, keys, columns)
+    detect = boolean_columns is None
+    paired = pair_hashes(source, target, keys, columns)
     single = (F.col("n_source") == 1) & (F.col("n_target") == 1)
     aggs = [F.count(F.lit(1)).alias("total_keys"),
             F.count_if(~single).alias("unpaired_keys")]
     for i, c in enumerate(columns):
-        eq = single & _row_equal(F.col(f"s_{i}"), F.col(f"t_{i}"), c in boolean_columns)
-        aggs.append(F.count_if(eq).alias(f"m_{i}"))
+        if detect:
+            # both verdicts in the one pass; the flags below pick one per column
+            aggs += [F.count_if(single & _hashed_equal(i, False)).alias(f"mp_{i}"),
+                     F.count_if(single & _hashed_equal(i, True)).alias(f"mb_{i}"),
+                     F.bool_and(F.col(f"sb_{i}")).alias(f"sb_{i}"), F.bool_and(F.col(f"tb_{i}")).alias(f"tb_{i}")]
+        else:
+            aggs.append(F.count_if(single & _hashed_equal(i, c in boolean_columns)).alias(f"m_{i}"))
     wide = paired.agg(*aggs)
+    if detect:
+        # one row: its flags name the candidate columns, which alone get the exact Q3 test
+        shared_dir(source.sparkSession)
+        wide = wide.checkpoint(eager=True)
+        flags = wide.first()
+        boolean_columns = _exact_bool_like(source, [c for i, c in enumerate(columns) if flags[f"sb_{i}"]]) \
+            | _exact_bool_like(target, [c for i, c in enumerate(columns) if flags[f"tb_{i}"]])
+        wide = wide.select("total_keys", "unpaired_keys", *[
+            F.col(f"mb_{i}" if c in boolean_columns else f"mp_{i}").alias(f"m_{i}")
+            for i, c in enumerate(columns)])
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"m_{i}").alias("matched_rows"))
         for i, c in enumerate(columns)]))

@@ -138,3 +138,18 @@ def test_keyed_compare_detects_boolean_columns(spark):
     assert (r["matched_rows"], r["is_match"]) == (3, True)
     r = C.compare_rows_by_key(s, t, ["k"], boolean_columns=set()).first()
     assert r["matched_rows"] == 0
+
+
+def test_keyed_compare_boolean_words_with_too_many_values_compare_plainly(spark):
+    # every value is a boolean word on both sides, but each side has 11 distinct values, so
+    # neither side is boolean-like (Q3 allows at most 10) and values compare ignoring case only
+    s_vals = ["true", "True", "tRue", "trUe", "truE", "TRue", "TrUe", "TruE", "tRUe", "tRuE", "trUE"]
+    t_vals = ["1", "t", "T", "y", "Y", "true", "TRUE", "True", "yes", "YES", "Yes"]
+    s = spark.createDataFrame(list(enumerate(s_vals)), "k int, v string")
+    t = spark.createDataFrame(list(enumerate(t_vals)), "k int, v string")
+    r = C.compare_rows_by_key(s, t, ["k"]).first()
+    assert (r["total_rows"], r["matched_rows"]) == (11, 3)
+    assert C.boolean_like_names(s, t, ["v"]) == set()
+    # with ten values on the target side it is boolean-like there, and all pairs are equal
+    r = C.compare_rows_by_key(s.where("k < 10"), t.where("k < 10"), ["k"]).first()
+    assert (r["total_rows"], r["matched_rows"]) == (10, 10)
