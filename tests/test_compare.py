@@ -153,3 +153,14 @@ def test_keyed_compare_boolean_words_with_too_many_values_compare_plainly(spark)
     # with ten values on the target side it is boolean-like there, and all pairs are equal
     r = C.compare_rows_by_key(s.where("k < 10"), t.where("k < 10"), ["k"]).first()
     assert (r["total_rows"], r["matched_rows"]) == (10, 10)
+
+
+def test_profile_reads_the_table_once(spark, sf_small):
+    # the frequency table and the per-column reduce come from one parquet scan, with hash
+    # aggregation at the (column, value) level
+    import re
+    from ferry.operators.profile import _per_column, frequency_table
+    li = normalise(FX.read(spark, sf_small, "lineitem"), "load")
+    plan = _per_column(frequency_table(li))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    assert "HashAggregate" in plan
