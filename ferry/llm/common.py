@@ -58,3 +58,45 @@ def n_words(text: Column) -> Column:
 def row_key(*cols: str) -> Column:
     """Key of a row within the rows of one doc_id: equal rows share it, so it survives retries."""
     return F.xxhash64(*[F.col(c) for c in cols])
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, also where ``body`` uses it in a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def char_codes(text: Column) -> Column:
+    """Code points of an ASCII string (an empty array for an empty one)."""
+    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c))
+
+
+def prefix_sums(numbers: Column, block: int = 256) -> Column:
+    """Sum of the numbers before each place, in two levels so that long arrays stay far from quadratic."""
+    zero = F.lit(0).cast("bigint")
+
+    def build(xs: Column) -> Column:
+        n = F.size(xs)
+        blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / block).cast("int") - 1))
+        sums = F.transform(blocks, lambda b: F.aggregate(F.slice(xs, b * block + 1, F.lit(block)), zero,
+                                                         lambda a, x: a + x))
+        before = F.aggregate(sums, F.array(zero), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        at = F.sequence(F.lit(0), n - 1)
+        one = lambda base: F.transform(at, lambda i: F.get(base, F.floor(i / block).cast("int")) + F.aggregate(
+            F.slice(xs, F.floor(i / block).cast("int") * block + 1, F.pmod(i, F.lit(block))), zero, lambda a, x: a + x))
+        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(let(before, one))
+
+    return let(numbers, build)
+
+
+def matches_with_starts(text: Column, pattern: str) -> Column:
+    """array<struct<start, end, text>> of the leftmost non-overlapping matches, in code points."""
+    def place(parts: Column) -> Column:
+        gaps, found = parts["gaps"], parts["found"]
+        sizes = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i + 1)))
+        first = F.length(F.get(gaps, F.lit(0)))
+        return let(prefix_sums(F.transform(sizes, lambda s: s.cast("bigint"))), lambda before: F.transform(
+            found, lambda m, i: F.struct((F.get(before, i) + first).alias("start"),
+                                         (F.get(before, i) + first + F.length(m)).alias("end"), m.alias("text"))))
+    both = F.struct(F.split(text, pattern, -1).alias("gaps"),
+                    F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    return let(both, place)

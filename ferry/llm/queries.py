@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import langid, licenses, mixing, packing
+from ferry.llm import langid, licenses, mixing, packing, pii, quality, secret_scan
 from ferry.llm.common import read
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document: patterns, and random tokens under false-discovery control."""
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document under thresholds calibrated on the labels."""
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by the byte network trained on the rows not held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -37,11 +47,19 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by format-preserving pseudonyms."""
+    return pii.pseudonymise(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op7_mix_sources": op7_mix_sources,
     "op8_license_scan": op8_license_scan,
     "op9_pack": op9_pack,
+    "op10_pseudonyms": op10_pseudonyms,
 }
 
 ORACLE: dict[str, str] = {}
