@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import langid, licenses, mixing, packing, pii, quality, secret_scan
+from ferry.llm import jaccard, langid, licenses, mixing, packing, pii, quality, secret_scan, topk
 from ferry.llm.common import read
 
 
@@ -16,6 +16,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector, exact, over the pivot-distance index."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document under thresholds calibrated on the labels."""
     return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -28,6 +33,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "agree")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 0.85 Jaccard on four-word shingles."""
+    return jaccard.link(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to the target weights of their sources by the cube method."""
     got = mixing.mix(read(spark, sf_dir, "documents"))
@@ -54,12 +64,45 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_top_k": op2_top_k,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_mix_sources": op7_mix_sources,
     "op8_license_scan": op8_license_scan,
     "op9_pack": op9_pack,
     "op10_pseudonyms": op10_pseudonyms,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        s AS (
+            SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+                   list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i]))::BIGINT AS score
+            FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+        e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS k
+            FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2, 3),
+        l AS (SELECT a, b FROM p WHERE 100 * k >= 85 * (n - k)),
+        c(doc_id, r) AS (
+            SELECT doc_id, doc_id FROM s UNION SELECT l.a, c.r FROM c JOIN l ON l.b = c.doc_id)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(c.r) AS component_id
+        FROM s JOIN c ON c.doc_id = s.doc_id GROUP BY ALL""",
+}
