@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import jaccard, langid, licenses, mixing, packing, pii, quality, secret_scan, topk
+from ferry.llm import jaccard, langid, licenses, mixing, packing, pii, quality, secret_scan, suffix, topk
 from ferry.llm.common import read
 
 
@@ -33,6 +33,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "agree")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that an earlier document has."""
+    return suffix.dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of 0.85 Jaccard on four-word shingles."""
     return jaccard.link(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_top_k": op2_top_k,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_mix_sources": op7_mix_sources,
     "op8_license_scan": op8_license_scan,
@@ -87,6 +93,22 @@ ORACLE: dict[str, str] = {
         r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op5_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, len(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents),
+        g AS (SELECT doc_id, i, substr(h, (2 * i + 1)::BIGINT, 100) AS s
+              FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+        c AS (SELECT doc_id, i FROM g JOIN (SELECT s, min(doc_id) AS f FROM g GROUP BY s) USING (s) WHERE f < doc_id),
+        o AS (SELECT doc_id, i, CASE WHEN i <= 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS b FROM c),
+        r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM (
+                  SELECT doc_id, i, sum(b) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM o) GROUP BY doc_id, k),
+        e AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM (
+                  SELECT doc_id, a, z FROM r UNION ALL SELECT doc_id, 0, 0 FROM d)),
+        k AS (SELECT e.doc_id, string_agg(substr(d.h, (2 * e.a + 1)::BIGINT, (2 * (coalesce(e.z, d.n) - e.a))::BIGINT), '' ORDER BY e.a) AS h
+              FROM e JOIN d USING (doc_id) GROUP BY e.doc_id),
+        t AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM r GROUP BY doc_id)
+        SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(t.n_removed, 0)::BIGINT AS n_removed,
+               coalesce(t.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+        FROM d JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)""",
     "op6_jaccard_join": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(regexp_split_to_array(
