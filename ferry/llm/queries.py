@@ -101,7 +101,7 @@ ORACLE: dict[str, str] = {
         o AS (SELECT doc_id, i, CASE WHEN i <= 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS b FROM c),
         r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM (
                   SELECT doc_id, i, sum(b) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM o) GROUP BY doc_id, k),
-        e AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM (
+        e AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a, z) AS z FROM (
                   SELECT doc_id, a, z FROM r UNION ALL SELECT doc_id, 0, 0 FROM d)),
         k AS (SELECT e.doc_id, string_agg(substr(d.h, (2 * e.a + 1)::BIGINT, (2 * (coalesce(e.z, d.n) - e.a))::BIGINT), '' ORDER BY e.a) AS h
               FROM e JOIN d USING (doc_id) GROUP BY e.doc_id),
