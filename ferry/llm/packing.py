@@ -30,7 +30,8 @@ CAPACITY = 2048
 END_ID = 1
 CUT = 512
 BLOCK = 1024
-CACHE = 400_000
+CACHE = 1_000_000
+PUNCTUATION = (".", ",")
 # Id of the vocabulary's end-of-text token, used only as a separator between chunks to encode.
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 
@@ -67,12 +68,14 @@ def encode_texts(texts: list[str], path: str) -> Iterator[np.ndarray]:
     plain = ["" if "<|" in t else t for t in texts]
     chunked = [t.lower().replace("\n", " ").split(" ") if t.isascii()
                else t.translate(_ASCII_LOWER).replace("\n", " ").split(" ") for t in plain]
+    got = [list(map(cache.get, chunks)) for chunks in chunked]
     new: dict[str, bytes] = {}
-    for chunks in chunked:
-        for c in set(chunks):
-            if c not in cache:
-                new[c] = b""
-    todo = list(new)
+    for chunks, ids in zip(chunked, got):
+        if None in ids:
+            for c, known in zip(chunks, ids):
+                if known is None:
+                    new[c[:-1] if _splits(c) else c] = b""
+    todo = [c for c in new if c not in cache]
     for at in range(0, len(todo), 4000):
         part = todo[at:at + 4000]
         joined = tok.encode_batch_fast([SEPARATOR.join(part[i:i + 100]) for i in range(0, len(part), 100)],
@@ -85,24 +88,32 @@ def encode_texts(texts: list[str], path: str) -> Iterator[np.ndarray]:
             for c, hi in zip(part[i:i + 100], ends + [len(ids)]):
                 new[c] = raw[2 * lo:2 * hi]
                 lo = hi + 1
-    room = CACHE - len(cache)
-    if room >= len(new):
-        cache.update(new)
-        find = cache.__getitem__
-    else:
-        for c in todo[:max(0, room)]:
-            cache[c] = new[c]
-
-        def find(c):
-            got = new.get(c)
-            return cache[c] if got is None else got
-    for text, chunks, p in zip(texts, chunked, plain):
+    for mark in PUNCTUATION:
+        if mark not in cache:
+            cache[mark] = np.array(tok.encode(mark, add_special_tokens=False).ids, dtype=np.uint16).tobytes()
+    for c in todo[:max(0, CACHE - len(cache))]:
+        cache[c] = new[c]
+
+    def find(c: str) -> bytes:
+        known = cache.get(c)
+        if known is None:
+            known = new[c] if c in new and not _splits(c) else None
+        return known if known is not None else find(c[:-1]) + cache[c[-1]]
+
+    for text, chunks, p, ids in zip(texts, chunked, plain, got):
         if p or not text:
-            yield np.frombuffer(b"".join(map(find, chunks)), dtype=np.uint16)
+            if None in ids:
+                ids = [find(c) if known is None else known for c, known in zip(chunks, ids)]
+            yield np.frombuffer(b"".join(ids), dtype=np.uint16)
         else:
             yield np.array(tok.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
 
 
+def _splits(chunk: str) -> bool:
+    """Whether a chunk is a word of ASCII letters and one closing mark, which the vocabulary keeps apart."""
+    return chunk[-1:] in PUNCTUATION and chunk[-2:-1].isalpha() and chunk.isascii()
+
+
 def _pieces(path: str, capacity: int, cut: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
