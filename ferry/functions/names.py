@@ -13,19 +13,16 @@ from pyspark.sql import DataFrame
 # ---------------------------------------------------------------------------------------------
 # Target reserved words (a column named like one is quoted in DDL).
 # ---------------------------------------------------------------------------------------------
-RESERVED_WORDS = frozenset("""
-SELECT FROM WHERE INSERT UPDATE DELETE CREATE DROP
-ALTER TABLE INDEX VIEW GRANT REVOKE USER ROLE
-DATE TIME TIMESTAMP INTERVAL YEAR MONTH DAY
-HOUR MINUTE SECOND LEVEL CONNECT ORDER GROUP
-HAVING UNION INTERSECT MINUS DISTINCT ALL ANY
-SOME EXISTS IN LIKE BETWEEN IS NULL NOT
-AND OR CASE WHEN THEN ELSE END AS ON
-USING NATURAL JOIN INNER LEFT RIGHT FULL
-OUTER CROSS COMMENT CONSTRAINT PRIMARY KEY
-FOREIGN REFERENCES UNIQUE CHECK DEFAULT SEQUENCE
-NEXTVAL CURRVAL ROWNUM ROWID SYSDATE SYSTIMESTAMP DESC
-""".split())
+RESERVED_WORDS = frozenset({
+    "SELECT", "FROM", "WHERE", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER", "TABLE", "INDEX",
+    "VIEW", "GRANT", "REVOKE", "USER", "ROLE", "DATE", "TIME", "TIMESTAMP", "INTERVAL", "YEAR", "MONTH",
+    "DAY", "HOUR", "MINUTE", "SECOND", "LEVEL", "CONNECT", "ORDER", "GROUP", "HAVING", "UNION", "INTERSECT",
+    "MINUS", "DISTINCT", "ALL", "ANY", "SOME", "EXISTS", "IN", "LIKE", "BETWEEN", "IS", "NULL", "NOT", "AND",
+    "OR", "CASE", "WHEN", "THEN", "ELSE", "END", "AS", "ON", "USING", "NATURAL", "JOIN", "INNER", "LEFT",
+    "RIGHT", "FULL", "OUTER", "CROSS", "COMMENT", "CONSTRAINT", "PRIMARY", "KEY", "FOREIGN", "REFERENCES",
+    "UNIQUE", "CHECK", "DEFAULT", "SEQUENCE", "NEXTVAL", "CURRVAL", "ROWNUM", "ROWID", "SYSDATE",
+    "SYSTIMESTAMP", "DESC",
+})
 
 # Extra target columns the checks expect and do not report.
 EXPECTED_EXTRA_COLUMNS = ("U_ID",)
@@ -50,10 +47,6 @@ def sanitize_column_name(name: str | None) -> str:
     return out.upper()
 
 
-def is_reserved(name: str) -> bool:
-    return name.upper() in RESERVED_WORDS
-
-
 def quote_identifier(name: str) -> str:
     """The name as written in DDL (reserved words in double quotes)."""
     return f'"{name}"' if name in RESERVED_WORDS else name

@@ -1,7 +1,6 @@
 """Value rules as Spark column expressions.
 
-Three stages, each one ``select`` over all columns, so Catalyst keeps the whole chain inside
-whole-stage code generation:
+Three stages, each one ``select`` over all columns:
 
 * ``read``  - what happens while the source is fetched: binary to hex, date/time to millisecond
   text, padding trim and Unicode NFC of text, everything else cast to string.
@@ -12,7 +11,9 @@ whole-stage code generation:
   vocabulary, no truncation.
 
 NFC has no Spark built-in; it calls ICU (shipped with Spark 4) inside the JVM, and only for
-text that is not pure ASCII. An Arrow UDF over the non-ASCII values is the fallback.
+text that is not pure ASCII. That call is reflection, so a projection with text columns is not in
+whole-stage code generation; every other rule is a built-in expression. An Arrow UDF over the
+non-ASCII values is the fallback.
 """
 
 from __future__ import annotations
@@ -144,6 +145,8 @@ def read_value(c: Column, dtype: T.DataType, *, binary: str = "hex", date_style:
         return binary_hex(c) if binary == "hex" else bytes_decode(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return datetime_ms(c)
+    if isinstance(dtype, T.TimeType):
+        return F.concat(F.lit(X.BARE_TIME_DATE + " "), F.substring(F.rpad(c.cast("string"), 15, ".000000"), 1, 12))
     if isinstance(dtype, T.DateType):
         return date_only(c) if date_style == "date" else datetime_ms(c)
     if isinstance(dtype, T.StringType):
@@ -215,38 +218,33 @@ def read_stage(df: DataFrame, **options) -> DataFrame:
                       for f in df.schema.fields])
 
 
-def load_stage(df: DataFrame, max_chars: int | None = X.TARGET_TEXT_CHARS) -> DataFrame:
-    """Load rules over an all-text frame (output of ``read_stage``)."""
-    return df.select([load_value(F.col(f"`{c}`"), max_chars).alias(c) for c in df.columns])
-
-
-def check_stage(df: DataFrame) -> DataFrame:
-    """Check rules over an all-text frame."""
-    return df.select([check_value(F.col(f"`{c}`")).alias(c) for c in df.columns])
-
-
 def normalise(df: DataFrame, stage: str = "load", max_chars: int | None = X.TARGET_TEXT_CHARS,
               **read_options) -> DataFrame:
     """Source frame to the text the target receives (``load``) or to the check form (``check``).
 
-    One projection over all columns. Load rules are only attached where the source type lets
-    them change anything (see ``load_rules_can_apply``); the result is the same, the work less.
+    Two projections: the read rules give every column one text, and the load or check rules
+    refer to that column, so no read rule is repeated in their branches. Load rules are only
+    attached where the source type lets them change anything (``load_rules_can_apply``). Filter
+    before normalising: a filter above a frame with text columns stays above the NFC call.
     """
     if stage not in ("read", "load", "check"):
         raise ValueError(f"unknown stage {stage!r}")
+    text = read_stage(df, **read_options)
+    if stage == "read":
+        return text
     cols = []
     for f in df.schema.fields:
-        v = read_value(F.col(f"`{f.name}`"), f.dataType, **read_options)
-        if stage == "load":
+        v = F.col(f"`{f.name}`")
+        if stage == "check":
+            v = check_value(v)
+        else:
             scope = load_rules_can_apply(f.dataType, read_options.get("binary", "hex"))
             if scope == "all":
                 v = load_value(v, max_chars)
             elif scope == "truncate" and max_chars is not None:
                 v = truncate(v, max_chars)
-        elif stage == "check":
-            v = check_value(v)
         cols.append(v.alias(f.name))
-    return df.select(cols)
+    return text.select(cols)
 
 
 def truncation_report(df: DataFrame, max_chars: int = X.TARGET_TEXT_CHARS) -> DataFrame:

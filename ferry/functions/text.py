@@ -38,12 +38,6 @@ PY_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The same set as a regex class, written so that Java and RE2 both read it.
-PY_WHITESPACE_CLASS = (
-    r"[\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-
 # Timestamp text with six fraction digits; the first three are kept, the rest of the text goes.
 DATETIME_TEXT = (
     r"(?s)^(\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2} \p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2})\.(\p{Nd}{3})\p{Nd}{3}.*$"
@@ -58,3 +52,6 @@ ID_SEPARATORS = r"[/_-]"
 # Render format of date/time values: milliseconds, truncated.
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 DATE_FORMAT = "yyyy-MM-dd"
+
+# Date in front of a value that is only a time.
+BARE_TIME_DATE = "1900-01-01"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -219,7 +221,7 @@ def pair_rows(source: DataFrame, target: DataFrame, keys: list[str], columns: li
 
     A tagged union and one ``groupBy(keys)``: partial aggregation collapses a hot key before the
     shuffle, and no pair of rows is ever formed, so duplicate keys cannot multiply rows.
-    Used where the values themselves are needed (examples); counts use ``pair_hashes``.
+    Used where the values themselves are needed (a few keys); counts use ``pair_hashes``.
     """
     def side(df, flag):
         return df.select(*[F.col(f"`{k}`").alias(f"k_{i}") for i, k in enumerate(keys)],
@@ -234,12 +236,6 @@ def pair_rows(source: DataFrame, target: DataFrame, keys: list[str], columns: li
     return u.groupBy(*[f"k_{i}" for i in range(len(keys))]).agg(*aggs)
 
 
-def _hash128(form):
-    """Two independent 64-bit hashes of a text (128 bits): equal forms give equal pairs, and
-    different forms collide with probability about 2^-128."""
-    return F.xxhash64(form), F.xxhash64(form, F.lit("second"))
-
-
 def pair_hashes(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """``pair_rows`` for the match counts: per key the row count of each side and, per column
     and side, 128-bit hashes of the two comparison forms of the value (``p`` = lower-cased with
@@ -248,14 +244,14 @@ def pair_hashes(source: DataFrame, target: DataFrame, keys: list[str], columns:
     Every aggregate is numeric or boolean, so this is a hash aggregate with map-side partial
     aggregation, and the shuffle carries 32 bytes per value instead of the text.
     """
-    from ferry.operators.profile import _boolish
+    from ferry.operators.profile import _boolish, hash128
 
     def side(df, flag):
         out = [*[F.col(f"`{k}`").alias(f"k_{i}") for i, k in enumerate(keys)], F.lit(flag).alias("__s")]
         for i, c in enumerate(columns):
             v = F.col(f"`{c}`").cast("string")
-            p1, p2 = _hash128(F.lower(F.coalesce(v, F.lit(""))))
-            b1, b2 = _hash128(bool_normalise(v))
+            p1, p2 = hash128(F.lower(F.coalesce(v, F.lit(""))))
+            b1, b2 = hash128(bool_normalise(v))
             out += [p1.alias(f"p1_{i}"), p2.alias(f"p2_{i}"),
                     F.when(v.isNotNull(), b1).alias(f"b1_{i}"), F.when(v.isNotNull(), b2).alias(f"b2_{i}"),
                     F.when(v.isNotNull(), _boolish(v)).alias(f"w_{i}")]
@@ -279,14 +275,6 @@ def _hashed_equal(i: int, is_bool: bool):
         F.coalesce((col("sb1") == col("tb1")) & (col("sb2") == col("tb2")), F.lit(False))
 
 
-def _row_equal(s, t, is_bool):
-    """Q12 value rule: both NULL, or equal ignoring case with NULL read as ''; for a boolean-like
-    column, equal after boolean normalisation of both sides."""
-    plain = F.lower(F.coalesce(s, F.lit(""))) == F.lower(F.coalesce(t, F.lit("")))
-    boolean = (s.isNull() & t.isNull()) | F.coalesce(bool_normalise(s) == bool_normalise(t), F.lit(False))
-    return F.when(F.lit(is_bool), boolean).otherwise((s.isNull() & t.isNull()) | plain)
-
-
 def _exact_bool_like(df: DataFrame, columns: list[str]) -> set[str]:
     """The full Q3 test (at most 10 distinct values) on just the named columns of one side; the
     per-column flags are one row per column, so collecting them is bounded by the schema."""
@@ -314,16 +302,35 @@ def boolean_like_names(source: DataFrame, target: DataFrame, columns: list[str])
     return _exact_bool_like(source, candidates(source)) | _exact_bool_like(target, candidates(target))
 
 
+def align_target(source: DataFrame, target: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+    """The target under the source's column names (paired by name, by sanitised name, else ignoring case),
+    the source columns it lacks, and its columns that nothing pairs with (the row id left out)."""
+    left, pairs = list(target.columns), {}
+    for same in (lambda c, t: t == c, lambda c, t: t == _pair_key(c, "sanitized"), lambda c, t: t.upper() == c.upper()):
+        for c in source.columns:
+            hit = next((t for t in left if c not in pairs and same(c, t)), None)
+            if hit is not None:
+                pairs[c] = hit
+                left.remove(hit)
+    aligned = target.select([F.col(f"`{t}`").alias(c) for c, t in pairs.items()])
+    return aligned, [c for c in source.columns if c not in pairs], [t for t in left if t not in EXPECTED_EXTRA_COLUMNS]
+
+
 def compare_rows_by_key(source: DataFrame, target: DataFrame, keys: list[str],
                         columns: list[str] | None = None,
                         boolean_columns: set[str] | frozenset | None = None) -> DataFrame:
     """Q12 by key: per column, rows compared, rows equal, rate and verdict (>= 95 %).
 
+    Target columns pair with source columns by sanitised name or ignoring case. ``status`` is
+    ``COMPARED``, ``MISSING`` (a source column the target lacks: no row matches) or ``ADDITIONAL``
+    (a target column nothing pairs with: only named).
+
     A key counts as one row. Keys present on one side only, or more than once on either side,
     are never paired and count as differing rows. ``boolean_columns=None`` detects the
     boolean-like columns of both sides inside the pairing pass (every value a boolean word);
     only candidate columns get a narrow second scan for the exact distinct-value test.
     """
+    target, missing, additional = align_target(source, target)
     columns = columns or [c for c in source.columns if c not in keys and c in target.columns]
     detect = boolean_columns is None
     paired = pair_hashes(source, target, keys, columns)
@@ -349,14 +356,19 @@ def compare_rows_by_key(source: DataFrame, target: DataFrame, keys: list[str],
         wide = wide.select("total_keys", "unpaired_keys", *[
             F.col(f"mb_{i}" if c in boolean_columns else f"mp_{i}").alias(f"m_{i}")
             for i, c in enumerate(columns)])
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"m_{i}").alias("matched_rows"))
-        for i, c in enumerate(columns)]))
+    known = [F.struct(F.lit(c).alias("column_name"), F.col(f"m_{i}").cast("bigint").alias("matched_rows"),
+                      F.lit("COMPARED").alias("status")) for i, c in enumerate(columns)]
+    known += [F.struct(F.lit(c).alias("column_name"), F.lit(0).cast("bigint").alias("matched_rows"),
+                       F.lit("MISSING").alias("status")) for c in missing]
+    known += [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("bigint").alias("matched_rows"),
+                       F.lit("ADDITIONAL").alias("status")) for c in additional]
+    rows = F.explode(F.array(*known))
     out = wide.select("total_keys", "unpaired_keys", rows.alias("r")).select(
-        "r.column_name", F.col("total_keys").cast("bigint").alias("total_rows"),
+        "r.column_name", "r.status", F.col("total_keys").cast("bigint").alias("total_rows"),
         F.col("r.matched_rows").cast("bigint").alias("matched_rows"),
         F.col("unpaired_keys").cast("bigint").alias("unpaired_keys"))
     rate = F.when(F.col("total_rows") > 0, F.col("matched_rows") / F.col("total_rows")).otherwise(F.lit(0.0))
+    rate = F.when(F.col("status") != "ADDITIONAL", rate)
     return out.withColumn("mismatched_rows", F.col("total_rows") - F.col("matched_rows")) \
         .withColumn("match_rate", rate) \
         .withColumn("is_match", F.col("match_rate") >= ROW_MATCH_RATE)
@@ -368,31 +380,40 @@ def mismatch_examples(source: DataFrame, target: DataFrame, keys: list[str],
                       keep: int = EXAMPLES_KEPT) -> DataFrame:
     """Q13: per column, the first ``keep`` differing keys (key order) with both values.
 
-    ``row_number() <= keep`` over ``partitionBy(column)`` is planned with a partial
-    WindowGroupLimit before the shuffle, so each map task sends at most ``keep`` rows per column.
+    The differing keys come from the hashes; ``row_number() <= keep`` per column is planned with a
+    partial WindowGroupLimit, so each task sends at most ``keep`` keys per column. Only the values
+    of those keys (at most ``keep`` times the columns) are then fetched from both sides.
     """
+    target, _, _ = align_target(source, target)
     columns = columns or [c for c in source.columns if c not in keys and c in target.columns]
     if boolean_columns is None:
         boolean_columns = boolean_like_names(source, target, columns)
-    paired = pair_rows(source, target, keys, columns)
+    paired = pair_hashes(source, target, keys, columns)
     single = (F.col("n_source") == 1) & (F.col("n_target") == 1)
-    key_text = F.concat_ws(", ", *[F.col(f"k_{i}").cast("string") for i in range(len(keys))])
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"s_{i}").alias("source_value"),
-                 F.col(f"t_{i}").alias("target_value"),
-                 (~(single & _row_equal(F.col(f"s_{i}"), F.col(f"t_{i}"), c in boolean_columns)))
-                 .alias("differs"))
-        for i, c in enumerate(columns)])
-    keycols = [F.col(f"k_{i}") for i in range(len(keys))]
-    long = paired.select(*keycols, key_text.alias("row_key"), "n_source", "n_target",
-                         F.explode(entries).alias("e")) \
-        .where(F.col("e.differs")) \
-        .select(*keycols, "row_key", "n_source", "n_target", "e.column_name", "e.source_value",
-                "e.target_value")
-    w = Window.partitionBy("column_name").orderBy(*keycols)
-    return long.withColumn("example_rank", F.row_number().over(w)).where(F.col("example_rank") <= keep) \
-        .select("column_name", "example_rank", "row_key", F.col("n_source").cast("bigint"),
-                F.col("n_target").cast("bigint"), "source_value", "target_value")
+    ks = [f"k_{i}" for i in range(len(keys))]
+    differs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("i"),
+                                 (~(single & _hashed_equal(i, c in boolean_columns))).alias("differs"))
+                        for i, c in enumerate(columns)])
+    long = paired.select(*ks, "n_source", "n_target", F.explode(differs).alias("e")).where("e.differs") \
+        .select(*ks, "n_source", "n_target", "e.column_name", "e.i")
+    w = Window.partitionBy("column_name").orderBy(*ks)
+    shared_dir(source.sparkSession)
+    shown = long.withColumn("example_rank", F.row_number().over(w)).where(F.col("example_rank") <= keep) \
+        .checkpoint(eager=True)
+    # at most ``keep`` keys per column: a bounded side
+    wanted = F.broadcast(shown.select(*[F.col(k).alias(f"w{k}") for k in ks]).distinct())
+
+    def side(df):
+        return df.join(wanted, reduce(lambda x, y: x & y, [
+            F.col(f"`{c}`").eqNullSafe(F.col(f"w{k}")) for c, k in zip(keys, ks)]), "left_semi")
+    values = pair_rows(side(source), side(target), keys, columns).select(
+        *[F.col(k).alias(f"v{k}") for k in ks], F.array(*[F.struct(
+            F.col(f"s_{i}").alias("s"), F.col(f"t_{i}").alias("t")) for i in range(len(columns))]).alias("v"))
+    pair = F.get("v", F.col("i"))
+    return shown.join(values, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"v{k}")) for k in ks])).select(
+        "column_name", "example_rank", F.concat_ws(", ", *[F.col(k).cast("string") for k in ks]).alias("row_key"),
+        F.col("n_source").cast("bigint"), F.col("n_target").cast("bigint"),
+        pair["s"].alias("source_value"), pair["t"].alias("target_value"))
 
 
 def mismatch_summary(rows: DataFrame, examples: DataFrame) -> DataFrame:
@@ -406,7 +427,7 @@ def mismatch_summary(rows: DataFrame, examples: DataFrame) -> DataFrame:
             F.concat(F.lit("Row "), F.col("row_key"), F.lit(": '"), F.coalesce("source_value", F.lit("None")),
                      F.lit("' vs '"), F.coalesce("target_value", F.lit("None")), F.lit("'")).alias("t"))))
         .alias("ex"))
-    j = rows.where(~F.col("is_match")).join(ex, "column_name", "left")
+    j = rows.where((F.col("status") == "COMPARED") & ~F.col("is_match")).join(ex, "column_name", "left")
     shown = F.transform(F.slice(F.col("ex"), 1, EXAMPLES_SHOWN), lambda e: e["t"])
     more = F.size(F.col("ex")) - EXAMPLES_SHOWN
     text = F.concat(

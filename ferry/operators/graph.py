@@ -12,12 +12,14 @@ a lost executor only recomputes one round.
   label's root within its colour; found components are removed and the rest repeats.
 * ``dependency_levels``: Kahn peeling by frontier - a node's level is one more than its deepest
   parent; nodes on or behind a cycle never become free and keep a NULL level.
-* ``break_cycles``: inside each component, drop every edge whose parent sorts before (or equals)
-  its child; remaining intra-component edges all point "up", so no cycle can remain.
+* ``break_cycles``: one edge per cyclic component and round, then the components again, until no
+  cycle is left.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,36 +63,40 @@ def missing_parents(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         .withColumnRenamed("parent", "missing_node")
 
 
+COMPACT_EVERY = 4
+
+
 def _peel(e: DataFrame, v: DataFrame, upward: bool = True) -> DataFrame:
     """Kahn peeling by frontier: (node, round) for every node that ever becomes free.
 
     ``upward``: a node is free once all its parents are (round = longest path to a node without
-    parents); otherwise once all its children are. Each round joins only the edges at the
-    frontier; nodes on, or behind, a cycle never become free.
+    parents); otherwise once all its children are. A round joins the frontier with the edges that are
+    left and counts the edges freed per node (partial counts first, so a node with very many edges is
+    added up before the shuffle, and its join partition can be split). Every ``COMPACT_EVERY`` rounds
+    the edges of peeled nodes are dropped and the state is written anew, so the work shrinks with
+    what is left. Nodes on, or behind, a cycle never become free.
     """
     src, dst = ("child", "parent") if upward else ("parent", "child")
-    # edges and pending counts are hash-partitioned and sorted by their join key once; the
-    # checkpoints keep partitioning and order, so each round's sort-merge joins neither shuffle
-    # nor re-sort them, and only the freed counts (one row per touched node) are shuffled
-    e = _ckpt(e.select(src, dst).repartition(dst).sortWithinPartitions(dst))
-    pending = _ckpt(e.groupBy(src).agg(F.count(F.lit(1)).alias("remaining")).withColumnRenamed(src, "node")
-                    .repartition("node").sortWithinPartitions("node"))
+    e = e.select(src, dst)
+    pending = _ckpt(e.groupBy(src).agg(F.count(F.lit(1)).alias("remaining")).withColumnRenamed(src, "node"))
     frontier = _ckpt(v.join(pending, "node", "left_anti").select("node", F.lit(0).alias("round")))
-    found = [frontier]
+    found, recent = frontier, []
     r = 0
     while not frontier.isEmpty():
         r += 1
         freed = e.join(frontier.select(F.col("node").alias(dst)), dst) \
             .groupBy(src).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed(src, "node")
-        pending = _ckpt(pending.join(freed, "node", "left")
-                        .select("node", (F.col("remaining") - F.coalesce("n", F.lit(0))).alias("remaining")))
-        frontier = pending.where(F.col("remaining") == 0).select("node", F.lit(r).alias("round"))
-        pending = pending.where(F.col("remaining") > 0)
-        found.append(frontier)
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+        state = _ckpt(pending.join(freed, "node", "left")
+                      .select("node", (F.col("remaining") - F.coalesce("n", F.lit(0))).alias("remaining")))
+        frontier = state.where(F.col("remaining") == 0).select("node", F.lit(r).alias("round"))
+        pending = state.where(F.col("remaining") > 0)
+        recent.append(frontier)
+        if len(recent) == COMPACT_EVERY:
+            peeled = reduce(lambda a, b: a.unionByName(b), recent)
+            found, recent = _ckpt(found.unionByName(peeled)), []
+            # an edge is used up when its source node is no longer pending
+            e = _ckpt(e.join(pending.select(F.col("node").alias(src)), src, "left_semi"))
+    return reduce(lambda a, b: a.unionByName(b), [found, *recent])
 
 
 def strongly_connected(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -160,15 +166,33 @@ def cycle_members(components: DataFrame) -> DataFrame:
         .select("node", "component", "component_size", "self_loop")
 
 
-def break_cycles(edges: DataFrame, components: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept_edges, dropped_edges). Dropped: edges inside one component whose parent id is
-    not greater than the child id (self-loops included)."""
-    e = _edges(edges).distinct()
+def _inside(edges: DataFrame, components: DataFrame) -> DataFrame:
+    """(child, parent, component) of the edges that lie inside one component."""
     comp = components.select("node", "component")
-    tagged = e.join(comp.withColumnRenamed("node", "child").withColumnRenamed("component", "cc"), "child") \
-        .join(comp.withColumnRenamed("node", "parent").withColumnRenamed("component", "pc"), "parent")
-    drop = (F.col("cc") == F.col("pc")) & (F.col("parent") <= F.col("child"))
-    return tagged.where(~drop).select("child", "parent"), tagged.where(drop).select("child", "parent")
+    return edges.join(comp.select(F.col("node").alias("child"), "component"), "child") \
+        .join(comp.select(F.col("node").alias("parent"), F.col("component").alias("pc")), "parent") \
+        .where(F.col("component") == F.col("pc")).select("child", "parent", "component")
+
+
+def break_cycles(edges: DataFrame, components: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept_edges, dropped_edges). Per round every cyclic component loses one edge, the one with
+    the smallest child, then the smallest parent, of those with both ends in it (self-loops
+    included); the components of what is left are found again until none is cyclic.
+
+    After the first round only edges inside cyclic components are looked at; rounds are as many as
+    the component that needs most edges dropped.
+    """
+    e = _ckpt(_edges(edges).distinct())
+    core = _ckpt(_inside(e, components))
+    dropped = None
+    while not core.isEmpty():
+        one = _ckpt(core.groupBy("component").agg(F.min(F.struct("child", "parent")).alias("e")).select("e.*"))
+        dropped = one if dropped is None else _ckpt(dropped.unionByName(one))
+        rest = _ckpt(core.join(one, ["child", "parent"], "left_anti").select("child", "parent"))
+        core = _ckpt(_inside(rest, strongly_connected(rest)))
+    if dropped is None:
+        return e, e.limit(0)
+    return e.join(dropped, ["child", "parent"], "left_anti"), dropped
 
 
 def dependency_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -188,11 +212,3 @@ def dependency_order(edges: DataFrame, nodes: DataFrame | None = None) -> DataFr
     comps = strongly_connected(edges, nodes)
     kept, _ = break_cycles(edges, comps)
     return dependency_levels(kept, all_nodes(edges, nodes)).orderBy("level", "node")
-
-
-def level_summary(levels: DataFrame) -> DataFrame:
-    """Totals of D6: nodes, nodes with a level, nodes with parents, max depth."""
-    return levels.agg(F.count(F.lit(1)).cast("bigint").alias("total_nodes"),
-                      F.count("level").cast("bigint").alias("levelled_nodes"),
-                      F.count_if(F.col("level") > 0).cast("bigint").alias("nodes_with_parents"),
-                      F.coalesce(F.max("level"), F.lit(0)).alias("max_depth"))

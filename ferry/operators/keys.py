@@ -48,9 +48,3 @@ def fk_orphans(child: DataFrame, fk, parent: DataFrame, ref) -> DataFrame:
     counted = child.where(not_null).groupBy(*fk).agg(F.count(F.lit(1)).cast("bigint").alias("orphan_rows"))
     parent_keys = parent.select(*[F.col(r).alias(f) for r, f in zip(ref, fk)]).distinct()
     return counted.join(parent_keys, on=fk, how="left_anti")
-
-
-def fk_orphan_summary(orphans: DataFrame) -> DataFrame:
-    """One row: orphan key values and orphan rows (the constraint can be created iff both are 0)."""
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("orphan_keys"),
-                       F.coalesce(F.sum("orphan_rows"), F.lit(0)).cast("bigint").alias("orphan_rows"))

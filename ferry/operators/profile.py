@@ -1,17 +1,13 @@
 """Column profiles: per-column statistics in one pass per question, never one scan per column.
 
 ``column_stats`` (Q3, Q4, Q7) answers count, null count, exact distinct count, string min/max,
-average length and the boolean-like flag for every column of an all-text frame, reading the
-data once:
-
-* a frequency table: ``unpivot`` to (column, value) and ``groupBy(column, value)`` with map-side
-  partial aggregation (a hot value collapses before the shuffle), carrying the row count and
-  total length of each key. Values longer than ``hash_over`` characters are grouped by their
-  SHA-256, so long text is not shuffled; distinct counts stay exact.
-* ``groupBy(column)`` over that table gives one row per column: counts, total length, distinct
-  count, min/max of the kept keys, the boolean-like flag. It is materialised (tens of rows).
-* only columns with hashed (long) values, and on the source side boolean-like columns, get a
-  second scan of just those columns for their exact min/max after normalisation.
+average length and the boolean-like flag for every column of an all-text frame in two passes:
+
+* one global aggregate (one row per task is shuffled) for counts, lengths, min, max, the boolean
+  test, and min, max and length after boolean normalisation;
+* the distinct counts: ``unpivot`` to (column, 128-bit hash of the value) and ``groupBy`` of the
+  hashes with map-side partial aggregation. Hot values collapse before the shuffle, text of any
+  length travels as 16 bytes, and both levels are hash aggregates.
 
 ``profile_columns`` (S5, P5) is the source-type / max-length / nullable profile the target
 schema is built from.
@@ -25,26 +21,16 @@ from pyspark.sql import types as T
 
 from ferry.functions import text as X
 from ferry.functions.names import column_mapping, quote_identifier
-from ferry.functions.normalise import bool_normalise, is_blank, py_strip
-from ferry.session import shared_dir
+from ferry.functions.normalise import is_blank, py_strip
 
 STATS_COLUMNS = ["column_name", "position", "row_count", "non_null_count", "null_count",
                  "distinct_count", "min_value", "max_value", "avg_length", "is_boolean_like"]
 
-HASH_OVER_CHARS = 64
-
 
 def _col(name: str):
     return F.col(f"`{name}`")
 
 
-def _columns_frame(df: DataFrame) -> DataFrame:
-    """(column_name, position): one row per column of ``df``, built inside the plan."""
-    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"))
-            for i, c in enumerate(df.columns)]
-    return df.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
 def _edge_space(c):
     """First or last character is Python whitespace (only then can a strip change the value)."""
     spaces = [ord(ch) for ch in X.PY_WHITESPACE]
@@ -68,131 +54,86 @@ def _bool_normalised(k):
         .otherwise(k)
 
 
-HASH_TAG = "#sha256:"
+def hash128(v):
+    """Two 64-bit hashes of a text under different seeds (the constant goes first, so neither is a
+    function of the other)."""
+    return F.xxhash64(F.lit("a"), v), F.xxhash64(F.lit("b"), v)
 
 
-def frequency_table(df: DataFrame, hash_over: int = HASH_OVER_CHARS) -> DataFrame:
-    """(column_name, value_key, cnt, sum_len): one row per distinct value of every column.
-
-    ``value_key`` is the value itself, or for a long value that is not boolean-like a tagged
-    SHA-256 (tag + 64 hex digits is longer than ``hash_over``, so it never equals a kept value);
-    the NULL key row carries the null count, ``sum_len`` the total length of the rows of the key.
-    Per input value only ``length`` is computed, plus the boolean test and the hash for the few
-    long values. A hot value collapses to one row per map task before the shuffle.
-    """
-    long = df.unpivot([], df.columns, "column_name", "v")
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(column_name, distinct_non_null, b_distinct): distinct non-null values of every column, and
+    after Q4 normalisation (the values '1' and '0', plus every other value)."""
     v = F.col("v")
-    key = F.when(F.length(v) <= hash_over, v).when(_boolish(v), v) \
-        .otherwise(F.concat(F.lit(HASH_TAG), F.sha2(v, 256)))
-    return (long.select("column_name", key.alias("value_key"), F.length(v).alias("len"))
-            .groupBy("column_name", "value_key")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.sum("len").alias("sum_len")))
-
-
-def _per_column(freq: DataFrame, hash_over: int = HASH_OVER_CHARS) -> DataFrame:
-    """Second level, one row per column with at least one row: row and non-null counts, total
-    length, distinct count, min/max over the kept (short) keys and whether hashed keys exist,
-    the boolean-like flag, and the distinct count after Q4 normalisation (values '1', '0', plus
-    every other key, which stays distinct)."""
-    k = F.col("value_key")
-    hashed = k.startswith(HASH_TAG) & (F.length(k) == len(HASH_TAG) + 64)
-    kept = F.when(~hashed, k)
-    # hashed keys are never boolean-like; every other key is the value itself
-    boolish = ~hashed & _boolish(k)
-    nv = _bool_normalised(k)
-    return freq.groupBy("column_name").agg(
-        F.sum("cnt").alias("row_count"),
-        F.sum(F.when(k.isNotNull(), F.col("cnt"))).alias("non_null_count"),
-        F.sum("sum_len").alias("sum_len"),
-        F.count(k).alias("distinct_non_null"),
-        F.min(kept).alias("min_kept"), F.max(kept).alias("max_kept"),
-        F.max(hashed).alias("has_hashed"),
-        F.bool_and(F.when(k.isNotNull(), boolish)).alias("all_boolish"),
-        (F.max(F.when(nv == "1", 1).otherwise(0)) + F.max(F.when(nv == "0", 1).otherwise(0))
-         + F.count_if(k.isNotNull() & ~nv.isin("0", "1"))).alias("b_distinct"),
-    ).withColumn(
-        "is_boolean_like",
-        (F.col("distinct_non_null") > 0) & (F.col("distinct_non_null") <= X.BOOL_LIKE_MAX_DISTINCT)
-        & F.coalesce(F.col("all_boolish"), F.lit(False)))
-
-
-def _narrow_stats(df: DataFrame, bool_cols: list[str], long_cols: list[str]) -> DataFrame:
-    """One scan of just the named columns (usually few or none): min, max and total length after
-    Q4 normalisation for boolean-like columns, exact min and max for columns with long values."""
-    aggs, rows = [], []
-    for i, c in enumerate(dict.fromkeys(bool_cols + long_cols)):
-        b = bool_normalise(_col(c))
-        if c in bool_cols:
-            aggs += [F.min(b).alias(f"a{i}"), F.max(b).alias(f"z{i}"), F.sum(F.length(b)).alias(f"l{i}")]
-        else:
-            aggs += [F.lit(None).cast("string").alias(f"a{i}"), F.lit(None).cast("string").alias(f"z{i}"),
-                     F.lit(None).cast("bigint").alias(f"l{i}")]
-        if c in long_cols:
-            aggs += [F.min(_col(c)).alias(f"m{i}"), F.max(_col(c)).alias(f"x{i}")]
-        else:
-            aggs += [F.lit(None).cast("string").alias(f"m{i}"), F.lit(None).cast("string").alias(f"x{i}")]
-        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("b_min"),
-                             F.col(f"z{i}").alias("b_max"), F.col(f"l{i}").alias("b_sum_len"),
-                             F.col(f"m{i}").alias("l_min"), F.col(f"x{i}").alias("l_max")))
-    cols = list(dict.fromkeys(bool_cols + long_cols))
-    return df.select([_col(c) for c in cols]).agg(*aggs).select(F.explode(F.array(*rows)).alias("r")) \
-        .select("r.*")
-
-
-def column_stats(df: DataFrame, normalise_booleans: bool = False,
-                 hash_over: int = HASH_OVER_CHARS) -> DataFrame:
+    one, two = hash128(v)
+    nv = _bool_normalised(v)
+    rows = df.unpivot([], df.columns, "column_name", "v").where(v.isNotNull())
+    values = rows.select("column_name", one.alias("h1"), two.alias("h2"),
+                         F.when(nv == "1", 1).when(nv == "0", 2).otherwise(0).alias("word")) \
+        .groupBy("column_name", "h1", "h2").agg(F.max("word").alias("word"))
+    return values.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("distinct_non_null"),
+        (F.max(F.when(F.col("word") == 1, 1).otherwise(0)) + F.max(F.when(F.col("word") == 2, 1).otherwise(0))
+         + F.count_if(F.col("word") == 0)).alias("b_distinct"))
+
+
+def _whole_column(df: DataFrame, normalise_booleans: bool) -> DataFrame:
+    """One row per column from one global aggregate: counts, lengths, min, max, the boolean test and,
+    where asked for, min, max and total length after boolean normalisation."""
+    aggs, rows = [F.count(F.lit(1)).alias("n")], []
+    for i, c in enumerate(df.columns):
+        v = _col(c)
+        b = _bool_normalised(v)
+        aggs += [F.count(v).alias(f"c{i}"), F.sum(F.length(v)).alias(f"l{i}"), F.min(v).alias(f"m{i}"), F.max(v).alias(f"x{i}"),
+                 F.bool_and(F.when(v.isNotNull(), _boolish(v))).alias(f"w{i}")]
+        if normalise_booleans:
+            # only short text can be boolean-like: a long value keeps the column out anyway
+            short = F.when(_boolish(v), b)
+            aggs += [F.min(short).alias(f"bm{i}"), F.max(short).alias(f"bx{i}"), F.sum(F.length(short)).alias(f"bl{i}")]
+        rows.append(F.struct(
+            F.lit(c).alias("column_name"), F.lit(i).alias("position"), F.col("n").alias("row_count"),
+            F.col(f"c{i}").alias("non_null_count"), F.col(f"l{i}").alias("sum_len"), F.col(f"m{i}").alias("min_value"),
+            F.col(f"x{i}").alias("max_value"), F.coalesce(F.col(f"w{i}"), F.lit(False)).alias("all_boolish"),
+            *([F.col(f"b{k}{i}").alias(n) for k, n in (("m", "b_min"), ("x", "b_max"), ("l", "b_len"))]
+              if normalise_booleans else [])))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _is_boolean_like():
+    return (F.col("distinct_non_null") > 0) & (F.col("distinct_non_null") <= X.BOOL_LIKE_MAX_DISTINCT) & F.col("all_boolish")
+
+
+def column_stats(df: DataFrame, normalise_booleans: bool = False) -> DataFrame:
     """Q7 statistics of every column of an all-text frame, one row per column.
 
     ``distinct_count`` counts NULL as one value when present. ``min_value``/``max_value`` are
     string min/max over non-null values, ``avg_length`` the mean length in characters of
     non-null values. With ``normalise_booleans`` (source side), boolean-like columns are
-    profiled after Q4 normalisation.
-
-    One pass over the data builds the frequency table and reduces it to one row per column
-    (checkpointed: it is tiny and decides the rest). Only columns that have long (hashed) values
-    or are boolean-like get a second, narrow scan of just those columns for their exact min/max.
+    profiled after Q4 normalisation. Distinct values are told apart by 128-bit hashes.
     """
-    shared_dir(df.sparkSession)
-    per_col = _per_column(frequency_table(df, hash_over), hash_over).checkpoint(eager=True)
-    # per_col holds one row per column (bounded by the schema); the flags come to the driver
-    flags = per_col.select("column_name", "is_boolean_like", "has_hashed").collect()
-    bool_cols = [r["column_name"] for r in flags if r["is_boolean_like"]] if normalise_booleans else []
-    long_cols = [r["column_name"] for r in flags if r["has_hashed"]]
-    # left join from the column list: an empty frame still gives one row per column
-    out = _columns_frame(df).join(F.broadcast(per_col), "column_name", "left")
-    rc = F.coalesce(F.col("row_count"), F.lit(0))
-    nn = F.coalesce(F.col("non_null_count"), F.lit(0))
-    distinct = F.col("distinct_non_null")
-    mn, mx, sl = F.col("min_kept"), F.col("max_kept"), F.col("sum_len")
-    if bool_cols or long_cols:
-        out = out.join(F.broadcast(_narrow_stats(df, bool_cols, long_cols)), "column_name", "left")
-        use_l = F.coalesce(F.col("has_hashed"), F.lit(False))
-        mn = F.when(use_l, F.col("l_min")).otherwise(mn)
-        mx = F.when(use_l, F.col("l_max")).otherwise(mx)
-    if bool_cols:
-        use_b = F.coalesce(F.col("is_boolean_like"), F.lit(False))
-        distinct = F.when(use_b, F.col("b_distinct")).otherwise(distinct)
-        mn = F.when(use_b, F.col("b_min")).otherwise(mn)
-        mx = F.when(use_b, F.col("b_max")).otherwise(mx)
-        sl = F.when(use_b, F.col("b_sum_len")).otherwise(sl)
-    null_count = rc - nn
+    # both sides hold one row per column; an empty frame still gives one row per column
+    out = _whole_column(df, normalise_booleans).join(F.broadcast(distinct_counts(df)), "column_name", "left")
+    distinct = F.coalesce("distinct_non_null", F.lit(0))
+    like = F.coalesce(_is_boolean_like(), F.lit(False))
+    mn, mx, sl = F.col("min_value"), F.col("max_value"), F.col("sum_len")
+    if normalise_booleans:
+        distinct = F.when(like, F.col("b_distinct")).otherwise(distinct)
+        mn, mx = F.when(like, F.col("b_min")).otherwise(mn), F.when(like, F.col("b_max")).otherwise(mx)
+        sl = F.when(like, F.col("b_len")).otherwise(sl)
+    nn = F.col("non_null_count")
+    null_count = F.col("row_count") - nn
     return out.select(
-        "column_name", F.col("position").cast("int").alias("position"),
-        rc.cast("bigint").alias("row_count"),
-        nn.cast("bigint").alias("non_null_count"),
-        null_count.cast("bigint").alias("null_count"),
-        (F.coalesce(distinct, F.lit(0)) + F.when(null_count > 0, 1).otherwise(0))
-        .cast("bigint").alias("distinct_count"),
+        "column_name", F.col("position").cast("int").alias("position"), F.col("row_count").cast("bigint").alias("row_count"),
+        nn.cast("bigint").alias("non_null_count"), null_count.cast("bigint").alias("null_count"),
+        (distinct + F.when(null_count > 0, 1).otherwise(0)).cast("bigint").alias("distinct_count"),
         mn.alias("min_value"), mx.alias("max_value"),
-        F.when(nn > 0, sl.cast("double") / nn).alias("avg_length"),
-        F.coalesce(F.col("is_boolean_like"), F.lit(False)).alias("is_boolean_like"),
-    )
+        F.when(nn > 0, sl.cast("double") / nn).alias("avg_length"), like.alias("is_boolean_like"))
 
 
 def bool_like_columns(df: DataFrame) -> DataFrame:
-    """Q3 only: (column_name, distinct_non_null, is_boolean_like) from the frequency table."""
-    return _per_column(frequency_table(df)).select(
-        "column_name", F.col("distinct_non_null").cast("bigint"), "is_boolean_like")
+    """Q3 only: (column_name, distinct_non_null, is_boolean_like)."""
+    whole = _whole_column(df, False).select("column_name", "all_boolish")
+    return whole.join(F.broadcast(distinct_counts(df)), "column_name").select(
+        "column_name", F.col("distinct_non_null").cast("bigint"), _is_boolean_like().alias("is_boolean_like"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -205,24 +146,6 @@ def _type_parts(dtype: T.DataType) -> tuple[str, int | None, int | None]:
     return dtype.simpleString(), None, None
 
 
-def typed_target_type(dtype: T.DataType, max_length: int | None) -> str:
-    """The typed mapping the documentation promises (mode ``typed``)."""
-    if isinstance(dtype, T.StringType):
-        return "VARCHAR2(4000)" if max_length is None else f"VARCHAR2({min(max_length + 50, 4000)})"
-    if isinstance(dtype, T.BooleanType):
-        return "NUMBER(1)"
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-                          T.FloatType, T.DoubleType, T.DecimalType)):
-        return "NUMBER"
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return "TIMESTAMP"
-    if isinstance(dtype, T.DateType):
-        return "DATE"
-    if isinstance(dtype, T.DayTimeIntervalType):
-        return "INTERVAL DAY TO SECOND"
-    return "VARCHAR2(4000)"
-
-
 def profile_columns(source: DataFrame, text: DataFrame) -> DataFrame:
     """Per column: position, source type, precision/scale, target name, max text length
     (255 when there are no non-null values), nullable (a NULL is present).

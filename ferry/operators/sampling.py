@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,13 +17,6 @@ def sample_size(total: int, percentage: float = DEFAULT_SAMPLE_PERCENTAGE,
     return min(total, max(min_sample, min(int(total * percentage), max_sample)))
 
 
-def sample_size_col(total, percentage=DEFAULT_SAMPLE_PERCENTAGE, min_sample=DEFAULT_MIN_SAMPLE,
-                    max_sample=DEFAULT_MAX_SAMPLE):
-    """The same rule as a column expression over a count column."""
-    pct = F.floor(total * F.lit(percentage)).cast("bigint")
-    return F.least(total, F.greatest(F.lit(min_sample), F.least(pct, F.lit(max_sample)))).cast("bigint")
-
-
 def _rank_key(keys: list[str]):
     """Hash of the key text: MD5, whose first 8 hex digits also give a uniform fraction."""
     text = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys])
@@ -35,21 +26,17 @@ def _rank_key(keys: list[str]):
 def sample_rows(df: DataFrame, keys: list[str], n: int, total: int | None = None) -> DataFrame:
     """Exactly ``min(n, total)`` rows: those with the smallest (md5(key), key).
 
-    A prefilter keeps rows whose hash fraction is below ``n/total`` plus a safety margin, so the
-    final ordered limit only sees about ``n`` rows instead of every partition's top n; if the
-    prefilter were ever to keep fewer than n rows the exact unfiltered path is used.
+    A histogram of the first four hex digits (at most 65,536 counts) gives the digits at which the
+    n-th row lies. Rows below it are taken as they are; only the rows of that one cell, about a
+    65,536th of the table, are sorted for the rest.
     """
-    h = _rank_key(keys)
-    ranked = df.withColumn("__h", h)
-    if total is None:
-        total = df.count()
     if n <= 0:
         return df.limit(0)
-    if total <= n:
-        return df
-    frac = n / total
-    margin = min(1.0, frac * 1.1 + 6.0 * math.sqrt(frac / total) + 1e-9)
-    cut = int(margin * 0xFFFFFFFF)
-    pre = ranked.where(F.conv(F.substring("__h", 1, 8), 16, 10).cast("bigint") <= cut)
-    chosen = pre if pre.count() >= n else ranked
-    return chosen.orderBy("__h", *keys).limit(n).drop("__h")
+    ranked = df.withColumn("__h", _rank_key(keys)).withColumn("__p", F.substring("__h", 1, 4))
+    before = 0
+    for row in ranked.groupBy("__p").count().orderBy("__p").collect():
+        if before + row["count"] >= n:
+            cell = ranked.where(F.col("__p") == row["__p"]).orderBy("__h", *keys).limit(n - before)
+            return ranked.where(F.col("__p") < row["__p"]).unionByName(cell).drop("__h", "__p")
+        before += row["count"]
+    return df

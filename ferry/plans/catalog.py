@@ -6,6 +6,8 @@ matching DuckDB statement for the correctness check lives in ``ferry.plans.oracl
 
 from __future__ import annotations
 
+import os
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -90,28 +92,7 @@ from ferry.functions import text as X  # noqa: E402
 from ferry.functions.names import rename_for_target  # noqa: E402
 from ferry.sources import readers as R  # noqa: E402
 
-# The shipped custom query shape, restated over ``orders`` (o_orderstatus plays STATUS,
-# o_orderdate CREATED_DATE); ``{schema}``/``{table_name}`` are filled in as the reference does.
-CASES_TEMPLATE = """
-SELECT CASE_ID, CUSTOMER_ID, CASE_TITLE, CASE_DESCRIPTION, STATUS, PRIORITY, CREATED_DATE,
-       MODIFIED_DATE, ASSIGNED_TO
-FROM {schema}.{table_name}
-WHERE STATUS IN ('OPEN', 'IN_PROGRESS', 'PENDING')
-ORDER BY CREATED_DATE DESC
-"""
-
-
-def cases_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` in the column shape of the shipped cases query."""
-    o = FX.read(spark, sf_dir, "orders")
-    status = F.when(F.col("o_orderstatus") == "O", "OPEN").when(F.col("o_orderstatus") == "P", "PENDING") \
-        .otherwise("CLOSED")
-    return o.select(F.col("o_orderkey").alias("CASE_ID"), F.col("o_custkey").alias("CUSTOMER_ID"),
-                    F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("CASE_TITLE"),
-                    F.col("o_orderpriority").alias("CASE_DESCRIPTION"), status.alias("STATUS"),
-                    F.substring("o_orderpriority", 1, 1).alias("PRIORITY"),
-                    F.col("o_orderdate").alias("CREATED_DATE"), F.col("o_orderdate").alias("MODIFIED_DATE"),
-                    F.col("o_custkey").alias("ASSIGNED_TO"))
+SQL_DIR = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "sql")
 
 
 @query("scan_full")
@@ -125,22 +106,23 @@ def q_scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_custom_query")
 def q_scan_custom_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2 + S3: the custom query template run over a registered view, result registered again."""
+    """S2 + S3: the custom query file of a table config run through ``read_source``, its result read
+    back from the view it is registered under."""
     prepare(spark)
-    df = R.run_custom_query(spark, CASES_TEMPLATE, {"CASES": cases_view(spark, sf_dir)}, "dbo", "CASES")
-    df.createOrReplaceTempView("temp_cases")
-    return N.read_stage(spark.table("temp_cases"))
+    cfg = {"source_table": "orders", "target_table": "OPEN_ORDERS", "source_schema": "sales",
+           "custom_query": "open_orders.sql", "source": {"format": "parquet", "path": f"{sf_dir}/orders.parquet"}}
+    R.read_source(spark, cfg, SQL_DIR)
+    return N.read_stage(spark.table("temp_open_orders"))
 
 
 @query("filter_project_sort")
 def q_filter_project_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1-C4 with the DataFrame API: projection, IN filter, newest first, plus the id/name shape."""
     prepare(spark)
-    cases = cases_view(spark, sf_dir).where(F.col("STATUS").isin("OPEN", "IN_PROGRESS", "PENDING")) \
-        .orderBy(F.col("CREATED_DATE").desc()) \
-        .select(F.col("CASE_ID").alias("id"), F.col("CASE_TITLE").alias("name"), "STATUS",
-                N.datetime_ms(F.col("CREATED_DATE")).alias("CREATED_DATE"))
-    return cases
+    return FX.read(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("O", "P")) \
+        .orderBy(F.col("o_orderdate").desc()) \
+        .select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), "o_orderstatus",
+                N.datetime_ms(F.col("o_orderdate")).alias("o_orderdate"))
 
 
 @query("row_count")
@@ -400,12 +382,14 @@ def q_unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fk_orphans")
 def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K7: lineitems whose order is not in a parent copy holding only part of ``orders``,
-    and events whose user is not a customer."""
-    prepare(spark)
-    orders_part = FX.read(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 != 0)
-    a = K.fk_orphans(FX.read(spark, sf_dir, "lineitem"), "l_orderkey", orders_part, "o_orderkey")
-    b = K.fk_orphans(FX.read(spark, sf_dir, "events"), "user_id", FX.read(spark, sf_dir, "customer"), "c_custkey")
+    """K7: lineitems of every third order and every fiftieth event refer to a row that does not exist."""
+    prepare(spark)
+    li = FX.read(spark, sf_dir, "lineitem").withColumn(
+        "l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")))
+    ev = FX.read(spark, sf_dir, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 50 == 0, -1 - F.col("user_id")).otherwise(F.col("user_id")))
+    a = K.fk_orphans(li, "l_orderkey", FX.read(spark, sf_dir, "orders"), "o_orderkey")
+    b = K.fk_orphans(ev, "user_id", FX.read(spark, sf_dir, "customer"), "c_custkey")
     return a.select(F.lit("lineitem.l_orderkey").alias("reference"), F.col("l_orderkey").alias("value"), "orphan_rows") \
         .unionByName(b.select(F.lit("events.user_id").alias("reference"), F.col("user_id").alias("value"), "orphan_rows"))
 
@@ -439,12 +423,16 @@ def _keyed_pair(spark, sf_dir, v):
 
 @query("compare_rows_by_key")
 def q_compare_rows_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q12 by key for damaged order copies, and lineitem against itself (duplicate keys)."""
+    """Q12 by key for damaged order copies (also a column short, with columns too many, and under
+    names in another case), and lineitem against itself (duplicate keys)."""
     prepare(spark)
     out = []
-    for v in (0, 1, 2, 3):
+    for v in (0, 1, 2, 3, 4, 5):
         s, t = _keyed_pair(spark, sf_dir, v)
         out.append(CMP.compare_rows_by_key(s, t, ["O_ORDERKEY"]).select(F.lit(f"orders{v}").alias("case"), "*"))
+    s, t = _keyed_pair(spark, sf_dir, 2)
+    out.append(CMP.compare_rows_by_key(s, t.toDF(*[c.lower() for c in t.columns]), ["O_ORDERKEY"])
+               .select(F.lit("renamed").alias("case"), "*"))
     li = N.normalise(FX.read(spark, sf_dir, "lineitem"), "load")
     out.append(CMP.compare_rows_by_key(li, li, ["l_orderkey", "l_linenumber"])
                .select(F.lit("lineitem").alias("case"), "*"))
@@ -459,6 +447,14 @@ def q_mismatch_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CMP.mismatch_examples(s, t, ["O_ORDERKEY"])
 
 
+@query("mismatch_summary")
+def q_mismatch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13 text per column that differs too much, for the copy with one changed priority in ten."""
+    prepare(spark)
+    s, t = _keyed_pair(spark, sf_dir, 6)
+    return CMP.mismatch_summary(CMP.compare_rows_by_key(s, t, ["O_ORDERKEY"]), CMP.mismatch_examples(s, t, ["O_ORDERKEY"]))
+
+
 def _checks(spark, sf_dir):
     """Q14 rows of the six order copies; the source is profiled once and the six one-row checks
     are materialised, so the results and the summary never recompute them."""
@@ -478,14 +474,17 @@ def q_quality_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("quality_results")
 def q_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q15: result-table rows of the six checks, appended under the shared folder (time-stamped,
-    so only row counts are compared)."""
+    """Q15: result-table rows of the six checks, appended under the shared folder and read back (the
+    id, time and session left out; of the duration, whether it is there)."""
     prepare(spark)
+    started = time.time()
     res = Q.quality_results(_checks(spark, sf_dir), {f"ORDERS_V{v}": "orders" for v in FX.DAMAGE_VARIANTS},
-                            Q.session_id())
+                            Q.session_id(), started)
     path = run_dir(spark, "quality-results")
     Q.append_results(res, path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    return back.withColumn("HAS_DURATION", F.col("CHECK_DURATION_SECONDS") > 0) \
+        .drop("CHECK_ID", "CHECK_TIME", "CHECK_DURATION_SECONDS", "ETL_SESSION_ID")
 
 
 @query("quality_summary")
@@ -507,7 +506,8 @@ def q_dep_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dep_missing")
 def q_dep_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return G.missing_parents(FX.graph_edges(spark, sf_dir), FX.graph_nodes(spark, sf_dir, drop_orders_mod=7))
+    return G.missing_parents(FX.graph_edges(spark, sf_dir).unionByName(FX.dangling_edges(spark, sf_dir)),
+                             FX.graph_nodes(spark, sf_dir))
 
 
 @query("dep_cycles")
@@ -540,43 +540,77 @@ def q_dep_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 # whole jobs
 # ---------------------------------------------------------------------------------------------
 
-STAR_TABLES = {  # target -> (source, foreign keys)
-    "REGION": ("region", []), "NATION": ("nation", [("n_regionkey", "REGION", "r_regionkey")]),
-    "CUSTOMER": ("customer", [("c_nationkey", "NATION", "n_nationkey")]),
-    "SUPPLIER": ("supplier", [("s_nationkey", "NATION", "n_nationkey")]), "PART": ("part", []),
-    "ORDERS": ("orders", [("o_custkey", "CUSTOMER", "c_custkey")]),
-    "LINEITEM": ("lineitem", [("l_orderkey", "ORDERS", "o_orderkey"), ("l_partkey", "PART", "p_partkey"),
-                              ("l_suppkey", "SUPPLIER", "s_suppkey")]),
+STAR_TABLES = {  # target -> (source, primary key, foreign keys)
+    "REGION": ("region", ["r_regionkey"], []),
+    "NATION": ("nation", ["n_nationkey"], [("n_regionkey", "REGION", "r_regionkey")]),
+    "CUSTOMER": ("customer", ["c_custkey"], [("c_nationkey", "NATION", "n_nationkey")]),
+    "SUPPLIER": ("supplier", ["s_suppkey"], [("s_nationkey", "NATION", "n_nationkey")]),
+    "PART": ("part", ["p_partkey"], []),
+    "ORDERS": ("orders", ["o_orderkey"], [("o_custkey", "CUSTOMER", "c_custkey")]),
+    "LINEITEM": ("lineitem", ["l_orderkey", "l_linenumber"], [
+        ("l_orderkey", "ORDERS", "o_orderkey"), ("l_partkey", "PART", "p_partkey"), ("l_suppkey", "SUPPLIER", "s_suppkey")]),
 }
 
 
 def star_configs(sf_dir: str) -> list[dict]:
     return [{"source_table": src, "target_table": tgt, "source_schema": "dbo", "custom_query": "",
-             "batch_size": 5000, "primary_key": None, "indexes": [],
+             "batch_size": 5000, "primary_key": pk, "indexes": [{"columns": pk, "unique": True}],
              "foreign_keys": [{"column": c, "referenced_table": rt, "referenced_column": rc} for c, rt, rc in fks],
              "source": {"format": "parquet", "path": f"{sf_dir}/{src}.parquet"}}
-            for tgt, (src, fks) in STAR_TABLES.items()]
+            for tgt, (src, pk, fks) in STAR_TABLES.items()]
 
 
-_JOB_COLS = ["table_name", "source_table", "rows_read", "rows_written", "verified", "overall_status", "published"]
+_JOB_COLS = ["table_name", "source_table", "rows_read", "rows_written", "verified", "overall_status", "pk_violations",
+             "unique_violations", "orphan_keys", "published"]
+
+
+def _job_rows(spark, results: list[dict]) -> DataFrame:
+    types = dict(f.split() for f in M.RESULT_SCHEMA.split(", "))
+    for r in results:
+        if r["error"] or r["check_error"]:
+            raise RuntimeError(r["error"] or r["check_error"])
+    return spark.createDataFrame([tuple(r[k] for k in _JOB_COLS) for r in results],
+                                 ", ".join(f"{k} {types[k]}" for k in _JOB_COLS))
+
+
+def _orders_config(sf_dir: str) -> dict:
+    return next(c for c in star_configs(sf_dir) if c["target_table"] == "ORDERS")
 
 
 @query("migrate_table")
 def q_migrate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    cfg = [c for c in star_configs(sf_dir) if c["target_table"] == "ORDERS"][0]
-    r = M.migrate_table(spark, cfg, run_dir(spark, "migrate"))
-    if r["error"]:
-        raise RuntimeError(r["error"])
-    return spark.createDataFrame([tuple(r[k] for k in _JOB_COLS)], ", ".join(
-        f"{k} {t}" for k, t in zip(_JOB_COLS, ["string", "string", "bigint", "bigint", "boolean", "string", "boolean"])))
+    return _job_rows(spark, [M.migrate_table(spark, _orders_config(sf_dir), run_dir(spark, "migrate"))])
+
+
+@query("migrate_damaged")
+def q_migrate_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 when the copy is damaged on the way (two of its columns emptied): checked, FAILED, not published."""
+    prepare(spark)
+
+    def damage(df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.lit(None).cast("string") for c in ("O_ORDERPRIORITY", "O_ORDERSTATUS")})
+    return _job_rows(spark, [M.migrate_table(spark, _orders_config(sf_dir), run_dir(spark, "migrate-damaged"),
+                                             transform=damage)])
 
 
 @query("migrate_all")
 def q_migrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     res = M.migrate_all(spark, star_configs(sf_dir), run_dir(spark, "migrate-all"))
-    bad = res.where(F.col("error").isNotNull()).collect()
-    if bad:
-        raise RuntimeError(bad[0]["error"])
-    return res.select(*_JOB_COLS)
+    return _job_rows(spark, [r.asDict() for r in res.collect()])
+
+
+@query("migrate_results")
+def q_migrate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15 + Q16 + J4 of a run over the star tables: result rows by check and status, and the totals."""
+    prepare(spark)
+    root = run_dir(spark, "migrate-results")
+    res = M.migrate_all(spark, star_configs(sf_dir), root, results_path=f"{root}/_quality_results")
+    rows = spark.read.parquet(f"{root}/_quality_results").groupBy("CHECK_TYPE", "CHECK_STATUS") \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("n")) \
+        .select(F.concat_ws(" ", "CHECK_TYPE", "CHECK_STATUS").alias("item"), "n")
+    total, checks = M.run_summary(res), M.check_summary(res)
+    return rows.unionByName(total.select(F.lit("tables copied").alias("item"), F.col("successful_tables").alias("n"))) \
+        .unionByName(total.select(F.lit("rows read").alias("item"), F.col("rows_read").alias("n"))) \
+        .unionByName(checks.select(F.lit("tables passed").alias("item"), F.col("passed").alias("n")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ferry.functions.names import rename_for_target
 from ferry.functions.normalise import normalise
-from ferry.sources.readers import spread
+from ferry.operators.graph import edges_from_refs
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -25,7 +25,7 @@ TIMESTAMP_TEXT = "2024-01-01 10:11:12.1234567 +00:00"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,7 @@ def damaged_orders(spark: SparkSession, sf_dir: str, variant: int) -> DataFrame:
     """Target copies of ``orders`` with one known defect each.
 
     0 intact; 1 every 500th order missing; 2 ``O_ORDERPRIORITY`` NULL where ``o_orderkey % 97 = 0``;
+    6 (keyed comparison only) ``O_ORDERPRIORITY`` changed where ``o_orderkey % 10 = 0``;
     3 ``O_ORDERSTATUS`` lower-cased; 4 ``O_ORDERPRIORITY`` dropped; 5 ``U_ID`` and ``EXTRA`` added.
     """
     t = orders_target(spark, sf_dir)
@@ -73,6 +74,9 @@ def damaged_orders(spark: SparkSession, sf_dir: str, variant: int) -> DataFrame:
     if variant == 5:
         return t.withColumn("U_ID", F.upper(F.substring(F.sha2(F.col("O_ORDERKEY"), 256), 1, 32))) \
             .withColumn("EXTRA", F.lit("x"))
+    if variant == 6:
+        return t.withColumn("O_ORDERPRIORITY", F.when(key % 10 == 0, F.concat(F.lit("x"), F.col("O_ORDERPRIORITY")))
+                            .otherwise(F.col("O_ORDERPRIORITY")))
     return t
 
 
@@ -96,10 +100,9 @@ def fk_row_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         r("supplier").select(_node("supplier", "s_suppkey").alias("child"), _node("nation", "s_nationkey").alias("parent")),
         r("orders").select(_node("orders", "o_orderkey").alias("child"), _node("customer", "o_custkey").alias("parent")),
     ]
-    li = r("lineitem")
-    child = _node("lineitem", "l_orderkey", "l_linenumber")
-    for prefix, col in (("orders", "l_orderkey"), ("part", "l_partkey"), ("supplier", "l_suppkey")):
-        parts.append(li.select(child.alias("child"), _node(prefix, col).alias("parent")))
+    li = r("lineitem").select(_node("lineitem", "l_orderkey", "l_linenumber").alias("line"), _node("orders", "l_orderkey").alias("o"),
+                              _node("part", "l_partkey").alias("p"), _node("supplier", "l_suppkey").alias("s"))
+    parts.append(edges_from_refs(li, "line", ["o", "p", "s"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -124,18 +127,30 @@ def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          _node("user", "next_user").alias("parent"))
 
 
+def quote_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two turns of a conversation also point at the turn after them, which with the reply
+    edges gives two rings that share a node in every longer conversation."""
+    c = read(spark, sf_dir, "conversations").where(F.col("turn").between(1, 2))
+    return c.select(F.concat_ws(":", F.lit("conv"), F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")).alias("child"),
+                    _node("conv", "conv_id", "turn").alias("parent"))
+
+
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fk_row_edges(spark, sf_dir).unionByName(reply_edges(spark, sf_dir)) \
-        .unionByName(handoff_edges(spark, sf_dir))
+        .unionByName(handoff_edges(spark, sf_dir)).unionByName(quote_edges(spark, sf_dir))
+
+
+def dangling_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems of every seventh order also point at an order that does not exist."""
+    li = read(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 7 == 0)
+    return li.select(_node("lineitem", "l_orderkey", "l_linenumber").alias("child"),
+                     F.concat_ws(":", F.lit("orders"), (-F.col("l_orderkey")).cast("string")).alias("parent"))
 
 
-def graph_nodes(spark: SparkSession, sf_dir: str, drop_orders_mod: int | None = None) -> DataFrame:
-    """Every row of the graph tables as a node. ``drop_orders_mod`` leaves out orders whose key
-    is a multiple of it, so references to them become missing parents (D2)."""
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the graph tables as a node."""
     r = lambda n: read(spark, sf_dir, n)
     orders = r("orders")
-    if drop_orders_mod:
-        orders = orders.where(F.col("o_orderkey") % drop_orders_mod != 0)
     parts = [r("region").select(_node("region", "r_regionkey").alias("node")),
              r("nation").select(_node("nation", "n_nationkey").alias("node")),
              r("customer").select(_node("customer", "c_custkey").alias("node")),

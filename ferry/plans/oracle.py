@@ -24,6 +24,9 @@ def damaged_orders(v: int) -> tuple[str, list[str]]:
     if v == 2:
         return (f"(SELECT * REPLACE (CASE WHEN CAST(O_ORDERKEY AS BIGINT) % 97 <> 0 THEN O_ORDERPRIORITY END "
                 f"AS O_ORDERPRIORITY) FROM {t})"), cols
+    if v == 6:
+        return (f"(SELECT * REPLACE (CASE WHEN CAST(O_ORDERKEY AS BIGINT) % 10 = 0 THEN 'x' || O_ORDERPRIORITY "
+                f"ELSE O_ORDERPRIORITY END AS O_ORDERPRIORITY) FROM {t})"), cols
     if v == 3:
         return f"(SELECT * REPLACE (lower(O_ORDERSTATUS) AS O_ORDERSTATUS) FROM {t})", cols
     if v == 4:
@@ -154,19 +157,14 @@ ORACLE["check_content"] = _union([
 
 ORACLE["scan_full"] = f"SELECT * FROM {S.read_select('lineitem', 'lineitem')}"
 
-CASES_SQL = """(SELECT o_orderkey AS CASE_ID, o_custkey AS CUSTOMER_ID, 'Order ' || o_orderkey AS CASE_TITLE,
-  o_orderpriority AS CASE_DESCRIPTION,
-  CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'P' THEN 'PENDING' ELSE 'CLOSED' END AS STATUS,
-  substr(o_orderpriority, 1, 1) AS PRIORITY, o_orderdate AS CREATED_DATE, o_orderdate AS MODIFIED_DATE,
-  o_custkey AS ASSIGNED_TO FROM orders)"""
-S.SCHEMAS["cases"] = [("CASE_ID", "other"), ("CUSTOMER_ID", "other"), ("CASE_TITLE", "string"),
-                      ("CASE_DESCRIPTION", "string"), ("STATUS", "string"), ("PRIORITY", "string"),
-                      ("CREATED_DATE", "timestamp"), ("MODIFIED_DATE", "timestamp"), ("ASSIGNED_TO", "other")]
-ORACLE["scan_custom_query"] = (f"SELECT * FROM {S.read_select(CASES_SQL, 'cases')} "
-                               f"WHERE STATUS IN ('OPEN', 'IN_PROGRESS', 'PENDING')")
-ORACLE["filter_project_sort"] = (f"SELECT CASE_ID AS id, CASE_TITLE AS name, STATUS, {S.datetime_ms('CREATED_DATE')} "
-                                 f"AS CREATED_DATE FROM {CASES_SQL} WHERE STATUS IN ('OPEN', 'IN_PROGRESS', 'PENDING') "
-                                 f"ORDER BY CREATED_DATE DESC")
+S.SCHEMAS["open_orders"] = [("o_orderkey", "other"), ("o_custkey", "other"), ("o_totalprice", "double"),
+                            ("o_orderpriority", "string"), ("origin", "string"), ("o_orderdate", "timestamp")]
+OPEN_ORDERS_SQL = """(SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, 'in sales.orders' AS origin, o_orderdate
+  FROM orders WHERE o_orderstatus IN ('O', 'P'))"""
+ORACLE["scan_custom_query"] = f"SELECT * FROM {S.read_select(OPEN_ORDERS_SQL, 'open_orders')}"
+ORACLE["filter_project_sort"] = (f"SELECT o_orderkey AS id, o_orderpriority AS name, o_orderstatus, "
+                                 f"{S.datetime_ms('o_orderdate')} AS o_orderdate FROM orders "
+                                 f"WHERE o_orderstatus IN ('O', 'P')")
 ORACLE["row_count"] = _union([f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}"
                               for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                                         "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -319,12 +317,13 @@ ORACLE["unique_violations"] = """SELECT 'lineitem' AS table_name, concat_ws('|',
 UNION ALL
 SELECT 'conversations', concat_ws('|', conv_id, turn), CAST(count(*) AS BIGINT) FROM conversations
   WHERE NOT (conv_id IS NULL AND turn IS NULL) GROUP BY conv_id, turn HAVING count(*) > 1"""
-ORACLE["fk_orphans"] = """SELECT 'lineitem.l_orderkey' AS reference, l_orderkey AS value, CAST(count(*) AS BIGINT) AS orphan_rows
-FROM lineitem WHERE l_orderkey IS NOT NULL
-  AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0) GROUP BY l_orderkey
+ORACLE["fk_orphans"] = """SELECT 'lineitem.l_orderkey' AS reference, k AS value, CAST(count(*) AS BIGINT) AS orphan_rows
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN -l_orderkey ELSE l_orderkey END AS k FROM lineitem)
+WHERE k IS NOT NULL AND k NOT IN (SELECT o_orderkey FROM orders) GROUP BY k
 UNION ALL
-SELECT 'events.user_id', user_id, CAST(count(*) AS BIGINT) FROM events WHERE user_id IS NOT NULL
-  AND user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY user_id"""
+SELECT 'events.user_id', k, CAST(count(*) AS BIGINT)
+FROM (SELECT CASE WHEN event_id % 50 = 0 THEN -1 - user_id ELSE user_id END AS k FROM events)
+WHERE k IS NOT NULL AND k NOT IN (SELECT c_custkey FROM customer) GROUP BY k"""
 
 # --- quality ------------------------------------------------------------------------------------
 
@@ -344,7 +343,7 @@ ORACLE["bool_like_columns"] = _union([
 FROM (SELECT {c} AS v FROM {_BOOL_FRAME})""" for c in ("doc_id", "quality", "toxic", "answer")])
 
 
-def keyed_sql(case: str, src: str, tgt: str, keys: list[str], cols: list[str]) -> str:
+def keyed_sql(case: str, src: str, tgt: str, keys: list[str], cols: list[str], missing=(), additional=()) -> str:
     k = ", ".join(keys)
     vals = ", ".join(f"CAST({c} AS VARCHAR) AS v_{i}" for i, c in enumerate(cols))
     mins = ", ".join(f"min(v_{i}) FILTER (WHERE s) AS s_{i}, min(v_{i}) FILTER (WHERE NOT s) AS t_{i}"
@@ -355,12 +354,15 @@ def keyed_sql(case: str, src: str, tgt: str, keys: list[str], cols: list[str]) -
     for i, c in enumerate(cols):
         eq = (f"(ns = 1 AND nt = 1 AND ((s_{i} IS NULL AND t_{i} IS NULL) OR "
               f"lower(coalesce(s_{i}, '')) = lower(coalesce(t_{i}, ''))))")
-        parts.append(f"""SELECT '{case}' AS "case", '{c}' AS column_name, CAST(count(*) AS BIGINT) AS total_rows,
+        parts.append(f"""SELECT '{case}' AS "case", '{c}' AS column_name, 'COMPARED' AS status, CAST(count(*) AS BIGINT) AS total_rows,
   CAST(count(*) FILTER (WHERE {eq}) AS BIGINT) AS matched_rows,
   CAST(count(*) FILTER (WHERE NOT (ns = 1 AND nt = 1)) AS BIGINT) AS unpaired_keys FROM {p}""")
-    return (f"SELECT *, total_rows - matched_rows AS mismatched_rows, "
-            f"CASE WHEN total_rows > 0 THEN matched_rows / total_rows ELSE 0.0 END AS match_rate, "
-            f"CASE WHEN total_rows > 0 THEN matched_rows / total_rows ELSE 0.0 END >= 0.95 AS is_match "
+    unpaired = "CAST(count(*) FILTER (WHERE NOT (ns = 1 AND nt = 1)) AS BIGINT)"
+    parts += [f"""SELECT '{case}', '{c}', 'MISSING', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT), {unpaired} FROM {p}""" for c in missing]
+    parts += [f"""SELECT '{case}', '{c}', 'ADDITIONAL', CAST(count(*) AS BIGINT), CAST(NULL AS BIGINT), {unpaired} FROM {p}"""
+              for c in additional]
+    rate = "CASE WHEN status = 'ADDITIONAL' THEN NULL WHEN total_rows > 0 THEN matched_rows / total_rows ELSE 0.0 END"
+    return (f"SELECT *, total_rows - matched_rows AS mismatched_rows, {rate} AS match_rate, {rate} >= 0.95 AS is_match "
             f"FROM ({_union(parts)})")
 
 
@@ -368,6 +370,10 @@ _OCU = [c.upper() for c in _OC]
 _LIC = [c for c, _ in S.SCHEMAS["lineitem"]]
 ORACLE["compare_rows_by_key"] = _union(
     [keyed_sql(f"orders{v}", ORDERS_TARGET, damaged_orders(v)[0], ["O_ORDERKEY"], _OCU[1:]) for v in (0, 1, 2, 3)]
+    + [keyed_sql("orders4", ORDERS_TARGET, damaged_orders(4)[0], ["O_ORDERKEY"],
+                 [c for c in _OCU[1:] if c != "O_ORDERPRIORITY"], missing=["O_ORDERPRIORITY"]),
+       keyed_sql("orders5", ORDERS_TARGET, damaged_orders(5)[0], ["O_ORDERKEY"], _OCU[1:], additional=["EXTRA"]),
+       keyed_sql("renamed", ORDERS_TARGET, damaged_orders(2)[0], ["O_ORDERKEY"], _OCU[1:])]
     + [keyed_sql("lineitem", S.load_select("lineitem", "lineitem"), S.load_select("lineitem", "lineitem"),
                  ["l_orderkey", "l_linenumber"], [c for c in _LIC if c not in ("l_orderkey", "l_linenumber")])])
 
@@ -390,6 +396,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY k) AS rn FR
 ORACLE["mismatch_examples"] = examples_sql(ORDERS_TARGET, damaged_orders(2)[0], "O_ORDERKEY", _OCU[1:])
 
 
+_KEYED6 = keyed_sql("c", ORDERS_TARGET, damaged_orders(6)[0], ["O_ORDERKEY"], _OCU[1:])
+ORACLE["mismatch_summary"] = f"""SELECT r.column_name, 'Column ''' || r.column_name || ''': ' || r.mismatched_rows || '/' || r.total_rows
+  || ' values differ (' || round(r.match_rate * 100, 1) || '% match)' || CASE WHEN count(x.row_key) > 0 THEN ' | Examples: '
+  || string_agg('Row ' || x.row_key || ': ''' || coalesce(x.source_value, 'None') || ''' vs ''' || coalesce(x.target_value, 'None')
+  || '''', '; ' ORDER BY x.example_rank) FILTER (WHERE x.example_rank <= 5) ELSE '' END
+  || CASE WHEN count(x.row_key) > 5 THEN ' (and ' || (count(x.row_key) - 5) || ' more)' ELSE '' END AS detail
+FROM ({_KEYED6}) r LEFT JOIN ({examples_sql(ORDERS_TARGET, damaged_orders(6)[0], "O_ORDERKEY", _OCU[1:])}) x
+  ON x.column_name = r.column_name
+WHERE NOT r.is_match GROUP BY r.column_name, r.mismatched_rows, r.total_rows, r.match_rate"""
+
+
 def table_check_sql(v: int) -> str:
     cmp = compare_sql(ORDERS_SOURCE, ORDERS_COLS, *damaged_orders(v))
     rc_status = "CASE WHEN rc.source_count = rc.target_count THEN 'PASSED' ELSE 'FAILED' END"
@@ -406,6 +423,16 @@ FROM (SELECT CAST(max(src_row_count) AS BIGINT) AS source_count, CAST(max(tgt_ro
 
 
 ORACLE["quality_overall"] = _union([table_check_sql(v) for v in VARIANTS])
+ORACLE["quality_results"] = f"""WITH c AS ({ORACLE['quality_overall']})
+SELECT table_name AS TABLE_NAME, 'orders' AS SOURCE_TABLE, 'ROW_COUNT' AS CHECK_TYPE, source_count AS SOURCE_ROW_COUNT,
+  target_count AS TARGET_ROW_COUNT, CASE WHEN source_count = target_count THEN 'Y' ELSE 'N' END AS ROW_COUNT_MATCH,
+  CAST(NULL AS BIGINT) AS SAMPLE_SIZE, CAST(NULL AS DECIMAL(5,4)) AS SAMPLE_PERCENTAGE, CAST(NULL AS BIGINT) AS COLUMNS_CHECKED,
+  CAST(NULL AS BIGINT) AS COLUMNS_MATCHED, CAST(NULL AS DECIMAL(5,2)) AS CONTENT_MATCH_PERCENTAGE,
+  row_count_status AS CHECK_STATUS, row_count_message AS ERROR_MESSAGE, 'ETL_SYSTEM' AS CREATED_BY, true AS HAS_DURATION FROM c
+UNION ALL
+SELECT table_name, 'orders', 'CONTENT_COMPARISON', NULL, NULL, NULL, sample_size,
+  CAST(CASE WHEN sample_size > 0 THEN 1 ELSE 0 END AS DECIMAL(5,4)), columns_checked, columns_matched,
+  CAST(round(match_percentage, 2) AS DECIMAL(5,2)), content_status, content_message, 'ETL_SYSTEM', true FROM c"""
 ORACLE["quality_summary"] = f"""SELECT CAST(count(*) AS BIGINT) AS total,
   CAST(count(*) FILTER (WHERE overall_status = 'PASSED') AS BIGINT) AS passed,
   CAST(count(*) FILTER (WHERE overall_status = 'WARNING') AS BIGINT) AS warning,
@@ -425,25 +452,41 @@ EDGES = """(SELECT 'nation:' || n_nationkey AS child, 'region:' || n_regionkey A
  UNION ALL SELECT 'lineitem:' || l_orderkey || ':' || l_linenumber, 'supplier:' || l_suppkey FROM lineitem
  UNION ALL SELECT 'conv:' || conv_id || ':' || turn, 'conv:' || conv_id || ':' || (turn - 1) FROM conversations WHERE turn > 0
  UNION ALL SELECT 'user:' || f.user_id, 'user:' || n.user_id
-   FROM (SELECT user_id, min(event_id) AS eid FROM events GROUP BY user_id) f JOIN events n ON n.event_id - 1 = f.eid)"""
+   FROM (SELECT user_id, min(event_id) AS eid FROM events GROUP BY user_id) f JOIN events n ON n.event_id - 1 = f.eid
+ UNION ALL SELECT 'conv:' || conv_id || ':' || (turn - 1), 'conv:' || conv_id || ':' || turn FROM conversations
+   WHERE turn BETWEEN 1 AND 2)"""
 
 
-def nodes_sql(drop_orders_mod: int | None = None) -> str:
-    cond = f" WHERE o_orderkey % {drop_orders_mod} <> 0" if drop_orders_mod else ""
-    return f"""(SELECT DISTINCT node FROM (SELECT 'region:' || r_regionkey AS node FROM region
+NODES = """(SELECT DISTINCT node FROM (SELECT 'region:' || r_regionkey AS node FROM region
  UNION ALL SELECT 'nation:' || n_nationkey FROM nation UNION ALL SELECT 'customer:' || c_custkey FROM customer
  UNION ALL SELECT 'supplier:' || s_suppkey FROM supplier UNION ALL SELECT 'part:' || p_partkey FROM part
- UNION ALL SELECT 'orders:' || o_orderkey FROM orders{cond}
+ UNION ALL SELECT 'orders:' || o_orderkey FROM orders
  UNION ALL SELECT 'lineitem:' || l_orderkey || ':' || l_linenumber FROM lineitem
  UNION ALL SELECT 'conv:' || conv_id || ':' || turn FROM conversations UNION ALL SELECT 'user:' || user_id FROM events))"""
 
 
+def _break_rounds(rounds: int) -> str:
+    """Cycle breaking round by round: closure of the edges left, the cyclic component of each node by its
+    smallest member, one edge (smallest child, then parent) of each component out."""
+    out = []
+    for r in range(rounds):
+        out.append(f"""
+ r{r}(a, b) AS (SELECT child, parent FROM b{r} UNION SELECT r.a, b.parent FROM r{r} r JOIN b{r} b ON r.b = b.child),
+ m{r} AS (SELECT x.a AS node, min(x.b) AS comp FROM r{r} x JOIN r{r} y ON y.a = x.b AND y.b = x.a GROUP BY x.a),
+ d{r} AS (SELECT c.comp, min(ROW(b.child, b.parent)) AS e FROM b{r} b JOIN m{r} c ON c.node = b.child
+          JOIN m{r} p ON p.node = b.parent AND p.comp = c.comp GROUP BY c.comp),
+ b{r + 1} AS (SELECT child, parent FROM b{r} WHERE ROW(child, parent) NOT IN (SELECT e FROM d{r})),""")
+    return "".join(out)
+
+
+BREAK_ROUNDS = 4
+
 GRAPH_CTE = f"""WITH RECURSIVE e AS (SELECT DISTINCT child, parent FROM {EDGES}),
  reach(a, b) AS (SELECT child, parent FROM e UNION SELECT r.a, e.parent FROM reach r JOIN e ON r.b = e.child),
  cyc AS (SELECT DISTINCT a AS node FROM reach WHERE a = b),
- allnodes AS (SELECT node FROM {nodes_sql()} UNION SELECT child FROM e UNION SELECT parent FROM e),
- dropped AS (SELECT child, parent FROM e WHERE child = parent OR (parent < child AND EXISTS
-   (SELECT 1 FROM reach r WHERE r.a = e.parent AND r.b = e.child))),
+ allnodes AS (SELECT node FROM {NODES} UNION SELECT child FROM e UNION SELECT parent FROM e),
+ b0 AS (SELECT child, parent FROM e WHERE child LIKE 'user:%' OR child LIKE 'conv:%'),{_break_rounds(BREAK_ROUNDS)}
+ dropped AS (SELECT child, parent FROM b0 EXCEPT SELECT child, parent FROM b{BREAK_ROUNDS}),
  kept AS (SELECT * FROM e EXCEPT SELECT * FROM dropped),
  tainted AS (SELECT DISTINCT r.a AS node FROM reach r JOIN cyc c ON r.b = c.node UNION SELECT node FROM cyc),
  lv(node, d) AS (SELECT node, 0 FROM allnodes WHERE node NOT IN (SELECT child FROM e)
@@ -453,7 +496,8 @@ GRAPH_CTE = f"""WITH RECURSIVE e AS (SELECT DISTINCT child, parent FROM {EDGES})
 
 ORACLE["dep_edges"] = f"SELECT DISTINCT child, parent FROM {EDGES}"
 ORACLE["dep_missing"] = (f"SELECT parent AS missing_node, CAST(count(*) AS BIGINT) AS referencing_children "
-                         f"FROM {EDGES} WHERE parent NOT IN (SELECT node FROM {nodes_sql(7)}) GROUP BY parent")
+                         f"FROM (SELECT parent FROM {EDGES} UNION ALL SELECT 'orders:' || (-l_orderkey) FROM lineitem "
+                         f"WHERE l_orderkey % 7 = 0) WHERE parent NOT IN (SELECT node FROM {NODES}) GROUP BY parent")
 ORACLE["dep_cycles"] = f"""{GRAPH_CTE},
  comp AS (SELECT c.node, min(r.b) AS component FROM cyc c JOIN reach r ON r.a = c.node
           JOIN reach r2 ON r2.a = r.b AND r2.b = c.node GROUP BY c.node)
@@ -467,15 +511,33 @@ ORACLE["dep_order"] = (f"{GRAPH_CTE} SELECT n.node, CAST(max(lk.d) AS INTEGER) A
 
 # --- whole jobs ---------------------------------------------------------------------------------
 
-_STAR = [("REGION", "region"), ("NATION", "nation"), ("CUSTOMER", "customer"), ("SUPPLIER", "supplier"),
-         ("PART", "part"), ("ORDERS", "orders"), ("LINEITEM", "lineitem")]
-
-
-def _job_row(target: str, source: str) -> str:
+# target, source, primary key, (column, parent, parent column)
+_STAR = [("REGION", "region", "r_regionkey", []), ("NATION", "nation", "n_nationkey", [("n_regionkey", "region", "r_regionkey")]),
+         ("CUSTOMER", "customer", "c_custkey", [("c_nationkey", "nation", "n_nationkey")]),
+         ("SUPPLIER", "supplier", "s_suppkey", [("s_nationkey", "nation", "n_nationkey")]), ("PART", "part", "p_partkey", []),
+         ("ORDERS", "orders", "o_orderkey", [("o_custkey", "customer", "c_custkey")]),
+         ("LINEITEM", "lineitem", "l_orderkey, l_linenumber", [("l_orderkey", "orders", "o_orderkey"),
+                                                               ("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey")])]
+
+
+def _job_row(target: str, source: str, pk: str, fks: list, status: str = "PASSED", orphans: bool = True) -> str:
+    nulls = " OR ".join(f"{c} IS NULL" for c in pk.split(", "))
+    all_null = " AND ".join(f"{c} IS NULL" for c in pk.split(", "))
+    keys = f"(SELECT count(*) FROM (SELECT {pk} FROM {source} GROUP BY {pk} HAVING count(*) > 1 OR {nulls}))"
+    unique = f"(SELECT count(*) FROM (SELECT {pk} FROM {source} WHERE NOT ({all_null}) GROUP BY {pk} HAVING count(*) > 1))"
+    lost = " + ".join(f"(SELECT count(DISTINCT {c}) FROM {source} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {rc} FROM {rt}))"
+                      for c, rt, rc in fks) or "0"
     return (f"SELECT '{target}' AS table_name, '{source}' AS source_table, CAST(count(*) AS BIGINT) AS rows_read, "
-            f"CAST(count(*) AS BIGINT) AS rows_written, true AS verified, 'PASSED' AS overall_status, "
-            f"true AS published FROM {source}")
-
-
-ORACLE["migrate_table"] = _job_row("ORDERS", "orders")
-ORACLE["migrate_all"] = _union([_job_row(t, s) for t, s in _STAR])
+            f"CAST(count(*) AS BIGINT) AS rows_written, true AS verified, '{status}' AS overall_status, "
+            f"CAST({keys} AS BIGINT) AS pk_violations, CAST({unique} AS BIGINT) AS unique_violations, "
+            f"CAST({lost if orphans else 'NULL'} AS BIGINT) AS orphan_keys, {'true' if status == 'PASSED' else 'false'} AS published "
+            f"FROM {source}")
+
+
+ORACLE["migrate_table"] = _job_row("ORDERS", "orders", "o_orderkey", [], orphans=False)
+ORACLE["migrate_damaged"] = _job_row("ORDERS", "orders", "o_orderkey", [], "FAILED", orphans=False)
+ORACLE["migrate_all"] = _union([_job_row(*t) for t in _STAR])
+ORACLE["migrate_results"] = f"""SELECT 'ROW_COUNT PASSED' AS item, CAST({len(_STAR)} AS BIGINT) AS n
+UNION ALL SELECT 'CONTENT_COMPARISON PASSED', {len(_STAR)} UNION ALL SELECT 'tables copied', {len(_STAR)}
+UNION ALL SELECT 'tables passed', {len(_STAR)}
+UNION ALL SELECT 'rows read', CAST({' + '.join(f'(SELECT count(*) FROM {t[1]})' for t in _STAR)} AS BIGINT)"""

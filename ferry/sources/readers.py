@@ -10,11 +10,11 @@ format Spark reads works the same way).
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_SCHEMA = "dbo"
 
@@ -23,35 +23,21 @@ def qualified_name(cfg: dict) -> str:
     return f"{cfg.get('source_schema') or DEFAULT_SCHEMA}.{cfg['source_table']}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over at least ``min_partitions`` tasks (default: the cluster's task slots).
-
-    A file with one row group is read by one task, and all per-row work fused into that stage
-    (value rules, unpivot, partial aggregation) would run single-threaded. Large inputs already
-    arrive in many splits and are returned unchanged, so no shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    # hash of every hashable column: deterministic on retry without the sort that a
-    # round-robin split needs (map columns cannot be hashed)
-    keys = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
 def jdbc_options(source: dict, table_sql: str) -> dict:
     """Options for ``spark.read.format('jdbc')``: a partitioned read when a numeric or date
     partition column and bounds are given, so each executor fetches one slice in parallel."""
     opts = {"url": source["url"], "dbtable": table_sql, "fetchsize": str(source.get("fetchsize", 10000))}
     opts.update(source.get("properties", {}))
-    if source.get("partition_column"):
+    if not source.get("partition_column"):
+        logging.getLogger(__name__).warning("%s is read through one task: no partition_column", table_sql)
+    else:
         opts.update({"partitionColumn": source["partition_column"],
                      "lowerBound": str(source["lower_bound"]), "upperBound": str(source["upper_bound"]),
                      "numPartitions": str(source.get("num_partitions", 64))})
     return opts
 
 
-def load_sql_template(cfg: dict, sql_dir: str | None = None) -> str | None:
+def load_sql_template(cfg: dict, sql_dir: str | None = None, views: bool = False) -> str | None:
     """The custom query file named by ``custom_query`` with ``{schema}``/``{table_name}``
     filled in, or None for a whole-table read."""
     name = cfg.get("custom_query")
@@ -60,8 +46,15 @@ def load_sql_template(cfg: dict, sql_dir: str | None = None) -> str | None:
     path = name if os.path.isabs(name) or sql_dir is None else os.path.join(sql_dir, name)
     with open(path, encoding="utf-8") as fh:
         template = fh.read().strip()
-    return template.format(schema=cfg.get("source_schema") or DEFAULT_SCHEMA,
-                           table_name=cfg["source_table"])
+    return fill_template(template, cfg.get("source_schema") or DEFAULT_SCHEMA, cfg["source_table"], views)
+
+
+def fill_template(template: str, schema: str, table_name: str | None, views: bool) -> str:
+    """Fill in the placeholders. Temp views live in one namespace, so for them the placeholder
+    ``{schema}.`` goes before anything is filled in; names and literals in the query stay as written."""
+    if views:
+        template = template.replace("{schema}.", "")
+    return template.format(schema=schema, table_name=table_name or "")
 
 
 def read_source(spark: SparkSession, cfg: dict, sql_dir: str | None = None,
@@ -74,8 +67,8 @@ def read_source(spark: SparkSession, cfg: dict, sql_dir: str | None = None,
     The result is also registered as ``temp_<target>`` for later SQL (S3).
     """
     source = cfg.get("source", {})
-    custom = load_sql_template(cfg, sql_dir)
     fmt = source.get("format", "parquet")
+    custom = load_sql_template(cfg, sql_dir, views=fmt != "jdbc")
     if fmt == "jdbc":
         table_sql = f"({custom}) q" if custom else qualified_name(cfg)
         df = spark.read.format("jdbc").options(**jdbc_options(source, table_sql)).load()
@@ -83,8 +76,7 @@ def read_source(spark: SparkSession, cfg: dict, sql_dir: str | None = None,
         df = spark.read.format(fmt).options(**source.get("options", {})).load(source["path"])
         if custom:
             df.createOrReplaceTempView(cfg["source_table"])
-            df = spark.sql(custom.replace(f"{cfg.get('source_schema') or DEFAULT_SCHEMA}.", ""))
-    df = spread(df)
+            df = spark.sql(custom)
     if register_view:
         df.createOrReplaceTempView(f"temp_{cfg['target_table'].lower()}")
     return df
@@ -98,24 +90,11 @@ def run_custom_query(spark: SparkSession, template: str, tables: dict[str, DataF
     """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    sql = template.format(schema=schema, table_name=table_name or "").replace(f"{schema}.", "")
-    return spark.sql(sql)
-
-
-def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Name, type, max length, precision, scale, nullable in ordinal order, from the schema
-    (no scan). Measured lengths and actual NULLs come from ``profile_columns``."""
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        dt = f.dataType
-        rows.append((i + 1, f.name, dt.simpleString(), getattr(dt, "precision", None),
-                     getattr(dt, "scale", None), f.nullable))
-    return spark.createDataFrame(rows, "ordinal int, name string, type string, precision int, "
-                                       "scale int, nullable boolean")
+    return spark.sql(fill_template(template, schema, table_name, views=True))
 
 
 def row_count(df: DataFrame) -> DataFrame:
-    """One-row frame with the row count (for parquet, answered from footers)."""
+    """One-row frame with the row count; the scan reads no column."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
 
 

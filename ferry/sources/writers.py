@@ -8,6 +8,8 @@ protocol keeps exactly one attempt's files, so a lost executor never leaves half
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,32 +44,51 @@ def write_staged(df: DataFrame, staging_path: str, fmt: str = "parquet",
 
 
 def publish(spark: SparkSession, staging_path: str, target_path: str, drop_existing: bool = True) -> None:
-    """K1 + K9: replace the target by the staged copy (a rename on the shared file system)."""
+    """K1 + K9: put the staged copy in the target's place. The old copy is renamed aside first and put
+    back if the new one cannot be moved, so the target is never lost; it goes when the new one stands."""
     src, fs = _fs(spark, staging_path)
     dst, _ = _fs(spark, target_path)
-    if fs.exists(dst):
-        if not drop_existing:
-            raise FileExistsError(target_path)
-        fs.delete(dst, True)
+    old, _ = _fs(spark, f"{target_path}.old-{uuid.uuid4().hex[:8]}")
+    had = fs.exists(dst)
+    if had and not drop_existing:
+        raise FileExistsError(target_path)
     parent = dst.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
-    if not fs.rename(src, dst):
+    if had and not fs.rename(dst, old):
+        raise OSError(f"could not set {target_path} aside")
+    moved = False
+    try:
+        moved = fs.exists(src) and fs.rename(src, dst)
+    finally:
+        if not moved and had:
+            fs.rename(old, dst)
+    if not moved:
         raise OSError(f"could not publish {staging_path} to {target_path}")
+    if had:
+        fs.delete(old, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder that will not be published."""
+    p, fs = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def jdbc_write_options(url: str, table: str, properties: dict | None = None, batch_size: int = 1000,
+                       column_types: str | None = None) -> dict:
+    """Options of the JDBC writer; ``column_types`` becomes ``createTableColumnTypes``."""
+    opts = {"url": url, "dbtable": table, "batchsize": str(batch_size), **(properties or {})}
+    return opts | ({"createTableColumnTypes": column_types} if column_types else {})
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                batch_size: int = 1000, drop_existing: bool = True,
                column_types: str | None = None) -> None:
-    """K1 + K2 for a database target: every partition inserts in batches of ``batch_size``.
-
-    ``column_types`` becomes ``createTableColumnTypes`` (the DDL column list of ``target_ddl``).
-    """
-    opts = {"url": url, "dbtable": table, "batchsize": str(batch_size)}
-    opts.update(properties or {})
-    if column_types:
-        opts["createTableColumnTypes"] = column_types
-    df.write.format("jdbc").mode("overwrite" if drop_existing else "errorifexists").options(**opts).save()
+    """K1 + K2 for a database target: every partition inserts in batches of ``batch_size``."""
+    df.write.format("jdbc").mode("overwrite" if drop_existing else "errorifexists") \
+        .options(**jdbc_write_options(url, table, properties, batch_size, column_types)).save()
 
 
 def verify_counts(expected_rows: int, written: DataFrame) -> DataFrame:

@@ -155,12 +155,26 @@ def test_keyed_compare_boolean_words_with_too_many_values_compare_plainly(spark)
     assert (r["total_rows"], r["matched_rows"]) == (10, 10)
 
 
-def test_profile_reads_the_table_once(spark, sf_small):
-    # the frequency table and the per-column reduce come from one parquet scan, with hash
-    # aggregation at the (column, value) level
-    import re
-    from ferry.operators.profile import _per_column, frequency_table
+def test_profile_plans_hash_aggregates_only(spark, sf_small):
+    # the distinct counts aggregate hashes, never the text itself, and nothing is sorted
+    from ferry.operators.profile import distinct_counts
     li = normalise(FX.read(spark, sf_small, "lineitem"), "load")
-    plan = _per_column(frequency_table(li))._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"FileScan parquet", plan)) == 1
-    assert "HashAggregate" in plan
+    plan = distinct_counts(li)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "HashAggregate" in plan
+    assert "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_hashes_are_independent(spark):
+    from ferry.operators.profile import hash128
+    one, two = hash128(F.col("v"))
+    r = spark.createDataFrame([("a",)], "v string").select(one.alias("a"), two.alias("b"),
+                                                           F.xxhash64(F.col("v"), F.lit("b")).alias("chained")).first()
+    assert r["a"] != r["b"] and r["b"] != r["chained"]
+
+
+def test_keyed_compare_pairs_renamed_and_reports_missing_columns(spark):
+    s = spark.createDataFrame([(1, "a", "b")], "`Order No` int, `1st` string, gone string")
+    t = spark.createDataFrame([("a", 1, "n", "id")], "COL_1ST string, ORDER_NO int, extra string, U_ID string")
+    rows = {r["column_name"]: (r["status"], r["matched_rows"], r["is_match"])
+            for r in C.compare_rows_by_key(s, t, ["Order No"]).collect()}
+    assert rows == {"1st": ("COMPARED", 1, True), "gone": ("MISSING", 0, False), "extra": ("ADDITIONAL", None, None)}

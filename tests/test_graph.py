@@ -30,9 +30,9 @@ def test_cycles_break_and_missing(spark):
                for r in G.cycle_members(comps).collect()}
     assert members == {"a": ("a", 3, False), "b": ("a", 3, False), "c": ("a", 3, False), "x": ("x", 1, True)}
     _, dropped = G.break_cycles(e, comps)
-    assert sorted(tuple(r) for r in dropped.collect()) == [("c", "a"), ("x", "x")]
+    assert sorted(tuple(r) for r in dropped.collect()) == [("a", "b"), ("x", "x")]
     order = [(r["node"], r["level"]) for r in G.dependency_order(e, known).collect()]
-    assert order == [("c", 0), ("missing", 0), ("x", 0), ("b", 1), ("y", 1), ("a", 2), ("d", 3)]
+    assert order == [("a", 0), ("missing", 0), ("x", 0), ("c", 1), ("d", 1), ("y", 1), ("b", 2)]
     lv = {r["node"]: r["level"] for r in G.dependency_levels(e, known).collect()}
     assert lv["d"] is None and lv["a"] is None and lv["y"] == 1
 
@@ -62,3 +62,39 @@ def test_against_brute_force(spark):
         assert c == min(mutual)
     cyclic = {r["node"] for r in G.cycle_members(G.strongly_connected(edges(spark, pairs))).collect()}
     assert cyclic == {v for v in reach if v in reach[v]}
+
+
+def brute_break(pairs):
+    pairs, dropped = set(pairs), []
+    while True:
+        reach = _reach(pairs)
+        inside = {}
+        for a, b in pairs:
+            if a in reach.get(b, set()) or a == b:
+                comp = min({a} | {u for u in reach.get(a, set()) if a in reach.get(u, set())})
+                inside.setdefault(comp, []).append((a, b))
+        if not inside:
+            return sorted(dropped)
+        for edges_ in inside.values():
+            dropped.append(min(edges_))
+            pairs.discard(min(edges_))
+
+
+RINGS = {"up": [("a", "b"), ("b", "c"), ("c", "a")], "down": [("c", "b"), ("b", "a"), ("a", "c")],
+         "overlap": [("a", "b"), ("b", "a"), ("b", "c"), ("c", "b"), ("c", "d"), ("d", "a"), ("z", "a")]}
+
+
+def test_breaking_drops_one_edge_per_ring(spark):
+    for pairs in RINGS.values():
+        e = edges(spark, pairs)
+        kept, dropped = G.break_cycles(e, G.strongly_connected(e))
+        assert sorted(tuple(r) for r in dropped.collect()) == brute_break(pairs)
+        assert not G.cycle_members(G.strongly_connected(kept)).count()
+    assert len(brute_break(RINGS["down"])) == len(brute_break(RINGS["up"])) == 1
+
+
+def test_long_chain_and_hub(spark):
+    chain = [(f"n{i + 1:03d}", f"n{i:03d}") for i in range(40)]
+    hub = [(f"h{i}", "hub") for i in range(500)] + [("hub", "n040")]
+    lv = {r["node"]: r["level"] for r in G.dependency_levels(edges(spark, chain + hub)).collect()}
+    assert lv["n040"] == 40 and lv["hub"] == 41 and {lv[f"h{i}"] for i in range(500)} == {42}

@@ -1,11 +1,15 @@
 """Whole jobs, writes, results table and the driver contract."""
+import pathlib
+
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ferry.plans import fixtures as FX
 from ferry.plans import migrate as M
 from ferry.plans import quality as Q
-from ferry.plans.catalog import star_configs
+from ferry.plans.catalog import QUERIES, star_configs
+from ferry.plans.oracle import ORACLE
 from ferry.session import run_dir
 from ferry.sources import writers as W
 
@@ -18,7 +22,7 @@ def test_entry_and_contract(spark):
     # 4: a missing column always fails; 5: U_ID is expected, EXTRA is only reported
     assert {r["variant"]: r["status"] for r in rows} == {0: "PASSED", 1: "FAILED", 2: "WARNING", 3: "PASSED",
                                                           4: "FAILED", 5: "PASSED"}
-    assert set(E.oracle_sql()) == set(E.queries()) - {"quality_results"}
+    assert set(ORACLE) == set(QUERIES) and set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_write_publish_verify(spark, sf_small):
@@ -45,12 +49,75 @@ def test_results_rows_follow_table_rules(spark, sf_small):
 
 def test_migrate_all_orders_parents_first(spark, sf_small):
     cfgs = star_configs(sf_small)
-    order = M.load_order(spark, cfgs)
+    order = M.load_order(cfgs)
     assert order.index("REGION") < order.index("NATION") < order.index("CUSTOMER") < order.index("ORDERS") \
         < order.index("LINEITEM")
     bad = cfgs + [{"source_table": "x", "target_table": "X", "foreign_keys": [{"referenced_table": "NOPE"}]}]
     try:
-        M.load_order(spark, bad)
+        M.load_order(bad)
         raise AssertionError("missing parent accepted")
     except ValueError as exc:
         assert "NOPE" in str(exc)
+
+
+def test_load_order_breaks_cycles_by_name():
+    cfgs = [{"target_table": t, "source_table": t, "foreign_keys": [{"referenced_table": p}]}
+            for t, p in (("C", "B"), ("B", "A"), ("A", "C"), ("D", "A"), ("S", "S"))]
+    assert M.load_levels(cfgs) == [("S", 0), ("A", 1), ("B", 2), ("D", 2), ("C", 3)]
+
+
+def test_broken_check_is_recorded_and_does_not_undo_the_copy(spark, sf_small, monkeypatch):
+    def broken(*args, **kwargs):
+        raise ValueError("no statistics")
+    monkeypatch.setattr(M, "table_check", broken)
+    cfg = [c for c in star_configs(sf_small) if c["target_table"] == "REGION"][0]
+    r = M.migrate_table(spark, cfg, run_dir(spark, "test-broken"))
+    assert (r["published"], r["overall_status"], r["check_error"]) == (True, "FAILED", "ValueError: no statistics")
+
+
+def test_failed_copy_is_not_published_and_leaves_no_staging(spark, sf_small):
+    cfg = [c for c in star_configs(sf_small) if c["target_table"] == "NATION"][0]
+    root = run_dir(spark, "test-failed")
+    good = M.migrate_table(spark, cfg, root, snapshot=True)
+    bad = M.migrate_table(spark, cfg, root, transform=lambda d: d.where("false"))
+    assert good["published"] and not bad["published"] and bad["overall_status"] == "FAILED"
+    assert spark.read.parquet(f"{root}/NATION").count() == 25       # the good copy still stands
+    assert [p.name for p in pathlib.Path(f"{root}/_staging").iterdir()] == []
+
+
+def test_publish_restores_the_old_copy(spark, sf_small):
+    root = run_dir(spark, "test-restore")
+    W.write_staged(FX.read(spark, sf_small, "region"), f"{root}/T")
+    with pytest.raises(OSError):
+        W.publish(spark, f"{root}/_staging/none", f"{root}/T")
+    assert spark.read.parquet(f"{root}/T").count() == 5 and len(list(pathlib.Path(root).iterdir())) == 1
+
+
+def test_jdbc_write_options():
+    assert W.jdbc_write_options("jdbc:x", "T", {"user": "u"}, 5000, "A VARCHAR(10)") == {
+        "url": "jdbc:x", "dbtable": "T", "batchsize": "5000", "user": "u", "createTableColumnTypes": "A VARCHAR(10)"}
+
+
+def test_custom_query_keeps_its_order_and_starts_no_job(spark, sf_small):
+    from ferry.plans.catalog import SQL_DIR
+    from ferry.sources import readers as R
+    cfg = {"source_table": "orders", "target_table": "T", "source_schema": "s", "custom_query": "open_orders.sql",
+           "source": {"format": "parquet", "path": f"{sf_small}/orders.parquet"}}
+    df = R.read_source(spark, cfg, SQL_DIR)
+    rows = [(r["o_orderdate"], r["o_orderkey"]) for r in df.collect()]
+    assert rows == sorted(rows, reverse=True) and df.first()["origin"] == "in sales.orders"
+    assert R.fill_template("SELECT s.a FROM {schema}.t s WHERE x = 's.b'", "s", None, True) == "SELECT s.a FROM t s WHERE x = 's.b'"
+
+
+def test_row_count_reads_no_column(spark, sf_small):
+    from ferry.sources import readers as R
+    plan = R.row_count(FX.read(spark, sf_small, "documents"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "hashpartitioning" not in plan
+    assert R.table_exists(spark, f"{sf_small}/orders.parquet") and not R.table_exists(spark, f"{sf_small}/none")
+
+
+def test_text_columns_are_composed_once(spark, sf_small):
+    from ferry.functions.normalise import normalise
+    docs = FX.read(spark, sf_small, "documents").select("text")
+    plan = normalise(docs, "load")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("compose") == 1
