@@ -40,7 +40,7 @@ def py_strip(c: Column) -> Column:
 def is_blank(c: Column) -> Column:
     """Empty or whitespace-only (Python ``v.strip() == ''``); the strip only runs for values whose
     first character is whitespace."""
-    first_space = F.ascii(c).isin(*[ord(ch) for ch in X.PY_WHITESPACE])
+    first_space = F.lit(X.PY_WHITESPACE).contains(F.substring(c, 1, 1))
     return (F.length(c) == 0) | (first_space & (py_strip(c) == F.lit("")))
 
 

@@ -3,11 +3,13 @@
 ``column_stats`` (Q3, Q4, Q7) answers count, null count, exact distinct count, string min/max,
 average length and the boolean-like flag for every column of an all-text frame in two passes:
 
-* one global aggregate (one row per task is shuffled) for counts, lengths, min, max, the boolean
-  test, and min, max and length after boolean normalisation;
-* the distinct counts: ``unpivot`` to (column, 128-bit hash of the value) and ``groupBy`` of the
-  hashes with map-side partial aggregation. Hot values collapse before the shuffle, text of any
-  length travels as 16 bytes, and both levels are hash aggregates.
+* one global aggregate (one row per task is shuffled) for counts, lengths, min and max;
+* the distinct counts and the boolean test: ``unpivot`` to (column, 128-bit hash of the value) and
+  ``groupBy`` of the hashes with map-side partial aggregation. Hot values collapse before the shuffle,
+  text of any length travels as 16 bytes, and both levels are hash aggregates.
+
+On the source side the few columns that turn out boolean-like are read once more for their min, max
+and length after boolean normalisation.
 
 ``profile_columns`` (S5, P5) is the source-type / max-length / nullable profile the target
 schema is built from.
@@ -21,7 +23,8 @@ from pyspark.sql import types as T
 
 from ferry.functions import text as X
 from ferry.functions.names import column_mapping, quote_identifier
-from ferry.functions.normalise import is_blank, py_strip
+from ferry.functions.normalise import bool_normalise, is_blank, py_strip
+from ferry.session import shared_dir
 
 STATS_COLUMNS = ["column_name", "position", "row_count", "non_null_count", "null_count",
                  "distinct_count", "min_value", "max_value", "avg_length", "is_boolean_like"]
@@ -33,8 +36,8 @@ def _col(name: str):
 
 def _edge_space(c):
     """First or last character is Python whitespace (only then can a strip change the value)."""
-    spaces = [ord(ch) for ch in X.PY_WHITESPACE]
-    return F.ascii(c).isin(*spaces) | F.ascii(F.substring(c, -1, 1)).isin(*spaces)
+    spaces = F.lit(X.PY_WHITESPACE)
+    return (F.length(c) > 0) & (spaces.contains(F.substring(c, 1, 1)) | spaces.contains(F.substring(c, -1, 1)))
 
 
 def _boolish(v):
@@ -46,12 +49,11 @@ def _boolish(v):
         .otherwise(F.lit(False))
 
 
-def _bool_normalised(k):
-    """``bool_normalise`` for keys; ``lower`` only runs on keys short enough to be a word."""
-    longest = max(len(w) for w in X.BOOL_TRUE + X.BOOL_FALSE)
-    low = F.when(F.length(k) <= longest, F.lower(k))
-    return F.when(low.isin(*X.BOOL_TRUE), F.lit("1")).when(low.isin(*X.BOOL_FALSE), F.lit("0")) \
-        .otherwise(k)
+def _bool_word(v):
+    """1 for a true word, 2 for a false word, else 0. The lower-casing sees one character more than the
+    longest word has, so long values cost nothing and never match."""
+    low = F.lower(F.substring(v, 1, max(len(w) for w in X.BOOL_TRUE + X.BOOL_FALSE) + 1))
+    return F.when(low.isin(*X.BOOL_TRUE), 1).when(low.isin(*X.BOOL_FALSE), 2).otherwise(0)
 
 
 def hash128(v):
@@ -61,40 +63,44 @@ def hash128(v):
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """(column_name, distinct_non_null, b_distinct): distinct non-null values of every column, and
-    after Q4 normalisation (the values '1' and '0', plus every other value)."""
+    """(column_name, distinct_non_null, b_distinct, all_boolish): distinct non-null values of every
+    column, the same after Q4 normalisation (the values '1' and '0', plus every other value), and
+    whether every value passes the boolean test."""
     v = F.col("v")
     one, two = hash128(v)
-    nv = _bool_normalised(v)
     rows = df.unpivot([], df.columns, "column_name", "v").where(v.isNotNull())
     values = rows.select("column_name", one.alias("h1"), two.alias("h2"),
-                         F.when(nv == "1", 1).when(nv == "0", 2).otherwise(0).alias("word")) \
-        .groupBy("column_name", "h1", "h2").agg(F.max("word").alias("word"))
+                         _bool_word(v).alias("word"),
+                         F.when(_boolish(v), 1).otherwise(0).alias("boolish")) \
+        .groupBy("column_name", "h1", "h2").agg(F.max("word").alias("word"), F.min("boolish").alias("boolish"))
     return values.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("distinct_non_null"),
         (F.max(F.when(F.col("word") == 1, 1).otherwise(0)) + F.max(F.when(F.col("word") == 2, 1).otherwise(0))
-         + F.count_if(F.col("word") == 0)).alias("b_distinct"))
+         + F.count_if(F.col("word") == 0)).alias("b_distinct"),
+        (F.min("boolish") == 1).alias("all_boolish"))
 
 
-def _whole_column(df: DataFrame, normalise_booleans: bool) -> DataFrame:
-    """One row per column from one global aggregate: counts, lengths, min, max, the boolean test and,
-    where asked for, min, max and total length after boolean normalisation."""
+def _whole_column(df: DataFrame) -> DataFrame:
+    """One row per column from one global aggregate: counts, total length, min and max."""
     aggs, rows = [F.count(F.lit(1)).alias("n")], []
     for i, c in enumerate(df.columns):
         v = _col(c)
-        b = _bool_normalised(v)
-        aggs += [F.count(v).alias(f"c{i}"), F.sum(F.length(v)).alias(f"l{i}"), F.min(v).alias(f"m{i}"), F.max(v).alias(f"x{i}"),
-                 F.bool_and(F.when(v.isNotNull(), _boolish(v))).alias(f"w{i}")]
-        if normalise_booleans:
-            # only short text can be boolean-like: a long value keeps the column out anyway
-            short = F.when(_boolish(v), b)
-            aggs += [F.min(short).alias(f"bm{i}"), F.max(short).alias(f"bx{i}"), F.sum(F.length(short)).alias(f"bl{i}")]
+        aggs += [F.count(v).alias(f"c{i}"), F.sum(F.length(v)).alias(f"l{i}"), F.min(v).alias(f"m{i}"), F.max(v).alias(f"x{i}")]
         rows.append(F.struct(
             F.lit(c).alias("column_name"), F.lit(i).alias("position"), F.col("n").alias("row_count"),
             F.col(f"c{i}").alias("non_null_count"), F.col(f"l{i}").alias("sum_len"), F.col(f"m{i}").alias("min_value"),
-            F.col(f"x{i}").alias("max_value"), F.coalesce(F.col(f"w{i}"), F.lit(False)).alias("all_boolish"),
-            *([F.col(f"b{k}{i}").alias(n) for k, n in (("m", "b_min"), ("x", "b_max"), ("l", "b_len"))]
-              if normalise_booleans else [])))
+            F.col(f"x{i}").alias("max_value")))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _normalised_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Min, max and total length after Q4 normalisation of the named columns (usually few or none)."""
+    aggs, rows = [], []
+    for i, c in enumerate(columns):
+        b = bool_normalise(_col(c))
+        aggs += [F.min(b).alias(f"m{i}"), F.max(b).alias(f"x{i}"), F.sum(F.length(b)).alias(f"l{i}")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("b_min"), F.col(f"x{i}").alias("b_max"),
+                             F.col(f"l{i}").alias("b_len")))
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
@@ -110,12 +116,19 @@ def column_stats(df: DataFrame, normalise_booleans: bool = False) -> DataFrame:
     non-null values. With ``normalise_booleans`` (source side), boolean-like columns are
     profiled after Q4 normalisation. Distinct values are told apart by 128-bit hashes.
     """
-    # both sides hold one row per column; an empty frame still gives one row per column
-    out = _whole_column(df, normalise_booleans).join(F.broadcast(distinct_counts(df)), "column_name", "left")
+    # all frames joined here hold one row per column; an empty table still gives one per column
+    distincts = distinct_counts(df)
+    like_columns: list[str] = []
+    if normalise_booleans:
+        shared_dir(df.sparkSession)
+        distincts = distincts.checkpoint(eager=True)
+        like_columns = [r[0] for r in distincts.where(_is_boolean_like()).select("column_name").collect()]
+    out = _whole_column(df).join(F.broadcast(distincts), "column_name", "left")
     distinct = F.coalesce("distinct_non_null", F.lit(0))
     like = F.coalesce(_is_boolean_like(), F.lit(False))
     mn, mx, sl = F.col("min_value"), F.col("max_value"), F.col("sum_len")
-    if normalise_booleans:
+    if like_columns:
+        out = out.join(F.broadcast(_normalised_stats(df, like_columns)), "column_name", "left")
         distinct = F.when(like, F.col("b_distinct")).otherwise(distinct)
         mn, mx = F.when(like, F.col("b_min")).otherwise(mn), F.when(like, F.col("b_max")).otherwise(mx)
         sl = F.when(like, F.col("b_len")).otherwise(sl)
@@ -131,9 +144,8 @@ def column_stats(df: DataFrame, normalise_booleans: bool = False) -> DataFrame:
 
 def bool_like_columns(df: DataFrame) -> DataFrame:
     """Q3 only: (column_name, distinct_non_null, is_boolean_like)."""
-    whole = _whole_column(df, False).select("column_name", "all_boolish")
-    return whole.join(F.broadcast(distinct_counts(df)), "column_name").select(
-        "column_name", F.col("distinct_non_null").cast("bigint"), _is_boolean_like().alias("is_boolean_like"))
+    return distinct_counts(df).select("column_name", F.col("distinct_non_null").cast("bigint"),
+                                      _is_boolean_like().alias("is_boolean_like"))
 
 
 # ---------------------------------------------------------------------------------------------
