@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from ferry.functions import text as X
-from ferry.operators.compare import DISTINCT_TOLERANCE
-from ferry.functions.names import sanitize_column_name
+import re
+
 from ferry.plans import sqlgen as S
 
+X = S.X
+DISTINCT_TOLERANCE = 0.01
+
 ORACLE: dict[str, str] = {}
 
 ORDERS_COLS = [c for c, _ in S.SCHEMAS["orders"]]
 ORDERS_SOURCE = S.load_select("orders", "orders")
 ORDERS_TARGET = S.load_select("orders", "orders", upper=True)
+
+
+def target_name(source: str) -> str:
+    """Target name of a source column, by the rule written out again."""
+    name = re.sub(r"[^\w]", "_", source.strip())
+    return ("COL_" + name if name[0].isdigit() else name).upper()
+
+
 VARIANTS = (0, 1, 2, 3, 4, 5)
 
 
@@ -43,7 +53,7 @@ def pairs_values(source_cols: list[str], target_cols: list[str]) -> str:
     tset = set(target_cols)
     paired = set()
     for c in source_cols:
-        t = sanitize_column_name(c)
+        t = target_name(c)
         if t in tset:
             rows.append((c, t, "COMMON"))
             paired.add(t)

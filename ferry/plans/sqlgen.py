@@ -7,7 +7,25 @@ independent engine; these helpers only spell the same rule once per SQL dialect
 
 from __future__ import annotations
 
-from ferry.functions import text as X
+
+class X:
+    """Fixed values of the rules, written out a second time: a wrong constant in the library must not
+    turn its own oracle green."""
+
+    NULL_TOKENS = ("null", "<null>")
+    CHECK_TRUE = ("true", "yes", "t", "y")
+    CHECK_FALSE = ("false", "no", "f", "n")
+    BOOL_TRUE = ("true", "1", "yes", "t", "y")
+    BOOL_FALSE = ("false", "0", "no", "f", "n")
+    BOOL_LIKE = ("true", "false", "1", "0", "yes", "no", "t", "f", "y", "n")
+    BOOL_LIKE_MAX_DISTINCT = 10
+    TARGET_TEXT_CHARS = 2000
+    PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+    DATETIME_TEXT = (r"(?s)^(\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2} \p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2})\.(\p{Nd}{3})\p{Nd}{3}.*$")
+    ALNUM_ONLY = r"^[\p{L}\p{N}]+$"
+    ID_SEPARATORS = r"[/_-]"
+
 
 WS = "(" + " || ".join(f"chr({ord(ch)})" for ch in X.PY_WHITESPACE) + ")"
 
