@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -42,7 +43,42 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete an intermediate made by ``written`` that no frame reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are no longer referenced.
+
+    Its cleaner does so when the driver's garbage is collected, which on an idle driver heap may
+    be long after the intermediate has been written; a collection here frees that disk now.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def smallest(hashed: DataFrame, count: int) -> list:
+    """The ``count`` rows with the smallest ``h`` (a uniform 64-bit hash), as a bounded sample.
+
+    Only hashes below a bound that holds about four times the count are looked at first, so each task
+    sends its share of a fixed total instead of ``count`` rows; if too few lie below it, all rows are.
+    """
+    total = hashed.count()
+    order = ["h", *[c for c in hashed.columns if c != "h"]]
+    if total > 8 * count:
+        bound = -(1 << 63) + int((1 << 64) * (4 * count / total))
+        got = hashed.where(F.col("h") < F.lit(bound)).orderBy(*order).limit(count).collect()
+        if len(got) == count:
+            return got
+    return hashed.orderBy(*order).limit(count).collect()
 
 
 def words_of(text: Column) -> Column:

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import ship
+from ferry.llm.common import ship, smallest
 
 SAMPLE = 4096
 EXCERPT = 512
@@ -216,8 +216,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, excerpt: int = EXCERPT, **options
     """Train on a bounded sample of the rows with a language that are not held out; None without any."""
     at = F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.lit(1), F.length("text") - excerpt)).cast("int") + 1
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))) \
-        .select(F.xxhash64("doc_id").alias("h"), F.substring("text", at, F.lit(excerpt)).alias("t"), "lang") \
-        .orderBy("h", "t", "lang").limit(sample).collect()
+        .select(F.xxhash64("doc_id").alias("h"), F.substring("text", at, F.lit(excerpt)).alias("t"), "lang")
+    rows = smallest(rows, sample)
     if not rows:
         return None
     return train([r.t.encode("utf-8", "replace") for r in rows], [r.lang for r in rows], **options)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import ship, written
+from ferry.llm.common import ship, smallest, written
 
 K = 10
 SCALE = 1024
@@ -50,7 +50,9 @@ def integers(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
 
 def choose_pivots(rows: DataFrame, count: int = PIVOTS, sample: int = SAMPLE) -> np.ndarray:
     """Means of a few k-means rounds over the ``sample`` rows with the smallest hash of their id."""
-    got = rows.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v").orderBy("h", "vec_id").limit(sample).collect()
+    got = smallest(rows.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v"), sample)
+    if not got:
+        return np.zeros((0, 0))
     x = np.array([r.v for r in got], dtype=np.float64)
     centres = x[:: max(1, len(x) // count)][:count]
     for _ in range(8):
@@ -149,8 +151,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     centres = choose_pivots(rows, pivots, sample)
     if not len(centres):
         return spark.createDataFrame([], schema)
-    seen = np.array([r.v for r in rows.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v").orderBy("h", "vec_id")
-                    .limit(256).collect()], dtype=np.float64)
+    seen = np.array([r.v for r in smallest(rows.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v"), 256)],
+                    dtype=np.float64)
     width = max(1e-9, float(distances(seen, centres).min(1).max()) * 1.25 / (RINGS - 1))
     index = written(rows.mapInPandas(_keyed(centres, width), INDEX), "topk-index")
     annuli = index.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("near"),
