@@ -20,6 +20,8 @@ from ferry.llm.common import read, row_key, written
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A document whose pooled language probability is below this is in no learned language.
 MIN_SCORE = 0.4
+# Stands for a null id in the key of a row.
+NO_ID = jaccard.NO_ID
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +32,20 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+def _with_key(docs: DataFrame) -> DataFrame:
+    """The columns of documents and a non-null key of the row: its id and the hash of its text."""
+    return docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key_id"),
+                       row_key("text").alias("key_text"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join at five words and 0.8: the smallest doc_id of each group stays."""
     groups = jaccard.link(docs, n=5, num=80, den=100)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .groupBy("doc_id").agg(F.min("row_key").alias("row_key"))
-    kept = docs.select(*COLUMNS, row_key("text").alias("k")).join(
-        first.select(F.col("doc_id").alias("d"), F.col("row_key").alias("rk")),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("rk")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+        .groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id")).agg(F.min("row_key").alias("key_text"))
+    # one shuffle of the texts: join and distinct use the same key
+    kept = _with_key(docs).join(first, ["key_id", "key_text"], "left_semi").dropDuplicates(["key_id", "key_text"])
+    return kept.select(*COLUMNS)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +56,10 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: a document appears as often as the mix takes it."""
-    taken = mixing.mix(docs).groupBy("doc_id", "row_key").agg(F.sum("copies").cast("int").alias("copies")) \
-        .where(F.col("copies") > 0)
-    once = docs.select(*COLUMNS, row_key("text").alias("k")).dropDuplicates(["doc_id", "k"])
-    joined = once.alias("o").join(taken.alias("t"), F.col("o.doc_id").eqNullSafe(F.col("t.doc_id"))
-                                  & (F.col("o.k") == F.col("t.row_key")))
-    return joined.select("o.*", F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias("copy")).select(*COLUMNS)
+    taken = mixing.mix(docs).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id"), F.col("row_key").alias("key_text")) \
+        .agg(F.sum("copies").cast("int").alias("copies")).where(F.col("copies") > 0)
+    joined = _with_key(docs).join(taken, ["key_id", "key_text"]).dropDuplicates(["key_id", "key_text"])
+    return joined.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import row_key, ship, written
+from ferry.llm.common import discard, release, row_key, ship, written
 from ferry.llm.components import components
 from ferry.llm.tokens import ODD, mix, shingle_sets
 
@@ -33,7 +33,7 @@ N, NUM, DEN = 4, 85, 100
 BLOCK = 1024
 MIN_SHINGLES = 2.5          # shingles a segment should hold in the smallest set of a band
 SLACK = 0.08                # surplus of weight over the pigeonhole's need, for leaving out frequent keys
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 NO_ID = (1 << 63) - 1
 
 ROWS = "doc_id bigint, row_key bigint, n_shingles bigint, set_id string, keys array<bigint>"
@@ -206,12 +206,13 @@ def link(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block: int
     text. A null doc_id comes last and names a component only if no other id is in it (then null). An
     empty table gives an empty result.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     text_rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
                             row_key("text").alias("row_key"), "text")
     keyed = text_rows.mapInPandas(_keyed(n, num, den), ROWS)
     keyed = written(keyed, "jaccard-keys")
-    rows = keyed.drop("keys")
+    rows = written(keyed.drop("keys"), "jaccard-rows")
     sets = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "row_key")).alias("rep"))
     entries = keyed.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), "doc_id")
     by_key = Window.partitionBy("key").orderBy("doc_id")
@@ -222,6 +223,9 @@ def link(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block: int
     near = near.join(id_sets.select(F.col("doc_id").alias("hub"), F.col("set_id").alias("hub_set")), "hub") \
         .join(id_sets, "doc_id").where("hub_set <> set_id").select("hub_set", "set_id").distinct()
     near = written(near, "jaccard-near")
+    discard(keyed)
+    del keyed, entries
+    release(spark)
     parts = near.groupBy("hub_set").agg(F.ceil((F.count(F.lit(1)) + 1) / F.lit(block)).cast("int").alias("parts"))
     members = near.withColumn("is_hub", F.lit(0)).unionByName(
         parts.select("hub_set", F.col("hub_set").alias("set_id"), F.lit(1).alias("is_hub"))).join(parts, "hub_set") \
@@ -235,7 +239,10 @@ def link(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block: int
     texts = text_rows.join(involved, (F.col("doc_id") == F.col("d")) & (F.col("row_key") == F.col("k"))) \
         .select("set_id", "text").dropDuplicates(["set_id"])
     groups = members.join(written(texts, "jaccard-texts"), "set_id")
-    links = groups.groupBy("hub_set", "low", "high").applyInPandas(_linked(n, num, den), "u string, v string")
+    links = written(groups.groupBy("hub_set", "low", "high").applyInPandas(_linked(n, num, den), "u string, v string"),
+                    "jaccard-links")
+    del groups, texts, involved
+    release(spark)
     classes = components(links)
     named = sets.join(classes, F.col("set_id") == F.col("node"), "left") \
         .select("set_id", F.coalesce("component", "set_id").alias("class"), F.col("rep.doc_id").alias("first"))
