@@ -32,18 +32,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import row_key, ship, written
+from ferry.llm.common import release, row_key, ship, written
 from ferry.llm.suffix_array import suffix_arrays
 from ferry.llm.tokens import ODD, mix
 
 LENGTH = 50
 ANCHOR = 24                 # length of the strings whose least hash is the minimizer
-BATCH = 1024
+BATCH = 512
 BUCKET_CHARS = 16_000_000
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 HOT = 4096                  # fragments of one minimizer from which its strings are sent one by one
 NO_ID = (1 << 63) - 1
-CELLS = 1_500_000           # cells of one table of strings sorted side by side
+CELLS = 2_000_000           # letters of the lanes sorted side by side
 
 _SCATTER = mix(np.arange(1, 257, dtype=np.uint64) * ODD)
 _POWERS = [np.uint64(pow(0xD6E8FEB86659FD93, 1 << i, 1 << 64)) for i in range(6)]
@@ -110,7 +110,7 @@ def fragments(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) ->
     return text, first - begin, last - begin, least[first]
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _slices(texts: list) -> Iterator[tuple[int, int]]:
     lo = 0
     while lo < len(texts):
         hi, held = lo, 0
@@ -130,41 +130,37 @@ def _minimizers(length: int, anchor: int, buckets: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             texts, ids = pdf["text"].tolist(), pdf["id"].to_numpy(dtype=np.int64)
-            found = []
             for lo, hi in _slices(texts):
                 text, _, _, value = fragments(_bytes(texts[lo:hi]), length, anchor)
-                found.append((value, ids[lo:hi][text]))
-            if not found:
-                continue
-            value = np.concatenate([f[0] for f in found])
-            doc = np.concatenate([f[1] for f in found])
-            batch = doc // BATCH
-            order = np.lexsort((doc, value, batch))
-            value, doc, batch = value[order], doc[order], batch[order]
-            new = np.ones(len(value), dtype=bool)
-            new[1:] = (value[1:] != value[:-1]) | (batch[1:] != batch[:-1])
-            head = np.flatnonzero(new)
-            if not len(head):
-                continue
-            tail = np.append(head[1:], len(value)) - 1
-            many = np.minimum(tail - head + 1, 65535).astype(np.uint16)
-            value, batch, low, high = value[head], batch[head], doc[head], doc[tail]
-            bucket = (value % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((value, bucket, batch))
-            value, batch, low, high, many, bucket = (x[order] for x in (value, batch, low, high, many, bucket))
-            cut = np.flatnonzero((np.diff(batch) != 0) | (np.diff(bucket) != 0)) + 1
-            rows = []
-            for a, b in zip(np.append(0, cut), np.append(cut, len(value))):
-                base = batch[a] * BATCH
-                rows.append((int(bucket[a]), int(batch[a]), _pack(np.diff(value[a:b], prepend=np.uint64(0)),
-                                                                 (low[a:b] - base).astype(np.uint16),
-                                                                 (high[a:b] - low[a:b]).astype(np.uint16), many[a:b])))
-            yield pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+                if len(value):
+                    yield packed(value, ids[lo:hi][text])
+
+    def packed(value: np.ndarray, doc: np.ndarray) -> pd.DataFrame:
+        batch = doc // BATCH
+        order = np.lexsort((doc, value, batch))
+        value, doc, batch = value[order], doc[order], batch[order]
+        new = np.ones(len(value), dtype=bool)
+        new[1:] = (value[1:] != value[:-1]) | (batch[1:] != batch[:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(value)) - 1
+        many = np.minimum(tail - head + 1, 65535).astype(np.uint16)
+        value, batch, low, high = value[head], batch[head], doc[head], doc[tail]
+        bucket = (value % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((value, bucket, batch))
+        value, batch, low, high, many, bucket = (x[order] for x in (value, batch, low, high, many, bucket))
+        cut = np.flatnonzero((np.diff(batch) != 0) | (np.diff(bucket) != 0)) + 1
+        rows = []
+        for a, b in zip(np.append(0, cut), np.append(cut, len(value))):
+            base = batch[a] * BATCH
+            rows.append((int(bucket[a]), int(batch[a]), _pack(np.diff(value[a:b], prepend=np.uint64(0)),
+                                                             (low[a:b] - base).astype(np.uint16),
+                                                             (high[a:b] - low[a:b]).astype(np.uint16), many[a:b])))
+        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
     return run
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per batch: its minimizers that another document has, and whether they are hot."""
+    """Per batch: its minimizers that another document has, whether they are hot, and the first document."""
     value, batch, low, high, many = [], [], [], [], []
     for bt, blob in zip(pdf["batch"], pdf["blob"]):
         d, lo, span, m = _unpack(blob)
@@ -178,13 +174,14 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
     value, batch, low, high, many = value[order], batch[order], low[order], high[order], many[order]
     head = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
     group = np.cumsum(np.append(True, value[1:] != value[:-1])) - 1
-    keep = (np.minimum.reduceat(low, head) < np.maximum.reduceat(high, head))[group]
-    hot = (np.add.reduceat(many, head) >= HOT)[group]
-    value, batch, hot = value[keep], batch[keep], hot[keep]
+    first = np.minimum.reduceat(low, head)
+    keep = (first < np.maximum.reduceat(high, head))[group]
+    hot, first = (np.add.reduceat(many, head) >= HOT)[group][keep], first[group][keep]
+    value, batch = value[keep], batch[keep]
     order = np.lexsort((value, batch))
-    value, batch, hot = value[order], batch[order], hot[order].astype(np.uint8)
+    value, batch, hot, first = value[order], batch[order], hot[order].astype(np.uint8), first[order]
     cut = np.flatnonzero(np.diff(batch)) + 1
-    rows = [(int(batch[a]), _pack(np.diff(value[a:b], prepend=np.uint64(0)), hot[a:b]))
+    rows = [(int(batch[a]), _pack(np.diff(value[a:b], prepend=np.uint64(0)), hot[a:b], first[a:b]))
             for a, b in zip(np.append(0, cut), np.append(cut, len(value))) if b > a]
     return pd.DataFrame(rows, columns=["batch", "blob"])
 
@@ -195,6 +192,18 @@ _SENT = [f.split()[0] for f in SENT.split(", ")]
 RESULT = ("doc_id", "row_key", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def _bundled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts of neighbouring documents compressed together: the form in which they are shuffled."""
+    for pdf in frames:
+        rows = []
+        for batch, part in pdf.groupby(pdf["id"] // BATCH, sort=False):
+            texts, ids, keys = part["text"].tolist(), part["id"].tolist(), part["row_key"].tolist()
+            for lo, hi in _slices(texts):
+                bundle = list(zip(ids[lo:hi], keys[lo:hi], _bytes(texts[lo:hi])))
+                rows.append((batch, zstandard.ZstdCompressor(level=3).compress(pickle.dumps(bundle))))
+        yield pd.DataFrame(rows, columns=["batch", "blob"])
+
+
 def _cut_fragments(length: int, anchor: int, buckets: int):
     """Per batch: its shared fragments by bucket, what is needed to apply the verdicts, and the results
     of documents without any."""
@@ -202,17 +211,18 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
         rows: list[tuple] = []
         if not len(docs):
             return pd.DataFrame(rows, columns=_SENT)
-        docs = docs.sort_values(["id", "row_key"], kind="mergesort")
         batch = int(docs["batch"].iloc[0])
-        ids, keys = docs["id"].to_numpy(dtype=np.int64), docs["row_key"].tolist()
-        shared, hot = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
+        held = [d for blob in docs["blob"] for d in pickle.loads(zstandard.ZstdDecompressor().decompress(blob))]
+        held.sort(key=lambda d: d[:2])
+        ids, keys, texts = np.array([d[0] for d in held], dtype=np.int64), [d[1] for d in held], [d[2] for d in held]
+        shared, hot, earliest = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
         if len(replies):
             parts = [_unpack(b) for b in replies["blob"]]
             shared = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
             hot = np.concatenate([p[1] for p in parts]).astype(bool)
+            earliest = np.concatenate([p[2] for p in parts])
             order = np.argsort(shared)
-            shared, hot = shared[order], hot[order]
-        texts = docs["text"].tolist()
+            shared, hot, earliest = shared[order], hot[order], earliest[order]
         seen: dict[tuple, int] = {}         # (lane, bytes) -> number
         low: list[int] = []                 # first and last document of a fragment here
         high: list[int] = []
@@ -220,11 +230,14 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
         lanes: list[int] = []
         kept_docs, uses = [], []            # documents with fragments; (document, start, fragment) of each
         for lo, hi in _slices(texts):
-            raws = _bytes(texts[lo:hi])
+            raws = texts[lo:hi]
             text, first, last, value = fragments(raws, length, anchor)
             at = np.searchsorted(shared, value) if len(shared) else np.zeros(len(value), dtype=np.int64)
             is_shared = (shared[np.minimum(at, len(shared) - 1)] == value) if len(shared) else np.zeros(len(value), dtype=bool)
-            have = np.unique(text[is_shared])
+            # only documents with a minimizer that an earlier one has can lose bytes; the others are done
+            earlier = np.zeros(len(value), dtype=bool)
+            earlier[is_shared] = earliest[at[is_shared]] < ids[lo:hi][text[is_shared]]
+            have = np.unique(text[earlier])
             number = {int(t): len(kept_docs) + i for i, t in enumerate(have)}
             kept_docs += [(int(ids[lo + t]), keys[lo + t], raws[t]) for t in have.tolist()]
             for t in np.setdiff1d(np.arange(hi - lo), have).tolist():
@@ -246,7 +259,8 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
                         high[k] = doc
                     elif doc < low[k]:
                         low[k] = doc
-                    uses.append((number[t], start, k))
+                    if t in number:
+                        uses.append((number[t], start, k))
         if bodies:
             lane = np.array(lanes, dtype=np.uint64)
             bucket = (lane % np.uint64(buckets)).astype(np.int64)
@@ -270,55 +284,48 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
 def least_documents(lanes: list[list[tuple[bytes, int]]], length: int = LENGTH) -> list[list[np.ndarray]]:
     """For each lane of different fragments (bytes, least document), per fragment and string the least
     document of all equal strings of the lane, from the lane's suffix array."""
-    out: list = [None] * len(lanes)
-    size = [sum(len(b) + 1 for b, _ in lane) + 1 for lane in lanes]
-    order = sorted(range(len(lanes)), key=size.__getitem__)
+    out: list[list[np.ndarray]] = []
     at = 0
-    while at < len(order):
-        # strings of about one length are sorted side by side
-        end = at + 1
-        while end < len(order) and size[order[end]] * (end + 1 - at) <= CELLS and size[order[end]] <= 1.3 * size[order[at]] + 8:
+    while at < len(lanes):
+        # lanes are sorted side by side, as many as fit the bound
+        end, cells = at, 0
+        while end < len(lanes) and (end == at or cells < CELLS):
+            cells += sum(len(b) + 1 for b, _ in lanes[end]) + 1
             end += 1
-        part = order[at:end]
-        n = size[part[-1]]
-        text = np.zeros((len(part), n), dtype=np.int16)
-        for r, i in enumerate(part):
-            joined = b"\x00".join(b for b, _ in lanes[i])
-            row = np.frombuffer(joined, dtype=np.uint8).astype(np.int16) + 2
-            text[r, :len(row)] = row
-            text[r, len(row)] = 1
-            cursor = 0
-            for b, _ in lanes[i]:
-                text[r, cursor + len(b)] = 1
-                cursor += len(b) + 1
-        suffixes = suffix_arrays(text)
-        begin = np.zeros(text.shape, dtype=bool)
-        least = np.full(text.shape, NO_ID, dtype=np.int64)
-        for r, i in enumerate(part):
-            cursor = 0
-            for b, doc in lanes[i]:
-                begin[r, cursor:cursor + len(b) - length + 1] = True
-                least[r, cursor:cursor + len(b) - length + 1] = doc
-                cursor += len(b) + 1
-        rows = np.repeat(np.arange(len(part)), n)
-        places = suffixes.ravel()
-        keep = begin[rows, places]
-        rows, places = rows[keep], places[keep]
-        here = rows * n + places
-        flat = text.ravel()
-        same = rows[1:] == rows[:-1]
+        bodies = [f for lane in lanes[at:end] for f in lane]
+        sizes = np.array([len(b) for b, _ in bodies])
+        count = np.array([len(lane) for lane in lanes[at:end]])
+        closes = np.zeros(len(bodies), dtype=np.int64)      # the last fragment of a lane is followed by 1 and 0
+        closes[np.cumsum(count) - 1] = 1
+        step = sizes + 1 + closes
+        begin = np.cumsum(step) - step
+        text = np.zeros(int(step.sum()), dtype=np.int16)
+        letters = np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        text[letters] = np.frombuffer(b"".join([b for b, _ in bodies]), dtype=np.uint8).astype(np.int16) + 2
+        text[begin + sizes] = 1
+        starts = begin[np.cumsum(count) - count]
+        # strings of ``length`` bytes start in the first bytes of each fragment
+        strings = sizes - length + 1
+        offset = np.cumsum(strings) - strings
+        is_string = np.zeros(len(text), dtype=bool)
+        where = np.arange(int(strings.sum())) + np.repeat(begin - offset, strings)
+        is_string[where] = True
+        least = np.zeros(len(text), dtype=np.int64)
+        least[where] = np.repeat(np.array([d for _, d in bodies], dtype=np.int64), strings)
+        order = suffix_arrays(text, starts)
+        order = order[is_string[order]]
+        lane = np.repeat(np.repeat(np.arange(len(count)), count), strings)
+        lane_at = np.empty(len(text), dtype=np.int32)
+        lane_at[where] = lane
+        same = lane_at[order[1:]] == lane_at[order[:-1]]
         for k in range(length):
-            same &= flat[here[1:] + k] == flat[here[:-1] + k]
-        group = np.append(0, np.cumsum(~same))
-        value = least.ravel()[here]
-        best = np.minimum.reduceat(value, np.append(0, np.flatnonzero(~same) + 1))
-        least.ravel()[here] = best[group]
-        for r, i in enumerate(part):
-            cursor, got = 0, []
-            for b, _ in lanes[i]:
-                got.append(least[r, cursor:cursor + len(b) - length + 1].copy())
-                cursor += len(b) + 1
-            out[i] = got
+            same &= text[order[1:] + k] == text[order[:-1] + k]
+        head = np.flatnonzero(np.append(True, ~same))
+        best = np.minimum.reduceat(least[order], head)
+        least[order] = np.repeat(best, np.diff(np.append(head, len(order))))
+        per = np.split(least[where], offset[1:])
+        cut = np.cumsum(count)
+        out += [per[c - n:c] for c, n in zip(cut.tolist(), count.tolist())]
         at = end
     return out
 
@@ -410,16 +417,19 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_ch
     doc_id never remove each other's bytes (repeated rows give equal results). A null doc_id counts
     as later than every other. An empty table gives an empty result.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
                        row_key("text").alias("row_key"), F.coalesce("text", F.lit("")).alias("text"))
     chars = rows.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     buckets = max(1, -(-chars // bucket_chars))
     sent = rows.select("id", "text").mapInPandas(_minimizers(length, anchor, buckets), "bucket int, batch bigint, blob binary")
     shared = sent.groupBy("bucket").applyInPandas(_shared, "batch bigint, blob binary")
-    batched = rows.withColumn("batch", F.shiftright("id", BATCH.bit_length() - 1))
-    cut = written(batched.groupBy("batch").cogroup(shared.groupBy("batch")).applyInPandas(
+    bundles = rows.mapInPandas(_bundled, "batch bigint, blob binary")
+    cut = written(bundles.groupBy("batch").cogroup(shared.groupBy("batch")).applyInPandas(
         _cut_fragments(length, anchor, buckets), SENT), "suffix-fragments")
+    del sent, shared, bundles, rows
+    release(spark)
     verdicts = cut.where("kind = 0").select("bucket", "batch", "blob").groupBy("bucket") \
         .applyInPandas(_verdicts(length), "batch bigint, blob binary")
     states = cut.where("kind = 1").select("batch", "blob")

@@ -1,13 +1,14 @@
-"""Suffix arrays by grouping (two phases, no recursion), for many short strings side by side.
+"""Suffix arrays by grouping (two phases, no recursion), for many strings side by side.
 
 Phase 1 groups the suffixes of each string by their longest Lyndon prefix. Groups are worked off from
 the greatest to the least. For every suffix of the current group the previous smaller suffix is found
 by following the pointers of suffixes already done; it takes the group's Lyndon word into its own prefix,
 once for each suffix that points at it, and moves to a new group behind its old one, further back the
-more often. Phase 2 emits the order: from the least suffix on, the suffix before each emitted one, and
-then its chain of previous smaller suffixes, go to the next free place of their groups.
+more often. Groups stand together in the array throughout, so the current one is a slice and a step
+costs as much as it moves. Phase 2 emits the order: from the least suffix on, the suffix before each
+emitted one, and then its chain of previous smaller suffixes, go to the next free place of their groups.
 
-Each step does the same thing for all strings of the batch, so its cost is shared by them.
+Each step does the same thing for all strings, so its fixed cost is shared by them.
 """
 
 from __future__ import annotations
@@ -15,94 +16,115 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_arrays(text: np.ndarray) -> np.ndarray:
-    """Suffix arrays of the rows of ``text`` (strings, ints): each row ends in one or more 0, and 0 stands
-    nowhere else. Suffixes that start in the zeros come first."""
-    rows, n = text.shape
-    every = np.arange(rows)[:, None]
-    order = np.argsort(text, axis=1, kind="stable")
-    sorted_ = np.take_along_axis(text, order, 1)
-    first = np.ones((rows, n), dtype=bool)
-    first[:, 1:] = sorted_[:, 1:] != sorted_[:, :-1]
-    begin = np.maximum.accumulate(np.where(first, np.arange(n), 0), axis=1)
-    group = np.empty((rows, n), dtype=np.int32)
-    group[every, order] = begin
-    size = np.zeros((rows, n), dtype=np.int32)
-    np.add.at(size, (every, begin), 1)
-    prev = np.broadcast_to(np.arange(-1, n - 1, dtype=np.int32), (rows, n)).copy()
-    flat_group, flat_size, flat_prev = group.ravel(), size.ravel(), prev.ravel()
-    live = np.arange(rows)
-    limit = np.full(rows, n, dtype=np.int32)
-    while len(live):
-        g_live = group[live]
-        now = np.where(g_live < limit[:, None], g_live, 0).max(axis=1)
-        going = now > 0                     # group 0 is that of the zeros
+def _groups(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phase 1: the first place of each suffix's group, and its previous smaller suffix (-1: none)."""
+    n = len(text)
+    row = np.repeat(np.arange(len(starts)), ends - starts)
+    key = (row << 16) | text.astype(np.int64)
+    sa = np.argsort(key, kind="stable").astype(np.int32)
+    place = np.empty(n, dtype=np.int32)
+    place[sa] = np.arange(n, dtype=np.int32)
+    first = np.ones(n, dtype=bool)
+    first[1:] = key[sa[1:]] != key[sa[:-1]]
+    heads = np.flatnonzero(first).astype(np.int32)
+    size = np.zeros(n, dtype=np.int32)
+    size[heads] = np.diff(np.append(heads, n))
+    label = np.empty(n, dtype=np.int32)
+    label[sa] = np.repeat(heads, size[heads])
+    prev = np.arange(-1, n - 1, dtype=np.int32)
+    moved = np.zeros(n, dtype=bool)
+    begin, limit = starts.astype(np.int32), ends.astype(np.int32)
+    while True:
+        now = label[sa[limit - 1]]
+        going = now > begin                 # the first group of a string is its final 0
         if not going.all():
-            live, now, g_live = live[going], now[going], g_live[going]
-            if not len(live):
-                break
+            begin, limit, now = begin[going], limit[going], now[going]
+        if not len(begin):
+            break
+        count = limit - now
+        if count.max() == 1:
+            i, here, low = sa[now], now, begin
+        else:
+            cut = np.cumsum(count)
+            i = sa[np.arange(cut[-1], dtype=np.int32) + np.repeat(now - (cut - count), count)]
+            here, low = np.repeat(now, count), np.repeat(begin, count)
         limit = now
-        lane, i = np.nonzero(g_live == now[:, None])
-        here = now[lane]
-        base = live[lane] * n
-        p = i.astype(np.int64) - 1
-        todo = np.flatnonzero(p >= 0)
-        todo = todo[flat_group[base[todo] + p[todo]] >= here[todo]]
+        p = i - 1
+        todo = np.flatnonzero((p >= low) & (label[p] >= here))
         while len(todo):
-            p[todo] = flat_prev[base[todo] + p[todo]]
-            todo = todo[p[todo] >= 0]
-            todo = todo[flat_group[base[todo] + p[todo]] >= here[todo]]
-        flat_prev[base + i] = p
-        ok = p >= 0
-        if not ok.any():
+            step = prev[p[todo]]
+            p[todo] = step
+            todo = todo[(step >= low[todo]) & (label[step] >= here[todo])]
+        some = p >= low
+        prev[i] = np.where(some, p, -1)
+        p = p[some]
+        if not len(p):
             continue
-        cell, count = np.unique(base[ok] + p[ok], return_counts=True)
-        old = flat_group[cell]
-        home = cell // n * n + old          # where the old group keeps its size
-        by = np.lexsort((-count, home))     # per old group, most often first
-        cell, count, home, old = cell[by], count[by], home[by], old[by]
-        new_home = np.ones(len(by), dtype=bool)
-        new_home[1:] = home[1:] != home[:-1]
+        p.sort()
+        new = np.ones(len(p), dtype=bool)
+        new[1:] = p[1:] != p[:-1]
+        at = np.flatnonzero(new)
+        cell = p[at]
+        times = np.diff(np.append(at, len(p)))
+        old = label[cell]
+        by = np.lexsort((times, old))
+        cell, times, old = cell[by], times[by], old[by]
+        new_home = np.ones(len(cell), dtype=bool)
+        new_home[1:] = old[1:] != old[:-1]
         new_set = new_home.copy()
-        new_set[1:] |= count[1:] != count[:-1]
-        at = np.arange(len(by))
-        home_start = np.maximum.accumulate(np.where(new_home, at, 0))
-        ends = np.append(np.flatnonzero(new_set)[1:], len(by))
-        set_no = np.cumsum(new_set) - 1
-        moved_so_far = ends[set_no] - home_start
-        label = old + flat_size[home] - moved_so_far
-        starts = np.flatnonzero(new_home)
-        totals = np.diff(np.append(starts, len(by)))
-        flat_size[home[starts]] -= totals.astype(np.int32)
-        heads = np.flatnonzero(new_set)
-        flat_size[cell[heads] // n * n + label[heads]] = np.diff(np.append(heads, len(by)))
-        flat_group[cell] = label
-    prev[text == 0] = -1
-    # phase 2
-    out = np.full((rows, n), -1, dtype=np.int32)
-    free = np.broadcast_to(np.arange(n, dtype=np.int32), (rows, n)).copy().ravel()
-    flat_out = out.ravel()
-    placed = np.zeros(rows * n, dtype=bool)
-    lane0 = np.arange(rows) * n
-    out[:, 0] = n - 1
-    placed[lane0 + n - 1] = True
-    free[lane0] = 1
-    for i in range(n):
-        t = out[:, i].astype(np.int64) - 1
-        at = np.flatnonzero(t >= 0)
-        base, t = lane0[at], t[at]
+        new_set[1:] |= times[1:] != times[:-1]
+        home = np.flatnonzero(new_home)
+        many = np.diff(np.append(home, len(cell)))
+        tail = (old[home] + size[old[home]] - many).astype(np.int32)
+        nth = np.arange(len(cell), dtype=np.int32)
+        target = nth + np.repeat(tail - home.astype(np.int32), many)
+        was = place[cell]
+        # suffixes that stay give up their places in the tail for those left by the movers
+        moved[cell] = True
+        there = sa[target]
+        staying = there[~moved[there]]
+        holes = was[was < np.repeat(tail, many)]
+        moved[cell] = False
+        sa[holes] = staying
+        place[staying] = holes
+        sa[target] = cell
+        place[cell] = target
+        sets = np.flatnonzero(new_set)
+        set_size = np.diff(np.append(sets, len(cell)))
+        size[old[home]] -= many.astype(np.int32)
+        size[target[sets]] = set_size
+        label[cell] = np.repeat(target[sets], set_size)
+    return label, prev
+
+
+def suffix_arrays(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Suffix arrays of the strings ``text[starts[k]:starts[k + 1]]`` (small ints), one after the other, as
+    places in ``text``. Each string ends in the only 0 it has."""
+    ends = np.append(starts[1:], len(text))
+    label, prev = _groups(text, starts, ends)
+    out = np.full(len(text), -1, dtype=np.int32)
+    free = np.arange(len(text), dtype=np.int32)
+    placed = np.zeros(len(text), dtype=bool)
+    order = np.argsort(starts - ends, kind="stable")    # longest first: those still going are a prefix
+    begin, length = starts[order].astype(np.int32), (ends - starts)[order]
+    last = (ends - 1).astype(np.int32)
+    out[starts] = last
+    placed[last] = True
+    free[starts] += 1
+    going = len(begin)
+    for i in range(int(length[0]) if going else 0):
+        while length[going - 1] <= i:
+            going -= 1
+        low = begin[:going]
+        t = out[low + i] - 1
+        t = t[t >= low]
         while len(t):
-            fresh = ~placed[base + t]
-            base, t = base[fresh], t[fresh]
-            if not len(t):
-                break
-            cell = base + t
-            placed[cell] = True
-            slot = base + flat_group[cell]
-            where = free[slot]
-            free[slot] = where + 1
-            flat_out[base + where] = t
-            t = flat_prev[cell].astype(np.int64)
-            more = t >= 0
-            base, t = base[more], t[more]
+            t = t[~placed[t]]
+            placed[t] = True
+            group = label[t]
+            where = free[group]
+            free[group] = where + 1
+            out[where] = t
+            t = prev[t]
+            t = t[t >= 0]
     return out

@@ -110,12 +110,12 @@ def test_word_hashes_depend_on_the_word_alone():
 
 def test_suffix_arrays_match_sorting():
     rng = np.random.RandomState(0)
-    for trial in range(150):
-        rows, n, letters = rng.randint(1, 6), rng.randint(1, 40), rng.randint(1, 5)
-        text = np.zeros((rows, n + 1 + rng.randint(0, 3)), dtype=np.int16)
-        text[:, :n] = rng.randint(1, letters + 1, (rows, n))
-        for row, got in zip(text, suffix_arrays(text)):
-            assert got.tolist() == sorted(range(len(row)), key=lambda i: row[i:].tolist())
+    for trial in range(300):
+        texts = [np.append(rng.randint(1, rng.randint(2, 6), rng.randint(0, 45)), 0) for _ in range(rng.randint(1, 8))]
+        starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
+        got = suffix_arrays(np.concatenate(texts).astype(np.int16), starts)
+        for t, a in zip(texts, starts):
+            assert (got[a:a + len(t)] - a).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
 
 
 def brute_dedup(rows, length=50):
