@@ -51,7 +51,7 @@ _POWERS = [np.uint64(pow(0xD6E8FEB86659FD93, 1 << i, 1 << 64)) for i in range(6)
 
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns as byte planes (high bytes together), compressed."""
-    planes = [(c.dtype.str, len(c), np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes())
+    planes = [(c.dtype.str, len(c), np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T).tobytes())
               for c in columns]
     return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(planes))
 
@@ -239,7 +239,7 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
             earlier[is_shared] = earliest[at[is_shared]] < ids[lo:hi][text[is_shared]]
             have = np.unique(text[earlier])
             number = {int(t): len(kept_docs) + i for i, t in enumerate(have)}
-            kept_docs += [(int(ids[lo + t]), keys[lo + t], raws[t]) for t in have.tolist()]
+            kept_docs += [(int(ids[lo + t]), keys[lo + t]) for t in have.tolist()]
             for t in np.setdiff1d(np.arange(hi - lo), have).tolist():
                 rows.append((2, -1, batch, None, int(ids[lo + t]), keys[lo + t], len(raws[t]), 0, 0,
                              hashlib.sha256(raws[t]).hexdigest()))
@@ -273,8 +273,7 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
                              part.astype(np.uint32), np.frombuffer(b"".join([bodies[i] for i in part]), dtype=np.uint8))
                 rows.append((0, int(bucket[part[0]]), batch, blob, None, None, None, None, None, None))
             used = np.array(uses, dtype=np.int64).reshape(-1, 3)
-            state = zstandard.ZstdCompressor(level=3).compress(pickle.dumps(
-                (kept_docs, used[:, 0].astype(np.int32), used[:, 1].astype(np.int32), used[:, 2].astype(np.int32))))
+            state = pickle.dumps((kept_docs, _pack(*[np.diff(used[:, j], prepend=0).astype(np.int32) for j in range(3)])))
             rows.append((1, -1, batch, state, None, None, None, None, None, None))
         out = pd.DataFrame(rows, columns=_SENT)
         return out.astype({c: "Int64" for c in ("doc_id", "row_key", "n_bytes", "n_removed", "n_spans")})
@@ -381,11 +380,16 @@ def _verdicts(length: int):
 
 
 def _applied(length: int):
-    """Per batch: the results of its documents with shared fragments."""
+    """Per batch: the results of its documents with shared fragments, from their texts (kind 3)."""
     def run(states: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for blob in states["blob"]:
-            docs, whose, start, fragment = pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+        texts = {}
+        for blob in states["blob"][states["kind"] == 3]:
+            texts.update({(d, k): raw for d, k, raw in pickle.loads(zstandard.ZstdDecompressor().decompress(blob))})
+        for blob in states["blob"][states["kind"] == 1]:
+            docs, packed = pickle.loads(blob)
+            docs = [(d, k, texts[d, k]) for d, k in docs]
+            whose, start, fragment = (np.cumsum(c, dtype=np.int64) for c in _unpack(packed))
             verdict: dict[int, list] = {}
             for b in replies["blob"]:
                 for no, lo, hi, doc in zip(*(x.tolist() for x in _unpack(b))):
@@ -425,14 +429,16 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_ch
     buckets = max(1, -(-chars // bucket_chars))
     sent = rows.select("id", "text").mapInPandas(_minimizers(length, anchor, buckets), "bucket int, batch bigint, blob binary")
     shared = sent.groupBy("bucket").applyInPandas(_shared, "batch bigint, blob binary")
-    bundles = rows.mapInPandas(_bundled, "batch bigint, blob binary")
-    cut = written(bundles.groupBy("batch").cogroup(shared.groupBy("batch")).applyInPandas(
+    bundled = rows.mapInPandas(_bundled, "batch bigint, blob binary")
+    cut = written(bundled.groupBy("batch").cogroup(shared.groupBy("batch")).applyInPandas(
         _cut_fragments(length, anchor, buckets), SENT), "suffix-fragments")
-    del sent, shared, bundles, rows
+    del sent, shared
     release(spark)
     verdicts = cut.where("kind = 0").select("bucket", "batch", "blob").groupBy("bucket") \
         .applyInPandas(_verdicts(length), "batch bigint, blob binary")
-    states = cut.where("kind = 1").select("batch", "blob")
+    # the texts are bundled again rather than kept from the first time: they move once more, but are not written
+    states = cut.where("kind = 1").select("kind", "batch", "blob").unionByName(
+        bundled.select(F.lit(3).alias("kind"), "batch", "blob"))
     judged = states.groupBy("batch").cogroup(verdicts.groupBy("batch")).applyInPandas(
         _applied(length), "doc_id bigint, row_key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     every = cut.where("kind = 2").select(*RESULT).unionByName(judged)
