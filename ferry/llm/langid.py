@@ -30,8 +30,8 @@ SAMPLE = 4096
 EXCERPT = 512
 HIDDEN = 6
 WINDOW = 128
-BATCH = 4096
-SLICE_CHARS = 2_000_000
+BATCH = 2048
+SLICE_CHARS = 1_000_000
 STEPS = 500
 TRAIN_WINDOW = 64
 TRAIN_BATCH = 192

@@ -30,7 +30,8 @@ CAPACITY = 2048
 END_ID = 1
 CUT = 512
 BLOCK = 1024
-CACHE = 1_000_000
+CACHE = 800_000
+SLICE_CHARS = 1_500_000
 PUNCTUATION = (".", ",")
 # Id of the vocabulary's end-of-text token, used only as a separator between chunks to encode.
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
@@ -122,7 +123,7 @@ def _pieces(path: str, capacity: int, cut: int, end_id: int):
             lo = 0
             while lo < len(texts):
                 hi, held = lo, 0
-                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= 4_000_000):
+                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= SLICE_CHARS):
                     held += len(texts[hi])
                     hi += 1
                 rows = []

@@ -33,7 +33,7 @@ def _power(kind: str, n: int) -> np.ndarray:
     table = _powers[kind]
     if len(table) < n:
         base = BASE if kind == "up" else INVERSE
-        size = max(n, 2 * len(table))
+        size = max(n, len(table) + len(table) // 4)
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
         table = _powers[kind] = np.multiply.accumulate(steps)
