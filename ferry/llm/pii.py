@@ -27,12 +27,33 @@ OCTET = 1000                               # octets are written as 1000..1255
 
 # What the kinds look like.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 IP_PART = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{IP_PART}\.){{3}}{IP_PART}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
-ANY = "|".join((EMAIL, PHONE, DATE, CARD, IP))
+# Card numbers as they are printed; a run of digits of another grouping is tried after these.
+CARD_FORMS = (r"[0-9]{13,19}", r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}", r"[0-9]{4}(?:[ -][0-9]{4}){3}",
+              r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}")
+# No number runs on into a value of another kind behind a blank, a dot or a hyphen.
+OTHER = rf"(?!{EMAIL}|{DATE}|{IP})"
+# A phone number stops before printed cards. Its area code may be in brackets; other groups have two digits or more.
+_CARDS = r"(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|(?:[0-9]{4}[ -]){3}[0-9]{4}(?:(?:[ -][0-9]{4}){4}){0,4}(?![ -][0-9]{4}(?![0-9])))"
+_LOOSE = rf"{OTHER}(?=[0-9]{{2}})"
+_GAP = rf"(?!{_CARDS}(?![0-9])){_LOOSE}"
+_AREA = r"[ .-]?(?<=\+[0-9]{1,3}[ .-]?)\((?=[0-9]{1,4}\)[ .-]?[0-9]{2})|(?<=\([0-9]{1,4})\)[ .-]?" + _LOOSE
+# Complete forms first: ten digits behind +1; ten digits or more without a blank behind a group that a dot or hyphen
+# introduced; then all that has 8 to 15 digits, if possible without cutting a decimal or dotted number or a card.
+_NEAT = rf"(?:[.-]|(?<!(?<!\+[0-9]{{1,3}})[.-][0-9]{{2,14}}) ){_GAP}"
+PHONE = (r"\+(?:1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+         rf"|[0-9](?:(?:{_NEAT}|{_AREA})?[0-9]){{9,14}}(?![0-9]|\.[0-9])"
+         rf"|[0-9](?:(?:[ .-]{_GAP}|{_AREA})?[0-9]){{7,14}}(?![0-9]|\.[0-9])"
+         rf"|[0-9](?:(?:[ .-]{_LOOSE}|{_AREA})?[0-9]){{7,14}}(?![0-9]))")
+# All groups of digits around a possible card; the check digit decides which of them are one (``_cards``): the
+# printed forms, then groups of three digits or more, then any grouping from the left.
+DIGITS = rf"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9](?:[0-9]|[ -]{OTHER}[0-9])++"
+CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+PASSES = (*[rf"(?<![0-9])(?=({f})(?![0-9]))" for f in CARD_FORMS],
+          *[rf"(?<![0-9])(?=([0-9]{{3,}}(?:[ -][0-9]{{3,}}){{{k}}})(?![0-9]))" for k in (5, 4, 3, 2, 1)], f"({CARD})")
+ANY = "|".join((EMAIL, PHONE, DATE, DIGITS, IP))
 KINDS = ("email", "phone", "card", "ip", "date")
 
 
@@ -104,6 +125,10 @@ def luhn_digit(payload: Column) -> Column:
     return F.pmod(F.lit(10) - total % 10, F.lit(10)).cast("string")
 
 
+def _luhn(number: Column) -> Column:
+    return let(_alnum(number), lambda d: luhn_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1)))
+
+
 def _alnum(text: Column) -> Column:
     return F.regexp_replace(text, "[^A-Za-z0-9]", "")
 
@@ -158,7 +183,7 @@ def kind_of(m: Column) -> Column:
             .when(m.startswith("+"), F.when(F.length(digits).between(8, 15), "phone"))
             .when(m.rlike(r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$"), "ip")
             .when(m.rlike("^" + DATE + "$"), F.when(F.try_to_date(m, "yyyy-MM-dd").isNotNull(), "date"))
-            .when(luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1)), "card"))
+            .when(_luhn(digits), "card"))
 
 
 def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
@@ -167,24 +192,56 @@ def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
             .when(kind == "date", _date(m, key)).otherwise(m))
 
 
+def _cards(m: Column) -> Column:
+    """array<struct<text, kind>> of a run of digit groups: its card numbers and what lies between.
+
+    The forms of ``PASSES`` are tried one after the other on what no earlier one took, each at every group; a number
+    whose check digit is right is marked (in brackets, digits as letters).
+    """
+    def one_pass(run: Column, form: Column) -> Column:
+        valid = F.filter(F.regexp_extract_all(run, form, F.lit(1)), lambda c: F.length(_alnum(c)).between(13, 19) & _luhn(c))
+        return F.aggregate(valid, run, lambda r, c: F.regexp_replace(
+            r, F.concat(F.lit("(?<![0-9])"), c, F.lit("(?![0-9])")),
+            F.concat(F.lit("["), F.translate(c, "0123456789", "ABCDEFGHIJ"), F.lit("]"))))
+
+    def pieces(marked: Column) -> Column:
+        of = F.struct(F.split(marked, r"\[[^\]]*\]", -1).alias("gaps"), F.transform(
+            F.regexp_extract_all(marked, F.lit(r"\[([^\]]*)\]"), F.lit(1)),
+            lambda c: F.translate(c, "ABCDEFGHIJ", "0123456789")).alias("cards"))
+        return let(of, lambda x: F.flatten(F.transform(x["gaps"], lambda g, i: F.array(
+            _piece(g, F.lit(None).cast("string")),
+            _piece(F.coalesce(F.get(x["cards"], i), F.lit("")), F.when(i < F.size(x["cards"]), "card"))))))
+    return let(F.aggregate(F.array(*[F.lit(p) for p in PASSES]), m, one_pass), pieces)
+
+
+def _piece(text: Column, kind: Column) -> Column:
+    return F.struct(text.alias("text"), kind.alias("kind"))
+
+
+def _parts(text: Column) -> Column:
+    """For each match of ``ANY`` in order, the array<struct<text, kind>> it consists of."""
+    some = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.when(
+        m.rlike("^[0-9][0-9 -]*$") & ~m.rlike("^" + DATE + "$"), _cards(m)).otherwise(F.array(_piece(m, kind_of(m)))))
+    return F.when(text.rlike("[@0-9]"), some) \
+        .otherwise(F.array().cast("array<array<struct<text:string,kind:string>>>"))
+
+
 def found(text: Column) -> Column:
     """array<struct<text, kind>> of the matches in order (kind null: not validated); null text: empty."""
-    some = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
-                       lambda m: F.struct(m.alias("text"), kind_of(m).alias("kind")))
-    return F.when(text.rlike("[@0-9]"), some).otherwise(F.array().cast("array<struct<text:string,kind:string>>"))
+    return F.flatten(_parts(text))
 
 
 def _rebuilt(text: Column, matches: Column, key: str) -> Column:
-    parts = F.struct(F.split(text, ANY, -1).alias("gaps"), F.transform(
-        matches, lambda m: pseudonym(m["text"], m["kind"], key)).alias("new"))
+    parts = F.struct(F.split(text, ANY, -1).alias("gaps"), F.transform(matches, lambda m: F.array_join(F.transform(
+        m, lambda x: pseudonym(x["text"], x["kind"], key)), "")).alias("new"))
     joined = let(parts, lambda p: F.array_join(F.transform(
         p["gaps"], lambda g, i: F.concat(g, F.coalesce(F.get(p["new"], i), F.lit("")))), ""))
-    return F.when(F.exists(matches, lambda m: m["kind"].isNotNull()), joined).otherwise(text)
+    return F.when(F.exists(F.flatten(matches), lambda m: m["kind"].isNotNull()), joined).otherwise(text)
 
 
 def pseudonymised(text: Column, key: str = KEY) -> Column:
     """The whole text with every validated value replaced by its pseudonym (null stays null)."""
-    return F.when(text.rlike("[@0-9]"), let(found(text), lambda ms: _rebuilt(text, ms, key))).otherwise(text)
+    return F.when(text.rlike("[@0-9]"), let(_parts(text), lambda ms: _rebuilt(text, ms, key))).otherwise(text)
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -195,8 +252,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     row depends on its text and the key only. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                       found(F.coalesce("text", F.lit(""))).alias("ms"))
-    of = lambda k: F.size(F.filter("ms", lambda m: m["kind"].eqNullSafe(F.lit(k)))).cast("bigint")
+                       _parts(F.coalesce("text", F.lit(""))).alias("ms"))
+    of = lambda k: F.size(F.filter(F.flatten("ms"), lambda m: m["kind"].eqNullSafe(F.lit(k)))).cast("bigint")
     counts = [of(k).alias(f"n_{k}") for k in KINDS]
     return rows.select("doc_id", *counts, F.when(F.size("ms") > 0, _rebuilt(F.col("text"), F.col("ms"), key))
                        .otherwise(F.col("text")).alias("text"))

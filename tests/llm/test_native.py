@@ -195,3 +195,21 @@ def test_dates_are_a_permutation(spark):
 def test_pseudonym_edge_cases(edge, none):
     assert pii.pseudonymise(edge).count() == edge.count()
     assert pii.pseudonymise(none).count() == 0
+
+
+def test_personal_data_beside_other_numbers(make_docs):
+    phone, card, ip, day = "+1 (826) 555-4081", "4191997542928922", "190.137.223.204", "2024-02-29"
+    grouped, far = "4191 9975 4292 8922", "+49 30 1234 5678"
+    rows = [phone, card, ip, day, grouped, far, f"{phone} {ip}", f"{phone} {day}", f"{phone} 12", f"id 7 {card}", f"{card} 12", f"{card} {ip}",
+            f"{card} {day}", f"{phone} {card}", f"{far} {grouped}", f"7 {grouped}", f"{grouped} 12", f"2023 {grouped} 2025", f"{card} {grouped}",
+            f"12 41919975 42928922", f"{far} {day} {phone}.", f"{card} 12@mail.com", f"{phone}-{ip}", "1 " * 3000]
+    got = {r.doc_id: r for r in pii.pseudonymise(make_docs(list(enumerate(rows)))).collect()}
+    new = [got[i].text for i in range(len(rows))]
+    p, c, i, d, g, f = new[:6]
+    assert not {p, c, i, d, g, f} & set(rows) and g.replace(" ", "") == c
+    assert new[6:11] == [f"{p} {i}", f"{p} {d}", f"{p} 12", f"id 7 {c}", f"{c} 12"]
+    assert new[11:15] == [f"{c} {i}", f"{c} {d}", f"{p} {c}", f"{f} {g}"]
+    assert new[15:19] == [f"7 {g}", f"{g} 12", f"2023 {g} 2025", f"{c} {g}"]
+    assert new[19] == f"12 {c[:8]} {c[8:]}" and new[20] == f"{f} {d} {p}."
+    assert new[21].startswith(f"{c} ") and new[21].endswith("@mail.com") and (got[21].n_card, got[21].n_email) == (1, 1)
+    assert new[22] == f"{p}-{i}" and (got[18].n_card, got[6].n_phone, got[6].n_ip) == (2, 1, 1)
