@@ -1,6 +1,6 @@
 """Personal data become format-preserving pseudonyms: keyed Feistel permutations in SQL functions.
 
-Kinds: e-mail addresses (the local part changes), card numbers (13-19 digits that pass the Luhn test;
+Kinds: e-mail addresses (the ASCII letters and digits of the local part change), card numbers (13-19 digits that pass the Luhn test;
 the check digit is made anew, so the pseudonym passes it too), international phone numbers (8-15
 digits; the country code stays), IPv4 addresses and calendar dates from 1900 to 2099. A value is
 written as numbers in their own ranges (digit, letter of a case, octet, day), the list is cut in two
@@ -26,7 +26,8 @@ DATE_BASE = 271                            # 271 * 271 is the least square that
 OCTET = 1000                               # octets are written as 1000..1255
 
 # What the kinds look like.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# A local part has letters and digits of any script; its ASCII ones are permuted, the others stay.
+EMAIL = r"(?<![\p{L}\p{M}\p{N}._%+-])(?=[._%+-]*+[\p{L}\p{N}])[\p{L}\p{M}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IP_PART = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{IP_PART}\.){{3}}{IP_PART}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"

@@ -213,3 +213,14 @@ def test_personal_data_beside_other_numbers(make_docs):
     assert new[19] == f"12 {c[:8]} {c[8:]}" and new[20] == f"{f} {d} {p}."
     assert new[21].startswith(f"{c} ") and new[21].endswith("@mail.com") and (got[21].n_card, got[21].n_email) == (1, 1)
     assert new[22] == f"{p}-{i}" and (got[18].n_card, got[6].n_phone, got[6].n_ip) == (2, 1, 1)
+
+
+def test_mail_addresses_of_any_script(make_docs):
+    rows = ["josé.90@mail2.example.com", "de josé@mail.com, merci", "_jo@mail2.example.com", "jo@mail2.example.com",
+            "Jürgen.Groß@post.example.com josé@mail.com", "+18265554081@mail.com", "a @ b.c -@x.y"]
+    got = [r for r in sorted(pii.pseudonymise(make_docs(list(enumerate(rows)))).collect(), key=lambda r: r.doc_id)]
+    assert [r.n_email for r in got] == [1, 1, 1, 1, 2, 1, 0]
+    local = "".join(map(chr, py_permuted([ord(c) for c in "jos90"], pii.KEY, "email")))
+    assert got[0].text == f"{local[:3]}é.{local[3:]}@mail2.example.com" and got[2].text == "_" + got[3].text != rows[2]
+    assert got[1].text.startswith("de ") and got[1].text.endswith("é@mail.com, merci") and "jos" not in got[1].text
+    assert "Jürgen" not in got[4].text and "ü" in got[4].text and got[4].text.endswith("́@mail.com") and got[6].text == rows[6]
