@@ -39,10 +39,13 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join at five words and 0.8: the smallest doc_id of each group stays."""
-    groups = jaccard.link(docs, n=5, num=80, den=100)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id")).agg(F.min("row_key").alias("key_text"))
+    """N-gram Jaccard join at five words and 0.8: of each group the smallest doc_id stays, with one of its texts
+    if several are in the group. A null id comes last; rows of one id, or without one, that are not linked all stay."""
+    rows = jaccard.classes(docs, n=5, num=80, den=100) \
+        .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id"), F.col("row_key").alias("key_text"), "class_id")
+    # a text without words has no class and is a group of its own
+    group = F.coalesce("class_id", F.concat_ws("|", "key_id", "key_text"))
+    first = rows.groupBy(group.alias("group")).agg(F.min(F.struct("key_id", "key_text")).alias("first")).select("first.*")
     # one shuffle of the texts: join and distinct use the same key
     kept = _with_key(docs).join(first, ["key_id", "key_text"], "left_semi").dropDuplicates(["key_id", "key_text"])
     return kept.select(*COLUMNS)

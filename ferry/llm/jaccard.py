@@ -197,14 +197,20 @@ def _linked(n: int, num: int, den: int):
 
 
 def link(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
-    """One row per input row: doc_id, row_key, n_shingles, component_id.
+    """``classes`` without class_id: one row per input row with doc_id, row_key, n_shingles, component_id."""
+    return classes(docs, n, num, den, block).drop("class_id")
+
+
+def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
+    """One row per input row: doc_id, row_key, n_shingles, component_id, class_id.
 
     Documents link when ``den`` * intersection >= ``num`` * union of their sets of ``n``-word shingles
     (A-Z lower-cased; with fewer words the whole sequence is one shingle). Input needs ``doc_id`` and ``text``;
     other columns are ignored. A null, empty or blank text has an empty set and links with nothing, not
     even another empty one. Repeated rows, and rows that share an id but not a text, each link by their own
-    text. A null doc_id comes last and names a component only if no other id is in it (then null). An
-    empty table gives an empty result.
+    text. A null doc_id comes last and names a component only if no other id is in it (then null), and a
+    doc_id may name several; ``class_id`` tells components apart and is null for an empty set. An empty
+    table gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -243,12 +249,12 @@ def link(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block: int
                     "jaccard-links")
     del groups, texts, involved
     release(spark)
-    classes = components(links)
-    named = sets.join(classes, F.col("set_id") == F.col("node"), "left") \
+    linked = components(links)
+    named = sets.join(linked, F.col("set_id") == F.col("node"), "left") \
         .select("set_id", F.coalesce("component", "set_id").alias("class"), F.col("rep.doc_id").alias("first"))
     least = named.groupBy("class").agg(F.min("first").alias("component_id"))
-    found = named.join(least, "class").select(F.col("set_id").alias("s"), "component_id")
+    found = named.join(least, "class").select(F.col("set_id").alias("s"), "component_id", F.col("class").alias("class_id"))
     out = rows.join(found, F.col("set_id") == F.col("s"), "left")
     real = lambda c: F.when(c != NO_ID, c)
     return out.select(real(F.col("doc_id")).alias("doc_id"), "row_key", "n_shingles",
-                      real(F.coalesce("component_id", "doc_id")).alias("component_id"))
+                      real(F.coalesce("component_id", "doc_id")).alias("component_id"), "class_id")

@@ -274,3 +274,12 @@ def test_pipeline_links_five_words(make_docs):
     a = " ".join(f"w{i}" for i in range(60))
     assert jaccard.link(make_docs([(1, a), (2, a + " x y")]), n=5, num=80).agg(F.countDistinct("component_id")).first()[0] == 1
     assert math.isclose(corpus_pipeline.MIN_SCORE, 0.4)
+
+
+def test_near_copies_are_dropped_by_group_not_by_id(spark, make_docs):
+    a, b, c, d = (prose("en", 7000 + i, 60) for i in range(4))
+    rows = [(None, a, "en", "s"), (None, b, "en", "s"), (None, b, "en", "s"), (5, c, "en", "s"), (5, d, "en", "s"),
+            (4, c + " end", "en", "s"), (6, "  ", "en", "s"), (None, None, "en", "s"), (None, "", "en", "s")]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, make_docs(rows), "").collect()]
+    assert len(got) == len(set(got)) == 7
+    assert set(got) == {(None, a), (None, b), (5, d), (4, c + " end"), (6, "  "), (None, None), (None, "")}
