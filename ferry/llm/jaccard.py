@@ -9,7 +9,7 @@ rare, and a set leaves out the keys that are most frequent around it, as far as
 surplus goes (half of what the weights of all segments exceed its H: two sets together never leave out more
 than the pigeonhole can spare).
 
-Sets that share a key meet at that key's smallest document, the hub: one row per set and hub, never the
+Sets that share a key meet at that key's smallest set (by a hash), the hub: one row per set and hub, never the
 pairs of a key. All sets around a hub are then compared exactly inside one task (in blocks when there are
 more than ``BLOCK``), and only the links of a spanning forest leave it. Equal sets are one node throughout,
 and a task emits the keys of equal sets once, so copies cost nothing beyond their first pass.
@@ -220,14 +220,15 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block:
     keyed = written(keyed, "jaccard-keys")
     rows = written(keyed.drop("keys"), "jaccard-rows")
     sets = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "row_key")).alias("rep"))
-    entries = keyed.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), "doc_id")
-    by_key = Window.partitionBy("key").orderBy("doc_id")
-    near = entries.withColumn("hub", F.first("doc_id").over(by_key.rowsBetween(Window.unboundedPreceding, 0))) \
-        .where("hub <> doc_id").select("hub", "doc_id").distinct()
-    id_sets = rows.where("n_shingles > 0").select("doc_id", "set_id").distinct()
-    # hub and document by the names of their sets; the hub's own row carries its text, too
-    near = near.join(id_sets.select(F.col("doc_id").alias("hub"), F.col("set_id").alias("hub_set")), "hub") \
-        .join(id_sets, "doc_id").where("hub_set <> set_id").select("hub_set", "set_id").distinct()
+    # sets meet by a 64-bit number each: two texts of one doc_id are two sets, and equal texts are one
+    entries = keyed.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), F.xxhash64("set_id").alias("set_no"))
+    by_key = Window.partitionBy("key").orderBy("set_no")
+    near = entries.withColumn("hub", F.first("set_no").over(by_key.rowsBetween(Window.unboundedPreceding, 0))) \
+        .where("hub <> set_no").select("hub", "set_no").distinct()
+    numbers = sets.select(F.xxhash64("set_id").alias("set_no"), "set_id")
+    # hub and member by the names of their sets; the hub's own row carries its text, too
+    near = near.join(numbers.select(F.col("set_no").alias("hub"), F.col("set_id").alias("hub_set")), "hub") \
+        .join(numbers, "set_no").select("hub_set", "set_id").distinct()
     near = written(near, "jaccard-near")
     discard(keyed)
     del keyed, entries

@@ -201,3 +201,16 @@ def test_bounds_hold():
     place = {(r.cell, r.ring): i for i, r in enumerate(annuli.itertuples())}
     for i, (c, r) in enumerate(zip(frame["cell"], frame["ring"])):
         assert (x[:50] @ x[i] <= bound[:, place[c, r]]).all()
+
+
+def test_texts_of_one_id_link_with_each_other(make_docs):
+    w = [f"w{i}" for i in range(120)]
+    chain = [" ".join(x) for x in (w + ["p"], w[6:] + ["p", "q"], w[12:] + ["p", "q", "r"])]
+    other = " ".join(f"v{i}" for i in range(90))
+    for tail in (7, None):
+        rows = [(5, chain[0]), (tail, chain[1]), (tail, chain[2]), (None, other), (None, other + " x"), (8, "alone")]
+        by_text = {r.row_key: r for r in jaccard.classes(make_docs(rows)).collect()}
+        keys = [r.k for r in make_docs([(i, t) for i, (_, t) in enumerate(rows)]).orderBy("doc_id").select(F.xxhash64("text").alias("k")).collect()]
+        got = [by_text[k] for k in keys]
+        assert [r.component_id for r in got] == [5, 5, 5, None, None, 8]
+        assert got[3].class_id == got[4].class_id != got[0].class_id
