@@ -10,8 +10,8 @@ during the flight and only two documents of a block are left undecided.
 
 Scale: blocks of about ``block`` documents of one source fly independently (a source with a third of
 all rows is many blocks). The two undecided documents of each block fly again with those of other
-blocks, level by level, until one block per source is left. There ``LANDING`` documents spread over all
-sizes stay out of the flight, and the landing problem of these and the last two is solved by trying
+blocks, level by level, until one block of the source is left, whatever other sources need. In every block the longest
+documents are decided first, against all others. In a source's last block ``LANDING`` documents spread over all sizes stay out of the flight, and the landing problem of these and the last two is solved by trying
 every rounding. Only aggregates per source are ever gathered in one place.
 """
 
@@ -35,7 +35,7 @@ FAN_IN = 1024
 LANDING = 14
 EPS = 1e-9
 
-ROW = "doc_id bigint, row_key bigint, source string, size bigint, part bigint, pi double, base int"
+ROW = "doc_id bigint, row_key bigint, source string, size bigint, part bigint, parts bigint, pi double, base int"
 
 
 def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -102,6 +102,39 @@ def fly(pi: np.ndarray, size: np.ndarray, rng: np.random.RandomState) -> np.ndar
     return np.array(p)
 
 
+def settle(pi: np.ndarray, size: np.ndarray, first: np.ndarray, rng: np.random.RandomState) -> np.ndarray:
+    """Decide the entries ``first`` one by one, each against all other undecided ones.
+
+    A long document hardly moves among three, so the flight would leave it to the landing. Here the others
+    share its move (linear in their size, more the further they are from a bound), so both totals and
+    every inclusion probability stay as they are.
+    """
+    p = pi.copy()
+    for i in first:
+        while EPS < p[i] < 1 - EPS:
+            w = p * (1 - p)
+            w[i] = 0.0
+            w[w < EPS] = 0.0
+            if np.count_nonzero(w) < LANDING:
+                return p
+            mean = (w @ size) / w.sum()
+            off = size - mean
+            spread = w @ (off * off)
+            if spread <= EPS:
+                break
+            # the others' moves add up to -1, and with their sizes to -size[i]
+            d = -w * (1 / w.sum() + (size[i] - mean) / spread * off)
+            d[i] = 1.0
+            live = np.abs(d) > 1e-15
+            at, by = p[live], d[live]
+            up = np.where(by > 0, (1 - at) / np.abs(by), at / np.abs(by)).min()
+            down = np.where(by > 0, at / np.abs(by), (1 - at) / np.abs(by)).min()
+            p += (up if rng.random_sample() * (up + down) < down else -down) * d
+            p[p <= EPS] = 0.0
+            p[p >= 1 - EPS] = 1.0
+    return p
+
+
 def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Landing: all roundings of the few undecided entries are tried; the one nearest to the word
     total wins among those nearest (within one) to the document total."""
@@ -116,17 +149,22 @@ def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where(p > 0.5, 1.0, 0.0)
 
 
-def _flight(last: bool, seed: int):
+def _flight(seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "doc_id", "row_key"], ascending=[False, True, True],
                               kind="mergesort").reset_index(drop=True)
         name = f"{seed}|{pdf['source'].iloc[0]}|{pdf['part'].iloc[0]}|{len(pdf)}"
+        rng = np.random.RandomState(zlib.crc32(name.encode()))
+        last = pdf["parts"].iloc[0] == 1
         size = pdf["size"].to_numpy(dtype="float64")
         p = pdf["pi"].to_numpy(dtype="float64").copy()
-        open_ = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+        undecided = lambda: np.flatnonzero((p > EPS) & (p < 1 - EPS))
+        if len(undecided()) > 2 * LANDING:
+            p = settle(p, size, undecided()[:LANDING], rng)
+        open_ = undecided()
         held = open_[np.unique(np.linspace(0, len(open_) - 1, LANDING).astype(int))] if last and len(open_) else open_[:0]
         moved = np.setdiff1d(open_, held)
-        p[moved] = fly(p[moved], size[moved], np.random.RandomState(zlib.crc32(name.encode())))
+        p[moved] = fly(p[moved], size[moved], rng)
         return pdf.assign(pi=land(p, size) if last else p)
     return run
 
@@ -150,14 +188,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     parts = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(block)))
     joined = rows.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))) \
         .select("r.*", F.floor("rate").cast("int").alias("base"), (F.col("rate") - F.floor("rate")).alias("pi"),
-                F.pmod(F.xxhash64("doc_id", "row_key", F.lit(seed)), parts).alias("part"))
+                F.pmod(F.xxhash64("doc_id", "row_key", F.lit(seed)), parts).alias("part"), parts.alias("parts"))
     fields = [f.split()[0] for f in ROW.split(", ")]
     most = targets.agg(F.max("n_docs")).first()[0] or 0
     parts_left = max(1, math.ceil(most / block))
     out, undecided = None, joined.select(*fields)
     while True:
         last = parts_left == 1
-        flown = undecided.groupBy("source", "part").applyInPandas(_flight(last, seed), ROW)
+        flown = undecided.groupBy("source", "part").applyInPandas(_flight(seed), ROW)
         if last and out is None:
             out = flown
             break
@@ -167,7 +205,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
         flown = written(flown, "mix-flight")
         decided = (F.col("pi") < EPS) | (F.col("pi") > 1 - EPS)
         out = flown.where(decided) if out is None else out.unionByName(flown.where(decided))
-        undecided = flown.where(~decided).withColumn("part", F.floor(F.col("part") / F.lit(FAN_IN)).cast("bigint"))
+        undecided = flown.where(~decided).withColumn("part", F.floor(F.col("part") / F.lit(FAN_IN)).cast("bigint")) \
+            .withColumn("parts", F.ceil(F.col("parts") / F.lit(FAN_IN)).cast("bigint"))
         parts_left = math.ceil(parts_left / FAN_IN)
     copies = (F.col("o.base") + F.when(F.col("o.pi") > 0.5, 1).otherwise(0)).cast("int")
     return out.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))) \

@@ -283,3 +283,18 @@ def test_near_copies_are_dropped_by_group_not_by_id(spark, make_docs):
     got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, make_docs(rows), "").collect()]
     assert len(got) == len(set(got)) == 7
     assert set(got) == {(None, a), (None, b), (5, d), (4, c + " end"), (6, "  "), (None, None), (None, "")}
+
+
+def test_small_sources_land_beside_a_large_one(make_docs):
+    rng = np.random.RandomState(3)
+    rows = [(i, "w " * int(np.exp(rng.normal(3, 1)) + 1), "en", "a") for i in range(300)]
+    for at, source in enumerate(["b", "c", "d", "e", "f"]):
+        rows += [(1000 * at + 500 + i, "w " * (600 if i == 7 else int(np.exp(rng.normal(4, 1.2)) + 1)), "en", source) for i in range(100)]
+    got = mixing.mix(make_docs(rows), block=128).collect()
+    off = {}
+    for source in "abcdef":
+        mine = [r for r in got if r.source == source]
+        off[source] = abs(sum(r.taken for r in mine) / mine[0].target - 1) if mine[0].target else 0.0
+        rate = mine[0].target / mine[0].source_size
+        assert abs(sum(r.copies for r in mine) - rate * len(mine)) <= 2
+    assert max(off.values()) < 0.01, off
