@@ -13,6 +13,7 @@ is the only thing each task holds.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -134,11 +135,9 @@ class SuffixAutomaton:
                 state = size = 0
 
 
-def chain(found: list[tuple[int, int, int]], max_gap: int) -> tuple[int, int, int] | None:
-    """Best chain of (file start, template start, length): words covered, first and last file word."""
+def _best(found: list[tuple[int, int, int]], max_gap: int) -> list[tuple[int, int, int]]:
+    """Best chain that ends in each match (file start, template start, length): words covered, first and last file word."""
     best: list[tuple[int, int, int]] = []
-    top = None
-    found = sorted(found)
     for j, (f, t, n) in enumerate(found):
         here = (n, f, f + n - 1)
         for i in range(j - 1, -1, -1):
@@ -151,9 +150,41 @@ def chain(found: list[tuple[int, int, int]], max_gap: int) -> tuple[int, int, in
                 if got[0] > here[0]:
                     here = got
         best.append(here)
-        if top is None or here[0] > top[0]:
-            top = here
-    return top
+    return best
+
+
+def chains(found: list[tuple[int, int, int]], max_gap: int, min_words: int, least: float) -> list[tuple[int, int, int]]:
+    """Chains that cover ``least`` words or more, the best first; each is built from what those before it leave."""
+    out: list[tuple[int, int, int]] = []
+    while found:
+        found = sorted(found)
+        taken: list[tuple[int, int, int]] = []
+        for covered, first, last in sorted(_best(found, max_gap), key=lambda c: -c[0]):
+            if covered < least:
+                break
+            at = bisect_left(taken, (first,))
+            if (at == len(taken) or taken[at][0] > last) and (not at or taken[at - 1][1] < first):
+                taken.insert(at, (first, last, covered))
+        if not taken:
+            break
+        out += [(covered, first, last) for first, last, covered in taken]
+        left = []
+        for f, t, n in found:
+            # the parts of a match before, between and behind the spans taken
+            lo, end = f, f + n
+            at = bisect_left(taken, (f,))
+            for a, b, _ in taken[max(0, at - 1):]:
+                if a >= end:
+                    break
+                if b < lo:
+                    continue
+                if a - lo >= min_words:
+                    left.append((lo, t + lo - f, a - lo))
+                lo = b + 1
+            if end - lo >= min_words:
+                left.append((lo, t + lo - f, end - lo))
+        found = left
+    return out
 
 
 def scan_words(auto: SuffixAutomaton, words: list[bytes], min_words: int, max_gap: int,
@@ -184,9 +215,8 @@ def scan_words(auto: SuffixAutomaton, words: list[bytes], min_words: int, max_ga
             if row is not None and (not group or row[0] - max(f + k for f, _, k in group[-8:]) <= max_gap):
                 group.append(row)
                 continue
-            covered, first, last = chain(group, max_gap)
-            if covered >= min_cover * auto.sizes[t]:
-                out.append((auto.names[t], first, last, min(1.0, covered / auto.sizes[t])))
+            out += [(auto.names[t], first, last, min(1.0, covered / auto.sizes[t]))
+                    for covered, first, last in chains(group, max_gap, min_words, min_cover * auto.sizes[t])]
             group = [row] if row is not None else []
     return sorted(out, key=lambda s: (s[1], s[0]))
 

@@ -298,3 +298,12 @@ def test_small_sources_land_beside_a_large_one(make_docs):
         rate = mine[0].target / mine[0].source_size
         assert abs(sum(r.copies for r in mine) - rate * len(mine)) <= 2
     assert max(off.values()) < 0.01, off
+
+
+def test_licenses_side_by_side_are_spans_of_their_own(make_docs):
+    notice = " ".join(f"n{i}" for i in range(20))
+    rows = [(1, f"{notice} and {notice}", "en", "a"), (2, " ".join([notice] * 40), "en", "a"), (3, notice, "en", "a"), (4, f"x {notice} n0 n1 n2", "en", "a")]
+    got = {r.doc_id: r for r in licenses.scan(make_docs(rows), templates={"Own": notice}).collect()}
+    assert [(s.first_word, s.last_word) for s in got[1].spans] == [(0, 19), (21, 40)]
+    assert [(s.first_word, s.last_word) for s in got[2].spans] == [(20 * i, 20 * i + 19) for i in range(40)]
+    assert len(got[3].spans) == len(got[4].spans) == 1 and {r.labels for r in got.values()} == {"Own"}
