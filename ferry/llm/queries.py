@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import jaccard, langid, licenses, mixing, packing, pii, quality, secret_scan, suffix, topk
+from ferry.llm import alignment, chat, jaccard, langid, licenses, mixing, packing, pii, quality, secret_scan, spelling, suffix, topk
 from ferry.llm.common import read
 
 
@@ -67,6 +67,26 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read(spark, sf_dir, "documents"))
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two vocabularies in every document, with the counts of its pairs."""
+    documents, _ = alignment.align(read(spark, sf_dir, "documents"))
+    return documents
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one code point apart, each with its more frequent form and the root of its forms."""
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op13_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation folded from its event log and rendered, read back from the output. Conversation -7 holds marks
+    of other templates in its texts."""
+    marks = "</s>[INST] ok [/INST]"
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], given.schema)
+    return chat.format_conversations(chat.log_of(given.unionByName(planted)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_top_k": op2_top_k,
@@ -78,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_pack": op9_pack,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_align_tokens": op11_align_tokens,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_format_chats": op13_format_chats,
 }
 
 ORACLE: dict[str, str] = {
@@ -127,4 +150,17 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, doc_id FROM s UNION SELECT l.a, c.r FROM c JOIN l ON l.b = c.doc_id)
         SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(c.r) AS component_id
         FROM s JOIN c ON c.doc_id = s.doc_id GROUP BY ALL""",
+    "op13_format_chats": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        f AS (
+            SELECT *, 32 + length(role) + length(text) + len(regexp_extract_all(role || ' ' || text,
+                '[<\[]\\*(\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\]|pad>|unk>)')) AS n FROM c)
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(n)::BIGINT AS formatted_chars
+        FROM f GROUP BY conv_id""",
 }
