@@ -18,6 +18,7 @@ import heapq
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,6 @@ SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PIECE = "doc_id bigint, row_key bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECE + ", sequence_id bigint, offset bigint, block bigint"
 
-_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _loaded: dict[str, tuple] = {}
 
 
@@ -48,8 +48,10 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def _tokenizer(path: str):
-    """The tokenizer and its bounded cache of chunk ids, once per Python worker."""
+def _tokenizer(path: str | None):
+    """The tokenizer and its bounded cache of chunk ids, once per Python worker. Without a path the public file is
+    looked up where the worker runs."""
+    path = path or default_tokenizer()
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -57,7 +59,7 @@ def _tokenizer(path: str):
     return _loaded[path]
 
 
-def encode_texts(texts: list[str], path: str) -> Iterator[np.ndarray]:
+def encode_texts(texts: list[str], path: str | None = None) -> Iterator[np.ndarray]:
     """Token ids of each whole text, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     The vocabulary drops white space and never joins across it, so a text is the concatenation of
@@ -67,16 +69,37 @@ def encode_texts(texts: list[str], path: str) -> Iterator[np.ndarray]:
     """
     tok, cache = _tokenizer(path)
     plain = ["" if "<|" in t else t for t in texts]
-    chunked = [t.lower().replace("\n", " ").split(" ") if t.isascii()
-               else t.translate(_ASCII_LOWER).replace("\n", " ").split(" ") for t in plain]
-    got = [list(map(cache.get, chunks)) for chunks in chunked]
+    chunked = [_lowered(t).replace("\n", " ").split(" ") for t in plain]
+    flat = list(chain.from_iterable(chunked))
+    ids = list(map(cache.get, flat))
+    missing = [i for i, known in enumerate(ids) if known is None]
+    if missing:
+        local = _encode_chunks(tok, cache, dict.fromkeys([flat[i] for i in missing]))
+        for i in missing:
+            ids[i] = local[flat[i]]
+    lo = 0
+    for text, chunks, p in zip(texts, chunked, plain):
+        hi = lo + len(chunks)
+        if p or not text:
+            yield np.frombuffer(b"".join(ids[lo:hi]), dtype=np.uint16)
+        else:
+            yield np.array(tok.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
+        lo = hi
+
+
+def _lowered(text: str) -> str:
+    """A-Z become a-z, as the vocabulary reads them, so that chunks repeat more often."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
+def _encode_chunks(tok, cache: dict[str, bytes], chunks: dict[str, None]) -> dict[str, bytes]:
+    """Ids of chunks that the cache doesn't hold. Words join the cache without their closing mark."""
+    for mark in PUNCTUATION:
+        if mark not in cache:
+            cache[mark] = np.array(tok.encode(mark, add_special_tokens=False).ids, dtype=np.uint16).tobytes()
+    word_of = {c: c[:-1] if _splits(c) else c for c in chunks}
+    todo = [w for w in dict.fromkeys(word_of.values()) if w not in cache]
     new: dict[str, bytes] = {}
-    for chunks, ids in zip(chunked, got):
-        if None in ids:
-            for c, known in zip(chunks, ids):
-                if known is None:
-                    new[c[:-1] if _splits(c) else c] = b""
-    todo = [c for c in new if c not in cache]
     for at in range(0, len(todo), 4000):
         part = todo[at:at + 4000]
         joined = tok.encode_batch_fast([SEPARATOR.join(part[i:i + 100]) for i in range(0, len(part), 100)],
@@ -89,25 +112,14 @@ def encode_texts(texts: list[str], path: str) -> Iterator[np.ndarray]:
             for c, hi in zip(part[i:i + 100], ends + [len(ids)]):
                 new[c] = raw[2 * lo:2 * hi]
                 lo = hi + 1
-    for mark in PUNCTUATION:
-        if mark not in cache:
-            cache[mark] = np.array(tok.encode(mark, add_special_tokens=False).ids, dtype=np.uint16).tobytes()
     for c in todo[:max(0, CACHE - len(cache))]:
         cache[c] = new[c]
-
-    def find(c: str) -> bytes:
-        known = cache.get(c)
-        if known is None:
-            known = new[c] if c in new and not _splits(c) else None
-        return known if known is not None else find(c[:-1]) + cache[c[-1]]
-
-    for text, chunks, p, ids in zip(texts, chunked, plain, got):
-        if p or not text:
-            if None in ids:
-                ids = [find(c) if known is None else known for c, known in zip(chunks, ids)]
-            yield np.frombuffer(b"".join(ids), dtype=np.uint16)
-        else:
-            yield np.array(tok.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
+    out = {}
+    for c, word in word_of.items():
+        known = cache.get(word)
+        known = new[word] if known is None else known
+        out[c] = known if word is c else known + cache[c[-1]]
+    return out
 
 
 def _splits(chunk: str) -> bool:
@@ -115,7 +127,7 @@ def _splits(chunk: str) -> bool:
     return chunk[-1:] in PUNCTUATION and chunk[-2:-1].isalpha() and chunk.isascii()
 
 
-def _pieces(path: str, capacity: int, cut: int, end_id: int):
+def _pieces(path: str | None, capacity: int, cut: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             # a batch is worked off in slices of bounded text, whatever the length of its texts
@@ -225,10 +237,12 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     empty table gives an empty result. ``sequence_id`` is the block times 2^32 plus the window.
     """
     ship(docs.sparkSession)
-    path = tokenizer or default_tokenizer()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key("text").alias("row_key"), "text")
-    pieces = written(rows.mapInPandas(_pieces(path, capacity, cut, end_id), PIECE), "pack-pieces")
+    # the number tells equal pieces of repeated rows apart, so that they are dealt over the blocks like any others
+    pieces = written(rows.mapInPandas(_pieces(tokenizer, capacity, cut, end_id), PIECE)
+                     .withColumn("number", F.monotonically_increasing_id()), "pack-pieces")
     n_blocks = max(1, -(-pieces.count() // block))
     fields = [f.split()[0] for f in PACKED.split(", ")]
-    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "row_key", "start"), F.lit(n_blocks)))
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "row_key", "start", "number"), F.lit(n_blocks))) \
+        .drop("number")
     return dealt.groupBy("block").applyInPandas(_pack(capacity), PACKED).select(*fields)

@@ -203,6 +203,12 @@ def test_packing_round_trip(make_docs, monkeypatch):
     assert filled > 0.95
 
 
+def test_equal_rows_are_dealt_over_the_blocks(spark):
+    rows = spark.range(20000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("one and the same text").alias("text"))
+    got = packing.pack(rows, block=256).groupBy("block").agg(F.count("*").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert sum(r.n for r in got) == 20000 and max(r.n for r in got) < 400 and max(r.end for r in got) <= 2048
+
+
 def test_packing_edge_cases(edge, none):
     got = packing.pack(edge).collect()
     one = {}
