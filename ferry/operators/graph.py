@@ -3,17 +3,20 @@
 The reference walks a dict of a few dozen tables. The same questions - which references point
 nowhere, which nodes sit on cycles, which edges to drop to break them, in what order to load -
 are asked here of an edge *table* of any size (foreign keys between rows, lineage, reply chains).
-Every step is a join plus an aggregation; driver loops only test "did anything change" on a count.
-Iterative state is checkpointed to ``spark.checkpoint.dir`` every round so lineage stays short and
-a lost executor only recomputes one round.
-
-* ``strongly_connected``: trimming (nodes without in- or out-edges are their own component)
-  then forward/backward colouring: min-label forward propagation, backward closure from each
-  label's root within its colour; found components are removed and the rest repeats.
-* ``dependency_levels``: Kahn peeling by frontier - a node's level is one more than its deepest
-  parent; nodes on or behind a cycle never become free and keep a NULL level.
-* ``break_cycles``: one edge per cyclic component and round, then the components again, until no
-  cycle is left.
+Every step is a join plus an aggregation; driver loops only test "did anything change".
+Iterative state is written under ``spark.checkpoint.dir`` every round, so lineage stays short and
+a lost executor only recomputes one round; states that a later one replaces are deleted.
+
+* ``dependency_levels``: a node with one open parent is a function of that parent's level, max(a, level + b), and
+  such functions compose: chains are followed to their end by pointer doubling and solved last, from the
+  node they hang on. What is left is peeled by frontier, and contracted again every few rounds. Nodes on or behind a
+  cycle never become free and keep a NULL level.
+* ``strongly_connected``: nodes with a level upwards or downwards are on no cycle. In the rest every node learns the
+  smallest node that reaches it (colour) and the smallest one of its colour that it reaches. Both spread along the
+  edges and, as reaching is transitive, by taking over the colour of one's colour, so that they cover
+  twice the distance with every round. Nodes where both agree with the colour are one component; edges between
+  nodes that differ in either lie on no cycle.
+* ``break_cycles``: see there; all edges to drop follow from components of nested subgraphs, a fixed number at a time.
 """
 
 from __future__ import annotations
@@ -23,14 +26,26 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.session import shared_dir
+from ferry.session import run_dir
 
 EDGE_SCHEMA = "child string, parent string"
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame written to the shared folder and read back: lineage ends here, and the next round knows its size."""
+    spark = df.sparkSession
+    path = run_dir(spark, "graph")
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def _forget(*frames: DataFrame) -> None:
+    """Delete states that no frame reads any more."""
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _edges(edges: DataFrame) -> DataFrame:
@@ -63,99 +78,182 @@ def missing_parents(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         .withColumnRenamed("parent", "missing_node")
 
 
-COMPACT_EVERY = 4
-
-
-def _peel(e: DataFrame, v: DataFrame, upward: bool = True) -> DataFrame:
-    """Kahn peeling by frontier: (node, round) for every node that ever becomes free.
-
-    ``upward``: a node is free once all its parents are (round = longest path to a node without
-    parents); otherwise once all its children are. A round joins the frontier with the edges that are
-    left and counts the edges freed per node (partial counts first, so a node with very many edges is
-    added up before the shuffle, and its join partition can be split). Every ``COMPACT_EVERY`` rounds
-    the edges of peeled nodes are dropped and the state is written anew, so the work shrinks with
-    what is left. Nodes on, or behind, a cycle never become free.
+PEEL_ROUNDS = 6
+
+
+def _chains(edges: DataFrame, floors: DataFrame) -> tuple[DataFrame, int]:
+    """(node, to, a, b) for every node with one open parent: its level is max(a, level of ``to`` + b), where ``to``
+    has no or several open parents. Rings of such nodes, and what hangs on them, have no row. Also the number
+    of nodes with one open parent."""
+    single = edges.groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("to"), F.max("w").alias("b")) \
+        .where((F.col("n") == 1) & (F.col("to") != F.col("child"))).withColumnRenamed("child", "node")
+    at = _ckpt(single.join(floors, "node", "left").select(
+        "node", "to", F.coalesce("floor", F.lit(0)).alias("a"), "b", F.lit(False).alias("done")))
+    total, covered = at.count(), 1
+    if not total:
+        return at, 0
+    while True:
+        hop = at.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("a").alias("a2"), F.col("b").alias("b2"),
+                        F.col("done").alias("done2"))
+        moved = at.where(~F.col("done")).join(hop, "to", "left").select(
+            "node", F.coalesce("to2", "to").alias("to"), F.greatest(F.col("a"), F.coalesce(F.col("a2") + F.col("b"), F.col("a"))).alias("a"),
+            (F.col("b") + F.coalesce("b2", F.lit(0))).alias("b"), F.coalesce("done2", F.lit(True)).alias("done"))
+        after = _ckpt(moved.unionByName(at.where("done")))
+        _forget(at)
+        at, covered = after, 2 * covered
+        if covered > 2 * total or at.where(~F.col("done")).isEmpty():
+            return at, total
+
+
+def _contract(edges: DataFrame, floors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(edges, floors, chains) without the nodes that have one open parent; edges to such a node go to the end of its
+    chain instead, with the length of the chain added."""
+    chains, total = _chains(edges, floors)
+    if not total:
+        return edges, floors, None
+    ends = chains.where("done").select(F.col("node").alias("parent"), "to", "a", "b")
+    on = edges.join(chains.select(F.col("node").alias("child")), "child", "left_anti").join(ends, "parent", "left")
+    on = _ckpt(on.select("child", F.coalesce("to", "parent").alias("parent"), (F.col("w") + F.coalesce("b", F.lit(0))).alias("w"),
+                         (F.col("w") + F.col("a")).alias("floor")))
+    raised = on.where("floor IS NOT NULL").select(F.col("child").alias("node"), "floor").unionByName(
+        floors.join(chains.select("node"), "node", "left_anti"))
+    fresh = _ckpt(on.groupBy("child", "parent").agg(F.max("w").alias("w")))
+    floors = _ckpt(raised.groupBy("node").agg(F.max("floor").alias("floor")))
+    _forget(on)
+    return fresh, floors, chains.where("done").select("node", "to", "a", "b")
+
+
+def _resolve(e: DataFrame, v: DataFrame, upward: bool = True) -> DataFrame:
+    """(node, level) of the nodes that are not on, or behind, a cycle; level = longest path to a node without parents
+    (``upward``) or without children.
+
+    A round joins the frontier with the open edges and adds up the freed ones per node (partial counts first, so a node
+    with very many edges is added up before the shuffle, and its join partition can be split).
     """
     src, dst = ("child", "parent") if upward else ("parent", "child")
-    e = e.select(src, dst)
-    pending = _ckpt(e.groupBy(src).agg(F.count(F.lit(1)).alias("remaining")).withColumnRenamed(src, "node"))
-    frontier = _ckpt(v.join(pending, "node", "left_anti").select("node", F.lit(0).alias("round")))
-    found, recent = frontier, []
-    r = 0
-    while not frontier.isEmpty():
-        r += 1
-        freed = e.join(frontier.select(F.col("node").alias(dst)), dst) \
-            .groupBy(src).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed(src, "node")
-        state = _ckpt(pending.join(freed, "node", "left")
-                      .select("node", (F.col("remaining") - F.coalesce("n", F.lit(0))).alias("remaining")))
-        frontier = state.where(F.col("remaining") == 0).select("node", F.lit(r).alias("round"))
-        pending = state.where(F.col("remaining") > 0)
-        recent.append(frontier)
-        if len(recent) == COMPACT_EVERY:
-            peeled = reduce(lambda a, b: a.unionByName(b), recent)
-            found, recent = _ckpt(found.unionByName(peeled)), []
-            # an edge is used up when its source node is no longer pending
-            e = _ckpt(e.join(pending.select(F.col("node").alias(src)), src, "left_semi"))
-    return reduce(lambda a, b: a.unionByName(b), [found, *recent])
+    edges = _ckpt(e.select(F.col(src).alias("child"), F.col(dst).alias("parent"), F.lit(1).alias("w")))
+    frontier = _ckpt(v.join(edges.select(F.col("child").alias("node")), "node", "left_anti").select("node", F.lit(0).alias("level")))
+    solved, chains = [frontier], []
+    floors = frontier.select("node", F.col("level").alias("floor")).limit(0)
+    open_ = not frontier.isEmpty()
+    while open_:
+        pending = _ckpt(edges.groupBy("child").agg(F.count(F.lit(1)).alias("open")).withColumnRenamed("child", "node")
+                        .join(floors, "node", "left").select("node", "open", F.coalesce("floor", F.lit(0)).alias("floor")))
+        used = []
+        for _ in range(PEEL_ROUNDS):
+            used.append(frontier.select("node"))
+            freed = edges.join(frontier.select(F.col("node").alias("parent"), "level"), "parent").groupBy("child") \
+                .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("level") + F.col("w")).alias("m")).withColumnRenamed("child", "node")
+            state = _ckpt(pending.join(freed, "node", "left").select(
+                "node", (F.col("open") - F.coalesce("n", F.lit(0))).alias("open"),
+                F.greatest("floor", F.coalesce("m", F.lit(0))).alias("floor")))
+            frontier = state.where("open = 0").select("node", F.col("floor").alias("level"))
+            pending = state.where("open > 0").select("node", "open", "floor")
+            open_ = not frontier.isEmpty()
+            if not open_:
+                break
+            solved.append(frontier)
+        if open_:
+            gone = reduce(lambda a, b: a.unionByName(b), used).withColumnRenamed("node", "parent")
+            left = _ckpt(edges.join(pending.select(F.col("node").alias("child")), "child", "left_semi")
+                         .join(gone, "parent", "left_anti"))
+            _forget(edges)
+            solved = [_ckpt(reduce(lambda a, b: a.unionByName(b), solved))]
+            edges, floors, hung = _contract(left, _ckpt(pending.select("node", "floor")))
+            if hung is not None:
+                chains.append(hung)
+                _forget(left)
+    found = reduce(lambda a, b: a.unionByName(b), solved)
+    for hung in reversed(chains):
+        ends = found.select(F.col("node").alias("to"), "level")
+        found = _ckpt(found.unionByName(hung.join(ends, "to").select("node", F.greatest("a", F.col("level") + F.col("b")).alias("level"))))
+    return found
+
+
+def _least_reaching(e: DataFrame, v: DataFrame, src: str, dst: str) -> DataFrame:
+    """(node, colour): the smallest node from which ``node`` is reached along src -> dst (itself included)."""
+    e = e.select(F.col(src).alias("from"), F.col(dst).alias("node"))
+    colour = v.select("node", F.col("node").alias("colour"))
+    while True:
+        spread = e.join(colour.select(F.col("node").alias("from"), "colour"), "from").select("node", F.col("colour").alias("c"))
+        least = colour.select("node", F.col("colour").alias("c")).unionByName(spread).groupBy("node").agg(F.min("c").alias("c"))
+        # what reaches my colour reaches me
+        ahead = least.select(F.col("node").alias("c"), F.col("c").alias("further"))
+        new = _ckpt(least.join(ahead, "c").join(colour, "node")
+                    .select("node", F.least("c", "further").alias("colour"), (F.least("c", "further") != F.col("colour")).alias("moved")))
+        still = new.where("moved").isEmpty()
+        colour = new.select("node", "colour")
+        if still:
+            return colour
+
+
+def _trimmed(e: DataFrame) -> DataFrame:
+    """Edges whose child is a parent and whose parent is a child elsewhere, as long as many go at a time; the
+    colours sort out the rest."""
+    e = _ckpt(e)
+    n = e.count()
+    while n:
+        less = _ckpt(e.join(e.select(F.col("parent").alias("child")).distinct(), "child", "left_semi")
+                     .join(e.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi"))
+        left = less.count()
+        _forget(e)
+        e = less
+        if left > 0.9 * n:
+            break
+        n = left
+    return e
+
+
+def _components(e: DataFrame) -> DataFrame | None:
+    """(node, component) of the strongly connected components of two or more nodes; ``component`` is the smallest node.
+    ``e`` has no self-loops; nodes may be of any type that has an order."""
+    found = None
+    e = _trimmed(e)
+    while not e.isEmpty():
+        v = _ckpt(all_ends(e))
+        down = _least_reaching(e, v, "child", "parent")
+        both = lambda edges, marks, name: edges.join(
+            marks.select(F.col("node").alias("child"), F.col("colour").alias("x")), "child").join(
+            marks.select(F.col("node").alias("parent"), F.col("colour").alias("y")), "parent") \
+            .where(F.col("x") == F.col("y")).select("child", "parent", F.col("x").alias(name))
+        same = _ckpt(both(e, down, "colour"))
+        up = _least_reaching(same, v, "parent", "child").withColumnRenamed("colour", "back")
+        marked = down.join(up, "node")
+        comp = marked.where(F.col("colour") == F.col("back")).select("node", F.col("colour").alias("component"))
+        large = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
+        comp = _ckpt(comp.join(large, "component").select("node", "component"))
+        found = comp if found is None else _ckpt(found.unionByName(comp))
+        # an edge on a cycle not yet found has both marks alike at its ends and no end in a component found
+        rest = both(same, marked.select("node", F.struct("colour", "back").alias("colour")), "c") \
+            .join(marked.where(F.col("colour") == F.col("back")).select(F.col("node").alias("child")), "child", "left_anti")
+        rest = _trimmed(rest.select("child", "parent"))
+        _forget(e)
+        e = rest
+    return found
+
+
+def all_ends(e: DataFrame) -> DataFrame:
+    return e.select(F.col("child").alias("node")).union(e.select(F.col("parent").alias("node"))).distinct()
 
 
 def strongly_connected(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(node, component, self_loop): ``component`` is the smallest node id of the node's strongly
     connected component; single nodes are their own component.
 
-    Peeling from both ends leaves the core of nodes that both reach and are reached from a cycle
-    (the trimming fixpoint); only the core is coloured.
+    Only the core of nodes without a level in either direction (all that reach and are reached from a cycle) is coloured.
     """
-    e0 = _edges(edges).distinct()
-    loops = e0.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node")).distinct()
-    e = _ckpt(e0.where(F.col("child") != F.col("parent")))
+    e0 = _ckpt(_edges(edges).distinct())
+    loops = e0.where(F.col("child") == F.col("parent")).select(F.col("child").alias("node")).withColumn("self_loop", F.lit(True))
+    e = e0.where(F.col("child") != F.col("parent"))
     v = _ckpt(all_nodes(e0, nodes))
-    up = _peel(e, v, upward=True).select("node")
-    down = _peel(e, v, upward=False).select("node")
-    trivial = _ckpt(up.union(down).distinct())
-    found: list[DataFrame] = [trivial.withColumn("component", F.col("node"))]
-    v = _ckpt(v.join(trivial, "node", "left_anti"))
-    keep = v.select(F.col("node").alias("child"))
-    e = _ckpt(e.join(keep, "child", "left_semi").join(keep.withColumnRenamed("child", "parent"), "parent", "left_semi"))
-    while not v.isEmpty():
-        # forward colouring: colour = smallest node id that reaches the node
-        colour = v.select("node", F.col("node").alias("colour"))
-        while True:
-            pushed = e.join(colour.withColumnRenamed("node", "child"), "child") \
-                .groupBy("parent").agg(F.min("colour").alias("c"))
-            new = _ckpt(colour.join(pushed.withColumnRenamed("parent", "node"), "node", "left")
-                        .select("node", F.least("colour", F.coalesce("c", "colour")).alias("colour")))
-            changed = new.join(colour.withColumnRenamed("colour", "old"), "node") \
-                .where(F.col("colour") < F.col("old")).limit(1).count()
-            colour = new
-            if not changed:
-                break
-        # backward closure from each colour's root, staying inside the colour
-        ce = _ckpt(e.join(colour.withColumnRenamed("node", "child").withColumnRenamed("colour", "cc"), "child")
-                   .join(colour.withColumnRenamed("node", "parent").withColumnRenamed("colour", "pc"), "parent")
-                   .where(F.col("cc") == F.col("pc")).select("child", "parent", F.col("cc").alias("colour")))
-        member = _ckpt(colour.where(F.col("node") == F.col("colour")))
-        n_member = member.count()
-        while True:
-            step = ce.join(member.select(F.col("node").alias("parent"), "colour"), ["parent", "colour"]) \
-                .select(F.col("child").alias("node"), "colour")
-            member = _ckpt(member.union(step).distinct())
-            n_new = member.count()
-            if n_new == n_member:
-                break
-            n_member = n_new
-        comp = member.select("node", F.col("colour").alias("component"))
-        found.append(comp)
-        v = _ckpt(v.join(comp, "node", "left_anti"))
-        # edges between different colours can never lie on a cycle
-        e = _ckpt(ce.join(comp.select(F.col("node").alias("child")), "child", "left_anti")
-                  .join(comp.select(F.col("node").alias("parent")), "parent", "left_anti")
-                  .select("child", "parent"))
-    result = found[0]
-    for f in found[1:]:
-        result = result.unionByName(f)
-    return result.join(loops.withColumn("self_loop", F.lit(True)), "node", "left") \
-        .select("node", "component", F.coalesce("self_loop", F.lit(False)).alias("self_loop"))
+    for upward in (True, False):
+        free = _resolve(e, all_ends(e), upward).select("node")
+        e = _ckpt(e.join(free.select(F.col("node").alias("child")), "child", "left_anti")
+                  .join(free.select(F.col("node").alias("parent")), "parent", "left_anti"))
+    found = _components(e)
+    out = v.withColumn("component", F.col("node")) if found is None else \
+        v.join(found.withColumnRenamed("component", "c"), "node", "left").select("node", F.coalesce("c", "node").alias("component"))
+    return out.join(loops, "node", "left").select("node", "component", F.coalesce("self_loop", F.lit(False)).alias("self_loop"))
 
 
 def cycle_members(components: DataFrame) -> DataFrame:
@@ -174,24 +272,81 @@ def _inside(edges: DataFrame, components: DataFrame) -> DataFrame:
         .where(F.col("component") == F.col("pc")).select("child", "parent", "component")
 
 
-def break_cycles(edges: DataFrame, components: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept_edges, dropped_edges). Per round every cyclic component loses one edge, the one with
-    the smallest child, then the smallest parent, of those with both ends in it (self-loops
-    included); the components of what is left are found again until none is cyclic.
+WAYS = 32
+
+
+def _ranked(nodes: DataFrame) -> tuple[DataFrame, int]:
+    """(node, rank) with ranks 0, 1, 2 ... in the order of the nodes, and their number. The sorted partitions are numbered
+    by themselves; what stands before each comes from one row per partition."""
+    at = _ckpt(nodes.distinct().orderBy("node").withColumn("id", F.monotonically_increasing_id()))
+    part = F.shiftright("id", 33)
+    before, offsets = 0, []
+    for r in sorted(at.groupBy(part.alias("p")).count().collect()):
+        offsets.append((r["p"], before))
+        before += r["count"]
+    if not offsets:
+        return at.select("node", F.col("id").alias("rank")), 0
+    table = at.sparkSession.createDataFrame(offsets, "p bigint, first bigint")
+    inside = F.col("id") - F.shiftleft(part, 33)
+    return _ckpt(at.withColumn("p", part).join(F.broadcast(table), "p").select("node", (inside + F.col("first")).alias("rank"))), before
+
+
+def break_cycles(edges: DataFrame, components: DataFrame, ways: int = WAYS) -> tuple[DataFrame, DataFrame]:
+    """(kept_edges, dropped_edges), for up to three thousand million nodes on cycles. The rule: every cyclic component loses the edge with the smallest child, then the
+    smallest parent, of those with both ends in it (self-loops included), and so on until none is cyclic.
+
+    What the rule drops in the end can be said without its rounds. The smallest child of a component is its smallest
+    node u, and dropping one edge of u cuts no other edge of u from its cycle, so all edges of u inside the component go, and u
+    with them. So an edge u -> v goes exactly if v >= u and v reaches u over nodes >= u: if u and v are in one component
+    of the subgraph of all nodes >= u. Let nodes join in descending order (the largest at time 1); an edge is there from
+    the time of its smaller end on, and goes if its child is that end and both ends are in one component at that very time.
 
-    After the first round only edges inside cyclic components are looked at; rounds are as many as
-    the component that needs most edges dropped.
+    The time at which the ends of an edge come together is found for all edges at once, by halving in ``ways`` parts: the
+    range of times still possible is cut, the components of the subgraphs at all cuts are found in one go, and the
+    edge moves on with the part in which its ends first meet, between ends that stand for their components before it.
+    Rounds are the logarithm of the number of nodes to the base ``ways``; a round holds each edge at most ``ways`` times.
     """
     e = _ckpt(_edges(edges).distinct())
-    core = _ckpt(_inside(e, components))
-    dropped = None
-    while not core.isEmpty():
-        one = _ckpt(core.groupBy("component").agg(F.min(F.struct("child", "parent")).alias("e")).select("e.*"))
-        dropped = one if dropped is None else _ckpt(dropped.unionByName(one))
-        rest = _ckpt(core.join(one, ["child", "parent"], "left_anti").select("child", "parent"))
-        core = _ckpt(_inside(rest, strongly_connected(rest)))
-    if dropped is None:
+    inner = _ckpt(_inside(e, components).select("child", "parent"))
+    loops = inner.where(F.col("child") == F.col("parent"))
+    ranks, n = _ranked(all_ends(inner))
+    if not n:
         return e, e.limit(0)
+    n_nodes = F.lit(n).cast("bigint")
+    end = lambda name, as_: ranks.select(F.col("node").alias(name), F.col("rank").alias(as_))
+    at = inner.where(F.col("child") != F.col("parent")).join(end("child", "c"), "child").join(end("parent", "p"), "parent")
+    # x and y stand for the components of the ends, lo for the part of the times (lo, lo + width]
+    at = _ckpt(at.select("child", "parent", "c", "p", (n_nodes - F.least("c", "p")).alias("t"), F.col("c").alias("x"),
+                         F.col("p").alias("y"), F.lit(0).cast("bigint").alias("lo")))
+    width = ways
+    while width < n:
+        width *= ways
+    while width > 1:
+        step = width // ways
+        # the subgraph at cut j has the edges that are there at time lo + j * step
+        first = F.greatest(F.lit(1), F.ceil((F.col("t") - F.col("lo")) / step)).cast("int")
+        there = at.where(first < ways).select("c", "p", "x", "y", "lo", F.explode(F.sequence(first, F.lit(ways - 1))).alias("j"))
+        # one number for part, cut and node (below the square of the number of nodes)
+        place = lambda lo, j: (F.floor(lo / width) * ways + j) * n_nodes
+        node = lambda name: place(F.col("lo"), F.col("j")) + F.col(name)
+        there = _ckpt(there.select("c", "p", "j", node("x").alias("child"), node("y").alias("parent")))
+        comps = _components(there.select("child", "parent").distinct())
+        moved = at.withColumn("j", F.lit(ways))
+        if comps is not None:
+            comp = lambda name, as_: comps.select(F.col("node").alias(name), F.col("component").alias(as_))
+            meet = there.join(comp("child", "cc"), "child").join(comp("parent", "pc"), "parent").where(F.col("cc") == F.col("pc")) \
+                .groupBy("c", "p").agg(F.min("j").alias("j"))
+            moved = at.join(meet, ["c", "p"], "left").withColumn("j", F.coalesce("j", F.lit(ways)))
+            # the ends stand for their components at the cut before the part
+            for name in ("x", "y"):
+                before = comps.select(F.col("node").alias("at"), F.col("component").alias("stands"))
+                moved = moved.withColumn("at", place(F.col("lo"), F.col("j") - 1) + F.col(name)).join(before, "at", "left") \
+                    .withColumn(name, F.coalesce(F.pmod("stands", n_nodes), name)).drop("stands", "at")
+        after = _ckpt(moved.withColumn("lo", F.col("lo") + (F.col("j") - 1) * step).select(*at.columns))
+        _forget(at, there)
+        at, width = after, step
+    # one time is left: lo + 1
+    dropped = _ckpt(at.where((F.col("lo") + 1 == F.col("t")) & (F.col("c") < F.col("p"))).select("child", "parent").unionByName(loops))
     return e.join(dropped, ["child", "parent"], "left_anti"), dropped
 
 
@@ -200,8 +355,7 @@ def dependency_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataF
     Nodes on a cycle, or depending on one, keep a NULL level."""
     e = _ckpt(_edges(edges).distinct())
     v = _ckpt(all_nodes(e, nodes))
-    found = _peel(e, v, upward=True)
-    return v.join(found, "node", "left").select("node", F.col("round").cast("int").alias("level"))
+    return v.join(_resolve(e, v), "node", "left").select("node", F.col("level").cast("int").alias("level"))
 
 
 def dependency_order(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:

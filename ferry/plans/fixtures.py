@@ -118,13 +118,11 @@ def reply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user points at the user of the event right after the user's first event (one edge
-    per user, so the graph has real cycles and self-loops)."""
+    """The user of every event points at the user of the event after it: one component of nearly all users,
+    with hubs, self-loops and many cycles through every node."""
     e = read(spark, sf_dir, "events")
-    first = e.groupBy("user_id").agg(F.min("event_id").alias("eid"))
-    nxt = e.select((F.col("event_id") - 1).alias("eid"), F.col("user_id").alias("next_user"))
-    return first.join(nxt, "eid").select(_node("user", "user_id").alias("child"),
-                                         _node("user", "next_user").alias("parent"))
+    nxt = e.select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("next_user"))
+    return e.join(nxt, "event_id").select(_node("user", "user_id").alias("child"), _node("user", "next_user").alias("parent")).distinct()
 
 
 def quote_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

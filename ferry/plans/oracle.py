@@ -462,7 +462,7 @@ EDGES = """(SELECT 'nation:' || n_nationkey AS child, 'region:' || n_regionkey A
  UNION ALL SELECT 'lineitem:' || l_orderkey || ':' || l_linenumber, 'supplier:' || l_suppkey FROM lineitem
  UNION ALL SELECT 'conv:' || conv_id || ':' || turn, 'conv:' || conv_id || ':' || (turn - 1) FROM conversations WHERE turn > 0
  UNION ALL SELECT 'user:' || f.user_id, 'user:' || n.user_id
-   FROM (SELECT user_id, min(event_id) AS eid FROM events GROUP BY user_id) f JOIN events n ON n.event_id - 1 = f.eid
+   FROM events f JOIN events n ON n.event_id - 1 = f.event_id
  UNION ALL SELECT 'conv:' || conv_id || ':' || (turn - 1), 'conv:' || conv_id || ':' || turn FROM conversations
    WHERE turn BETWEEN 1 AND 2)"""
 
@@ -475,28 +475,14 @@ NODES = """(SELECT DISTINCT node FROM (SELECT 'region:' || r_regionkey AS node F
  UNION ALL SELECT 'conv:' || conv_id || ':' || turn FROM conversations UNION ALL SELECT 'user:' || user_id FROM events))"""
 
 
-def _break_rounds(rounds: int) -> str:
-    """Cycle breaking round by round: closure of the edges left, the cyclic component of each node by its
-    smallest member, one edge (smallest child, then parent) of each component out."""
-    out = []
-    for r in range(rounds):
-        out.append(f"""
- r{r}(a, b) AS (SELECT child, parent FROM b{r} UNION SELECT r.a, b.parent FROM r{r} r JOIN b{r} b ON r.b = b.child),
- m{r} AS (SELECT x.a AS node, min(x.b) AS comp FROM r{r} x JOIN r{r} y ON y.a = x.b AND y.b = x.a GROUP BY x.a),
- d{r} AS (SELECT c.comp, min(ROW(b.child, b.parent)) AS e FROM b{r} b JOIN m{r} c ON c.node = b.child
-          JOIN m{r} p ON p.node = b.parent AND p.comp = c.comp GROUP BY c.comp),
- b{r + 1} AS (SELECT child, parent FROM b{r} WHERE ROW(child, parent) NOT IN (SELECT e FROM d{r})),""")
-    return "".join(out)
-
-
-BREAK_ROUNDS = 4
-
+# Dropping one edge per cyclic component at a time (smallest child, then parent) ends with all edges gone whose parent reaches
+# their child over nodes not smaller than the child.
 GRAPH_CTE = f"""WITH RECURSIVE e AS (SELECT DISTINCT child, parent FROM {EDGES}),
  reach(a, b) AS (SELECT child, parent FROM e UNION SELECT r.a, e.parent FROM reach r JOIN e ON r.b = e.child),
  cyc AS (SELECT DISTINCT a AS node FROM reach WHERE a = b),
  allnodes AS (SELECT node FROM {NODES} UNION SELECT child FROM e UNION SELECT parent FROM e),
- b0 AS (SELECT child, parent FROM e WHERE child LIKE 'user:%' OR child LIKE 'conv:%'),{_break_rounds(BREAK_ROUNDS)}
- dropped AS (SELECT child, parent FROM b0 EXCEPT SELECT child, parent FROM b{BREAK_ROUNDS}),
+ back(u, x) AS (SELECT node, node FROM cyc UNION SELECT b.u, e.child FROM back b JOIN e ON e.parent = b.x WHERE e.child >= b.u),
+ dropped AS (SELECT e.child, e.parent FROM e JOIN back b ON b.u = e.child AND b.x = e.parent),
  kept AS (SELECT * FROM e EXCEPT SELECT * FROM dropped),
  tainted AS (SELECT DISTINCT r.a AS node FROM reach r JOIN cyc c ON r.b = c.node UNION SELECT node FROM cyc),
  lv(node, d) AS (SELECT node, 0 FROM allnodes WHERE node NOT IN (SELECT child FROM e)

@@ -1,6 +1,8 @@
 """Dependency jobs on the FIXTURES edge sets and against brute force on random graphs."""
 import random
 
+import pytest
+
 from ferry.operators import graph as G
 
 TABLE_GRAPH = [("nation", "region"), ("customer", "nation"), ("supplier", "nation"), ("orders", "customer"),
@@ -93,6 +95,62 @@ def test_breaking_drops_one_edge_per_ring(spark):
     assert len(brute_break(RINGS["down"])) == len(brute_break(RINGS["up"])) == 1
 
 
+@pytest.mark.parametrize("n, m, ways", [(7, 20, 2), (30, 110, 32)])
+def test_breaking_agrees_with_the_rule_edge_by_edge(spark, n, m, ways):
+    rnd = random.Random(n)
+    pairs = list({(f"n{rnd.randrange(n):02d}", f"n{rnd.randrange(n):02d}") for _ in range(m)})
+    e = edges(spark, pairs)
+    kept, dropped = G.break_cycles(e, G.strongly_connected(e), ways)
+    assert sorted(tuple(r) for r in dropped.collect()) == brute_break(pairs)
+    assert kept.count() + dropped.count() == len(pairs)
+
+
+def brute_levels(pairs):
+    parents = {}
+    for a, b in pairs:
+        parents.setdefault(a, set()).add(b)
+        parents.setdefault(b, set())
+    level, n = {}, -1
+    while len(level) > n:
+        n = len(level)
+        for v, ps in parents.items():
+            if v not in level and all(p in level for p in ps):
+                level[v] = max((level[p] + 1 for p in ps), default=0)
+    return {v: level.get(v) for v in parents}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_levels_against_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    pairs = set()
+    for i in range(1, 160):
+        for _ in range(rnd.choice([1, 1, 1, 2, 3])):
+            pairs.add((f"n{i:03d}", f"n{rnd.randrange(max(0, i - rnd.choice([1, 3, 60])), i):03d}"))
+    if seed == 2:
+        pairs |= {("n080", "n085"), ("n005", "n005"), ("r1", "r2"), ("r2", "r1"), ("r3", "r1")}
+    got = {r["node"]: r["level"] for r in G.dependency_levels(edges(spark, list(pairs))).collect()}
+    assert got == brute_levels(pairs)
+
+
+def counted_rounds(monkeypatch):
+    rounds, real = [], G._ckpt
+    monkeypatch.setattr(G, "_ckpt", lambda df: (rounds.append(1), real(df))[1])
+    return rounds
+
+
+def test_a_deep_chain_and_a_large_ring_take_few_rounds(spark, monkeypatch):
+    rounds = counted_rounds(monkeypatch)
+    chain = [(f"n{i + 1:04d}", f"n{i:04d}") for i in range(5000)]
+    lv = {r["node"]: r["level"] for r in G.dependency_levels(edges(spark, chain)).collect()}
+    assert lv == {f"n{i:04d}": i for i in range(5001)} and len(rounds) < 40
+    rounds.clear()
+    names = [f"m{i:04d}" for i in range(5000)]
+    random.Random(3).shuffle(names)
+    ring = list(zip(names, names[1:] + names[:1]))
+    comps = G.strongly_connected(edges(spark, ring)).groupBy("component").count().collect()
+    assert [tuple(r) for r in comps] == [("m0000", 5000)] and len(rounds) < 60
+
+
 def test_long_chain_and_hub(spark):
     chain = [(f"n{i + 1:03d}", f"n{i:03d}") for i in range(40)]
     hub = [(f"h{i}", "hub") for i in range(500)] + [("hub", "n040")]
