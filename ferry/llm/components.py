@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import written
+from ferry.llm.common import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     state, seen = written(edges.where("u <> v").distinct(), "components"), None
     while True:
-        state = written(_star(_star(state, True), False), "components")
+        before, state = state, written(_star(_star(state, True), False), "components")
+        discard(before)
         now = tuple(state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen or not now[0]:
             break

@@ -33,10 +33,11 @@ N, NUM, DEN = 4, 85, 100
 BLOCK = 1024
 MIN_SHINGLES = 2.5          # shingles a segment should hold in the smallest set of a band
 SLACK = 0.08                # surplus of weight over the pigeonhole's need, for leaving out frequent keys
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 600_000
 NO_ID = (1 << 63) - 1
 
-ROWS = "doc_id bigint, row_key bigint, n_shingles bigint, set_id string, keys array<bigint>"
+ROWS = "doc_id bigint, row_key bigint, n_shingles bigint, set_id string"
+KEYS = "set_id string, keys array<bigint>"
 
 
 class Bands:
@@ -125,27 +126,39 @@ def set_name(s: np.ndarray) -> str:
     return f"{int(a):016x}{int(b):016x}{len(s):x}"
 
 
+def _sliced(pdf: pd.DataFrame, n: int) -> Iterator[tuple[int, int, list[np.ndarray], list[str]]]:
+    """Bounds, shingle sets and their names of the rows of a batch, in slices of bounded text."""
+    texts, lo = pdf["text"].fillna("").tolist(), 0
+    while lo < len(texts):
+        hi, held = lo, 0
+        while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= SLICE_CHARS):
+            held += len(texts[hi])
+            hi += 1
+        sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]], n)
+        yield lo, hi, sets, [set_name(s) for s in sets]
+        lo = hi
+
+
+def _named(n: int):
+    """Size and name of the set of every row."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lo, hi, sets, names in _sliced(pdf, n):
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy(), "row_key": pdf["row_key"].iloc[lo:hi].to_numpy(),
+                                    "n_shingles": [len(s) for s in sets], "set_id": pd.Series(names, dtype=object)})
+    return run
+
+
 def _keyed(n: int, num: int, den: int):
+    """Keys of every set; those of equal sets leave a task once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands, seen = Bands(num, den), set()
         for pdf in batches:
-            texts, docs, keys = pdf["text"].fillna("").tolist(), pdf["doc_id"].tolist(), pdf["row_key"].tolist()
-            lo = 0
-            while lo < len(texts):
-                hi, held = lo, 0
-                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= SLICE_CHARS):
-                    held += len(texts[hi])
-                    hi += 1
-                sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]], n)
-                names = [set_name(s) for s in sets]
-                # keys of equal sets leave a task once
+            for _, _, sets, names in _sliced(pdf, n):
                 fresh = [i for i, name in enumerate(names) if name and name not in seen and not seen.add(name)]
-                got: list = [None] * len(sets)
-                for i, ks in zip(fresh, segment_keys([sets[i] for i in fresh], bands)):
-                    got[i] = ks.view(np.int64)
-                yield pd.DataFrame({"doc_id": docs[lo:hi], "row_key": keys[lo:hi], "n_shingles": [len(s) for s in sets],
-                                    "set_id": names, "keys": got})
-                lo = hi
+                if fresh:
+                    keys = segment_keys([sets[i] for i in fresh], bands)
+                    yield pd.DataFrame({"set_id": pd.Series([names[i] for i in fresh], dtype=object), "keys": [k.view(np.int64) for k in keys]})
     return run
 
 
@@ -216,12 +229,12 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block:
     ship(spark)
     text_rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
                             row_key("text").alias("row_key"), "text")
-    keyed = text_rows.mapInPandas(_keyed(n, num, den), ROWS)
-    keyed = written(keyed, "jaccard-keys")
-    rows = written(keyed.drop("keys"), "jaccard-rows")
+    rows = written(text_rows.mapInPandas(_named(n), ROWS), "jaccard-rows")
     sets = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "row_key")).alias("rep"))
     # sets meet by a 64-bit number each: two texts of one doc_id are two sets, and equal texts are one
-    entries = keyed.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), F.xxhash64("set_id").alias("set_no"))
+    # keys outnumber all else and most stand once: they go straight into the shuffle, from a second look at the texts,
+    # and are never written
+    entries = text_rows.mapInPandas(_keyed(n, num, den), KEYS).select(F.explode("keys").alias("key"), F.xxhash64("set_id").alias("set_no"))
     by_key = Window.partitionBy("key").orderBy("set_no")
     near = entries.withColumn("hub", F.first("set_no").over(by_key.rowsBetween(Window.unboundedPreceding, 0))) \
         .where("hub <> set_no").select("hub", "set_no").distinct()
@@ -230,8 +243,7 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block:
     near = near.join(numbers.select(F.col("set_no").alias("hub"), F.col("set_id").alias("hub_set")), "hub") \
         .join(numbers, "set_no").select("hub_set", "set_id").distinct()
     near = written(near, "jaccard-near")
-    discard(keyed)
-    del keyed, entries
+    del entries
     release(spark)
     parts = near.groupBy("hub_set").agg(F.ceil((F.count(F.lit(1)) + 1) / F.lit(block)).cast("int").alias("parts"))
     members = near.withColumn("is_hub", F.lit(0)).unionByName(
@@ -245,10 +257,13 @@ def classes(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, block:
         .select("set_id", F.col("rep.doc_id").alias("d"), F.col("rep.row_key").alias("k"))
     texts = text_rows.join(involved, (F.col("doc_id") == F.col("d")) & (F.col("row_key") == F.col("k"))) \
         .select("set_id", "text").dropDuplicates(["set_id"])
-    groups = members.join(written(texts, "jaccard-texts"), "set_id")
+    texts = written(texts, "jaccard-texts")
+    groups = members.join(texts, "set_id")
     links = written(groups.groupBy("hub_set", "low", "high").applyInPandas(_linked(n, num, den), "u string, v string"),
                     "jaccard-links")
-    del groups, texts, involved
+    discard(texts)
+    discard(near)
+    del groups, texts, involved, members, parts, near
     release(spark)
     linked = components(links)
     named = sets.join(linked, F.col("set_id") == F.col("node"), "left") \
