@@ -6,6 +6,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +60,11 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are no longer referenced.
 
     Its cleaner does so when the driver's garbage is collected, which on an idle driver heap may
-    be long after the intermediate has been written; a collection here frees that disk now.
+    be long after the intermediate has been written; a collection here frees that disk now. Python drops its
+    references to the driver's objects from a thread that looks once a second, so the collection waits for it.
     """
     gc.collect()
+    time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
 
 
