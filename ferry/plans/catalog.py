@@ -346,12 +346,35 @@ def q_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("write_roundtrip")
 def q_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1, K2, K9: staged write, publish by rename, read back (row id left out)."""
+    """K1, K2, K9: staged write, publish as a version, read back (row id left out)."""
     prepare(spark)
     root = run_dir(spark, "roundtrip")
     W.write_staged(W.add_row_id(FX.orders_target(spark, sf_dir)), f"{root}/_staging/ORDERS")
     W.publish(spark, f"{root}/_staging/ORDERS", f"{root}/ORDERS")
-    return spark.read.parquet(f"{root}/ORDERS").drop(W.ROW_ID)
+    return W.read_published(spark, f"{root}/ORDERS").drop(W.ROW_ID)
+
+
+@query("publish_versions")
+def q_publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of a table before, while and after two versions of it are published, and
+    after the newer one has lost its commit marker (the older one counts again)."""
+    prepare(spark)
+    target = f"{run_dir(spark, 'versions')}/ORDERS"
+    seen = []
+
+    def look(step: str) -> None:
+        rows = W.read_published(spark, target).count() if W.current_path(spark, target) else None
+        seen.append((step, R.table_exists(spark, target), rows))
+    look("none")
+    for step, frame in (("first", FX.orders_target(spark, sf_dir)), ("second", FX.damaged_orders(spark, sf_dir, 1))):
+        staged = W.version_dir(target)
+        W.write_staged(frame, staged)
+        look(f"{step} staged")
+        W.publish(spark, staged, target)
+        look(f"{step} published")
+    W.discard(spark, f"{staged}/{W.MARKER}")
+    look("second damaged")
+    return spark.createDataFrame(seen, "step string, table_exists boolean, rows_seen bigint")
 
 
 @query("verify_counts")
@@ -482,7 +505,7 @@ def q_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
                             Q.session_id(), started)
     path = run_dir(spark, "quality-results")
     Q.append_results(res, path)
-    back = spark.read.parquet(path)
+    back = Q.read_results(spark, path)
     return back.withColumn("HAS_DURATION", F.col("CHECK_DURATION_SECONDS") > 0) \
         .drop("CHECK_ID", "CHECK_TIME", "CHECK_DURATION_SECONDS", "ETL_SESSION_ID")
 
@@ -607,7 +630,7 @@ def q_migrate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     root = run_dir(spark, "migrate-results")
     res = M.migrate_all(spark, star_configs(sf_dir), root, results_path=f"{root}/_quality_results")
-    rows = spark.read.parquet(f"{root}/_quality_results").groupBy("CHECK_TYPE", "CHECK_STATUS") \
+    rows = Q.read_results(spark, f"{root}/_quality_results").groupBy("CHECK_TYPE", "CHECK_STATUS") \
         .agg(F.count(F.lit(1)).cast("bigint").alias("n")) \
         .select(F.concat_ws(" ", "CHECK_TYPE", "CHECK_STATUS").alias("item"), "n")
     total, checks = M.run_summary(res), M.check_summary(res)

@@ -315,6 +315,11 @@ ORACLE["column_set_diff"] = _union([
 ORACLE["row_id"] = ("SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(*) AS BIGINT) AS distinct_ids, "
                     "CAST(0 AS BIGINT) AS malformed_ids FROM orders")
 ORACLE["write_roundtrip"] = f"SELECT * FROM {ORDERS_TARGET}"
+_FIRST, _SECOND = f"(SELECT count(*) FROM {ORDERS_TARGET})", f"(SELECT count(*) FROM {damaged_orders(1)[0]})"
+ORACLE["publish_versions"] = _union([
+    f"SELECT '{step}' AS step, {rows != 'NULL'} AS table_exists, CAST({rows} AS BIGINT) AS rows_seen"
+    for step, rows in (("none", "NULL"), ("first staged", "NULL"), ("first published", _FIRST),
+                       ("second staged", _FIRST), ("second published", _SECOND), ("second damaged", _FIRST))])
 ORACLE["verify_counts"] = ("SELECT CAST(count(*) AS BIGINT) AS expected_rows, CAST(count(*) AS BIGINT) AS actual_rows, "
                            "true AS verified FROM orders")
 ORACLE["pk_violations"] = """SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS row_count,
@@ -516,24 +521,35 @@ _STAR = [("REGION", "region", "r_regionkey", []), ("NATION", "nation", "n_nation
                                                                ("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey")])]
 
 
-def _job_row(target: str, source: str, pk: str, fks: list, status: str = "PASSED", orphans: bool = True) -> str:
+def _keys_sql(source: str, pk: str) -> str:
+    """Number of key values that repeat or hold a NULL."""
     nulls = " OR ".join(f"{c} IS NULL" for c in pk.split(", "))
+    return f"(SELECT count(*) FROM (SELECT {pk} FROM {source} GROUP BY {pk} HAVING count(*) > 1 OR {nulls}))"
+
+
+def _job_row(target: str, source: str, pk: str, fks: list, damaged: bool = False, orphans: bool = True) -> str:
+    """Result row of one copy: key violations fail it, and orphans are counted between published tables."""
     all_null = " AND ".join(f"{c} IS NULL" for c in pk.split(", "))
-    keys = f"(SELECT count(*) FROM (SELECT {pk} FROM {source} GROUP BY {pk} HAVING count(*) > 1 OR {nulls}))"
+    keys = _keys_sql(source, pk)
+    good = f"({keys} = 0{' AND false' if damaged else ''})"
+    parents = "".join(f" AND {_keys_sql(t[1], t[2])} = 0" for t in _STAR if t[1] in [f[1] for f in fks])
     unique = f"(SELECT count(*) FROM (SELECT {pk} FROM {source} WHERE NOT ({all_null}) GROUP BY {pk} HAVING count(*) > 1))"
     lost = " + ".join(f"(SELECT count(DISTINCT {c}) FROM {source} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {rc} FROM {rt}))"
                       for c, rt, rc in fks) or "0"
     return (f"SELECT '{target}' AS table_name, '{source}' AS source_table, CAST(count(*) AS BIGINT) AS rows_read, "
-            f"CAST(count(*) AS BIGINT) AS rows_written, true AS verified, '{status}' AS overall_status, "
+            f"CAST(count(*) AS BIGINT) AS rows_written, true AS verified, "
+            f"CASE WHEN {good} THEN 'PASSED' ELSE 'FAILED' END AS overall_status, "
             f"CAST({keys} AS BIGINT) AS pk_violations, CAST({unique} AS BIGINT) AS unique_violations, "
-            f"CAST({lost if orphans else 'NULL'} AS BIGINT) AS orphan_keys, {'true' if status == 'PASSED' else 'false'} AS published "
+            f"CASE WHEN {good}{parents}{'' if orphans else ' AND false'} THEN CAST({lost} AS BIGINT) END AS orphan_keys, "
+            f"{good} AS published "
             f"FROM {source}")
 
 
 ORACLE["migrate_table"] = _job_row("ORDERS", "orders", "o_orderkey", [], orphans=False)
-ORACLE["migrate_damaged"] = _job_row("ORDERS", "orders", "o_orderkey", [], "FAILED", orphans=False)
+ORACLE["migrate_damaged"] = _job_row("ORDERS", "orders", "o_orderkey", [], damaged=True, orphans=False)
 ORACLE["migrate_all"] = _union([_job_row(*t) for t in _STAR])
 ORACLE["migrate_results"] = f"""SELECT 'ROW_COUNT PASSED' AS item, CAST({len(_STAR)} AS BIGINT) AS n
-UNION ALL SELECT 'CONTENT_COMPARISON PASSED', {len(_STAR)} UNION ALL SELECT 'tables copied', {len(_STAR)}
-UNION ALL SELECT 'tables passed', {len(_STAR)}
+UNION ALL SELECT 'CONTENT_COMPARISON PASSED', {len(_STAR)}
+UNION ALL SELECT 'tables copied', count(*) FILTER (WHERE published) FROM ({ORACLE['migrate_all']})
+UNION ALL SELECT 'tables passed', count(*) FILTER (WHERE overall_status = 'PASSED') FROM ({ORACLE['migrate_all']})
 UNION ALL SELECT 'rows read', CAST({' + '.join(f'(SELECT count(*) FROM {t[1]})' for t in _STAR)} AS BIGINT)"""

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,11 +180,23 @@ def results_violations(results: DataFrame) -> DataFrame:
 
 
 def append_results(results: DataFrame, path: str) -> int:
-    """Append result rows after the domain rules hold; returns the number of rows written."""
+    """Append result rows after the domain rules hold; returns the number of rows written.
+
+    The write is keyed: ``CHECK_ID`` (table, check and session) is the partition, and only the partitions of the
+    given rows are replaced, so a retried task or job, or a repeated check of the same session, leaves one set of
+    rows. Tables checked at the same time write to the folder without disturbing each other.
+    """
     if results_violations(results).limit(1).count():
         raise ValueError("quality results break the results-table rules")
-    results.write.mode("append").parquet(path)
-    return results.count()
+    obs = Observation("ferry_results")
+    results.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("CHECK_ID").parquet(path)
+    return int(obs.get["rows"])
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The results table in its own column order and types."""
+    return spark.read.schema(RESULTS_SCHEMA).parquet(path).select(*RESULTS_SCHEMA.names)
 
 
 def quality_summary(checks: DataFrame) -> DataFrame:

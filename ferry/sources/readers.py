@@ -16,6 +16,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.sources.writers import _fs, current_path
+
 DEFAULT_SCHEMA = "dbo"
 
 
@@ -99,10 +101,8 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
-    """A catalog table, or a folder holding a committed Spark write."""
+    """A catalog table, a single file, or a folder holding a published or committed Spark write."""
     if "/" not in name_or_path:
         return spark.catalog.tableExists(name_or_path)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(name_or_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(path)
+    path, fs = _fs(spark, name_or_path)
+    return fs.exists(path) and (fs.getFileStatus(path).isFile() or current_path(spark, name_or_path) is not None)

@@ -1,5 +1,6 @@
 """Whole jobs, writes, results table and the driver contract."""
 import pathlib
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ def test_write_publish_verify(spark, sf_small):
     t = W.add_row_id(FX.orders_target(spark, sf_small))
     n = W.write_staged(t, f"{root}/_staging/ORDERS")
     W.publish(spark, f"{root}/_staging/ORDERS", f"{root}/ORDERS")
-    back = spark.read.parquet(f"{root}/ORDERS")
+    back = W.read_published(spark, f"{root}/ORDERS")
     v = W.verify_counts(n, back).first()
     assert v["verified"] and v["actual_rows"] == FX.read(spark, sf_small, "orders").count()
     assert back.where(~F.col("U_ID").rlike("^[0-9A-F]{32}$")).count() == 0
@@ -81,7 +82,8 @@ def test_failed_copy_is_not_published_and_leaves_no_staging(spark, sf_small):
     good = M.migrate_table(spark, cfg, root, snapshot=True)
     bad = M.migrate_table(spark, cfg, root, transform=lambda d: d.where("false"))
     assert good["published"] and not bad["published"] and bad["overall_status"] == "FAILED"
-    assert spark.read.parquet(f"{root}/NATION").count() == 25       # the good copy still stands
+    assert W.read_published(spark, f"{root}/NATION").count() == 25       # the good copy still stands
+    assert len(list(pathlib.Path(f"{root}/NATION").glob("_data-*"))) == 1
     assert [p.name for p in pathlib.Path(f"{root}/_staging").iterdir()] == []
 
 
@@ -93,6 +95,152 @@ def test_publish_restores_the_old_copy(spark, sf_small):
     assert spark.read.parquet(f"{root}/T").count() == 5 and len(list(pathlib.Path(root).iterdir())) == 1
 
 
+class Killed(BaseException):
+    """The driver is gone: nothing catches it."""
+
+
+class StoppingFs:
+    """A file system that stops before its n-th change."""
+    def __init__(self, fs, budget):
+        self.fs, self.budget = fs, budget
+
+    def __getattr__(self, name):
+        if name in ("create", "rename", "delete", "mkdirs"):
+            if self.budget[0] == 0:
+                raise Killed(name)
+            self.budget[0] -= 1
+        return getattr(self.fs, name)
+
+
+@pytest.mark.parametrize("staged_inside", [True, False])
+def test_publish_stopped_before_any_file_operation_leaves_a_whole_table(spark, sf_small, monkeypatch, staged_inside):
+    root = run_dir(spark, "test-stops")
+    real = W._fs
+    nation, region = FX.read(spark, sf_small, "nation").coalesce(1), FX.read(spark, sf_small, "region").coalesce(1)
+    region.write.parquet(f"{root}/base")        # a table without versions, then two versions of it
+    for _ in range(2):
+        W.publish(spark, _staged(spark, region, f"{root}/base"), f"{root}/base")
+    new_copy = _staged(spark, nation, f"{root}/new")
+    stops = 0
+    while True:     # one more operation is let through each time
+        target = f"{root}/T{stops}"
+        shutil.copytree(f"{root}/base", target)
+        new = W.version_dir(target) if staged_inside else f"{root}/staged{stops}"
+        shutil.copytree(new_copy, new)
+        budget = [stops]
+        monkeypatch.setattr(W, "_fs", lambda s, p: (real(s, p)[0], StoppingFs(real(s, p)[1], budget)))
+        try:
+            W.publish(spark, new, target)
+            done = True
+        except Killed:
+            done = False
+        monkeypatch.setattr(W, "_fs", real)
+        published = any(new.endswith(v.split("-")[1]) for v in W.versions(spark, target)) or not staged_inside
+        seen = W.read_published(spark, target).count()
+        assert seen == 25 if done or (published and staged_inside) else seen in (5, 25)
+        W.recover(spark, target, grace_seconds=0)
+        assert W.read_published(spark, target).count() == seen
+        again = shutil.copytree(new_copy, W.version_dir(target))
+        W.publish(spark, again, target)     # the next publish cleans up what was left
+        assert W.read_published(spark, target).count() == 25
+        assert len(list(pathlib.Path(target).glob("_data-*"))) == len(W.versions(spark, target)) == 2
+        if done:
+            break
+        stops += 1
+    assert stops >= 4
+
+
+def _staged(spark, df, target):
+    path = W.version_dir(target)
+    W.write_staged(df, path)
+    return path
+
+
+def test_versions_and_plain_tables(spark, sf_small):
+    root = run_dir(spark, "test-plain")
+    FX.read(spark, sf_small, "region").write.parquet(f"{root}/T")
+    assert W.read_published(spark, f"{root}/T").count() == 5
+    with pytest.raises(FileExistsError):
+        W.publish(spark, _staged(spark, FX.read(spark, sf_small, "nation"), f"{root}/T"), f"{root}/T", drop_existing=False)
+    published = W.publish(spark, _staged(spark, FX.read(spark, sf_small, "nation"), f"{root}/T"), f"{root}/T")
+    W.discard(spark, published)             # a published version is not staging
+    assert W.read_published(spark, f"{root}/T").count() == 25
+    assert not list(pathlib.Path(f"{root}/T").glob("part-*"))
+    with pytest.raises(FileNotFoundError):
+        W.read_published(spark, f"{root}/none")
+    (pathlib.Path(root) / "half").mkdir()
+    from ferry.sources import readers as R
+    assert R.table_exists(spark, f"{root}/T") and not R.table_exists(spark, f"{root}/half")
+
+
+def test_repeated_append_leaves_one_set_of_rows(spark, sf_small):
+    src = FX.orders_target(spark, sf_small)
+    checks = Q.table_check(spark, src, FX.damaged_orders(spark, sf_small, 0), "ORDERS").checkpoint()
+    path = run_dir(spark, "test-append")
+    assert Q.append_results(Q.quality_results(checks, session="A"), path) == 2
+    assert Q.append_results(Q.quality_results(checks, session="A"), path) == 2
+    assert Q.append_results(Q.quality_results(checks, session="B").where("CHECK_TYPE = 'ROW_COUNT'"), path) == 1
+    back = Q.read_results(spark, path)
+    assert back.columns == Q.RESULTS_SCHEMA.names
+    assert sorted((r["ETL_SESSION_ID"], r["CHECK_TYPE"]) for r in back.collect()) == [
+        ("A", "CONTENT_COMPARISON"), ("A", "ROW_COUNT"), ("B", "ROW_COUNT")]
+
+
+def test_key_violations_fail_the_copy(spark, sf_small):
+    cfg = [c for c in star_configs(sf_small) if c["target_table"] == "NATION"][0]
+    cfg = cfg | {"primary_key": ["n_regionkey"], "indexes": []}
+    root = run_dir(spark, "test-keys")
+    r = M.migrate_table(spark, cfg, root)
+    assert (r["pk_violations"], r["overall_status"], r["published"], r["error"]) == (5, "FAILED", False, None)
+    assert W.current_path(spark, f"{root}/NATION") is None
+    assert M.migrate_table(spark, cfg, root, enforce_key=False)["published"]
+    index = cfg | {"primary_key": [], "indexes": [{"columns": ["n_regionkey"], "unique": True}]}
+    r = M.migrate_table(spark, index, root)
+    assert (r["unique_violations"], r["overall_status"], r["published"]) == (5, "PASSED", True)
+
+
+def test_stopped_run_ends_like_an_unbroken_one(spark, sf_small, monkeypatch):
+    cfgs = [c for c in star_configs(sf_small) if c["target_table"] in ("REGION", "NATION")]
+    columns = [c for c in M.RESULT_COLUMNS if c not in ("seconds", "rows_per_second")]
+
+    def run(root, session="ETL_1"):
+        res = M.migrate_all(spark, cfgs, root, parallel_tables=1, session=session, results_path=f"{root}/_results")
+        return sorted(tuple(r) for r in res.select(columns).collect())
+    whole = run(run_dir(spark, "test-whole"))
+    real, calls = M.migrate_table, []
+    # stopped before the second table's work, or between the first one's publish and the ledger
+    for stop_after, published in ((1, False), (0, True)):
+        root = run_dir(spark, "test-stopped")
+        calls.clear()
+
+        def stopping(spark, cfg, *args, **options):
+            if len(calls) == stop_after:
+                if published:
+                    real(spark, cfg, *args, **options)
+                raise Killed(cfg["target_table"])
+            calls.append(cfg["target_table"])
+            return real(spark, cfg, *args, **options)
+        monkeypatch.setattr(M, "migrate_table", stopping)
+        with pytest.raises(Killed):
+            run(root)
+
+        def counting(spark, cfg, *args, **options):
+            calls.append(cfg["target_table"])
+            return real(spark, cfg, *args, **options)
+        monkeypatch.setattr(M, "migrate_table", counting)
+        assert run(root) == whole
+        assert calls == ["REGION", "NATION"]        # nothing finished is copied again
+        assert Q.read_results(spark, f"{root}/_results").count() == 4
+        assert W.read_published(spark, f"{root}/NATION").count() == 25
+    cfgs[0] = cfgs[0] | {"batch_size": 1}      # a changed config, a torn ledger entry and a new session copy again
+    pathlib.Path(f"{M.ledger_dir(root, 'ETL_1')}/NATION.json").write_text('{"table_name": "NAT')
+    pathlib.Path(f"{M.ledger_dir(root, 'ETL_1')}/.NATION.json.crc").unlink()
+    calls.clear()
+    assert run(root) == whole and calls == ["REGION", "NATION"]
+    calls.clear()
+    assert run(root, "ETL_2") == whole and calls == ["REGION", "NATION"]
+
+
 def test_jdbc_write_options():
     assert W.jdbc_write_options("jdbc:x", "T", {"user": "u"}, 5000, "A VARCHAR(10)") == {
         "url": "jdbc:x", "dbtable": "T", "batchsize": "5000", "user": "u", "createTableColumnTypes": "A VARCHAR(10)"}
