@@ -1,8 +1,8 @@
 """Personal data become format-preserving pseudonyms: keyed Feistel permutations in SQL functions.
 
-Kinds: e-mail addresses (the ASCII letters and digits of the local part change), card numbers (13-19 digits that pass the Luhn test;
+Kinds: e-mail addresses (the ASCII letters and digits of the local part change, each letter keeps its case and the case doesn't change the pseudonym), card numbers (13-19 digits that pass the Luhn test;
 the check digit is made anew, so the pseudonym passes it too), international phone numbers (8-15
-digits; the country code stays), IPv4 addresses and calendar dates from 1900 to 2099. A value is
+digits; the country code stays, however the number is grouped), IPv4 addresses and calendar dates from 1900 to 2099. A value is
 written as numbers in their own ranges (digit, letter of a case, octet, day), the list is cut in two
 halves, and in each of eight rounds one half is shifted, range by range, by numbers drawn from
 SHA-512 of the key, the kind, the round and the other half. That is a permutation of all values of the
@@ -48,6 +48,9 @@ PHONE = (r"\+(?:1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![
          rf"|[0-9](?:(?:{_NEAT}|{_AREA})?[0-9]){{9,14}}(?![0-9]|\.[0-9])"
          rf"|[0-9](?:(?:[ .-]{_GAP}|{_AREA})?[0-9]){{7,14}}(?![0-9]|\.[0-9])"
          rf"|[0-9](?:(?:[ .-]{_LOOSE}|{_AREA})?[0-9]){{7,14}}(?![0-9]))")
+# Calling codes of one and two digits; all others have three. A trunk zero in brackets is not dialled with the code.
+CALLING_CODE = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+TRUNK, TRUNK_MARK = r"\(0\)", "(\u0001)"
 # All groups of digits around a possible card; the check digit decides which of them are one (``_cards``): the
 # printed forms, then groups of three digits or more, then any grouping from the left.
 DIGITS = rf"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9](?:[0-9]|[ -]{OTHER}[0-9])++"
@@ -109,12 +112,13 @@ def _text(codes: Column) -> Column:
 
 
 def _refill(template: Column, chars: Column) -> Column:
-    """The template with its letters and digits replaced, in order, by those of ``chars``."""
+    """The template with its letters and digits replaced, in order, by those of ``chars`` in the case they had."""
     both = F.struct(F.split(template, "").alias("t"), chars.alias("c"))
     start = F.struct(F.lit("").alias("s"), F.lit(0).alias("n"))
     return let(both, lambda x: F.aggregate(
         x["t"], start, lambda a, c: F.when(c.rlike("^[A-Za-z0-9]$"), F.struct(
-            F.concat(a["s"], F.substring(x["c"], a["n"] + 1, F.lit(1))).alias("s"), (a["n"] + 1).alias("n")))
+            F.concat(a["s"], F.when(c.rlike("^[A-Z]$"), F.upper(F.substring(x["c"], a["n"] + 1, F.lit(1))))
+                     .otherwise(F.substring(x["c"], a["n"] + 1, F.lit(1)))).alias("s"), (a["n"] + 1).alias("n")))
         .otherwise(F.struct(F.concat(a["s"], c).alias("s"), a["n"].alias("n"))), lambda a: a["s"]))
 
 
@@ -136,14 +140,17 @@ def _alnum(text: Column) -> Column:
 
 def _email(m: Column, key: str) -> Column:
     local = F.substring_index(m, "@", 1)
-    return F.concat(_refill(local, _text(permuted(_codes(_alnum(local)), key, "email"))),
+    return F.concat(_refill(local, _text(permuted(_codes(F.lower(_alnum(local))), key, "email"))),
                     F.substring(m, F.length(local) + 1, F.length(m)))
 
 
 def _phone(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[^0-9])|^\+[0-9]", 0)
-    rest = F.substring(m, F.length(country) + 1, F.length(m))
-    return F.concat(country, _refill(rest, _text(permuted(_codes(_alnum(rest)), key, "phone"))))
+    def new(digits: Column) -> Column:
+        country = F.regexp_extract(digits, CALLING_CODE, 0)
+        rest = F.substring(digits, F.length(country) + 1, F.length(digits))
+        return F.concat(country, _text(permuted(_codes(rest), key, "phone")))
+    template = F.regexp_replace(m, TRUNK, TRUNK_MARK)
+    return F.replace(_refill(template, let(_alnum(template), new)), F.lit(TRUNK_MARK), F.lit("(0)"))
 
 
 def _card(m: Column, key: str) -> Column:

@@ -224,3 +224,25 @@ def test_mail_addresses_of_any_script(make_docs):
     assert got[0].text == f"{local[:3]}é.{local[3:]}@mail2.example.com" and got[2].text == "_" + got[3].text != rows[2]
     assert got[1].text.startswith("de ") and got[1].text.endswith("é@mail.com, merci") and "jos" not in got[1].text
     assert "Jürgen" not in got[4].text and "ü" in got[4].text and got[4].text.endswith("́@mail.com") and got[6].text == rows[6]
+
+
+def test_one_value_has_one_pseudonym_however_it_is_written(make_docs):
+    forms = {"442079460958": ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (0)20 7946 0958", "+4420 79460958"],
+             "4915123456789": ["+49 151 23456789", "+4915123456789"], "18265554081": ["+1 (826) 555-4081", "+18265554081"],
+             "353861234567": ["+353 86 123 4567", "+353861234567"], "79161234567": ["+7 916 123-45-67", "+79161234567"]}
+    rows = [f"call {p} now" for ps in forms.values() for p in ps]
+    mails = ["Joe.Smith@mail.com", "joe.smith@mail.com", "JOE.SMITH@mail.com", "joe.smitH@mail.com"]
+    got = [r for r in sorted(pii.pseudonymise(make_docs(list(enumerate(rows + mails)))).collect(), key=lambda r: r.doc_id)]
+    at = 0
+    for digits, ps in forms.items():
+        code = re.match(pii.CALLING_CODE, digits).group()
+        rest = "".join(map(chr, py_permuted([ord(c) for c in digits[len(code):]], pii.KEY, "phone")))
+        for p in ps:
+            new, whole = got[at].text[5:-4], iter(code + rest)
+            template = p.replace("(0)", "(#)")
+            assert new == "".join(next(whole) if c.isdigit() else c for c in template).replace("(#)", "(0)")
+            assert got[at].n_phone == 1
+            at += 1
+    local = "".join(map(chr, py_permuted([ord(c) for c in "joesmith"], pii.KEY, "email")))
+    assert [r.text for r in got[at:]] == [
+        "".join(b.upper() if a.isupper() else b for a, b in zip(m, f"{local[:3]}.{local[3:]}@mail.com")) for m in mails]
