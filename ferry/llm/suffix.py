@@ -283,6 +283,9 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
 def least_documents(lanes: list[list[tuple[bytes, int]]], length: int = LENGTH) -> list[list[np.ndarray]]:
     """For each lane of different fragments (bytes, least document), per fragment and string the least
     document of all equal strings of the lane, from the lane's suffix array."""
+    # lanes of like size stand side by side, so that few of them run on alone
+    by_size = sorted(range(len(lanes)), key=lambda i: sum(len(b) for b, _ in lanes[i]))
+    wanted, lanes = lanes, [lanes[i] for i in by_size]
     out: list[list[np.ndarray]] = []
     at = 0
     while at < len(lanes):
@@ -326,7 +329,10 @@ def least_documents(lanes: list[list[tuple[bytes, int]]], length: int = LENGTH)
         cut = np.cumsum(count)
         out += [per[c - n:c] for c, n in zip(cut.tolist(), count.tolist())]
         at = end
-    return out
+    back: list[list[np.ndarray]] = [[]] * len(wanted)
+    for i, got in zip(by_size, out):
+        back[i] = got
+    return back
 
 
 def _verdicts(length: int):
@@ -357,24 +363,41 @@ def _verdicts(length: int):
                 mine.append(k)
             uses.append((batch, mine, number, batch * BATCH + low.astype(np.int64) + span))
         several = [ks for ks in lane_of.values() if len(ks) > 1]
-        # (first string, last string, least document) of each run of a fragment
-        runs: dict[int, list] = {}
-        for ks, got in zip(several, least_documents([[(bodies[k], first[k]) for k in ks] for ks in several], length)):
-            for k, docs in zip(ks, got):
-                cut = np.flatnonzero(np.diff(docs)) + 1
-                runs[k] = list(zip([0, *cut.tolist()], [*(cut - 1).tolist(), len(docs) - 1],
-                                   docs[np.append(0, cut)].tolist()))
+        # first string, last string, least document of each run; those of fragment k from ``begin[k]`` on. A fragment
+        # alone in its lane is one run
+        sizes = np.array([len(b) for b in bodies], dtype=np.int64)
+        count = np.ones(len(bodies), dtype=np.int64)
+        if several:
+            docs = [d for lane in least_documents([[(bodies[k], first[k]) for k in ks] for ks in several], length) for d in lane]
+            whose = np.array([k for ks in several for k in ks], dtype=np.int64)
+            strings = np.array([len(d) for d in docs], dtype=np.int64)
+            docs = np.concatenate(docs)
+            ends = np.cumsum(strings)
+            new = np.append(True, docs[1:] != docs[:-1])
+            new[ends[:-1]] = True
+            head = np.flatnonzero(new)
+            tail = np.append(head[1:], len(docs)) - 1
+            fragment = np.searchsorted(ends, head, side="right")
+            count[whose] = np.bincount(fragment, minlength=len(whose))
+        begin = np.cumsum(count) - count
+        low_string, high_string = np.zeros(int(count.sum()), dtype=np.int64), np.zeros(int(count.sum()), dtype=np.int64)
+        least = np.zeros(int(count.sum()), dtype=np.int64)
+        high_string[begin], least[begin] = sizes - length, first
+        if several:
+            runs_before = np.cumsum(count[whose]) - count[whose]
+            at = begin[whose][fragment] + np.arange(len(head)) - runs_before[fragment]
+            string = ends - strings
+            low_string[at], high_string[at], least[at] = head - string[fragment], tail - string[fragment], docs[head]
         rows = []
         for batch, mine, number, last in uses:
-            found = []
-            for k, no, top in zip(mine, number.tolist(), last.tolist()):
-                for a, b, doc in runs.get(k) or ((0, len(bodies[k]) - length, first[k]),):
-                    if doc < top:
-                        found.append((no, a, b, doc))
-            if found:
-                t = np.array(found, dtype=np.int64)
-                rows.append((batch, _pack(t[:, 0].astype(np.uint32), t[:, 1].astype(np.uint32), t[:, 2].astype(np.uint32),
-                                          np.ascontiguousarray(t[:, 3]))))
+            mine = np.array(mine, dtype=np.int64)
+            n = count[mine]
+            run_at = np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            earlier = least[run_at] < np.repeat(last, n)
+            run_at = run_at[earlier]
+            if len(run_at):
+                rows.append((batch, _pack(np.repeat(number, n)[earlier].astype(np.uint32), low_string[run_at].astype(np.uint32),
+                                          high_string[run_at].astype(np.uint32), least[run_at])))
         return pd.DataFrame(rows, columns=["batch", "blob"])
     return run
 

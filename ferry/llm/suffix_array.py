@@ -8,7 +8,7 @@ more often. Groups stand together in the array throughout, so the current one is
 costs as much as it moves. Phase 2 emits the order: from the least suffix on, the suffix before each
 emitted one, and then its chain of previous smaller suffixes, go to the next free place of their groups.
 
-Each step does the same thing for all strings, so its fixed cost is shared by them.
+A step of phase 1 does the same thing for all strings, so its fixed cost is shared by them.
 """
 
 from __future__ import annotations
@@ -102,29 +102,27 @@ def suffix_arrays(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     places in ``text``. Each string ends in the only 0 it has."""
     ends = np.append(starts[1:], len(text))
     label, prev = _groups(text, starts, ends)
-    out = np.full(len(text), -1, dtype=np.int32)
-    free = np.arange(len(text), dtype=np.int32)
-    placed = np.zeros(len(text), dtype=bool)
-    order = np.argsort(starts - ends, kind="stable")    # longest first: those still going are a prefix
-    begin, length = starts[order].astype(np.int32), (ends - starts)[order]
-    last = (ends - 1).astype(np.int32)
-    out[starts] = last
-    placed[last] = True
-    free[starts] += 1
-    going = len(begin)
-    for i in range(int(length[0]) if going else 0):
-        while length[going - 1] <= i:
-            going -= 1
-        low = begin[:going]
-        t = out[low + i] - 1
-        t = t[t >= low]
-        while len(t):
-            t = t[~placed[t]]
-            placed[t] = True
+    out = np.empty(len(text), dtype=np.int32)
+    for low, high in zip(starts.tolist(), ends.tolist()):
+        out[low:high] = _emitted((label[low:high] - low).tolist(), (prev[low:high] - low).tolist())
+        out[low:high] += low
+    return out
+
+
+def _emitted(label: list[int], prev: list[int]) -> list[int]:
+    """Phase 2 for one string. Each place depends on the one before, so this is a plain loop over lists: with few
+    strings side by side an array call a place costs more than the place itself."""
+    n = len(label)
+    out, free, open_ = [n - 1] * n, list(range(n)), [True] * n
+    open_[-1] = False           # the final 0 is the least suffix
+    free[0] = 1
+    for i in range(n):
+        t = out[i] - 1
+        while t >= 0 and open_[t]:
+            open_[t] = False
             group = label[t]
             where = free[group]
             free[group] = where + 1
             out[where] = t
             t = prev[t]
-            t = t[t >= 0]
     return out
