@@ -35,15 +35,24 @@ def ship(spark: SparkSession) -> None:
     sc._ferry_shipped = True
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate to the shared folder and read it back.
 
     Cuts lineage (a lost executor re-reads the table instead of recomputing the plan) and lets
     several consumers share one computation. The schema is carried over, so an empty frame works.
+    Spark deletes the shuffle files of the write as soon as it has ended.
     """
     spark = df.sparkSession
     path = run_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     back = spark.read.schema(df.schema).parquet(path)
     back._written_to = path
     return back
