@@ -178,3 +178,29 @@ def test_keyed_compare_pairs_renamed_and_reports_missing_columns(spark):
     rows = {r["column_name"]: (r["status"], r["matched_rows"], r["is_match"])
             for r in C.compare_rows_by_key(s, t, ["Order No"]).collect()}
     assert rows == {"1st": ("COMPARED", 1, True), "gone": ("MISSING", 0, False), "extra": ("ADDITIONAL", None, None)}
+
+
+def test_pairing_keeps_two_numbers_per_column(spark):
+    cols = [f"c{i}" for i in range(9)]
+    df = spark.createDataFrame([("1", *cols)], ["k", *cols])
+    paired = C.pair_hashes(df, df, ["k"], cols, masks=True)
+    assert len(paired.columns) <= 1 + 2 + 2 * len(cols) + 2
+
+
+def test_keyed_boolean_columns_beyond_one_mask(spark):
+    names = ["k"] + [f"c{i}" for i in range(64)]
+    row = lambda k, v, last: (k, *[v] * 63, last)
+    src = spark.createDataFrame([row("1", "Yes", "y"), row("2", "n", None), row("3", "0", "n"), (None, *["t"] * 64)], names)
+    tgt = spark.createDataFrame([row("1", "1", "TRUE"), row("2", "0", None), row("3", "yes", ""), (None, *["1"] * 64)], names)
+    got = {r["column_name"]: (r["total_rows"], r["matched_rows"]) for r in C.compare_rows_by_key(src, tgt, ["k"]).collect()}
+    assert set(got) == set(names[1:]) and got["c0"] == (4, 3) and got["c62"] == (4, 3) and got["c63"] == (4, 3)
+
+
+def test_maybe_boolish_misses_no_word(spark):
+    from ferry.functions import text as X
+    from ferry.operators.profile import _boolish, maybe_boolish
+    vals = [s + w + e for w in [*X.BOOL_LIKE, "Yes", "TRUE", "F", ""] for s in ["", *X.PY_WHITESPACE] for e in ["", " ", "　"]]
+    df = spark.createDataFrame([(v,) for v in vals + ["abc", "0.05", "nothing", "42"]], "v string")
+    rows = df.select("v", _boolish(df.v).alias("b"), maybe_boolish(df.v).alias("m")).collect()
+    assert not [r for r in rows if r["b"] and not r["m"]] and sum(r["b"] for r in rows) == len(vals)
+    assert not any(r["m"] for r in rows if r["v"] in ("abc", "0.05", "nothing", "42"))
