@@ -147,3 +147,17 @@ def test_long_chain_and_hub(spark):
     hub = [(f"h{i}", "hub") for i in range(500)] + [("hub", "n040")]
     lv = {r["node"]: r["level"] for r in G.dependency_levels(edges(spark, chain + hub)).collect()}
     assert lv["n040"] == 40 and lv["hub"] == 41 and {lv[f"h{i}"] for i in range(500)} == {42}
+
+
+def test_childless_bulk_is_set_aside_in_layers(spark):
+    pairs = [("c0", "r"), ("c1", "r"), ("r", "top"), ("x", "y"), ("y", "x"), ("z", "x")]
+    pairs += [(f"o{i:02d}", f"c{i % 2}") for i in range(20)] + [(f"l{i:03d}", f"o{i % 20:02d}") for i in range(100)]
+    pairs += [(f"l{i:03d}", "x") for i in range(0, 100, 10)]
+    e = edges(spark, pairs)
+    core, layers = G._layers(G._ckpt(e))
+    assert len(layers) >= 2 and core.count() + sum(x.count() for x in layers) == len(pairs) and core.count() < 10
+    lv = {r["node"]: r["level"] for r in G.dependency_levels(e).collect()}
+    assert (lv["top"], lv["r"], lv["c0"], lv["o07"], lv["l007"]) == (0, 1, 2, 3, 4)
+    assert all(lv[n] is None for n in ("x", "y", "z", "l000", "l090")) and len(lv) == 127
+    members = G.cycle_members(G.strongly_connected(e)).collect()
+    assert sorted((r["node"], r["component"], r["component_size"]) for r in members) == [("x", "x", 2), ("y", "x", 2)]
