@@ -161,3 +161,17 @@ def test_childless_bulk_is_set_aside_in_layers(spark):
     assert all(lv[n] is None for n in ("x", "y", "z", "l000", "l090")) and len(lv) == 127
     members = G.cycle_members(G.strongly_connected(e)).collect()
     assert sorted((r["node"], r["component"], r["component_size"]) for r in members) == [("x", "x", 2), ("y", "x", 2)]
+
+
+def test_break_cycles_holds_few_copies_of_an_edge(spark, monkeypatch):
+    rnd = random.Random(11)
+    pairs = list({(f"n{rnd.randrange(30):02d}", f"n{rnd.randrange(30):02d}") for _ in range(120)})
+    monkeypatch.setattr(G, "ROWS_PER_ROUND", 100)
+    held, run = [], G._components
+    monkeypatch.setattr(G, "_components", lambda e: held.append(e.count()) or run(e))
+    e = edges(spark, pairs)
+    _, dropped = G.break_cycles(e, G.strongly_connected(e))
+    below = lambda a: {p for p in pairs if min(p) >= a}
+    assert {tuple(r) for r in dropped.collect()} == {
+        (a, b) for a, b in pairs if b >= a and (a == b or a in _reach(below(a)).get(b, set()))}
+    assert max(held) <= len(pairs)
