@@ -80,8 +80,8 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     one, two = hash128(v)
     rows = df.unpivot([], df.columns, "column_name", "v").where(v.isNotNull())
     values = rows.select("column_name", one.alias("h1"), two.alias("h2"),
-                         _bool_word(v).alias("word"),
-                         F.when(_boolish(v), 1).otherwise(0).alias("boolish")) \
+                         F.when(maybe_boolish(v), _bool_word(v)).otherwise(0).alias("word"),
+                         F.when(maybe_boolish(v) & _boolish(v), 1).otherwise(0).alias("boolish")) \
         .groupBy("column_name", "h1", "h2").agg(F.max("word").alias("word"), F.min("boolish").alias("boolish"))
     return values.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("distinct_non_null"),
