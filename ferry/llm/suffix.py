@@ -22,7 +22,9 @@ collapse in their batch first, so a text in a third of all documents sends one r
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +45,8 @@ BUCKET_CHARS = 16_000_000
 SLICE_CHARS = 1_000_000
 HOT = 4096                  # fragments of one minimizer from which its strings are sent one by one
 NO_ID = (1 << 63) - 1
-CELLS = 2_000_000           # letters of the lanes sorted side by side
+CELLS = 1_000_000           # letters of the lanes sorted side by side; larger steps leave the processor's cache
+BLOCK = 1 << 16             # strings whose minimizers are sought at a time, for the same reason
 
 _SCATTER = mix(np.arange(1, 257, dtype=np.uint64) * ODD)
 _POWERS = [np.uint64(pow(0xD6E8FEB86659FD93, 1 << i, 1 << 64)) for i in range(6)]
@@ -64,12 +67,8 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def fragments(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Maximal runs of neighbouring strings with one minimizer: (text, first, last string, 48-bit minimizer)."""
-    none = np.zeros(0, dtype=np.int64)
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    if len(data) < length:
-        return none, none, none, none.astype(np.uint64)
+def _least_hashes(data: np.ndarray, length: int, anchor: int) -> np.ndarray:
+    """48-bit minimizer of the string that starts at each place."""
     # hash of 24 bytes out of hashes of 16 and 8, each out of two halves
     hashes, width, halves = _SCATTER[data], 1, {}
     step = 0
@@ -92,6 +91,17 @@ def fragments(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) ->
         w *= 2
     if span > w:
         least = np.minimum(least[:len(least) - (span - w)], least[span - w:])
+    return least
+
+
+def fragments(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """Maximal runs of neighbouring strings with one minimizer: (text, first, last string, 48-bit minimizer)."""
+    none = np.zeros(0, dtype=np.int64)
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    if len(data) < length:
+        return none, none, none, none.astype(np.uint64)
+    least = np.concatenate([_least_hashes(data[at:at + BLOCK + length - 1], length, anchor)
+                            for at in range(0, len(data) - length + 1, BLOCK)])
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes)
     valid = np.ones(len(data) + 1, dtype=bool)
@@ -136,18 +146,17 @@ def _minimizers(length: int, anchor: int, buckets: int):
                     yield packed(value, ids[lo:hi][text])
 
     def packed(value: np.ndarray, doc: np.ndarray) -> pd.DataFrame:
+        # by batch, bucket and value: the bucket follows from the value, so equal values of a batch stand together
+        order = np.argsort(value)
+        order = order[np.lexsort(((value % np.uint64(buckets)).astype(np.int32)[order], (doc // BATCH)[order]))]
+        value, doc = value[order], doc[order]
         batch = doc // BATCH
-        order = np.lexsort((doc, value, batch))
-        value, doc, batch = value[order], doc[order], batch[order]
         new = np.ones(len(value), dtype=bool)
         new[1:] = (value[1:] != value[:-1]) | (batch[1:] != batch[:-1])
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(value)) - 1
-        many = np.minimum(tail - head + 1, 65535).astype(np.uint16)
-        value, batch, low, high = value[head], batch[head], doc[head], doc[tail]
+        many = np.minimum(np.diff(np.append(head, len(value))), 65535).astype(np.uint16)
+        value, batch, low, high = value[head], batch[head], np.minimum.reduceat(doc, head), np.maximum.reduceat(doc, head)
         bucket = (value % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((value, bucket, batch))
-        value, batch, low, high, many, bucket = (x[order] for x in (value, batch, low, high, many, bucket))
         cut = np.flatnonzero((np.diff(batch) != 0) | (np.diff(bucket) != 0)) + 1
         rows = []
         for a, b in zip(np.append(0, cut), np.append(cut, len(value))):
@@ -223,12 +232,9 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
             earliest = np.concatenate([p[2] for p in parts])
             order = np.argsort(shared)
             shared, hot, earliest = shared[order], hot[order], earliest[order]
-        seen: dict[tuple, int] = {}         # (lane, bytes) -> number
-        low: list[int] = []                 # first and last document of a fragment here
-        high: list[int] = []
-        bodies: list[bytes] = []
-        lanes: list[int] = []
+        seen: defaultdict[tuple, int] = defaultdict(itertools.count().__next__)     # (lane, bytes) -> number
         kept_docs, uses = [], []            # documents with fragments; (document, start, fragment) of each
+        held_by = []                        # (id, fragment), also of documents that can lose nothing
         for lo, hi in _slices(texts):
             raws = texts[lo:hi]
             text, first, last, value = fragments(raws, length, anchor)
@@ -238,42 +244,48 @@ def _cut_fragments(length: int, anchor: int, buckets: int):
             earlier = np.zeros(len(value), dtype=bool)
             earlier[is_shared] = earliest[at[is_shared]] < ids[lo:hi][text[is_shared]]
             have = np.unique(text[earlier])
-            number = {int(t): len(kept_docs) + i for i, t in enumerate(have)}
+            number = np.full(hi - lo, -1, dtype=np.int64)
+            number[have] = len(kept_docs) + np.arange(len(have))
             kept_docs += [(int(ids[lo + t]), keys[lo + t]) for t in have.tolist()]
-            for t in np.setdiff1d(np.arange(hi - lo), have).tolist():
+            for t in np.flatnonzero(number < 0).tolist():
                 rows.append((2, -1, batch, None, int(ids[lo + t]), keys[lo + t], len(raws[t]), 0, 0,
                              hashlib.sha256(raws[t]).hexdigest()))
-            for t, a, b, v, h in zip(text[is_shared].tolist(), first[is_shared].tolist(), last[is_shared].tolist(),
-                                     value[is_shared].tolist(), hot[at[is_shared]].tolist()):
-                doc, raw = int(ids[lo + t]), raws[t]
-                pieces = ((a, raw[a:b + length], v),) if not h else (
-                    (i, raw[i:i + length], xxhash.xxh3_64_intdigest(raw[i:i + length])) for i in range(a, b + 1))
-                for start, body, lane in pieces:
-                    k = seen.setdefault((lane, body), len(bodies))
-                    if k == len(bodies):
-                        bodies.append(body)
-                        lanes.append(lane)
-                        low.append(doc)
-                        high.append(doc)
-                    elif doc > high[k]:
-                        high[k] = doc
-                    elif doc < low[k]:
-                        low[k] = doc
-                    if t in number:
-                        uses.append((number[t], start, k))
-        if bodies:
-            lane = np.array(lanes, dtype=np.uint64)
+            if not is_shared.any():
+                continue
+            text, first, last, value, is_hot = text[is_shared], first[is_shared], last[is_shared], value[is_shared], hot[at[is_shared]]
+            # of a hot minimizer every string is a piece of its own
+            pieces = np.where(is_hot, last - first + 1, 1)
+            nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            text, first, value, is_hot = (np.repeat(x, pieces) for x in (text, first, value, is_hot))
+            first = first + nth
+            stop = np.where(is_hot, first, np.repeat(last, pieces)) + length
+            fragment = np.empty(len(text), dtype=np.int64)
+            for some in (slice(i, i + BLOCK) for i in range(0, len(text), BLOCK)):
+                bodies = [raws[t][a:b] for t, a, b in zip(text[some].tolist(), first[some].tolist(), stop[some].tolist())]
+                lanes = value[some].tolist()
+                for i in np.flatnonzero(is_hot[some]).tolist():
+                    lanes[i] = xxhash.xxh3_64_intdigest(bodies[i])
+                fragment[some] = [seen[key] for key in zip(lanes, bodies)]
+            held_by.append((ids[lo:hi][text], fragment))
+            used = number[text] >= 0
+            uses.append((number[text][used], first[used], fragment[used]))
+        if seen:
+            lane = np.array([lane for lane, _ in seen], dtype=np.uint64)
+            bodies = [body for _, body in seen]
+            sizes = np.array([len(body) for body in bodies], dtype=np.uint32)
+            lows, highs = np.full(len(seen), batch * BATCH + BATCH - 1), np.full(len(seen), batch * BATCH)
+            for doc, fragment in held_by:       # first and last document of each here
+                np.minimum.at(lows, fragment, doc)
+                np.maximum.at(highs, fragment, doc)
             bucket = (lane % np.uint64(buckets)).astype(np.int64)
             order = np.lexsort((lane, bucket))
             cut = np.flatnonzero(np.diff(bucket[order])) + 1
-            lows, highs = np.array(low), np.array(high)
             for part in np.split(order, cut):
-                blob = _pack(np.diff(lane[part], prepend=np.uint64(0)), np.array([len(bodies[i]) for i in part], dtype=np.uint32),
+                blob = _pack(np.diff(lane[part], prepend=np.uint64(0)), sizes[part],
                              (lows[part] - batch * BATCH).astype(np.uint16), (highs[part] - lows[part]).astype(np.uint16),
-                             part.astype(np.uint32), np.frombuffer(b"".join([bodies[i] for i in part]), dtype=np.uint8))
+                             part.astype(np.uint32), np.frombuffer(b"".join([bodies[i] for i in part.tolist()]), dtype=np.uint8))
                 rows.append((0, int(bucket[part[0]]), batch, blob, None, None, None, None, None, None))
-            used = np.array(uses, dtype=np.int64).reshape(-1, 3)
-            state = pickle.dumps((kept_docs, _pack(*[np.diff(used[:, j], prepend=0).astype(np.int32) for j in range(3)])))
+            state = pickle.dumps((kept_docs, _pack(*[np.diff(np.concatenate(c), prepend=0).astype(np.int32) for c in zip(*uses)])))
             rows.append((1, -1, batch, state, None, None, None, None, None, None))
         out = pd.DataFrame(rows, columns=_SENT)
         return out.astype({c: "Int64" for c in ("doc_id", "row_key", "n_bytes", "n_removed", "n_spans")})
@@ -320,8 +332,14 @@ def least_documents(lanes: list[list[tuple[bytes, int]]], length: int = LENGTH)
         lane_at = np.empty(len(text), dtype=np.int32)
         lane_at[where] = lane
         same = lane_at[order[1:]] == lane_at[order[:-1]]
-        for k in range(length):
-            same &= text[order[1:] + k] == text[order[:-1] + k]
+        # the bytes of a string are compared up to eight at a time
+        window, width = np.maximum(text - 2, 0).astype(np.uint64), 1
+        while width < 8 and 2 * width <= length:
+            window = window[:-width] << np.uint64(8 * width) | window[width:]
+            width *= 2
+        for k in (*range(0, length - width, width), length - width):
+            part = window[order + k]
+            same &= part[1:] == part[:-1]
         head = np.flatnonzero(np.append(True, ~same))
         best = np.minimum.reduceat(least[order], head)
         least[order] = np.repeat(best, np.diff(np.append(head, len(order))))
@@ -339,37 +357,33 @@ def _verdicts(length: int):
     """Per batch: for its fragments, the runs of strings and the least document that has them."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("batch")
-        lane_of: dict[int, list[int]] = {}
-        known: dict[tuple, int] = {}
-        first: list[int] = []
-        bodies: list[bytes] = []
+        known: defaultdict[tuple, int] = defaultdict(itertools.count().__next__)    # (lane, bytes) -> number
         uses = []
         for batch, blob in zip(pdf["batch"].tolist(), pdf["blob"]):
             d, sizes, low, span, number, raw = _unpack(blob)
             lane = np.cumsum(d, dtype=np.uint64).tolist()
-            ends = np.cumsum(sizes.astype(np.int64)).tolist()
-            raw, at, mine = raw.tobytes(), 0, []
-            for v, e, lo in zip(lane, ends, low.tolist()):
-                body = raw[at:e]
-                at = e
-                k = known.setdefault((v, body), len(bodies))
-                doc = batch * BATCH + lo
-                if k == len(bodies):
-                    bodies.append(body)
-                    first.append(doc)
-                    lane_of.setdefault(v, []).append(k)
-                elif doc < first[k]:
-                    first[k] = doc
-                mine.append(k)
-            uses.append((batch, mine, number, batch * BATCH + low.astype(np.int64) + span))
-        several = [ks for ks in lane_of.values() if len(ks) > 1]
+            ends = np.cumsum(sizes.astype(np.int64))
+            raw = raw.tobytes()
+            mine = np.array([known[v, raw[a:e]] for v, a, e in zip(lane, (ends - sizes).tolist(), ends.tolist())], dtype=np.int32)
+            uses.append((batch, mine, number, low, span))
+        lane = np.fromiter((v for v, _ in known), dtype=np.uint64, count=len(known))
+        bodies = [body for _, body in known]
+        del known
+        first = np.full(len(bodies), NO_ID)
+        for batch, mine, _, low, _ in uses:
+            np.minimum.at(first, mine, batch * BATCH + low.astype(np.int64))
+        # the lanes of several fragments
+        order = np.argsort(lane, kind="stable")
+        size = np.diff(np.append(np.flatnonzero(np.append(True, np.diff(lane[order]) != 0)), len(order)))
+        whose = order[np.repeat(size > 1, size)]
+        several = np.split(whose, np.cumsum(size[size > 1])[:-1]) if len(whose) else []
         # first string, last string, least document of each run; those of fragment k from ``begin[k]`` on. A fragment
         # alone in its lane is one run
-        sizes = np.array([len(b) for b in bodies], dtype=np.int64)
+        sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
         count = np.ones(len(bodies), dtype=np.int64)
         if several:
-            docs = [d for lane in least_documents([[(bodies[k], first[k]) for k in ks] for ks in several], length) for d in lane]
-            whose = np.array([k for ks in several for k in ks], dtype=np.int64)
+            docs = [d for lane in least_documents(
+                [[(bodies[k], doc) for k, doc in zip(ks.tolist(), first[ks].tolist())] for ks in several], length) for d in lane]
             strings = np.array([len(d) for d in docs], dtype=np.int64)
             docs = np.concatenate(docs)
             ends = np.cumsum(strings)
@@ -389,8 +403,8 @@ def _verdicts(length: int):
             string = ends - strings
             low_string[at], high_string[at], least[at] = head - string[fragment], tail - string[fragment], docs[head]
         rows = []
-        for batch, mine, number, last in uses:
-            mine = np.array(mine, dtype=np.int64)
+        for batch, mine, number, low, span in uses:
+            last = batch * BATCH + low.astype(np.int64) + span
             n = count[mine]
             run_at = np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             earlier = least[run_at] < np.repeat(last, n)
@@ -413,23 +427,26 @@ def _applied(length: int):
             docs, packed = pickle.loads(blob)
             docs = [(d, k, texts[d, k]) for d, k in docs]
             whose, start, fragment = (np.cumsum(c, dtype=np.int64) for c in _unpack(packed))
-            verdict: dict[int, list] = {}
-            for b in replies["blob"]:
-                for no, lo, hi, doc in zip(*(x.tolist() for x in _unpack(b))):
-                    verdict.setdefault(no, []).append((lo, hi, doc))
-            delta = [None] * len(docs)
-            for w, s, f in zip(whose.tolist(), start.tolist(), fragment.tolist()):
-                for lo, hi, doc in verdict.get(f, ()):
-                    if doc < docs[w][0]:
-                        if delta[w] is None:
-                            delta[w] = np.zeros(len(docs[w][2]) + 1, dtype=np.int32)
-                        delta[w][s + lo] += 1
-                        delta[w][s + hi + length] -= 1
-            for (doc, key, raw), d in zip(docs, delta):
-                if d is None:
+            no, lo, hi, least = (np.concatenate(c).astype(np.int64) for c in zip(*(_unpack(b) for b in replies["blob"]))) \
+                if len(replies) else [np.zeros(0, dtype=np.int64)] * 4
+            order = np.argsort(no, kind="stable")
+            no, lo, hi, least = no[order], lo[order], hi[order], least[order]
+            # the runs of each use of a fragment that an earlier document has
+            at = np.searchsorted(no, fragment)
+            n = np.searchsorted(no, fragment, side="right") - at
+            run_at = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            whose, start = np.repeat(whose, n), np.repeat(start, n)
+            gone = least[run_at] < np.array([d for d, _, _ in docs], dtype=np.int64)[whose]
+            whose, start, run_at = whose[gone], start[gone], run_at[gone]
+            begins, stops = start + lo[run_at], start + hi[run_at] + length
+            cut = np.searchsorted(whose, np.arange(len(docs) + 1))      # uses lie in the order of the documents
+            for i, (doc, key, raw) in enumerate(docs):
+                if cut[i] == cut[i + 1]:
                     rows.append((doc, key, len(raw), 0, 0, hashlib.sha256(raw).hexdigest()))
                     continue
-                gone = np.cumsum(d[:-1]) > 0
+                mine = slice(cut[i], cut[i + 1])
+                delta = np.bincount(begins[mine], minlength=len(raw) + 1) - np.bincount(stops[mine], minlength=len(raw) + 1)
+                gone = np.cumsum(delta[:-1]) > 0
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 rest = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
                 rows.append((doc, key, len(raw), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest()))

@@ -13,15 +13,20 @@ A step of phase 1 does the same thing for all strings, so its fixed cost is shar
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Sequence
+
 import numpy as np
 
+LONG = 1 << 16              # places from which a string's order is emitted in arrays
+
 
 def _groups(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Phase 1: the first place of each suffix's group, and its previous smaller suffix (-1: none)."""
     n = len(text)
     row = np.repeat(np.arange(len(starts)), ends - starts)
     key = (row << 16) | text.astype(np.int64)
-    sa = np.argsort(key, kind="stable").astype(np.int32)
+    sa = np.argsort(key).astype(np.int32)
     place = np.empty(n, dtype=np.int32)
     place[sa] = np.arange(n, dtype=np.int32)
     first = np.ones(n, dtype=bool)
@@ -29,8 +34,10 @@ def _groups(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     heads = np.flatnonzero(first).astype(np.int32)
     size = np.zeros(n, dtype=np.int32)
     size[heads] = np.diff(np.append(heads, n))
-    label = np.empty(n, dtype=np.int32)
+    # a suffix of the string before has a lesser label than any here, and so has the place before the first string
+    label = np.empty(n + 1, dtype=np.int32)
     label[sa] = np.repeat(heads, size[heads])
+    label[n] = -1
     prev = np.arange(-1, n - 1, dtype=np.int32)
     moved = np.zeros(n, dtype=bool)
     begin, limit = starts.astype(np.int32), ends.astype(np.int32)
@@ -50,11 +57,13 @@ def _groups(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
             here, low = np.repeat(now, count), np.repeat(begin, count)
         limit = now
         p = i - 1
-        todo = np.flatnonzero((p >= low) & (label[p] >= here))
+        todo = np.flatnonzero(label[p] >= here)
+        at, bound = p[todo], here[todo]
         while len(todo):
-            step = prev[p[todo]]
-            p[todo] = step
-            todo = todo[(step >= low[todo]) & (label[step] >= here[todo])]
+            at = prev[at]
+            p[todo] = at
+            on = np.flatnonzero(label[at] >= bound)
+            todo, at, bound = todo[on], at[on], bound[on]
         some = p >= low
         prev[i] = np.where(some, p, -1)
         p = p[some]
@@ -67,7 +76,7 @@ def _groups(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         cell = p[at]
         times = np.diff(np.append(at, len(p)))
         old = label[cell]
-        by = np.lexsort((times, old))
+        by = np.argsort((old.astype(np.int64) << 32) | times)       # in any order where both agree
         cell, times, old = cell[by], times[by], old[by]
         new_home = np.ones(len(cell), dtype=bool)
         new_home[1:] = old[1:] != old[:-1]
@@ -94,7 +103,7 @@ def _groups(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         size[old[home]] -= many.astype(np.int32)
         size[target[sets]] = set_size
         label[cell] = np.repeat(target[sets], set_size)
-    return label, prev
+    return label[:n], prev
 
 
 def suffix_arrays(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -104,22 +113,25 @@ def suffix_arrays(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     label, prev = _groups(text, starts, ends)
     out = np.empty(len(text), dtype=np.int32)
     for low, high in zip(starts.tolist(), ends.tolist()):
-        out[low:high] = _emitted((label[low:high] - low).tolist(), (prev[low:high] - low).tolist())
+        out[low:high] = _emitted(label[low:high] - low, prev[low:high] - low)
         out[low:high] += low
     return out
 
 
-def _emitted(label: list[int], prev: list[int]) -> list[int]:
-    """Phase 2 for one string. Each place depends on the one before, so this is a plain loop over lists: with few
-    strings side by side an array call a place costs more than the place itself."""
+def _emitted(label: np.ndarray, prev: np.ndarray) -> Sequence[int]:
+    """Phase 2 for one string. Each place depends on the one before, so this is a plain loop: with few strings side by
+    side an array call a place costs more than the place itself. A long string is held in arrays of four bytes a place,
+    where lists would take some 150."""
     n = len(label)
-    out, free, open_ = [n - 1] * n, list(range(n)), [True] * n
-    open_[-1] = False           # the final 0 is the least suffix
+    held = np.ndarray.tolist if n < LONG else lambda x: array("i", x.astype(np.int32).tobytes())
+    label, prev, out, free = (held(x) for x in (label, prev, np.full(n, n - 1), np.arange(n)))
+    open_ = bytearray(b"\1") * n
+    open_[-1] = 0                   # the final 0 is the least suffix
     free[0] = 1
     for i in range(n):
         t = out[i] - 1
         while t >= 0 and open_[t]:
-            open_[t] = False
+            open_[t] = 0
             group = label[t]
             where = free[group]
             free[group] = where + 1

@@ -3,11 +3,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from ferry.llm import components, jaccard, suffix, tokens, topk
+from ferry.llm import components, jaccard, suffix, suffix_array, tokens, topk
 from ferry.llm.suffix_array import suffix_arrays
 from pyspark.sql import functions as F
 
@@ -118,6 +119,39 @@ def test_suffix_arrays_match_sorting():
             assert (got[a:a + len(t)] - a).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
 
 
+def peak_bytes(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_suffix_array_of_a_long_string_is_held_in_few_bytes_a_place(monkeypatch):
+    monkeypatch.setattr(suffix_array, "LONG", 1000, raising=False)
+    rng = np.random.RandomState(1)
+    # a long run, then letters; the array is checked by comparing neighbours
+    text = np.concatenate([np.full(1_000, 5), rng.randint(3, 60, 5_000), [0]]).astype(np.int16)
+    got, peak = peak_bytes(lambda: suffix_arrays(text, np.array([0])))
+    assert peak < 120 * len(text)
+    raw = text.astype(">u2").tobytes()
+    assert sorted(got.tolist()) == list(range(len(text)))
+    assert all(raw[2 * a:] < raw[2 * b:] for a, b in zip(got[:-1].tolist(), got[1:].tolist()))
+
+
+def test_fragments_are_cut_in_blocks(monkeypatch):
+    rng = np.random.RandomState(2)
+    texts = [bytes(rng.randint(97, 100, n).astype(np.uint8)) for n in (0, 49, 50, 51, 700, 3, 333_333, 120, 200_000)]
+    want, peak = peak_bytes(lambda: suffix.fragments(texts))
+    assert peak < 60 * sum(map(len, texts))
+    for block in (1, 7, 64, 1 << 30):
+        monkeypatch.setattr(suffix, "BLOCK", block)
+        few = texts if block > 7 else texts[:6]
+        expected = want if block > 7 else [c[want[0] < 6] for c in want]
+        assert all(np.array_equal(a, b) for a, b in zip(suffix.fragments(few), expected))
+
+
 def brute_dedup(rows, length=50):
     rows = [(math.inf if d is None else d, (t or "").encode()) for d, t in rows]
     first = {}
