@@ -175,3 +175,54 @@ def test_break_cycles_holds_few_copies_of_an_edge(spark, monkeypatch):
     assert {tuple(r) for r in dropped.collect()} == {
         (a, b) for a, b in pairs if b >= a and (a == b or a in _reach(below(a)).get(b, set()))}
     assert max(held) <= len(pairs)
+
+
+def test_dense_cycles_are_ordered_in_few_rounds(spark, monkeypatch):
+    rounds = counted_rounds(monkeypatch)
+    rnd = random.Random(5)
+    pairs = sorted({(f"n{rnd.randrange(60):02d}", f"n{rnd.randrange(60):02d}") for _ in range(700)})
+    e = edges(spark, pairs)
+    order = {r["node"]: r["level"] for r in G.dependency_order(e, nodes(spark, ["alone", "alone", None])).collect()}
+    below = lambda a: {p for p in pairs if min(p) >= a}
+    back = {a: _reach([(y, x) for x, y in below(a)]).get(a, set()) for a in {a for a, _ in pairs}}
+    kept = [(a, b) for a, b in pairs if a != b and not (b > a and b in back[a])]
+    assert order == {**brute_levels(kept), "alone": 0, None: None}
+    assert max(v for v in order.values() if v) > 9 and len(rounds) < 45
+
+
+def test_rounds_agree_with_the_task(spark, monkeypatch):
+    """The same graph by rounds over tables, the parts of the cut search finished in tasks only when they are small."""
+    rnd = random.Random(25)
+    pairs = list({(f"n{rnd.randrange(12):02d}", f"n{rnd.randrange(12):02d}") for _ in range(40)} | {("x1", "x2"), ("x2", "x1"), ("x3", "x1")})
+    e = edges(spark, pairs + pairs[:20])
+    comps = G.strongly_connected(e)
+    monkeypatch.setattr(G, "TASK_EDGES", 5)
+    monkeypatch.setattr(G, "PART_EDGES", 12)
+    kept, dropped = G.break_cycles(e, comps, ways=4)
+    assert sorted(tuple(r) for r in dropped.collect()) == brute_break(pairs)
+    left = [tuple(r) for r in kept.collect()]
+    assert sorted(left + brute_break(pairs)) == sorted(pairs)
+    lv = {r["node"]: r["level"] for r in G.dependency_levels(edges(spark, left + left[:30])).collect()}
+    assert lv == brute_levels(left)
+
+
+def test_within_a_task_against_brute_force():
+    import numpy as np
+    from ferry.operators import local_graph as L
+    for seed in range(60):
+        rnd = random.Random(seed)
+        n = rnd.choice([3, 9, 20])
+        pairs = sorted({(rnd.randrange(n), rnd.randrange(n)) for _ in range(n * rnd.choice([1, 2, 3]))})
+        x, y = np.array(pairs).T
+        label, reach, walk = L.least_of(L.components(n, x, y)), _reach(pairs), np.arange(n)
+        L.walked(n, x, y, walk)
+        assert label.tolist() == L.least_of(walk).tolist() == [
+            min([v] + [u for u in reach.get(v, ()) if v in reach.get(u, ())]) for v in range(n)]
+        assert {v: None if k < 0 else k for v, k in enumerate(L.levels(n, x, y).tolist()) if v in {*x, *y}} == brute_levels(pairs)
+        inner = [(a, b) for a, b in pairs if a != b and label[a] == label[b]]
+        found = [p for p in pairs if p[0] == p[1]]
+        if inner:
+            x, y = np.array(inner).T
+            hit = L.meeting(np.zeros(len(x), "i8"), x, y, n - np.minimum(x, y))
+            found += [p for p, h in zip(inner, hit) if h and p[0] < p[1]]
+        assert sorted(found) == brute_break(pairs)
