@@ -226,3 +226,14 @@ def test_within_a_task_against_brute_force():
             hit = L.meeting(np.zeros(len(x), "i8"), x, y, n - np.minimum(x, y))
             found += [p for p, h in zip(inner, hit) if h and p[0] < p[1]]
         assert sorted(found) == brute_break(pairs)
+
+
+def test_levels_keep_one_copy_of_the_edges(spark, monkeypatch):
+    written, real = [], G._ckpt
+    monkeypatch.setattr(G, "_ckpt", lambda df: (written.append(real(df)), written[-1])[1])
+    pairs = [("c0", "r"), ("c1", "r")] + [(f"o{i}", f"c{i % 2}") for i in range(10)] + [(f"l{i}", f"o{i % 10}") for i in range(60)]
+    lv = {r["node"]: r["level"] for r in G.dependency_levels(edges(spark, pairs), nodes(spark, ["l0", "z"])).collect()}
+    assert (lv["r"], lv["l0"], lv["z"], len(lv)) == (0, 3, 0, 74)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written[0]._written_to)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    assert spark.conf.get(G.CLEANUP, "false") == "false"
