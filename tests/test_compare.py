@@ -204,3 +204,23 @@ def test_maybe_boolish_misses_no_word(spark):
     rows = df.select("v", _boolish(df.v).alias("b"), maybe_boolish(df.v).alias("m")).collect()
     assert not [r for r in rows if r["b"] and not r["m"]] and sum(r["b"] for r in rows) == len(vals)
     assert not any(r["m"] for r in rows if r["v"] in ("abc", "0.05", "nothing", "42"))
+
+
+def test_keyed_compare_pairs_only_differing_rows_by_column(spark, monkeypatch):
+    seen, real = [], C.pair_hashes
+
+    def counted(*args, **kw):
+        out = real(*args, **kw)
+        seen.append((kw.get("whole", False), len(out.columns), out.count()))
+        return out
+    monkeypatch.setattr(C, "pair_hashes", counted)
+    s = spark.createDataFrame([(str(i), f"a{i}", None, "w") for i in range(50)] + [(None, "n", "q", "w"), ("d", "1", "1", "w"), ("d", "1", "1", "w")],
+                              "k string, a string, b string, c string")
+    t = s.selectExpr("k", "CASE WHEN k IN ('3', '7') THEN 'other' ELSE upper(a) END AS a",
+                     "CASE WHEN k IS NULL OR k = '3' THEN 'p' WHEN k < '2' THEN '' ELSE b END AS b", "c")
+    got = {r["column_name"]: (r["total_rows"], r["matched_rows"], r["unpaired_keys"]) for r in C.compare_rows_by_key(s, t, ["k"]).collect()}
+    assert got == {"a": (52, 49, 1), "b": (52, 49, 1), "c": (52, 51, 1)}
+    assert [(whole, n) for whole, _, n in seen] == [(True, 52), (False, 3)]
+    seen.clear()
+    same = C.compare_rows_by_key(s, s, ["k"], ["c"]).collect()
+    assert [(r["matched_rows"], r["total_rows"]) for r in same] == [(51, 52)] and [w for w, _, _ in seen] == [True]
